@@ -53,9 +53,10 @@ STREAM_TRIGGER = "10 seconds"
 # splitting).  The row count is always known exactly before the join.
 BROADCAST_MAX_ROWS = 2_000_000
 
-# Rows per factor block in the blocked top-k scorer; bounds the memory of
-# one cogroup task (block_rows x rank floats per side).
-TOPK_BLOCK_ROWS = 4096
+# Rows per factor block in the blocked top-k scorer.  Bounds one cogroup
+# task (block_rows x rank floats per side, scored 1024 users at a time);
+# larger blocks mean less replication of the other side in the shuffle.
+TOPK_BLOCK_ROWS = 16384
 
 
 @dataclass(frozen=True)

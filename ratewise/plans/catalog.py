@@ -8,9 +8,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratewise.operators import clean
+from pyspark.sql import functions as F
+
+from ratewise import config
+from ratewise.functions import scalars as S
+from ratewise.operators import clean, evaluate, serve, split, topk
 from ratewise.plans.cleaning import run_cleaning
 from ratewise.sources import fixtures
+from ratewise.streaming.parse import parse_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +64,189 @@ def q_cleaning_funnel(spark: SparkSession, d: str) -> DataFrame:
     return run_cleaning(fixtures.reviews(spark, d)).funnel()
 
 
+def q_drop_nulls(spark: SparkSession, d: str) -> DataFrame:
+    gaps = fixtures.reviews_with_gaps(spark, d)
+    kept = clean.drop_nulls(gaps, ["UserId", "ProductId", "Score"])
+    return clean.require_not_null(kept, ["UserId", "ProductId", "Score"])
+
+
+def q_typed_casts(spark: SparkSession, d: str) -> DataFrame:
+    """P-4 / F-3 / F-4: text fields (some malformed) cast without failing."""
+    ev = spark.read.parquet(f"{d}/events.parquet").select("event_id", "ts", "props")
+    raw = ev.select(
+        "event_id",
+        F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("x"), F.col("event_id").cast("string")))
+         .otherwise(((F.col("event_id") % 5) + 1).cast("string")).alias("score_text"),
+        F.when(F.col("event_id") % 11 == 0, F.lit("n/a"))
+         .otherwise(F.unix_timestamp("ts").cast("string")).alias("time_text"),
+        F.col("props").cast("binary").alias("props_bin"))
+    return raw.select(
+        "event_id",
+        S.safe_cast("score_text", "float").alias("Score"),
+        S.safe_cast("time_text", "bigint").alias("Time"),
+        S.as_text("props_bin").alias("props_text"))
+
+
+def _ratings(spark: SparkSession, d: str) -> DataFrame:
+    return run_cleaning(fixtures.reviews(spark, d)).ratings
+
+
+def q_hash_split(spark: SparkSession, d: str) -> DataFrame:
+    return split.assign_split(_ratings(spark, d))
+
+
+def q_split_counts(spark: SparkSession, d: str) -> DataFrame:
+    return split.split_counts(_ratings(spark, d))
+
+
+def q_rmse_item_mean(spark: SparkSession, d: str) -> DataFrame:
+    """A-6 / A-13 with a fixed predictor: train item mean, scored on the
+    validation and test splits; unseen items count as dropped."""
+    labelled = split.assign_split(_ratings(spark, d))
+    train = labelled.where(F.col("split") == "train")
+    table = evaluate.item_mean_predictor(train, 0.0)
+    held = labelled.where(F.col("split") != "train")
+    pred = evaluate.predict_with(table, held)
+    return pred.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("prediction").alias("n_scored"),
+        (F.count(F.lit(1)) - F.count("prediction")).alias("n_dropped"),
+        F.round(F.sqrt(F.avg(F.pow(F.col("Score").cast("double") - F.col("prediction"), 2))), 6)
+         .alias("rmse"))
+
+
+# --- fixed values: damping of the fixture candidates ------------------------
+CANDIDATE_DAMPINGS = (0, 5, 20)
+# --- end of fixed values ---------------------------------------------------
+
+
+def q_candidate_rmse(spark: SparkSession, d: str) -> DataFrame:
+    parts = split.split_frames(_ratings(spark, d))
+    return evaluate.candidate_metrics(parts["train"], parts["validation"], CANDIDATE_DAMPINGS)
+
+
+def q_best_candidate(spark: SparkSession, d: str) -> DataFrame:
+    """A-7 then one test evaluation of the chosen candidate (M-6 form)."""
+    parts = split.split_frames(_ratings(spark, d))
+    metrics = evaluate.candidate_metrics(parts["train"], parts["validation"], CANDIDATE_DAMPINGS)
+    best = evaluate.pick_best(metrics).first()
+    table = evaluate.item_mean_predictor(parts["train"], float(best["damping"]))
+    test = evaluate.rmse_frame(evaluate.predict_with(table, parts["test"]))
+    return test.select(
+        F.lit(best["candidate"]).cast("int").alias("candidate"),
+        F.lit(best["damping"]).cast("int").alias("damping"),
+        F.lit(best["rmse_validation"]).cast("double").alias("rmse_validation"),
+        F.col("rmse").alias("rmse_test"))
+
+
+def q_events_json(spark: SparkSession, d: str) -> DataFrame:
+    ev = spark.read.parquet(f"{d}/events.parquet").select("event_id", "props")
+    return ev.select("event_id", S.parse_json("props", "k int")["k"].alias("k"))
+
+
+def q_json_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """K-4 -> F-2 -> bytes -> T-1: what the producer writes parses back."""
+    msgs = fixtures.event_messages(spark, d).select(
+        "event_id", F.col("value").cast("binary").alias("value"))
+    return parse_messages(msgs, keep=("event_id",))
+
+
+def q_known_event_users(spark: SparkSession, d: str) -> DataFrame:
+    """J-3 + A-4: distinct dictionary users among the incoming messages."""
+    users = run_cleaning(fixtures.reviews(spark, d)).users
+    msgs = parse_messages(fixtures.event_messages(spark, d))
+    return users.attach(msgs.select("UserId")).select("UserId", "user_idx").distinct()
+
+
+def q_topk_all(spark: SparkSession, d: str) -> DataFrame:
+    users, items = fixtures.factor_fixture(spark, d)
+    top = topk.top_k_by_dot(users, items, config.TOP_K, user_out="user_id", item_out="item_id")
+    return top.select("user_id", "rank", "item_id", F.round("score", 4).alias("score"))
+
+
+def q_topk_subset(spark: SparkSession, d: str) -> DataFrame:
+    """R-4 / J-5: users requested by the events (duplicates collapse, ids
+    without factors give nothing)."""
+    users, items = fixtures.factor_fixture(spark, d)
+    req = spark.read.parquet(f"{d}/events.parquet").select(
+        F.col("user_id").cast("int").alias("user_idx"))
+    sub = topk.subset_factors(users, req)
+    top = topk.top_k_by_dot(sub, items, config.TOP_K, user_out="user_id", item_out="item_id")
+    return top.select("user_id", "rank", "item_id", F.round("score", 4).alias("score"))
+
+
+def factor_store(spark: SparkSession, d: str) -> DataFrame:
+    """A store of two scoring batches over the factor fixture: batch 0 all
+    users over all items, batch 1 even users over even items."""
+    users, items = fixtures.factor_fixture(spark, d)
+    b0 = topk.as_lists(topk.top_k_by_dot(users, items, config.TOP_K,
+                                         user_out="user_idx", item_out="product_idx"))
+    even = F.col("id") % 2 == 0
+    b1 = topk.as_lists(topk.top_k_by_dot(users.where(even), items.where(even), config.TOP_K,
+                                         user_out="user_idx", item_out="product_idx"))
+    return (b0.withColumn("batch_id", F.lit(0).cast("long"))
+              .unionByName(b1.withColumn("batch_id", F.lit(1).cast("long"))))
+
+
+def _latest(spark: SparkSession, d: str) -> DataFrame:
+    return serve.latest_lists(factor_store(spark, d))
+
+
+def q_latest_lists(spark: SparkSession, d: str) -> DataFrame:
+    lists = _latest(spark, d)
+    return serve.list_sizes(lists.select("user_idx", "batch_id", "recommendations"),
+                            keep=("batch_id",))
+
+
+def _requests(spark: SparkSession, d: str) -> DataFrame:
+    """Lookup requests: every distinct event user, ``n`` varied to cover
+    the default (null), values below 1 and above 20."""
+    ev = spark.read.parquet(f"{d}/events.parquet").select(F.col("user_id").cast("int").alias("user_id"))
+    m = F.col("user_id") % 25
+    return ev.distinct().select("user_id", F.when(m == 0, F.lit(None)).otherwise(m - 2)
+                                .cast("int").alias("n"))
+
+
+def q_serve_user(spark: SparkSession, d: str) -> DataFrame:
+    return serve.lookup_items(_requests(spark, d), _latest(spark, d))
+
+
+def q_serve_unknown(spark: SparkSession, d: str) -> DataFrame:
+    return serve.unknown_users(_requests(spark, d), _latest(spark, d))
+
+
+def q_serve_overview(spark: SparkSession, d: str) -> DataFrame:
+    ov = serve.overview(_latest(spark, d))
+    return ov.select("user_idx", F.posexplode("top5").alias("pos", "product_id")).select(
+        "user_idx", (F.col("pos") + 1).cast("int").alias("pos"), "product_id")
+
+
+def q_serve_users(spark: SparkSession, d: str) -> DataFrame:
+    return serve.user_directory(_latest(spark, d))
+
+
+def q_serve_random(spark: SparkSession, d: str) -> DataFrame:
+    return serve.random_user(_latest(spark, d))
+
+
+def q_display_table(spark: SparkSession, d: str) -> DataFrame:
+    return serve.display_rows(_latest(spark, d))
+
+
+def q_user_total(spark: SparkSession, d: str) -> DataFrame:
+    return serve.user_total(_latest(spark, d))
+
+
+def q_status_row(spark: SparkSession, d: str) -> DataFrame:
+    store = factor_store(spark, d)
+    n = store.agg(F.countDistinct("batch_id").alias("fichiers_generes"))
+    return n.select("fichiers_generes", S.run_status(F.col("fichiers_generes")).alias("statut"))
+
+
+def q_list_sizes_sample(spark: SparkSession, d: str) -> DataFrame:
+    return serve.sample_sizes(_latest(spark, d))
+
+
 def queries() -> dict[str, Query]:
     return {
         "reviews_scan": q_reviews_scan,
@@ -71,4 +259,26 @@ def queries() -> dict[str, Query]:
         "product_index": q_product_index,
         "cleaned_ratings": q_cleaned_ratings,
         "cleaning_funnel": q_cleaning_funnel,
+        "drop_nulls": q_drop_nulls,
+        "typed_casts": q_typed_casts,
+        "hash_split": q_hash_split,
+        "split_counts": q_split_counts,
+        "rmse_item_mean": q_rmse_item_mean,
+        "candidate_rmse": q_candidate_rmse,
+        "best_candidate": q_best_candidate,
+        "events_json": q_events_json,
+        "json_roundtrip": q_json_roundtrip,
+        "known_event_users": q_known_event_users,
+        "topk_all": q_topk_all,
+        "topk_subset": q_topk_subset,
+        "latest_lists": q_latest_lists,
+        "serve_user": q_serve_user,
+        "serve_unknown": q_serve_unknown,
+        "serve_overview": q_serve_overview,
+        "serve_users": q_serve_users,
+        "serve_random": q_serve_random,
+        "display_table": q_display_table,
+        "user_total": q_user_total,
+        "status_row": q_status_row,
+        "list_sizes_sample": q_list_sizes_sample,
     }

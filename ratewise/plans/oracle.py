@@ -84,4 +84,168 @@ UNION ALL SELECT 2, 'dedup', count(*) FROM dedup
 UNION ALL SELECT 3, 'active_users', count(*) FROM active_u
 UNION ALL SELECT 4, 'active_products', count(*) FROM active_p
 UNION ALL SELECT 5, 'final', count(*) FROM ratings"""
+    q.update(oracle_sql_more())
+    return q
+
+
+_GAPS = """
+gaps AS (
+  SELECT CASE WHEN l.l_linenumber <> 1 THEN 'U' || CAST(o.o_custkey AS VARCHAR) END AS UserId,
+         CASE WHEN l.l_linenumber <> 3 THEN 'P' || CAST(l.l_partkey AS VARCHAR) END AS ProductId,
+         CASE WHEN l.l_linenumber = 2 THEN CAST('NaN' AS FLOAT)
+              WHEN l.l_linenumber = 4 THEN CAST(NULL AS FLOAT)
+              ELSE CAST(CAST(l.l_quantity AS INTEGER) % 5 + 1 AS FLOAT) END AS Score,
+         CAST(epoch(l.l_shipdate) AS BIGINT) AS Time
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  WHERE l.l_returnflag = 'R' AND l.l_linestatus = 'O')"""
+
+_SPLIT = """
+labelled AS (
+  SELECT user_idx, product_idx, Score,
+         CASE WHEN b < 8000 THEN 'train' WHEN b < 9000 THEN 'validation' ELSE 'test' END AS split
+  FROM (SELECT *, CAST(('0x' || substr(md5(concat_ws('|', CAST(user_idx AS VARCHAR),
+                   CAST(product_idx AS VARCHAR))), 1, 8)) AS BIGINT) % 10000 AS b
+        FROM ratings) h),
+train AS (SELECT * FROM labelled WHERE split = 'train'),
+mu AS (SELECT avg(CAST(Score AS DOUBLE)) AS mu FROM train)"""
+
+
+def _damped(d: int, name: str) -> str:
+    return f"""
+{name} AS (
+  SELECT product_idx, (sum(CAST(Score AS DOUBLE)) + {d} * (SELECT mu FROM mu))
+                      / (count(*) + {d}) AS prediction
+  FROM train GROUP BY product_idx)"""
+
+
+def _rmse_of(split_name: str, table: str) -> str:
+    return f"""SELECT round(sqrt(avg(power(CAST(Score AS DOUBLE) - prediction, 2))), 6)
+  FROM labelled LEFT JOIN {table} USING (product_idx) WHERE split = '{split_name}'"""
+
+
+_FACTORS = """
+fu AS (SELECT vec_id AS uid, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id < 50),
+fi AS (SELECT vec_id AS iid, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id >= 50)"""
+
+
+def _topk(name: str, users: str, items: str) -> str:
+    return f"""
+{name} AS (
+  SELECT uid, iid, score, CAST(rk AS INTEGER) AS rk FROM (
+    SELECT uid, iid, score,
+           row_number() OVER (PARTITION BY uid ORDER BY score DESC, iid) AS rk
+    FROM (SELECT uid, iid, list_dot_product(fu.v, fi.v) AS score
+          FROM (SELECT * FROM fu WHERE {users}) fu, (SELECT * FROM fi WHERE {items}) fi) s) r
+  WHERE rk <= {config.TOP_K})"""
+
+
+_STORE = _FACTORS + "," + _topk("b0", "true", "true") + "," + \
+    _topk("b1", "uid % 2 = 0", "iid % 2 = 0") + """,
+store AS (
+  SELECT CAST(uid AS INTEGER) AS user_idx, rk, CAST(iid AS INTEGER) AS product_idx,
+         CAST(score AS FLOAT) AS rating, CAST(0 AS BIGINT) AS batch_id FROM b0
+  UNION ALL
+  SELECT CAST(uid AS INTEGER), rk, CAST(iid AS INTEGER), CAST(score AS FLOAT), CAST(1 AS BIGINT) FROM b1),
+latest AS (
+  SELECT s.* FROM store s
+  JOIN (SELECT user_idx, max(batch_id) AS batch_id FROM store GROUP BY user_idx) m
+    USING (user_idx, batch_id)),
+requests AS (
+  SELECT user_id, CASE WHEN user_id % 25 = 0 THEN NULL ELSE user_id % 25 - 2 END AS n
+  FROM (SELECT DISTINCT CAST(user_id AS INTEGER) AS user_id FROM events) e),
+sized AS (
+  SELECT user_idx, batch_id, CAST(count(*) AS INTEGER) AS n_items FROM latest GROUP BY user_idx, batch_id)"""
+
+_MESSAGES = """
+messages AS (
+  SELECT event_id,
+         'U' || CAST(user_id AS VARCHAR) AS UserId,
+         'P' || CAST(CAST(json_extract(props, '$.k') AS INTEGER) AS VARCHAR) AS ProductId,
+         CAST(event_id % 5 + 1 AS FLOAT) AS Score,
+         CAST(floor(epoch(ts)) AS BIGINT) AS Time
+  FROM events)"""
+
+
+def oracle_sql_more() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["drop_nulls"] = _with(_GAPS) + """SELECT UserId, ProductId, Score, Time FROM gaps
+WHERE UserId IS NOT NULL AND ProductId IS NOT NULL AND Score IS NOT NULL AND NOT isnan(Score)"""
+    q["typed_casts"] = """
+SELECT event_id,
+       TRY_CAST(CASE WHEN event_id % 7 = 0 THEN 'x' || CAST(event_id AS VARCHAR)
+                     ELSE CAST(event_id % 5 + 1 AS VARCHAR) END AS FLOAT) AS Score,
+       TRY_CAST(CASE WHEN event_id % 11 = 0 THEN 'n/a'
+                     ELSE CAST(CAST(floor(epoch(ts)) AS BIGINT) AS VARCHAR) END AS BIGINT) AS Time,
+       props AS props_text
+FROM events"""
+    chain_split = CLEAN_CHAIN.rstrip() + "," + _SPLIT + "\n"
+    q["hash_split"] = chain_split + "SELECT user_idx, product_idx, Score, split FROM labelled"
+    q["split_counts"] = chain_split + "SELECT split, count(*) AS n_rows FROM labelled GROUP BY split"
+    q["rmse_item_mean"] = chain_split.rstrip() + "," + _damped(0, "im") + """
+SELECT split, count(*) AS n_rows, count(prediction) AS n_scored,
+       count(*) - count(prediction) AS n_dropped,
+       round(sqrt(avg(power(CAST(Score AS DOUBLE) - prediction, 2))), 6) AS rmse
+FROM labelled LEFT JOIN im USING (product_idx) WHERE split <> 'train' GROUP BY split"""
+    cands = ",".join(_damped(d, f"c{i}") for i, d in enumerate((0, 5, 20)))
+    metrics = f""",
+metrics AS (
+  SELECT CAST(0 AS INTEGER) AS candidate, CAST(0 AS INTEGER) AS damping, ({_rmse_of('validation', 'c0')}) AS rmse_validation
+  UNION ALL SELECT 1, 5, ({_rmse_of('validation', 'c1')})
+  UNION ALL SELECT 2, 20, ({_rmse_of('validation', 'c2')})),
+tests AS (
+  SELECT 0 AS candidate, ({_rmse_of('test', 'c0')}) AS rmse_test
+  UNION ALL SELECT 1, ({_rmse_of('test', 'c1')})
+  UNION ALL SELECT 2, ({_rmse_of('test', 'c2')}))
+"""
+    q["candidate_rmse"] = chain_split.rstrip() + "," + cands + metrics + \
+        "SELECT candidate, damping, rmse_validation FROM metrics"
+    q["best_candidate"] = chain_split.rstrip() + "," + cands + metrics + """
+SELECT m.candidate, m.damping, m.rmse_validation, t.rmse_test
+FROM (SELECT * FROM metrics ORDER BY rmse_validation, candidate LIMIT 1) m
+JOIN tests t USING (candidate)"""
+    q["events_json"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events"
+    q["json_roundtrip"] = _with(_MESSAGES) + \
+        "SELECT event_id, UserId, ProductId, Score, Time FROM messages"
+    q["known_event_users"] = CLEAN_CHAIN.rstrip() + "," + _MESSAGES + """
+SELECT DISTINCT m.UserId, u.user_idx FROM messages m JOIN uidx u USING (UserId)"""
+    q["topk_all"] = _with(_FACTORS, _topk("t", "true", "true")) + """
+SELECT uid AS user_id, rk AS rank, iid AS item_id, round(score, 4) AS score FROM t"""
+    q["topk_subset"] = _with(_FACTORS, _topk(
+        "t", "uid IN (SELECT user_id FROM events)", "true")) + """
+SELECT uid AS user_id, rk AS rank, iid AS item_id, round(score, 4) AS score FROM t"""
+    store = _with(_STORE)
+    q["latest_lists"] = store + "SELECT user_idx, batch_id, n_items FROM sized"
+    q["serve_user"] = store + """,
+used AS (SELECT user_id, least(greatest(coalesce(n, 5), 1), 20) AS n_used FROM requests)
+SELECT u.user_id, l.rk AS pos, 'Product_' || CAST(l.product_idx AS VARCHAR) AS product_id,
+       l.product_idx, round(CAST(l.rating AS DOUBLE), 4) AS score,
+       CAST(least(u.n_used, s.n_items) AS INTEGER) AS total
+FROM used u JOIN latest l ON l.user_idx = u.user_id AND l.rk <= u.n_used
+JOIN sized s ON s.user_idx = u.user_id""".replace("store +", "")
+    q["serve_unknown"] = store + """
+SELECT r.user_id, 'unknown' AS status,
+       (SELECT string_agg(CAST(user_idx AS VARCHAR), ', ' ORDER BY user_idx)
+        FROM (SELECT user_idx FROM sized ORDER BY user_idx LIMIT 10) h) AS hint,
+       (SELECT count(*) FROM sized) AS total_users
+FROM requests r WHERE r.user_id NOT IN (SELECT user_idx FROM sized)"""
+    q["serve_overview"] = store + """
+SELECT l.user_idx, l.rk AS pos, 'Product_' || CAST(l.product_idx AS VARCHAR) AS product_id
+FROM latest l JOIN (SELECT user_idx FROM sized ORDER BY user_idx LIMIT 20) f USING (user_idx)
+WHERE l.rk <= 5"""
+    q["serve_users"] = store + "SELECT user_idx FROM sized ORDER BY user_idx LIMIT 200"
+    q["serve_random"] = store + """
+SELECT user_idx FROM sized ORDER BY md5(CAST(user_idx AS VARCHAR) || '|42'), user_idx LIMIT 1"""
+    q["display_table"] = store + """
+SELECT user_idx, rk AS rank, 'Product_' || CAST(product_idx AS VARCHAR) AS product_id,
+       round(CAST(rating AS DOUBLE), 4) AS score,
+       CAST(floor(CAST(rating AS DOUBLE)
+            / (max(CAST(rating AS DOUBLE)) OVER (PARTITION BY user_idx) * 1.2) * 100 + 0.5) AS INTEGER)
+         AS bar_pct
+FROM latest"""
+    q["user_total"] = store + "SELECT count(DISTINCT user_idx) AS total_users FROM sized"
+    q["status_row"] = store + """
+SELECT fichiers_generes, CASE WHEN fichiers_generes = 0 THEN 'AVERTISSEMENT' ELSE 'SUCCES' END AS statut
+FROM (SELECT count(DISTINCT batch_id) AS fichiers_generes FROM store) f"""
+    q["list_sizes_sample"] = store + """
+SELECT user_idx, n_items FROM sized ORDER BY user_idx LIMIT 5"""
     return q

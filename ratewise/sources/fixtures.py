@@ -60,3 +60,40 @@ def event_messages(spark: SparkSession, base_dir: str) -> DataFrame:
         F.unix_timestamp(F.col("ts")).alias("Time"),
     )
     return ev.select("event_id", "ts", F.to_json(msg).alias("value"))
+
+
+# --- fixed values: factor fixture -------------------------------------------
+# embeddings with vec_id below this act as user factors, the rest as items
+FACTOR_USER_LIMIT = 50
+# --- end of fixed values ---------------------------------------------------
+
+
+def factor_fixture(spark: SparkSession, base_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``embeddings`` as given factors: ``(id int, features array<float>)``
+    for users (``vec_id < 50``) and items (the rest)."""
+    emb = read_table(spark, base_dir, "embeddings", "vec_id", "embedding")
+    cols = [F.col("vec_id").cast("int").alias("id"), F.col("embedding").alias("features")]
+    users = emb.where(F.col("vec_id") < FACTOR_USER_LIMIT).select(*cols)
+    items = emb.where(F.col("vec_id") >= FACTOR_USER_LIMIT).select(*cols)
+    return users, items
+
+
+def reviews_with_gaps(spark: SparkSession, base_dir: str) -> DataFrame:
+    """The review fixture with missing values planted by line number:
+    ``UserId`` null on line 1, ``Score`` NaN on 2, ``ProductId`` null on 3,
+    ``Score`` null on 4 (for the null-removal operators)."""
+    li = (read_table(spark, base_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber",
+                     "l_quantity", "l_shipdate", "l_returnflag", "l_linestatus")
+          .where((F.col("l_returnflag") == FIXTURE_RETURNFLAG)
+                 & (F.col("l_linestatus") == FIXTURE_LINESTATUS)))
+    orders = read_table(spark, base_dir, "orders", "o_orderkey", "o_custkey")
+    j = li.join(orders, li["l_orderkey"] == orders["o_orderkey"], "inner")
+    ln = F.col("l_linenumber")
+    score = ((F.col("l_quantity").cast("int") % 5) + 1).cast("float")
+    return j.select(
+        F.when(ln != 1, F.concat(F.lit("U"), F.col("o_custkey").cast("string"))).alias("UserId"),
+        F.when(ln != 3, F.concat(F.lit("P"), F.col("l_partkey").cast("string"))).alias("ProductId"),
+        F.when(ln == 2, F.lit(float("nan")).cast("float"))
+         .when(ln == 4, F.lit(None).cast("float")).otherwise(score).alias("Score"),
+        F.unix_timestamp(F.col("l_shipdate")).alias("Time"),
+    )
