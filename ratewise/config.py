@@ -63,7 +63,7 @@ TOPK_BLOCK_ROWS = 16384
 class AlsSettings:
     """MLlib ALS knobs that do not change the model's meaning."""
 
-    num_user_blocks: int | None = None  # None -> MLlib default (10)
+    num_user_blocks: int | None = None  # None -> default parallelism
     num_item_blocks: int | None = None
     checkpoint_interval: int = 10
     cold_start: str = "drop"

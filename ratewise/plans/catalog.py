@@ -4,17 +4,19 @@ operator family of the inventory.  Every query reads the driver's tables
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from ratewise import config
 from ratewise.functions import scalars as S
-from ratewise.operators import clean, evaluate, serve, split, topk
+from ratewise.operators import clean, evaluate, report, serve, split, topk, train
+from ratewise.plans import scoring
 from ratewise.plans.cleaning import run_cleaning
-from ratewise.sources import fixtures
+from ratewise.sinks.writers import write_batch_lists, write_record
+from ratewise.sources import fixtures, records, store
 from ratewise.streaming.parse import parse_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -247,6 +249,105 @@ def q_list_sizes_sample(spark: SparkSession, d: str) -> DataFrame:
     return serve.sample_sizes(_latest(spark, d))
 
 
+# --- model, stream and run-record queries (checked by pytest; rows only) ---
+
+# one configuration for the single-fit queries: the reference's baseline fit
+BASE_CONFIG = ((10, 0.1, 10),)
+_MODELS: dict = {}
+
+
+def _grid(spark: SparkSession, d: str, grid=BASE_CONFIG) -> train.GridResult:
+    key = (spark.sparkContext.applicationId, d, grid)
+    if key not in _MODELS:
+        _MODELS[key] = train.train_from_ratings(_ratings(spark, d), grid)
+    return _MODELS[key]
+
+
+def q_als_predictions(spark: SparkSession, d: str) -> DataFrame:
+    """M-2 / M-3 / M-4: validation ratings with the model's prediction."""
+    res = _grid(spark, d)
+    val = split.split_frames(_ratings(spark, d))["validation"]
+    return train.predict(res.model, val).select(
+        "user_idx", "product_idx", "Score", F.col("prediction").cast("double").alias("prediction"))
+
+
+def q_als_grid(spark: SparkSession, d: str) -> DataFrame:
+    """M-5 + A-7: validation RMSE of the four configurations, best flagged."""
+    res = _grid(spark, d, config.ALS_GRID)
+    return res.metrics.withColumn("best", F.col("candidate") == F.lit(res.best["candidate"]))
+
+
+def q_als_topk(spark: SparkSession, d: str) -> DataFrame:
+    """R-3 / J-6 on the fitted factors (blocked scorer)."""
+    return train.flat_lists(train.recommend_all(_grid(spark, d).model))
+
+
+def _stream_out(spark: SparkSession, d: str) -> str:
+    key = (spark.sparkContext.applicationId, d, "stream")
+    if key not in _MODELS:
+        users = run_cleaning(fixtures.reviews(spark, d)).users.table
+        msgs = fixtures.event_messages(spark, d)
+        _MODELS[key] = scoring.run_stream(spark, _grid(spark, d).model, users, msgs)
+    return _MODELS[key]
+
+
+def q_stream_recommendations(spark: SparkSession, d: str) -> DataFrame:
+    """T-1..T-7, J-3, K-3, U-1: lists written by the scoring stream over the
+    replayed events, latest per user."""
+    lists = serve.latest_lists(scoring.read_stream_lists(spark, _stream_out(spark, d)),
+                               store.STORE_ORDER)
+    return train.flat_lists(lists)
+
+
+def q_stream_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Per micro-batch: messages received, malformed, known users."""
+    return scoring.read_stream_stats(spark, _stream_out(spark, d))
+
+
+def _records(spark: SparkSession, d: str) -> dict[str, str]:
+    """Factor-fixture store (two batches) and a metrics record, written
+    under the shared checkpoint folder."""
+    key = (spark.sparkContext.applicationId, d, "records")
+    if key not in _MODELS:
+        base = scoring.scratch_dir(spark, "records")
+        lists_dir = os.path.join(base, "recommendations")
+        st = factor_store(spark, d)
+        for b in (0, 1):
+            write_batch_lists(st.where(F.col("batch_id") == b).drop("batch_id"), lists_dir, b)
+        metrics_dir = os.path.join(base, "metrics")
+        write_record(train.metrics_record(_grid(spark, d)), metrics_dir)
+        report_dir = os.path.join(base, "report")
+        write_record(report.run_report(spark, records.read_metrics(spark, metrics_dir),
+                                       lists_dir), report_dir)
+        _MODELS[key] = {"base": base, "lists": lists_dir, "metrics": metrics_dir,
+                        "report": report_dir}
+    return _MODELS[key]
+
+
+def q_health(spark: SparkSession, d: str) -> DataFrame:
+    return report.health(spark, _records(spark, d)["lists"])
+
+
+def q_stats(spark: SparkSession, d: str) -> DataFrame:
+    r = _records(spark, d)
+    return report.stats(spark, r["lists"], r["metrics"], r["report"])
+
+
+def q_run_report(spark: SparkSession, d: str) -> DataFrame:
+    r = _records(spark, d)
+    return report.run_report(spark, records.read_metrics(spark, r["metrics"]), r["lists"])
+
+
+def q_readiness(spark: SparkSession, d: str) -> DataFrame:
+    r = _records(spark, d)
+    inputs = {"lineitem": (f"{d}/lineitem.parquet", "parquet"),
+              "orders": (f"{d}/orders.parquet", "parquet"),
+              "events": (f"{d}/events.parquet", "parquet"),
+              "metrics": (r["metrics"], "json"),
+              "recommendations": (r["lists"], "json")}
+    return report.readiness(spark, inputs)
+
+
 def queries() -> dict[str, Query]:
     return {
         "reviews_scan": q_reviews_scan,
@@ -281,4 +382,13 @@ def queries() -> dict[str, Query]:
         "user_total": q_user_total,
         "status_row": q_status_row,
         "list_sizes_sample": q_list_sizes_sample,
+        "als_predictions": q_als_predictions,
+        "als_grid": q_als_grid,
+        "als_topk": q_als_topk,
+        "stream_recommendations": q_stream_recommendations,
+        "stream_batches": q_stream_batches,
+        "health": q_health,
+        "stats": q_stats,
+        "run_report": q_run_report,
+        "readiness": q_readiness,
     }
