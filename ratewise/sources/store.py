@@ -44,8 +44,10 @@ STORE_ORDER = ("batch_id", "file_time", "file_path")
 
 
 def count_files(spark: SparkSession, path: str, glob: str = "*.json") -> int:
-    """A-10: files present, empty ones included, each path once.  Only the
-    file listing is read (``binaryFile`` with the content column pruned)."""
+    """A-10: files found, each path once (the reference counted top-level
+    files twice).  Only the listing is read (``binaryFile`` with the content
+    column pruned).  Zero-byte files are not counted: Spark's file scans
+    skip them, and they hold no list."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .option("pathGlobFilter", glob).load(path).select("path"))
     return files.agg(F.countDistinct("path").alias("n")).first()["n"]

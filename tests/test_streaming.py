@@ -1,0 +1,83 @@
+"""Streaming scorer over the file source: batches, restart, replay."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF001
+from ratewise.config import AlsSettings
+from ratewise.operators import serve, train
+from ratewise.plans import scoring
+from ratewise.plans.cleaning import run_cleaning
+from ratewise.sources import fixtures, store
+from ratewise.streaming.scoring import BatchScorer, SourceConfig, start_scoring
+
+
+@pytest.fixture(scope="module")
+def setup(spark):
+    res = run_cleaning(fixtures.reviews(spark, SF001))
+    model = train.train_from_ratings(
+        res.ratings, ((5, 0.1, 5),), AlsSettings(num_user_blocks=2, num_item_blocks=2)).model
+    return res, model
+
+
+def _drop(path, name, lines):
+    os.makedirs(path, exist_ok=True)
+    with open(os.path.join(path, name), "w") as f:
+        f.write("\n".join(lines) + ("\n" if lines else ""))
+
+
+def test_stream_end_to_end(spark, setup, tmp):
+    res, model = setup
+    msgs = fixtures.event_messages(spark, SF001)
+    out = scoring.run_stream(spark, model, res.users.table, msgs, slices=3, base=tmp)
+    stats = scoring.read_stream_stats(spark, out).collect()
+    assert [s.batch_id for s in stats] == [0, 1, 2]
+    assert sum(s.received for s in stats) == 1000
+    lists = scoring.read_stream_lists(spark, out)
+    latest = serve.latest_lists(lists, store.STORE_ORDER)
+    users = {r.user_idx for r in latest.collect()}
+    known = {r.user_idx for r in res.users.attach(
+        msgs.select(F.from_json("value", "UserId string").UserId.alias("UserId")))
+        .select("user_idx").distinct().collect()}
+    model_users = {r.id for r in model.userFactors.collect()}
+    assert users == known & model_users
+    assert store.count_files(spark, os.path.join(out, "lists")) >= 3
+
+
+def test_restart_and_replay_are_idempotent(spark, setup, tmp):
+    res, model = setup
+    inbox, out, ck = (os.path.join(tmp, x) for x in ("inbox", "out", "ck"))
+    known_user = res.users.table.orderBy("user_idx").first().UserId
+    _drop(inbox, "a.json", [
+        '{"UserId": "%s", "ProductId": "P1", "Score": 5.0, "Time": 1}' % known_user,
+        'garbage line',
+        '{"UserId": "%s", "ProductId": "P2"}' % known_user,        # missing fields
+        '{"UserId": "U-none", "ProductId": "P2", "Score": "x", "Time": 3}',
+        '{"UserId": "%s", "Score": 4.0, "Extra": true}' % known_user,
+        ''])
+    _drop(inbox, "b.json", [])                                      # empty file
+    _drop(inbox, "c.json", ['{"UserId": "U-unknown", "ProductId": "P", "Score": 1, "Time": 2}'])
+    scorer = BatchScorer(model, res.users.table, out)
+    src = SourceConfig(format="text", path=inbox, options={"maxFilesPerTrigger": 1})
+    q = start_scoring(spark, src, scorer, ck, trigger={"availableNow": True}, query_name="t1")
+    q.awaitTermination()
+    assert q.exception() is None
+    stats = {r.batch_id: r for r in scoring.read_stream_stats(spark, out).collect()}
+    # a.json: 5 lines (blank skipped by the text source? no: kept as a row)
+    a = stats[0]
+    assert a.known_users == 1 and a.malformed >= 1
+    lists_dir = os.path.join(out, "lists")
+    before = store.read_store(spark, lists_dir).count()
+    assert before == 1  # one known user scored; unknown-only batch writes nothing
+    # restart on the same checkpoint with no new file: no batch runs
+    q = start_scoring(spark, src, scorer, ck, trigger={"availableNow": True}, query_name="t2")
+    q.awaitTermination()
+    assert store.read_store(spark, lists_dir).count() == before
+    # replay batch 0 by hand (as after a failure before the commit): no duplicates
+    replay = spark.read.text(os.path.join(inbox, "a.json"))
+    from ratewise.streaming.parse import parse_messages
+    scorer(parse_messages(replay), 0)
+    assert store.read_store(spark, lists_dir).count() == before
+    scorer.close()
