@@ -48,10 +48,11 @@ STREAM_TOPIC = "reviews_stream"
 STREAM_TRIGGER = "10 seconds"
 # --- end of fixed values ----------------------------------------------
 
-# Dictionaries with at most this many rows are joined with a broadcast
-# hint; beyond it the join is left to the planner (sort-merge + AQE skew
-# splitting).  The row count is always known exactly before the join.
-BROADCAST_MAX_ROWS = 2_000_000
+# Dictionaries / request sets with at most this many rows are joined with a
+# broadcast hint (about 50 MB of hashed relation for string ids); beyond it
+# the join is left to the planner (sort-merge + AQE skew splitting).  The
+# row count is always known exactly before the join.
+BROADCAST_MAX_ROWS = 1_000_000
 
 # Rows per factor block in the blocked top-k scorer.  Bounds one cogroup
 # task (block_rows x rank floats per side, scored 1024 users at a time);

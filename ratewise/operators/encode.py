@@ -46,7 +46,6 @@ class Dictionary:
 
 def frequency_index(df: DataFrame, label_col: str, index_col: str) -> Dictionary:
     """Build the dictionary of ``label_col`` over the rows of ``df``."""
-    spark = df.sparkSession
     counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n"))
     ordered = counts.orderBy(F.col("_n").desc(), F.col(label_col).asc())
     tagged = ordered.select(
@@ -56,16 +55,16 @@ def frequency_index(df: DataFrame, label_col: str, index_col: str) -> Dictionary
     )
     tagged = cut_lineage(tagged)
     # one row per partition: bounded by the partition count, not the data
-    per_part = (tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
-                .orderBy("_pid").collect())
-    pids = [r["_pid"] for r in per_part]
-    sizes = [r["_c"] for r in per_part]
-    starts = [0] + list(accumulate(sizes))[:-1]
-    total = sum(sizes)
-    offsets = spark.createDataFrame(list(zip(pids, starts)), "_pid int, _off long")
+    per_part = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c")).collect()
+    sizes = {r["_pid"]: r["_c"] for r in per_part}
+    n_parts = max(sizes) + 1 if sizes else 0
+    starts = [0] + list(accumulate(sizes.get(p, 0) for p in range(n_parts)))[:-1]
+    total = sum(sizes.values())
+    # partition start offsets as a literal array: a JVM expression, no join
+    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in starts] or [F.lit(0).cast("long")]),
+                          F.col("_pid") + 1)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    table = (tagged.join(F.broadcast(offsets), "_pid")
-             .select(label_col, (F.col("_off") + pos).cast("int").alias(index_col)))
+    table = tagged.select(label_col, (offset + pos).cast("int").alias(index_col))
     return Dictionary(table=table, size=total, label_col=label_col, index_col=index_col)
 
 

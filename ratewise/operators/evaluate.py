@@ -71,14 +71,26 @@ def predict_with(table: DataFrame, df: DataFrame, item: str = "product_idx") ->
 
 
 def candidate_metrics(train: DataFrame, validation: DataFrame,
-                      dampings: Sequence[float]) -> DataFrame:
-    """Validation RMSE of each damped-mean candidate, one row each."""
-    rows = None
+                      dampings: Sequence[float], item: str = "product_idx",
+                      label: str = "Score", digits: int = 6) -> DataFrame:
+    """Validation RMSE of each damped-mean candidate, one row each.
+
+    One pass for all candidates: the per-item (sum, count) table is built
+    once, joined to the validation rows once, and every candidate's squared
+    error is a column of the same aggregate.
+    """
+    mu = train.agg(F.avg(F.col(label).cast("double")).alias("mu")).first()["mu"]
+    stats = train.groupBy(item).agg(F.sum(F.col(label).cast("double")).alias("_s"),
+                                     F.count(F.lit(1)).alias("_n"))
+    j = validation.join(stats, on=item, how="left")
+    y = F.col(label).cast("double")
+    aggs = []
     for i, d in enumerate(dampings):
-        pred = predict_with(item_mean_predictor(train, d), validation)
-        r = rmse_frame(pred).select(
-            F.lit(i).cast("int").alias("candidate"),
-            F.lit(int(d)).cast("int").alias("damping"),
-            F.col("rmse").alias("rmse_validation"))
-        rows = r if rows is None else rows.unionByName(r)
-    return rows
+        pred = (F.col("_s") + F.lit(d * mu)) / (F.col("_n") + F.lit(d))
+        aggs.append(F.round(F.sqrt(F.avg(F.pow(y - pred, 2))), digits).alias(f"_r{i}"))
+    one = j.agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(i).cast("int").alias("candidate"),
+                              F.lit(int(d)).cast("int").alias("damping"),
+                              F.col(f"_r{i}").alias("rmse_validation"))
+                     for i, d in enumerate(dampings)])
+    return one.select(F.inline(rows))

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from ratewise.operators import clean, encode
+from ratewise.session import cut_lineage
 
 
 @dataclass
@@ -22,8 +23,12 @@ class CleaningResult:
 
 
 def run_cleaning(reviews: DataFrame) -> CleaningResult:
-    """Lazy except for the two dictionary builds (each one checkpoint)."""
+    """Runs the dedup + activity filters once and checkpoints the result
+    into the shared checkpoint folder: both dictionary builds and the final
+    id join read it instead of re-running two full shuffles of the raw
+    reviews each (and a lost executor does not send them back there)."""
     stages = clean.clean_reviews(reviews)
+    stages["active_products"] = cut_lineage(stages["active_products"])
     ratings, users, products = encode.encode_ratings(stages["active_products"])
     return CleaningResult(stages, ratings, users, products)
 
