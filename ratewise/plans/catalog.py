@@ -14,9 +14,10 @@ from ratewise import config
 from ratewise.functions import scalars as S
 from ratewise.operators import clean, evaluate, report, serve, split, topk, train
 from ratewise.plans import scoring
-from ratewise.plans.cleaning import run_cleaning
-from ratewise.sinks.writers import write_batch_lists, write_record
+from ratewise.plans.cleaning import run_cleaning, write_cleaning
+from ratewise.sinks.writers import publish_messages, write_batch_lists, write_record
 from ratewise.sources import fixtures, records, store
+from ratewise.sources.reviews import read_ratings, read_review_csv, read_user_dictionary
 from ratewise.streaming.parse import parse_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -348,6 +349,54 @@ def q_readiness(spark: SparkSession, d: str) -> DataFrame:
     return report.readiness(spark, inputs)
 
 
+# --- sources and sinks exercised on data derived from the tables ---------
+
+
+def q_csv_scan(spark: SparkSession, d: str) -> DataFrame:
+    """S-1 / S-2: the reviews written as the review CSV (quoted text with
+    commas, doubled quotes, line breaks), read back by header name."""
+    path = os.path.join(scoring.scratch_dir(spark, "csv"), "reviews_csv")
+    (fixtures.review_csv_rows(spark, d).write.mode("overwrite")
+        .option("header", True).option("escape", '"').csv(path))
+    return read_review_csv(spark, path)
+
+
+def q_ratings_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """K-1 then S-3: cleaned ratings written as Parquet and read back."""
+    paths = write_cleaning(run_cleaning(fixtures.reviews(spark, d)),
+                           scoring.scratch_dir(spark, "clean"))
+    return read_ratings(spark, paths["ratings"])
+
+
+def q_dictionary_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """K-2 then S-4: the user dictionary written and read back distinct."""
+    paths = write_cleaning(run_cleaning(fixtures.reviews(spark, d)),
+                           scoring.scratch_dir(spark, "clean"))
+    return read_user_dictionary(spark, paths["users"])
+
+
+def q_message_replay(spark: SparkSession, d: str) -> DataFrame:
+    """K-4 then T-1: every review published as one JSON message (text
+    sink), read back and parsed."""
+    path = os.path.join(scoring.scratch_dir(spark, "messages"), "inbox")
+    publish_messages(fixtures.reviews(spark, d), fmt="text", path=path)
+    return parse_messages(spark.read.text(path))
+
+
+def q_pair_scores(spark: SparkSession, d: str) -> DataFrame:
+    """J-4 / F-15: (user, item) pairs named by the events scored by factor
+    dot product; pairs without factors drop out."""
+    users, items = fixtures.factor_fixture(spark, d)
+    k = S.parse_json("props", "k int")["k"]
+    pairs = spark.read.parquet(f"{d}/events.parquet").select(
+        "event_id", F.col("user_id").cast("int").alias("user_idx"),
+        (k + F.lit(fixtures.FACTOR_USER_LIMIT)).alias("product_idx"))
+    scored = topk.score_pairs(pairs, users, items)
+    return scored.select("event_id", F.col("user_idx").alias("user_id"),
+                         F.col("product_idx").alias("item_id"),
+                         F.round("prediction", 4).alias("score"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "reviews_scan": q_reviews_scan,
@@ -391,4 +440,9 @@ def queries() -> dict[str, Query]:
         "stats": q_stats,
         "run_report": q_run_report,
         "readiness": q_readiness,
+        "csv_scan": q_csv_scan,
+        "ratings_roundtrip": q_ratings_roundtrip,
+        "dictionary_roundtrip": q_dictionary_roundtrip,
+        "message_replay": q_message_replay,
+        "pair_scores": q_pair_scores,
     }

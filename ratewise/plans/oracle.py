@@ -248,4 +248,15 @@ SELECT fichiers_generes, CASE WHEN fichiers_generes = 0 THEN 'AVERTISSEMENT' ELS
 FROM (SELECT count(DISTINCT batch_id) AS fichiers_generes FROM store) f"""
     q["list_sizes_sample"] = store + """
 SELECT user_idx, n_items FROM sized ORDER BY user_idx LIMIT 5"""
+    q["csv_scan"] = \
+        _with(_REVIEWS) + "SELECT UserId, ProductId, Score, Time FROM reviews"
+    q["ratings_roundtrip"] = CLEAN_CHAIN + "SELECT user_idx, product_idx, Score FROM ratings"
+    q["dictionary_roundtrip"] = CLEAN_CHAIN + "SELECT UserId, user_idx FROM uidx"
+    q["message_replay"] = _with(_REVIEWS) + "SELECT UserId, ProductId, Score, Time FROM reviews"
+    q["pair_scores"] = _with(_FACTORS) + """
+SELECT e.event_id, CAST(e.user_id AS INTEGER) AS user_id, CAST(e.item_id AS INTEGER) AS item_id,
+       round(list_dot_product(fu.v, fi.v), 4) AS score
+FROM (SELECT event_id, user_id,
+             CAST(json_extract(props, '$.k') AS INTEGER) + 50 AS item_id FROM events) e
+JOIN fu ON fu.uid = e.user_id JOIN fi ON fi.iid = e.item_id"""
     return q

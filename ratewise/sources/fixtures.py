@@ -97,3 +97,23 @@ def reviews_with_gaps(spark: SparkSession, base_dir: str) -> DataFrame:
          .when(ln == 4, F.lit(None).cast("float")).otherwise(score).alias("Score"),
         F.unix_timestamp(F.col("l_shipdate")).alias("Time"),
     )
+
+
+# --- fixed values: header of the review CSV (column order of the source file)
+REVIEW_CSV_COLUMNS = ("Id", "ProductId", "UserId", "ProfileName", "HelpfulnessNumerator",
+                      "HelpfulnessDenominator", "Score", "Time", "Summary", "Text")
+# --- end of fixed values ---------------------------------------------------
+
+
+def review_csv_rows(spark: SparkSession, base_dir: str) -> DataFrame:
+    """The review fixture laid out as the review CSV, with free text that
+    holds commas, doubled quotes and line breaks (derived from the row)."""
+    r = reviews(spark, base_dir)
+    text = F.concat(F.lit('Bought "'), F.col("ProductId"), F.lit('", twice.\nWould buy again, '),
+                    F.col("UserId"))
+    return r.select(
+        F.monotonically_increasing_id().alias("Id"), "ProductId", "UserId",
+        F.concat(F.lit("Name, of "), F.col("UserId")).alias("ProfileName"),
+        F.lit(0).alias("HelpfulnessNumerator"), F.lit(0).alias("HelpfulnessDenominator"),
+        F.col("Score").cast("int").alias("Score"), "Time",
+        F.lit('"Good"').alias("Summary"), text.alias("Text"))

@@ -101,3 +101,14 @@ def test_metrics_record(spark, grid):
     assert rec.config.rank == grid.best["rank"]
     assert rec.rmse_validation == round(grid.best["rmse_validation"], 4)
     assert F is not None
+
+
+def test_score_pairs_equals_transform(spark, grid, cleaned):
+    from ratewise.operators import topk
+    m = grid.model
+    val = split.split_frames(cleaned.ratings)["validation"]
+    ref = {(r.user_idx, r.product_idx): r.prediction for r in train.predict(m, val).collect()}
+    mine = {(r.user_idx, r.product_idx): r.prediction
+            for r in topk.score_pairs(val, m.userFactors, m.itemFactors).collect()}
+    assert mine.keys() == ref.keys()
+    assert all(abs(mine[k] - ref[k]) < 1e-4 for k in ref)
