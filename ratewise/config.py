@@ -59,12 +59,15 @@ BROADCAST_MAX_ROWS = 1_000_000
 # larger blocks mean less replication of the other side in the shuffle.
 TOPK_BLOCK_ROWS = 16384
 
+# ALS blocks per side = min(default parallelism, ratings / this)
+RATINGS_PER_ALS_BLOCK = 10_000
+
 
 @dataclass(frozen=True)
 class AlsSettings:
     """MLlib ALS knobs that do not change the model's meaning."""
 
-    num_user_blocks: int | None = None  # None -> default parallelism
+    num_user_blocks: int | None = None  # None -> sized from the data
     num_item_blocks: int | None = None
     checkpoint_interval: int = 10
     cold_start: str = "drop"

@@ -43,6 +43,20 @@ def hint_ids(lists: DataFrame, size: int = config.HINT_SIZE) -> list[int]:
     return [r[0] for r in lists.select("user_idx").orderBy("user_idx").limit(size).collect()]
 
 
+def _lists_for(requests: DataFrame, lists: DataFrame) -> DataFrame:
+    """The lists of the requested users only, as ``(user_id, recommendations)``.
+
+    With a request set under the broadcast limit (counted), the store is
+    semi-joined against the broadcast ids, so a handful of lookups never
+    shuffles every user's list; otherwise the planner joins normally.
+    """
+    ids = requests.select("user_id").distinct()
+    side = lists.select(F.col("user_idx").alias("user_id"), "recommendations")
+    if ids.count() <= config.BROADCAST_MAX_ROWS:
+        return side.join(F.broadcast(ids), "user_id", "left_semi")
+    return side
+
+
 def lookup(requests: DataFrame, lists: DataFrame) -> DataFrame:
     """V-2 for many users at once: ``requests(user_id, n)`` left-joined to
     the latest lists.
@@ -53,9 +67,7 @@ def lookup(requests: DataFrame, lists: DataFrame) -> DataFrame:
     """
     n_used = S.clamp(S.with_default(F.col("n"), config.SERVE_DEFAULT_N),
                      config.SERVE_MIN_N, config.SERVE_MAX_N)
-    joined = requests.join(
-        lists.select(F.col("user_idx").alias("user_id"), "recommendations"),
-        on="user_id", how="left")
+    joined = requests.join(_lists_for(requests, lists), on="user_id", how="left")
     recs = F.slice(F.col("recommendations"), 1, n_used)
     return joined.select(
         "user_id",
@@ -81,8 +93,8 @@ def unknown_users(requests: DataFrame, lists: DataFrame) -> DataFrame:
     """R-12: requests with no list, each with the hint of available ids and
     the number of users with lists."""
     hint = hint_ids(lists)
-    total = lists.count()
-    known = lists.select(F.col("user_idx").alias("user_id"))
+    total = lists.count()  # one number; the store itself stays distributed
+    known = _lists_for(requests, lists).select("user_id")
     unknown = requests.select("user_id").distinct().join(known, "user_id", "left_anti")
     return unknown.select(
         "user_id",
@@ -131,3 +143,12 @@ def display_rows(lists: DataFrame) -> DataFrame:
 def sample_sizes(lists: DataFrame, n: int = config.REPORT_SAMPLE_USERS) -> DataFrame:
     """R-10: the first ``n`` users with their list sizes (report sample)."""
     return list_sizes(lists.orderBy("user_idx").limit(n))
+
+
+def compact_latest(store: DataFrame, path: str,
+                   order_cols: tuple[str, ...] = ("batch_id",)) -> None:
+    """Batch job: the latest list per user written as one Parquet table, so
+    serving reads one row per user instead of re-reducing every batch ever
+    appended.  Rerunning it over the compacted table plus newer batches
+    gives the same result (``max_by`` on the batch id is associative)."""
+    latest_lists(store, order_cols).write.mode("overwrite").parquet(path)

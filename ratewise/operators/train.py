@@ -10,6 +10,7 @@ DataFrame with the choice rule of A-7.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -42,17 +43,26 @@ def make_als(rank: int, reg: float, max_iter: int,
     return als
 
 
+def als_blocks(spark, n_ratings: int | None) -> int:
+    """Blocks per side: one per core on a big input, fewer when the input
+    is small (each block then holds about ``RATINGS_PER_ALS_BLOCK`` ratings;
+    below that, task overhead outweighs the parallelism)."""
+    par = spark.sparkContext.defaultParallelism
+    if n_ratings is None:
+        return par
+    return max(1, min(par, math.ceil(n_ratings / config.RATINGS_PER_ALS_BLOCK)))
+
+
 def fit(train: DataFrame, rank: int, reg: float, max_iter: int,
-        settings: AlsSettings = AlsSettings()) -> ALSModel:
+        settings: AlsSettings = AlsSettings(), n_ratings: int | None = None) -> ALSModel:
     spark = train.sparkSession
     checkpoint_dir(spark)  # ALS checkpoints factor RDDs there
     als = make_als(rank, reg, max_iter, settings)
-    # unset block counts follow the cluster's parallelism (one block per core)
-    par = spark.sparkContext.defaultParallelism
+    blocks = als_blocks(spark, n_ratings)
     if not settings.num_user_blocks:
-        als.setNumUserBlocks(par)
+        als.setNumUserBlocks(blocks)
     if not settings.num_item_blocks:
-        als.setNumItemBlocks(par)
+        als.setNumItemBlocks(blocks)
     return als.fit(train)
 
 
@@ -81,8 +91,9 @@ def grid_search(train: DataFrame, validation: DataFrame, test: DataFrame,
     validation = validation.persist(StorageLevel.MEMORY_AND_DISK)
     rows, models = [], []
     try:
+        n_train = train.count()  # fills the cache; sizes the ALS blocks
         for i, (rank, reg, iters) in enumerate(grid):
-            m = fit(train, rank, reg, iters, settings)
+            m = fit(train, rank, reg, iters, settings, n_ratings=n_train)
             r = evaluate.rmse(predict(m, validation))
             rows.append((i, rank, float(reg), iters, float(r)))
             models.append(m)

@@ -90,3 +90,37 @@ def test_write_and_read_back(spark, tmp):
     assert users.count() == 107
     prods = reviews.read_product_dictionary(spark, paths["products"])
     assert prods.count() == 87
+
+
+def test_hot_user_third_of_rows(spark):
+    """One user holds a third of all rows (and repeats pairs): the chain
+    stays exact against a plain recomputation."""
+    import random
+    rnd = random.Random(7)
+    rows = []
+    for i in range(3000):
+        rows.append(("HOT", f"p{rnd.randrange(400)}", float(rnd.randrange(1, 6)), rnd.randrange(50)))
+    for i in range(6000):
+        rows.append((f"u{rnd.randrange(900)}", f"p{rnd.randrange(400)}",
+                     float(rnd.randrange(1, 6)), rnd.randrange(50)))
+    df = spark.createDataFrame(rows, "UserId string, ProductId string, Score float, Time long")
+    res = run_cleaning(df)
+    # plain recomputation
+    best = {}
+    for u, p, s, t in rows:
+        k = (u, p)
+        if k not in best or (t, s) > best[k]:
+            best[k] = (t, s)
+    from collections import Counter
+    uc = Counter(u for u, _ in best)
+    kept = {k: v for k, v in best.items() if uc[k[0]] >= 5}
+    pc = Counter(p for _, p in kept)
+    kept = {k: v for k, v in kept.items() if pc[k[1]] >= 5}
+    fu = Counter(u for u, _ in kept)
+    fp = Counter(p for _, p in kept)
+    uidx = {u: i for i, u in enumerate(sorted(fu, key=lambda u: (-fu[u], u)))}
+    pidx = {p: i for i, p in enumerate(sorted(fp, key=lambda p: (-fp[p], p)))}
+    want = sorted((uidx[u], pidx[p], v[1]) for (u, p), v in kept.items())
+    got = sorted((r.user_idx, r.product_idx, r.Score) for r in res.ratings.collect())
+    assert got == want
+    assert uidx["HOT"] == 0

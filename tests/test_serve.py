@@ -1,6 +1,7 @@
 """Serving datasets: clamps, defaults, latest list, overview, random user."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from ratewise import config
 from ratewise.operators import serve
@@ -79,3 +80,15 @@ def test_user_directory_cap(spark):
     ids = [r.user_idx for r in serve.user_directory(many).collect()]
     assert ids == list(range(1, config.USER_LIST_CAP + 1))
     assert serve.user_total(many).first().total_users == 250
+
+
+def test_compact_latest_then_new_batches(spark, tmp):
+    b0 = spark.createDataFrame([(1, [(10, 1.0)]), (2, [(20, 2.0)])], SCHEMA)
+    write_batch_lists(b0, tmp + "/store", 0)
+    serve.compact_latest(store.read_store(spark, tmp + "/store"), tmp + "/compact")
+    compact = spark.read.parquet(tmp + "/compact")
+    b1 = spark.createDataFrame([(2, [(21, 5.0)])], SCHEMA)
+    newer = b1.withColumn("batch_id", F.lit(1).cast("long"))
+    both = compact.unionByName(newer)
+    got = {r.user_idx: r.recommendations[0].product_idx for r in serve.latest_lists(both).collect()}
+    assert got == {1: 10, 2: 21}
