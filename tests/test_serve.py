@@ -92,3 +92,14 @@ def test_compact_latest_then_new_batches(spark, tmp):
     both = compact.unionByName(newer)
     got = {r.user_idx: r.recommendations[0].product_idx for r in serve.latest_lists(both).collect()}
     assert got == {1: 10, 2: 21}
+
+
+def test_point_lookup_is_pushed_down(spark, tmp):
+    many = spark.createDataFrame([(u, [(u * 10, 1.0)], 0) for u in range(500)],
+                                 SCHEMA + ", batch_id long")
+    serve.compact_latest(many, tmp + "/c", files=4)
+    compacted = spark.read.parquet(tmp + "/c")
+    one = serve.point_lookup(compacted, 321)
+    assert [r.recommendations[0].product_idx for r in one.collect()] == [3210]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(user_idx), EqualTo(user_idx,321)]" in plan

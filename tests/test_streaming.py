@@ -81,3 +81,20 @@ def test_restart_and_replay_are_idempotent(spark, setup, tmp):
     scorer(parse_messages(replay), 0)
     assert store.read_store(spark, lists_dir).count() == before
     scorer.close()
+
+
+def test_processing_time_trigger_bounded_run(spark, setup, tmp):
+    """T-3 / T-6: a processing-time trigger, stopped after a bounded wait."""
+    from ratewise.streaming.scoring import run_bounded
+    res, model = setup
+    inbox, out, ck = (os.path.join(tmp, x) for x in ("inbox", "out", "ck"))
+    user = res.users.table.orderBy("user_idx").first().UserId
+    _drop(inbox, "a.json", ['{"UserId": "%s", "ProductId": "P1", "Score": 5.0, "Time": 1}' % user])
+    scorer = BatchScorer(model, res.users.table, out)
+    q = start_scoring(spark, SourceConfig(format="text", path=inbox), scorer, ck,
+                      trigger={"processingTime": "1 second"}, query_name="bounded")
+    q.processAllAvailable()
+    run_bounded(q, 1)
+    assert not q.isActive
+    assert store.read_store(spark, os.path.join(out, "lists")).count() == 1
+    scorer.close()
