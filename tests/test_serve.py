@@ -101,5 +101,5 @@ def test_point_lookup_is_pushed_down(spark, tmp):
     compacted = spark.read.parquet(tmp + "/c")
     one = serve.point_lookup(compacted, 321)
     assert [r.recommendations[0].product_idx for r in one.collect()] == [3210]
-    plan = one._jdf.queryExecution().executedPlan().toString()
+    plan = spark._jvm.PythonSQLUtils.explainString(one._jdf.queryExecution(), "formatted")
     assert "PushedFilters: [IsNotNull(user_idx), EqualTo(user_idx,321)]" in plan
