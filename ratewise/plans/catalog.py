@@ -179,13 +179,18 @@ def q_topk_subset(spark: SparkSession, d: str) -> DataFrame:
 
 
 def factor_store(spark: SparkSession, d: str) -> DataFrame:
-    """A store of two scoring batches over the factor fixture: batch 0 all
-    users over all items, batch 1 even users over even items."""
+    """A store of two scoring batches over the factor fixture: batch 0
+    scores every user over every item; batch 1 re-scores the users seen in
+    the events over the products the events name (``50 + props.k``)."""
     users, items = fixtures.factor_fixture(spark, d)
     b0 = topk.as_lists(topk.top_k_by_dot(users, items, config.TOP_K,
                                          user_out="user_idx", item_out="product_idx"))
-    even = F.col("id") % 2 == 0
-    b1 = topk.as_lists(topk.top_k_by_dot(users.where(even), items.where(even), config.TOP_K,
+    ev = spark.read.parquet(f"{d}/events.parquet").select("user_id", "props")
+    seen_users = ev.select(F.col("user_id").cast("int").alias("user_idx"))
+    seen_items = ev.select((S.parse_json("props", "k int")["k"]
+                            + F.lit(fixtures.FACTOR_USER_LIMIT)).alias("user_idx"))
+    b1 = topk.as_lists(topk.top_k_by_dot(topk.subset_factors(users, seen_users),
+                                         topk.subset_factors(items, seen_items), config.TOP_K,
                                          user_out="user_idx", item_out="product_idx"))
     return (b0.withColumn("batch_id", F.lit(0).cast("long"))
               .unionByName(b1.withColumn("batch_id", F.lit(1).cast("long"))))

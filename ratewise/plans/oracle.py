@@ -140,7 +140,8 @@ def _topk(name: str, users: str, items: str) -> str:
 
 
 _STORE = _FACTORS + "," + _topk("b0", "true", "true") + "," + \
-    _topk("b1", "uid % 2 = 0", "iid % 2 = 0") + """,
+    _topk("b1", "uid IN (SELECT user_id FROM events)",
+          "iid IN (SELECT CAST(json_extract(props, '$.k') AS INTEGER) + 50 FROM events)") + """,
 store AS (
   SELECT CAST(uid AS INTEGER) AS user_idx, rk, CAST(iid AS INTEGER) AS product_idx,
          CAST(score AS FLOAT) AS rating, CAST(0 AS BIGINT) AS batch_id FROM b0
