@@ -322,11 +322,14 @@ def _records(spark: SparkSession, d: str) -> dict[str, str]:
             write_batch_lists(st.where(F.col("batch_id") == b).drop("batch_id"), lists_dir, b)
         metrics_dir = os.path.join(base, "metrics")
         write_record(train.metrics_record(_grid(spark, d)), metrics_dir)
+        cleaning_paths = write_cleaning(run_cleaning(fixtures.reviews(spark, d)), base)
+        model_dir = os.path.join(base, "als_model")
+        train.save_model(_grid(spark, d).model, model_dir)
         report_dir = os.path.join(base, "report")
         write_record(report.run_report(spark, records.read_metrics(spark, metrics_dir),
                                        lists_dir), report_dir)
         _MODELS[key] = {"base": base, "lists": lists_dir, "metrics": metrics_dir,
-                        "report": report_dir}
+                        "report": report_dir, "model": model_dir, **cleaning_paths}
     return _MODELS[key]
 
 
@@ -345,12 +348,16 @@ def q_run_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_readiness(spark: SparkSession, d: str) -> DataFrame:
+    """V-8: the inputs a scoring run needs, present and counted; the user
+    dictionary is included (the stream joins on it)."""
     r = _records(spark, d)
     inputs = {"lineitem": (f"{d}/lineitem.parquet", "parquet"),
               "orders": (f"{d}/orders.parquet", "parquet"),
               "events": (f"{d}/events.parquet", "parquet"),
-              "metrics": (r["metrics"], "json"),
-              "recommendations": (r["lists"], "json")}
+              "model": (os.path.join(r["model"], "metadata"), "model"),
+              "cleaned_ratings": (r["ratings"], "parquet"),
+              "user_mapping": (r["users"], "parquet"),
+              "metrics": (r["metrics"], "json")}
     return report.readiness(spark, inputs)
 
 

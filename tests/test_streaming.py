@@ -98,3 +98,11 @@ def test_processing_time_trigger_bounded_run(spark, setup, tmp):
     assert not q.isActive
     assert store.read_store(spark, os.path.join(out, "lists")).count() == 1
     scorer.close()
+
+
+def test_kafka_source_is_gated(spark):
+    from ratewise.streaming.scoring import connector_available, kafka_source, read_messages
+    if connector_available(spark):
+        pytest.skip("connector present")
+    with pytest.raises(RuntimeError, match="connector"):
+        read_messages(spark, kafka_source("localhost:9092"))
