@@ -259,14 +259,14 @@ def q_list_sizes_sample(spark: SparkSession, d: str) -> DataFrame:
 
 # one configuration for the single-fit queries: the reference's baseline fit
 BASE_CONFIG = ((10, 0.1, 10),)
-_MODELS: dict = {}
+_MEMO: dict = {}
 
 
 def _grid(spark: SparkSession, d: str, grid=BASE_CONFIG) -> train.GridResult:
     key = (spark.sparkContext.applicationId, d, grid)
-    if key not in _MODELS:
-        _MODELS[key] = train.train_from_ratings(_ratings(spark, d), grid)
-    return _MODELS[key]
+    if key not in _MEMO:
+        _MEMO[key] = train.train_from_ratings(_ratings(spark, d), grid)
+    return _MEMO[key]
 
 
 def q_als_predictions(spark: SparkSession, d: str) -> DataFrame:
@@ -290,11 +290,11 @@ def q_als_topk(spark: SparkSession, d: str) -> DataFrame:
 
 def _stream_out(spark: SparkSession, d: str) -> str:
     key = (spark.sparkContext.applicationId, d, "stream")
-    if key not in _MODELS:
+    if key not in _MEMO:
         users = run_cleaning(fixtures.reviews(spark, d)).users.table
         msgs = fixtures.event_messages(spark, d)
-        _MODELS[key] = scoring.run_stream(spark, _grid(spark, d).model, users, msgs)
-    return _MODELS[key]
+        _MEMO[key] = scoring.run_stream(spark, _grid(spark, d).model, users, msgs)
+    return _MEMO[key]
 
 
 def q_stream_recommendations(spark: SparkSession, d: str) -> DataFrame:
@@ -314,7 +314,7 @@ def _records(spark: SparkSession, d: str) -> dict[str, str]:
     """Factor-fixture store (two batches) and a metrics record, written
     under the shared checkpoint folder."""
     key = (spark.sparkContext.applicationId, d, "records")
-    if key not in _MODELS:
+    if key not in _MEMO:
         base = scoring.scratch_dir(spark, "records")
         lists_dir = os.path.join(base, "recommendations")
         st = factor_store(spark, d)
@@ -328,9 +328,9 @@ def _records(spark: SparkSession, d: str) -> dict[str, str]:
         report_dir = os.path.join(base, "report")
         write_record(report.run_report(spark, records.read_metrics(spark, metrics_dir),
                                        lists_dir), report_dir)
-        _MODELS[key] = {"base": base, "lists": lists_dir, "metrics": metrics_dir,
+        _MEMO[key] = {"base": base, "lists": lists_dir, "metrics": metrics_dir,
                         "report": report_dir, "model": model_dir, **cleaning_paths}
-    return _MODELS[key]
+    return _MEMO[key]
 
 
 def q_health(spark: SparkSession, d: str) -> DataFrame:

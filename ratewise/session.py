@@ -69,3 +69,39 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+MB = 1 << 20
+
+
+def scale_settings(input_bytes: int, cores: int, partition_bytes: int = 256 * MB,
+                   max_partitions: int = 100_000) -> dict[str, str]:
+    """Session settings sized from the input, for a cluster run.
+
+    The initial shuffle partition count gives each reducer about
+    ``partition_bytes`` of input (at least two per core, capped); AQE then
+    coalesces small partitions towards the same advisory size and splits
+    skewed join partitions, so one hot key does not become one huge task.
+    Scan splits match the partition size, so a task's input fits executor
+    memory with room to spill.
+    """
+    parts = max(2 * cores, min(max_partitions, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * MB),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
+    """Set the runtime-changeable SQL settings on a live session."""
+    for k, v in settings.items():
+        if k.startswith("spark.sql."):
+            spark.conf.set(k, v)

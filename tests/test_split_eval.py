@@ -59,3 +59,13 @@ def test_pick_best_first_wins_tie(spark):
     m = spark.createDataFrame([(0, 0.9), (1, 0.8), (2, 0.8), (3, 0.85)],
                               "candidate int, rmse_validation double")
     assert evaluate.pick_best(m).first().candidate == 1
+
+
+def test_scale_settings():
+    from ratewise.session import scale_settings
+    tb = 1 << 40
+    s = scale_settings(100 * tb, cores=8000)
+    assert int(s["spark.sql.shuffle.partitions"]) == 100_000          # capped
+    assert scale_settings(1 << 30, cores=8)["spark.sql.shuffle.partitions"] == "16"
+    assert scale_settings(64 << 30, cores=8)["spark.sql.shuffle.partitions"] == "256"
+    assert s["spark.sql.adaptive.skewJoin.enabled"] == "true"
