@@ -19,9 +19,11 @@ the tie rule is deterministic and the block size is chosen from the data.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,6 +74,20 @@ def _block_topk(k: int):
     return score
 
 
+def _merge(cand: DataFrame, k: int, nb_i: int, user_out: str, item_out: str) -> DataFrame:
+    """Overall k best per user from the per-block candidates."""
+    if nb_i > 1:
+        w = Window.partitionBy("_u").orderBy(F.col("_s").desc(), F.col("_i").asc())
+        cand = (cand.withColumn("_r", F.row_number().over(w).cast("int"))
+                    .where(F.col("_r") <= k))
+    return cand.select(F.col("_u").alias(user_out), F.col("_r").alias("rank"),
+                       F.col("_i").alias(item_out), F.col("_s").alias("score"))
+
+
+def _blocks(n: int, block_rows: int) -> int:
+    return max(1, math.ceil(n / block_rows))
+
+
 def top_k_by_dot(users: DataFrame, items: DataFrame, k: int = config.TOP_K, *,
                  user_col: str = "id", item_col: str = "id", vec_col: str = "features",
                  user_out: str = "user", item_out: str = "item",
@@ -83,8 +99,8 @@ def top_k_by_dot(users: DataFrame, items: DataFrame, k: int = config.TOP_K, *,
         n_users = users.count()
     if n_items is None:
         n_items = items.count()
-    nb_u = max(1, math.ceil(n_users / block_rows))
-    nb_i = max(1, math.ceil(n_items / block_rows))
+    nb_u = _blocks(n_users, block_rows)
+    nb_i = _blocks(n_items, block_rows)
     u = (users.select(F.col(user_col).cast("long").alias("_u"), F.col(vec_col).alias("_v"))
               .withColumn("_ub", F.pmod(F.xxhash64("_u"), F.lit(nb_u)).cast("int"))
               .withColumn("_ib", F.explode(F.sequence(F.lit(0), F.lit(nb_i - 1)))))
@@ -94,12 +110,65 @@ def top_k_by_dot(users: DataFrame, items: DataFrame, k: int = config.TOP_K, *,
     cand = (u.groupBy("_ub", "_ib")
              .cogroup(it.groupBy("_ub", "_ib"))
              .applyInPandas(_block_topk(k), _CAND_SCHEMA))
-    if nb_i > 1:
-        w = Window.partitionBy("_u").orderBy(F.col("_s").desc(), F.col("_i").asc())
-        cand = (cand.withColumn("_r", F.row_number().over(w).cast("int"))
-                    .where(F.col("_r") <= k))
-    return cand.select(F.col("_u").alias(user_out), F.col("_r").alias("rank"),
-                       F.col("_i").alias(item_out), F.col("_s").alias("score"))
+    return _merge(cand, k, nb_i, user_out, item_out)
+
+
+@dataclass
+class PreparedItems:
+    """Item factors cut into blocks once, hash-partitioned by block and
+    sorted, kept cached: a scorer that runs again and again (one call per
+    micro-batch) then shuffles only its users, never the catalogue."""
+
+    table: DataFrame  # (_i, _v, _ib, _ub), partitioned + sorted by (_ub, _ib)
+    n_items: int
+    nb_i: int
+    block_rows: int
+
+    def release(self) -> None:
+        self.table.unpersist()
+
+
+def prepare_items(items: DataFrame, *, item_col: str = "id", vec_col: str = "features",
+                  block_rows: int = config.TOPK_BLOCK_ROWS,
+                  partitions: int | None = None) -> PreparedItems:
+    n_items = items.count()
+    nb_i = _blocks(n_items, block_rows)
+    parts = partitions or items.sparkSession.sparkContext.defaultParallelism
+    i = F.col("_i")
+    table = (items.select(F.col(item_col).cast("long").alias("_i"), F.col(vec_col).alias("_v"))
+                  .withColumn("_ib", F.pmod(F.xxhash64(i), F.lit(nb_i)).cast("int"))
+                  # the single user block, written as an expression of the row so
+                  # the planner keeps (_ub, _ib) as the partitioning key
+                  .withColumn("_ub", F.pmod(F.xxhash64(i), F.lit(1)).cast("int"))
+                  .repartition(parts, "_ub", "_ib")
+                  .sortWithinPartitions("_ub", "_ib")
+                  .persist(StorageLevel.MEMORY_AND_DISK))
+    table.count()
+    return PreparedItems(table=table, n_items=n_items, nb_i=nb_i, block_rows=block_rows)
+
+
+def top_k_prepared(users: DataFrame, prepared: PreparedItems, k: int = config.TOP_K, *,
+                   user_col: str = "id", vec_col: str = "features",
+                   user_out: str = "user", item_out: str = "item",
+                   n_users: int | None = None) -> DataFrame:
+    """As ``top_k_by_dot`` against prepared item blocks.  Up to one block of
+    users: the users are sent to every item block and the cached items are
+    read in place.  More users than one block: the general blocked path."""
+    if n_users is None:
+        n_users = users.count()
+    if n_users > prepared.block_rows:
+        items = prepared.table.select(F.col("_i").alias("id"), F.col("_v").alias("features"))
+        return top_k_by_dot(users, items, k, user_col=user_col, vec_col=vec_col,
+                            user_out=user_out, item_out=item_out, block_rows=prepared.block_rows,
+                            n_users=n_users, n_items=prepared.n_items)
+    u = F.col("_u")
+    us = (users.select(F.col(user_col).cast("long").alias("_u"), F.col(vec_col).alias("_v"))
+               .withColumn("_ub", F.pmod(F.xxhash64(u), F.lit(1)).cast("int"))
+               .withColumn("_ib", F.explode(F.sequence(F.lit(0), F.lit(prepared.nb_i - 1)))))
+    cand = (us.groupBy("_ub", "_ib")
+              .cogroup(prepared.table.groupBy("_ub", "_ib"))
+              .applyInPandas(_block_topk(k), _CAND_SCHEMA))
+    return _merge(cand, k, prepared.nb_i, user_out, item_out)
 
 
 def as_lists(top: DataFrame, user: str = "user_idx", item: str = "product_idx") -> DataFrame:

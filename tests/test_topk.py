@@ -81,3 +81,21 @@ def test_list_schema(spark):
                                             user_out="user_idx", item_out="product_idx"))
     assert lists.schema.simpleString() == \
         "struct<user_idx:int,recommendations:array<struct<product_idx:int,rating:float>>>"
+
+
+def test_prepared_items_match_general_path(spark):
+    users, items = fixtures.factor_fixture(spark, SF001)
+    prep = topk.prepare_items(items, block_rows=100, partitions=5)
+    try:
+        a = {(r.user, r.rank): (r.item, round(r.score, 9))
+             for r in topk.top_k_prepared(users, prep, 5).collect()}
+        b = {(r.user, r.rank): (r.item, round(r.score, 9))
+             for r in topk.top_k_by_dot(users, items, 5, block_rows=100).collect()}
+        assert a == b
+        # more users than one block: falls back to the general path
+        c = {(r.user, r.rank): (r.item, round(r.score, 9))
+             for r in topk.top_k_prepared(users, topk.PreparedItems(
+                 prep.table, prep.n_items, prep.nb_i, block_rows=7), 5).collect()}
+        assert c == b
+    finally:
+        prep.release()
