@@ -27,6 +27,14 @@ HERE = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, HERE)
 
 
+def _sf(sf_dir: str):
+    tag = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        return float(tag)
+    except ValueError:
+        return tag
+
+
 def _noop(df):
     df.write.format("noop").mode("overwrite").save()
 
@@ -114,7 +122,7 @@ def main() -> None:
     total = round(sum(times.values()), 3)
     clean_sec = times["clean_filter"] + times["dictionaries"] + times["encode_write"]
     print(json.dumps({"metric": "end_to_end_sec", "value": total, "unit": "sec",
-                      "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
+                      "queries": times, "sf": _sf(sf_dir),
                       "cpus": int(cpus),
                       "rows": {"raw_reviews": n_raw, "cleaned": n_ratings, "messages": n_msgs},
                       "throughput": {

@@ -76,7 +76,8 @@ def lookup(requests: DataFrame, lists: DataFrame) -> DataFrame:
         n_used.cast("int").alias("n_used"),
         S.item_labels(recs).alias("recommendations"),
         S.item_details(recs).alias("details"),
-        F.coalesce(F.size(recs), F.lit(0)).cast("int").alias("total"),
+        # explicit null branch: size(null) is -1 when ANSI mode is off
+        F.when(recs.isNull(), F.lit(0)).otherwise(F.size(recs)).cast("int").alias("total"),
     )
 
 

@@ -103,3 +103,12 @@ def test_point_lookup_is_pushed_down(spark, tmp):
     assert [r.recommendations[0].product_idx for r in one.collect()] == [3210]
     plan = spark._jvm.PythonSQLUtils.explainString(one._jdf.queryExecution(), "formatted")
     assert "PushedFilters: [IsNotNull(user_idx), EqualTo(user_idx,321)]" in plan
+
+
+def test_unknown_total_is_zero_without_ansi(spark, lists):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        req = spark.createDataFrame([(7, 3)], "user_id int, n int")
+        assert serve.lookup(req, lists).first().total == 0
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
