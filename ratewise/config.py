@@ -70,6 +70,7 @@ class AlsSettings:
     num_user_blocks: int | None = None  # None -> sized from the data
     num_item_blocks: int | None = None
     checkpoint_interval: int = 10
+    concurrency: int | None = None  # grid fits at once; None -> from cores and blocks
     cold_start: str = "drop"
     seed: int = SEED
     extra: dict = field(default_factory=dict)

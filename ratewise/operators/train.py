@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -53,6 +54,17 @@ def als_blocks(spark, n_ratings: int | None) -> int:
     return max(1, min(par, math.ceil(n_ratings / config.RATINGS_PER_ALS_BLOCK)))
 
 
+def grid_workers(spark, n_ratings: int, n_configs: int, settings: AlsSettings) -> int:
+    """Concurrent fits: about two cores' worth of blocks per core.  On a
+    cluster where each fit already has a block per core this is 2 (the
+    second fit fills the gaps between the first one's iterations)."""
+    if settings.concurrency:
+        return max(1, min(n_configs, settings.concurrency))
+    par = spark.sparkContext.defaultParallelism
+    blocks = settings.num_user_blocks or als_blocks(spark, n_ratings)
+    return max(1, min(n_configs, math.ceil(2 * par / blocks)))
+
+
 def fit(train: DataFrame, rank: int, reg: float, max_iter: int,
         settings: AlsSettings = AlsSettings(), n_ratings: int | None = None) -> ALSModel:
     spark = train.sparkSession
@@ -84,19 +96,26 @@ def grid_search(train: DataFrame, validation: DataFrame, test: DataFrame,
                 grid: Sequence[tuple[int, float, int]] = config.ALS_GRID,
                 settings: AlsSettings = AlsSettings()) -> GridResult:
     """M-5 + A-7 + M-6: one fit per configuration (each on the persisted
-    train set), validation RMSE per fit, least RMSE wins with the first on
-    a tie, then one test evaluation of the winner."""
+    train set, run as concurrent jobs), validation RMSE per fit, least RMSE
+    wins with the first on a tie, then one test evaluation of the winner."""
     spark = train.sparkSession
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     validation = validation.persist(StorageLevel.MEMORY_AND_DISK)
-    rows, models = [], []
     try:
         n_train = train.count()  # fills the cache; sizes the ALS blocks
-        for i, (rank, reg, iters) in enumerate(grid):
+
+        def run(cfg):
+            rank, reg, iters = cfg
             m = fit(train, rank, reg, iters, settings, n_ratings=n_train)
-            r = evaluate.rmse(predict(m, validation))
-            rows.append((i, rank, float(reg), iters, float(r)))
-            models.append(m)
+            return m, evaluate.rmse(predict(m, validation))
+
+        # fits are independent and seeded: run them as concurrent Spark jobs
+        # so small fits fill the idle cores (same results as one by one)
+        with ThreadPoolExecutor(grid_workers(spark, n_train, len(grid), settings)) as pool:
+            fitted = list(pool.map(run, grid))
+        rows = [(i, rank, float(reg), iters, float(r))
+                for i, ((rank, reg, iters), (_, r)) in enumerate(zip(grid, fitted))]
+        models = [m for m, _ in fitted]
         metrics = spark.createDataFrame(
             rows, "candidate int, rank int, regParam double, maxIter int, rmse_validation double")
         best = evaluate.pick_best(metrics).first().asDict()
