@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ratewise import config, schemas
 from ratewise.config import AlsSettings
-from ratewise.operators import evaluate, split, topk
+from ratewise.operators import clean, evaluate, split, topk
 from ratewise.session import checkpoint_dir
 
 
@@ -131,8 +131,8 @@ def train_from_ratings(ratings: DataFrame, grid=config.ALS_GRID,
                        settings: AlsSettings = AlsSettings()) -> GridResult:
     """P-6 / P-7 null guard, M-1 split, then the grid."""
     cols = ["user_idx", "product_idx", "Score"]
-    clean = ratings.dropna(subset=cols)
-    parts = split.split_frames(clean)
+    usable = clean.require_not_null(clean.drop_nulls(ratings, cols), cols)
+    parts = split.split_frames(usable)
     return grid_search(parts["train"], parts["validation"], parts["test"], grid, settings)
 
 

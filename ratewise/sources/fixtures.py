@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratewise.functions.scalars import parse_json, to_json_text
 from ratewise.sources.tables import read_table
 
 # --- fixed values: the fixture's line-item filter --------------------------
@@ -52,14 +53,14 @@ def event_messages(spark: SparkSession, base_dir: str) -> DataFrame:
     ``value`` is what a producer would publish (K-4 / F-2).
     """
     ev = read_table(spark, base_dir, "events", "event_id", "ts", "user_id", "props")
-    k = F.from_json(F.col("props"), "k int").getField("k")
-    msg = F.struct(
+    k = parse_json("props", "k int").getField("k")
+    msg = to_json_text(
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("UserId"),
         F.concat(F.lit("P"), k.cast("string")).alias("ProductId"),
         ((F.col("event_id") % 5) + 1).cast("float").alias("Score"),
         F.unix_timestamp(F.col("ts")).alias("Time"),
     )
-    return ev.select("event_id", "ts", F.to_json(msg).alias("value"))
+    return ev.select("event_id", "ts", msg.alias("value"))
 
 
 # --- fixed values: factor fixture -------------------------------------------
