@@ -87,20 +87,38 @@ def clean_reviews(reviews: DataFrame,
 STAGES = ("raw", "non_null", "dedup", "active_users", "active_products", "final")
 
 
-def funnel(stages: dict[str, DataFrame]) -> DataFrame:
-    """A-1: ``(stage_no, stage, n_rows)`` for every stage present.
 
-    A union of per-stage ``count(*)``; the shared prefixes are the same
-    plan fragments, so Spark reuses their exchanges instead of rescanning.
+def _non_null():
+    """The row test of ``drop_nulls`` on the three rating columns."""
+    return (F.col("UserId").isNotNull() & F.col("ProductId").isNotNull()
+            & F.col("Score").isNotNull() & ~F.isnan(F.col("Score")))
+
+
+def _rows(agg: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """One-row aggregate with a column per stage -> one row per stage."""
+    return agg.select(F.inline(F.array(*[
+        F.struct(F.lit(STAGES.index(n)).cast("int").alias("stage_no"), F.lit(n).alias("stage"),
+                 F.coalesce(F.col(n), F.lit(0)).cast("long").alias("n_rows"))
+        for n in names])))
+
+
+def funnel(stages: dict[str, DataFrame], min_user: int = config.MIN_REVIEWS_PER_USER) -> DataFrame:
+    """A-1: ``(stage_no, stage, n_rows)`` for the cleaning stages.
+
+    Counted in as few passes as the stages allow: raw and non-null rows in
+    one aggregate over the raw input; deduplicated rows and rows of active
+    users in one aggregate over the per-user review counts (the table the
+    user filter is built from); the later stages from their own (usually
+    checkpointed) frames.
     """
-    parts = []
-    for i, name in enumerate(STAGES):
-        if name not in stages:
-            continue
-        parts.append(stages[name].agg(F.count(F.lit(1)).alias("n_rows"))
-                     .select(F.lit(i).cast("int").alias("stage_no"),
-                             F.lit(name).alias("stage"), "n_rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    raw = stages["raw"].agg(F.count(F.lit(1)).alias("raw"),
+                            F.count_if(_non_null()).alias("non_null"))
+    per_user = counts_by(stages["dedup"], "UserId")
+    users = per_user.agg(
+        F.sum("nb_avis").alias("dedup"),
+        F.sum(F.when(F.col("nb_avis") >= min_user, F.col("nb_avis"))).alias("active_users"))
+    out = _rows(raw, ("raw", "non_null")).unionByName(_rows(users, ("dedup", "active_users")))
+    for name in ("active_products", "final"):
+        if name in stages:
+            out = out.unionByName(_rows(stages[name].agg(F.count(F.lit(1)).alias(name)), (name,)))
     return out
