@@ -14,6 +14,8 @@ step), topk_all (top-5 for every user of the chosen model), stream
 
 A warm-up pass over sf0.001 (``BENCH_WARM_DIR``) runs first and is not
 counted: the numbers are steady-state, not JVM / Python-worker start-up.
+``BENCH_EVENT_LOG=/tmp/x`` writes Spark's event log to a fresh folder
+under it, for stage and task times.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 HERE = os.path.dirname(os.path.abspath(__file__))
@@ -50,7 +53,12 @@ def main() -> None:
     from ratewise.session import local_session
     from ratewise.sources import fixtures, reviews, store
 
-    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2)
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        # stage / task times without the UI: Spark's event log in a fresh folder
+        log_dir = tempfile.mkdtemp(prefix="bench-events-", dir=os.environ["BENCH_EVENT_LOG"])
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{log_dir}"}
+    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2, extra=extra)
     base = scoring.scratch_dir(spark, "bench")
     times: dict[str, float] = {}
 

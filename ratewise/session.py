@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "ratewise") -> SparkSession:
+                  app: str = "ratewise", extra: dict[str, str] | None = None) -> SparkSession:
     """Session for tests and local benchmarking."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -29,6 +29,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("RATEWISE_DRIVER_MEMORY", "8g"))
     )
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
