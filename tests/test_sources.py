@@ -111,3 +111,14 @@ def test_readiness_raises_on_missing(spark, tmp):
         report.readiness(spark, {"model": (os.path.join(tmp, "no_model"), "model")})
     df = report.readiness(spark, {"model": (os.path.join(tmp, "no_model"), "model")}, strict=False)
     assert df.first().present is False
+
+
+def test_publish_skips_incomplete_reviews(spark, tmp):
+    from ratewise.sinks.writers import publish_messages
+    from ratewise.streaming.parse import parse_messages
+    df = spark.createDataFrame(
+        [("U1", "P1", 5.0, 10), ("U2", "P2", 4.0, None), ("U3", None, 3.0, 12),
+         ("U4", "P4", float("nan"), 13)], "UserId string, ProductId string, Score float, Time long")
+    publish_messages(df, fmt="text", path=tmp + "/inbox")
+    back = parse_messages(spark.read.text(tmp + "/inbox")).collect()
+    assert [(r.UserId, r.ProductId, r.Score, r.Time) for r in back] == [("U1", "P1", 5.0, 10)]
