@@ -42,6 +42,7 @@ REPORT_ALGORITHM = "ALS (Alternating Least Squares)"
 REPORT_TRAIN_LABEL = "80% du dataset"
 REPORT_TEST_LABEL = "10% donnees non vues"
 HEALTH_STATUS = "ok"
+HEALTH_MESSAGE = "API de recommandation opérationnelle"
 METRICS_MISSING_TEXT = "Fichier resultats_rmse.txt non trouvé"
 # stream: topic name and trigger interval
 STREAM_TOPIC = "reviews_stream"

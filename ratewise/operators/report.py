@@ -71,7 +71,8 @@ def run_report(spark: SparkSession, metrics: DataFrame, store_dir: str,
 
 
 def health(spark: SparkSession, store_dir: str) -> DataFrame:
-    """V-1: ``(status, utilisateurs_en_cache, fichiers_trouves)``."""
+    """V-1: ``(status, message, utilisateurs_en_cache, dossier_recommandations,
+    fichiers_trouves)``."""
     if store.path_exists(spark, store_dir):
         lists = serve.latest_lists(store.read_store(spark, store_dir), store.STORE_ORDER)
         users = lists.count()
@@ -79,8 +80,9 @@ def health(spark: SparkSession, store_dir: str) -> DataFrame:
     else:
         users, files = 0, 0
     return spark.createDataFrame(
-        [(config.HEALTH_STATUS, users, files)],
-        "status string, utilisateurs_en_cache long, fichiers_trouves long")
+        [(config.HEALTH_STATUS, config.HEALTH_MESSAGE, users, store_dir, files)],
+        "status string, message string, utilisateurs_en_cache long, "
+        "dossier_recommandations string, fichiers_trouves long")
 
 
 def stats(spark: SparkSession, store_dir: str, metrics_path: str, report_path: str) -> DataFrame:

@@ -21,6 +21,9 @@ def test_jobs_end_to_end(spark, tmp):
     main(["train", "--ratings", os.path.join(data, "cleaned_reviews.parquet"), "--out", model_dir], spark)
     metrics = spark.read.json(os.path.join(model_dir, "metrics")).first()
     assert metrics.config.rank in (5, 10, 15, 20)
+    lines = [r.value for r in spark.read.text(os.path.join(model_dir, "metrics_text")).collect()]
+    assert len(lines) == 3 and lines[0].startswith("Meilleure config : {'rank': ")
+    assert lines[1] == f"RMSE validation  : {metrics.rmse_validation:.4f}"
 
     inbox = os.path.join(tmp, "inbox")
     fixtures.event_messages(spark, SF001).select("value").repartition(2).write.text(inbox)
@@ -44,3 +47,12 @@ def test_jobs_end_to_end(spark, tmp):
 
     main(["check", f"ratings={os.path.join(data, 'cleaned_reviews.parquet')}:parquet",
           f"model={os.path.join(model_dir, 'als_model')}:model"], spark)
+
+
+def test_metrics_text_form(spark, tmp):
+    from ratewise import schemas
+    from ratewise.operators.report import metrics_text
+    m = spark.createDataFrame([((20, 0.2, 15), 0.8186, 0.8432)], schemas.METRICS)
+    text = metrics_text(m).first().rmse_info
+    assert text.splitlines() == ["Meilleure config : {'rank': 20, 'regParam': 0.2, 'maxIter': 15}",
+                                 "RMSE validation  : 0.8186", "RMSE test final  : 0.8432"]
