@@ -60,6 +60,11 @@ BROADCAST_MAX_ROWS = 1_000_000
 # larger blocks mean less replication of the other side in the shuffle.
 TOPK_BLOCK_ROWS = 16384
 
+# A key with at least this many rows is "hot": its rows are split off and
+# joined by broadcast instead of being shuffled into one task.  The hot-key
+# set therefore has at most (total rows / HOT_KEY_ROWS) entries.
+HOT_KEY_ROWS = 1_000_000
+
 # ALS blocks per side = min(default parallelism, ratings / this)
 RATINGS_PER_ALS_BLOCK = 10_000
 

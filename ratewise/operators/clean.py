@@ -59,18 +59,35 @@ def active_keys(df: DataFrame, key: str, minimum: int) -> DataFrame:
     return counts_by(df, key).where(F.col("nb_avis") >= minimum).select(key)
 
 
-def keep_active(df: DataFrame, key: str, minimum: int) -> DataFrame:
+def keep_active(df: DataFrame, key: str, minimum: int,
+                hot_rows: int = config.HOT_KEY_ROWS) -> DataFrame:
     """J-1 / J-2: keep rows whose key has at least ``minimum`` rows.
 
     The reference's inner join on a unique key is a left-semi join: no
     column is added and no row is duplicated.
+
+    Hot keys are split off: a key with ``hot_rows`` rows or more is active
+    by definition, so its rows are kept by a broadcast semi join against
+    the hot-key set and never shuffled.  That set is bounded (at most
+    total rows / ``hot_rows`` keys).  Only the remaining rows, with the hot
+    keys removed by a broadcast anti join, are shuffled by key for the
+    semi join against the active keys, so no task receives a hot key's
+    rows.  AQE's skew split cannot do this here: one join input is an
+    aggregate, not a plain shuffle.
     """
-    return df.join(active_keys(df, key, minimum), on=key, how="left_semi")
+    counts = counts_by(df, key)
+    hot_at = max(hot_rows, minimum)
+    hot = F.broadcast(counts.where(F.col("nb_avis") >= hot_at).select(key))
+    active = counts.where((F.col("nb_avis") >= minimum) & (F.col("nb_avis") < hot_at)).select(key)
+    hot_part = df.join(hot, on=key, how="left_semi")
+    cold_part = df.join(hot, on=key, how="left_anti").join(active, on=key, how="left_semi")
+    return hot_part.unionByName(cold_part)
 
 
 def clean_reviews(reviews: DataFrame,
                   min_user: int = config.MIN_REVIEWS_PER_USER,
-                  min_product: int = config.MIN_REVIEWS_PER_PRODUCT) -> dict[str, DataFrame]:
+                  min_product: int = config.MIN_REVIEWS_PER_PRODUCT,
+                  hot_rows: int = config.HOT_KEY_ROWS) -> dict[str, DataFrame]:
     """The cleaning chain as named stages (lazy DataFrames).
 
     Order is fixed: users are filtered first, then products, once (users
@@ -78,8 +95,8 @@ def clean_reviews(reviews: DataFrame,
     """
     non_null = drop_nulls(reviews, ["UserId", "ProductId", "Score"])
     dedup = dedup_latest(non_null)
-    users = keep_active(dedup, "UserId", min_user)
-    products = keep_active(users, "ProductId", min_product)
+    users = keep_active(dedup, "UserId", min_user, hot_rows)
+    products = keep_active(users, "ProductId", min_product, hot_rows)
     return {"raw": reviews, "non_null": non_null, "dedup": dedup,
             "active_users": users, "active_products": products}
 

@@ -34,22 +34,35 @@ class Dictionary:
     size: int
     label_col: str
     index_col: str
+    # labels with at least HOT_KEY_ROWS rows when the dictionary was built
+    # (a bounded set), or None when the frequencies are not known
+    hot: DataFrame | None = None
 
     def attach(self, df: DataFrame, how: str = "inner") -> DataFrame:
-        """Join the id onto ``df`` by label; broadcast only below the size
-        limit, otherwise the planner picks (sort-merge, AQE skew split)."""
-        side = self.table
+        """Join the id onto ``df`` by label (``inner`` or ``left``).
+
+        Below the size limit the whole dictionary is broadcast.  Above it,
+        rows of hot labels take a broadcast join against the hot entries;
+        the other rows, with hot labels removed first, are shuffled for a
+        sort-merge join, so no task receives a hot label's rows.
+        """
         if self.size <= config.BROADCAST_MAX_ROWS:
-            side = F.broadcast(side)
-        return df.join(side, on=self.label_col, how=how)
+            return df.join(F.broadcast(self.table), on=self.label_col, how=how)
+        if self.hot is None:
+            return df.join(self.table, on=self.label_col, how=how)
+        hot = F.broadcast(self.hot)
+        hot_part = df.join(hot, on=self.label_col, how="inner")
+        rest = df.join(hot.select(self.label_col), on=self.label_col, how="left_anti")
+        return hot_part.unionByName(rest.join(self.table, on=self.label_col, how=how))
 
 
-def frequency_index(df: DataFrame, label_col: str, index_col: str) -> Dictionary:
+def frequency_index(df: DataFrame, label_col: str, index_col: str,
+                    hot_rows: int = config.HOT_KEY_ROWS) -> Dictionary:
     """Build the dictionary of ``label_col`` over the rows of ``df``."""
     counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n"))
     ordered = counts.orderBy(F.col("_n").desc(), F.col(label_col).asc())
     tagged = ordered.select(
-        label_col,
+        label_col, "_n",
         F.spark_partition_id().alias("_pid"),
         F.monotonically_increasing_id().alias("_mid"),
     )
@@ -64,16 +77,19 @@ def frequency_index(df: DataFrame, label_col: str, index_col: str) -> Dictionary
     offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in starts] or [F.lit(0).cast("long")]),
                           F.col("_pid") + 1)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    table = tagged.select(label_col, (offset + pos).cast("int").alias(index_col))
-    return Dictionary(table=table, size=total, label_col=label_col, index_col=index_col)
+    ided = tagged.select(label_col, "_n", (offset + pos).cast("int").alias(index_col))
+    table = ided.select(label_col, index_col)
+    hot = ided.where(F.col("_n") >= hot_rows).select(label_col, index_col)
+    return Dictionary(table=table, size=total, label_col=label_col, index_col=index_col, hot=hot)
 
 
-def encode_ratings(df: DataFrame) -> tuple[DataFrame, Dictionary, Dictionary]:
+def encode_ratings(df: DataFrame, hot_rows: int = config.HOT_KEY_ROWS
+                   ) -> tuple[DataFrame, Dictionary, Dictionary]:
     """R-1 + R-2 + casts: ``(user_idx int, product_idx int, Score float)``
     plus both dictionaries (the product one is saved too, unlike the
     reference, so ids can be mapped back)."""
-    users = frequency_index(df, "UserId", "user_idx")
-    products = frequency_index(df, "ProductId", "product_idx")
+    users = frequency_index(df, "UserId", "user_idx", hot_rows)
+    products = frequency_index(df, "ProductId", "product_idx", hot_rows)
     out = products.attach(users.attach(df))
     out = out.select("user_idx", "product_idx", F.col("Score").cast("float").alias("Score"))
     return out, users, products

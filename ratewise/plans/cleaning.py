@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from ratewise import config
 from ratewise.operators import clean, encode
 from ratewise.session import cut_lineage
 
@@ -22,14 +23,14 @@ class CleaningResult:
         return clean.funnel({**self.stages, "final": self.ratings})
 
 
-def run_cleaning(reviews: DataFrame) -> CleaningResult:
+def run_cleaning(reviews: DataFrame, hot_rows: int = config.HOT_KEY_ROWS) -> CleaningResult:
     """Runs the dedup + activity filters once and checkpoints the result
     into the shared checkpoint folder: both dictionary builds and the final
     id join read it instead of re-running two full shuffles of the raw
     reviews each (and a lost executor does not send them back there)."""
-    stages = clean.clean_reviews(reviews)
+    stages = clean.clean_reviews(reviews, hot_rows=hot_rows)
     stages["active_products"] = cut_lineage(stages["active_products"])
-    ratings, users, products = encode.encode_ratings(stages["active_products"])
+    ratings, users, products = encode.encode_ratings(stages["active_products"], hot_rows)
     return CleaningResult(stages, ratings, users, products)
 
 

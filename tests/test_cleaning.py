@@ -1,5 +1,6 @@
 """Cleaning chain: dedup rule, filter order, dense index, funnel."""
 
+import pytest
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
@@ -92,9 +93,14 @@ def test_write_and_read_back(spark, tmp):
     assert prods.count() == 87
 
 
-def test_hot_user_third_of_rows(spark):
+@pytest.mark.parametrize("hot_rows,broadcast_max", [(10**6, 10**6), (100, 10**6), (100, 10)])
+def test_hot_user_third_of_rows(spark, monkeypatch, hot_rows, broadcast_max):
     """One user holds a third of all rows (and repeats pairs): the chain
-    stays exact against a plain recomputation."""
+    stays exact against a plain recomputation, with and without the hot-key
+    split (small ``hot_rows``) and the split dictionary join (tiny
+    broadcast limit)."""
+    from ratewise import config
+    monkeypatch.setattr(config, "BROADCAST_MAX_ROWS", broadcast_max)
     import random
     rnd = random.Random(7)
     rows = []
@@ -104,7 +110,7 @@ def test_hot_user_third_of_rows(spark):
         rows.append((f"u{rnd.randrange(900)}", f"p{rnd.randrange(400)}",
                      float(rnd.randrange(1, 6)), rnd.randrange(50)))
     df = spark.createDataFrame(rows, "UserId string, ProductId string, Score float, Time long")
-    res = run_cleaning(df)
+    res = run_cleaning(df, hot_rows=hot_rows)
     # plain recomputation
     best = {}
     for u, p, s, t in rows:
