@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratewise.operators.skew import split_hot_join
+
 
 def _usable(pred: str):
     p = F.col(pred)
@@ -66,8 +68,9 @@ def item_mean_predictor(train: DataFrame, damping: float = 0.0, item: str = "pro
 
 
 def predict_with(table: DataFrame, df: DataFrame, item: str = "product_idx") -> DataFrame:
-    """J-4 form for a per-item predictor: left join, missing -> null."""
-    return df.join(table, on=item, how="left")
+    """J-4 form for a per-item predictor: left join, missing -> null.  A
+    popular item's rows are joined in place (``split_hot_join``)."""
+    return split_hot_join(df, table, item, how="left")
 
 
 def candidate_metrics(train: DataFrame, validation: DataFrame,
@@ -82,7 +85,7 @@ def candidate_metrics(train: DataFrame, validation: DataFrame,
     mu = train.agg(F.avg(F.col(label).cast("double")).alias("mu")).first()["mu"]
     stats = train.groupBy(item).agg(F.sum(F.col(label).cast("double")).alias("_s"),
                                      F.count(F.lit(1)).alias("_n"))
-    j = validation.join(stats, on=item, how="left")
+    j = split_hot_join(validation, stats, item, how="left")
     y = F.col(label).cast("double")
     aggs = []
     for i, d in enumerate(dampings):

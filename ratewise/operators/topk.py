@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ratewise import config
 from ratewise.functions.scalars import dot
+from ratewise.operators.skew import split_hot_join
 
 _CAND_SCHEMA = "_u long, _i long, _s double, _r int"
 _USER_CHUNK = 1024
@@ -199,13 +200,20 @@ def subset_factors(factors: DataFrame, requested: DataFrame, key: str = "id",
 
 def score_pairs(pairs: DataFrame, users: DataFrame, items: DataFrame, *,
                 user_col: str = "user_idx", item_col: str = "product_idx",
-                vec_col: str = "features", out: str = "prediction") -> DataFrame:
+                vec_col: str = "features", out: str = "prediction",
+                n_users: int | None = None, n_items: int | None = None) -> DataFrame:
     """J-4 / F-15: score given (user, item) pairs by the dot product of
     their factors (two equi-joins + a JVM ``aggregate(zip_with)``); pairs
     whose user or item has no factor are dropped (cold start ``drop``).
-    The factor tables are joined by the planner's choice (AQE broadcasts
-    them when small); the pairs are never replicated."""
+
+    Each factor table is broadcast when its (counted) size allows;
+    otherwise the join splits off hot users / popular items so their pairs
+    are joined in place and never shuffled into one task.  The pairs are
+    never replicated."""
     u = users.select(F.col("id").alias(user_col), F.col(vec_col).alias("_uv"))
     i = items.select(F.col("id").alias(item_col), F.col(vec_col).alias("_iv"))
-    return (pairs.join(u, user_col).join(i, item_col)
-                 .withColumn(out, dot("_uv", "_iv")).drop("_uv", "_iv"))
+    n_users = u.count() if n_users is None else n_users
+    n_items = i.count() if n_items is None else n_items
+    scored = split_hot_join(split_hot_join(pairs, u, user_col, side_rows=n_users),
+                            i, item_col, side_rows=n_items)
+    return scored.withColumn(out, dot("_uv", "_iv")).drop("_uv", "_iv")
