@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ratewise import config
 from ratewise.functions import scalars as S
+from ratewise.operators.skew import split_hot_join
 
 
 def latest_lists(store: DataFrame, order_cols: tuple[str, ...] = ("batch_id",)) -> DataFrame:
@@ -43,8 +44,9 @@ def hint_ids(lists: DataFrame, size: int = config.HINT_SIZE) -> list[int]:
     return [r[0] for r in lists.select("user_idx").orderBy("user_idx").limit(size).collect()]
 
 
-def _lists_for(requests: DataFrame, lists: DataFrame) -> DataFrame:
-    """The lists of the requested users only, as ``(user_id, recommendations)``.
+def _lists_for(requests: DataFrame, lists: DataFrame) -> tuple[DataFrame, int]:
+    """The lists of the requested users only, as ``(user_id, recommendations)``,
+    with the number of distinct requested ids (an upper bound on its rows).
 
     With a request set under the broadcast limit (counted), the store is
     semi-joined against the broadcast ids, so a handful of lookups never
@@ -52,9 +54,10 @@ def _lists_for(requests: DataFrame, lists: DataFrame) -> DataFrame:
     """
     ids = requests.select("user_id").distinct()
     side = lists.select(F.col("user_idx").alias("user_id"), "recommendations")
-    if ids.count() <= config.BROADCAST_MAX_ROWS:
-        return side.join(F.broadcast(ids), "user_id", "left_semi")
-    return side
+    n_ids = ids.count()
+    if n_ids <= config.BROADCAST_MAX_ROWS:
+        return side.join(F.broadcast(ids), "user_id", "left_semi"), n_ids
+    return side, n_ids
 
 
 def lookup(requests: DataFrame, lists: DataFrame) -> DataFrame:
@@ -67,7 +70,10 @@ def lookup(requests: DataFrame, lists: DataFrame) -> DataFrame:
     """
     n_used = S.clamp(S.with_default(F.col("n"), config.SERVE_DEFAULT_N),
                      config.SERVE_MIN_N, config.SERVE_MAX_N)
-    joined = requests.join(_lists_for(requests, lists), on="user_id", how="left")
+    side, n_ids = _lists_for(requests, lists)
+    # many requests for one user are joined in place, not shuffled together
+    joined = split_hot_join(requests, side, "user_id", how="left",
+                            side_rows=n_ids if n_ids <= config.BROADCAST_MAX_ROWS else None)
     recs = F.slice(F.col("recommendations"), 1, n_used)
     return joined.select(
         "user_id",
@@ -95,7 +101,7 @@ def unknown_users(requests: DataFrame, lists: DataFrame) -> DataFrame:
     the number of users with lists."""
     hint = hint_ids(lists)
     total = lists.count()  # one number; the store itself stays distributed
-    known = _lists_for(requests, lists).select("user_id")
+    known = _lists_for(requests, lists)[0].select("user_id")
     unknown = requests.select("user_id").distinct().join(known, "user_id", "left_anti")
     return unknown.select(
         "user_id",
