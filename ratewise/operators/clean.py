@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewise import config
+from ratewise.operators.skew import salted_join
 
 KEYS = ("UserId", "ProductId")
 
@@ -66,22 +67,16 @@ def keep_active(df: DataFrame, key: str, minimum: int,
     The reference's inner join on a unique key is a left-semi join: no
     column is added and no row is duplicated.
 
-    Hot keys are split off: a key with ``hot_rows`` rows or more is active
-    by definition, so its rows are kept by a broadcast semi join against
-    the hot-key set and never shuffled.  That set is bounded (at most
-    total rows / ``hot_rows`` keys).  Only the remaining rows, with the hot
-    keys removed by a broadcast anti join, are shuffled by key for the
-    semi join against the active keys, so no task receives a hot key's
-    rows.  AQE's skew split cannot do this here: one join input is an
-    aggregate, not a plain shuffle.
+    A key with ``hot_rows`` rows or more is hot: its rows are salted over
+    many shuffle partitions (``skew.salted_join``) instead of all landing in
+    one task; the hot-key set is bounded (at most total rows /
+    ``hot_rows`` keys).  AQE's skew split cannot do this here: one join
+    input is an aggregate, not a plain shuffle.
     """
     counts = counts_by(df, key)
-    hot_at = max(hot_rows, minimum)
-    hot = F.broadcast(counts.where(F.col("nb_avis") >= hot_at).select(key))
-    active = counts.where((F.col("nb_avis") >= minimum) & (F.col("nb_avis") < hot_at)).select(key)
-    hot_part = df.join(hot, on=key, how="left_semi")
-    cold_part = df.join(hot, on=key, how="left_anti").join(active, on=key, how="left_semi")
-    return hot_part.unionByName(cold_part)
+    hot = counts.where(F.col("nb_avis") >= max(hot_rows, minimum)).select(key)
+    active = counts.where(F.col("nb_avis") >= minimum).select(key)
+    return salted_join(df, active, key, "left_semi", hot)
 
 
 def clean_reviews(reviews: DataFrame,

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewise import config
+from ratewise.operators.skew import salted_join
 from ratewise.session import cut_lineage
 
 _POS_BITS = 33  # monotonically_increasing_id = partition id << 33 | position
@@ -42,18 +43,14 @@ class Dictionary:
         """Join the id onto ``df`` by label (``inner`` or ``left``).
 
         Below the size limit the whole dictionary is broadcast.  Above it,
-        rows of hot labels take a broadcast join against the hot entries;
-        the other rows, with hot labels removed first, are shuffled for a
-        sort-merge join, so no task receives a hot label's rows.
+        the sort-merge join is salted for the hot labels (known from the
+        build), so no task receives all of a hot label's rows.
         """
         if self.size <= config.BROADCAST_MAX_ROWS:
             return df.join(F.broadcast(self.table), on=self.label_col, how=how)
         if self.hot is None:
             return df.join(self.table, on=self.label_col, how=how)
-        hot = F.broadcast(self.hot)
-        hot_part = df.join(hot, on=self.label_col, how="inner")
-        rest = df.join(hot.select(self.label_col), on=self.label_col, how="left_anti")
-        return hot_part.unionByName(rest.join(self.table, on=self.label_col, how=how))
+        return salted_join(df, self.table, self.label_col, how, self.hot.select(self.label_col))
 
 
 def frequency_index(df: DataFrame, label_col: str, index_col: str,

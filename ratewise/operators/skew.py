@@ -1,12 +1,20 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
 ``df`` (many rows per key) joins ``side`` (one row per key).  If ``side`` is
-small enough it is simply broadcast.  Otherwise the keys with at least
-``hot_rows`` rows in ``df`` (found by a partial + final count, at most
-rows / ``hot_rows`` of them) are split off: their rows join the matching
-``side`` rows by broadcast, in place, and the remaining rows - hot keys
-removed by a broadcast anti join first - are shuffled by key for an
-ordinary sort-merge join.  No task ever receives a hot key's rows.
+small enough it is simply broadcast.  Otherwise the join is salted for hot
+keys only:
+
+* hot keys - keys with at least ``hot_rows`` rows in ``df``, found by a
+  partial + final count, so at most rows / ``hot_rows`` of them - are
+  broadcast as a flag table;
+* each row of a hot key gets a salt ``xxhash64(row) mod S`` (deterministic,
+  so a recomputed task produces the same salt); other rows get salt 0;
+* the ``side`` rows of hot keys are replicated once per salt, the rest once;
+* the join runs on ``(key, salt)``: a hot key's rows spread over ``S``
+  partitions, everything else joins exactly as before.
+
+``df`` is read once; the only extra work is a map-side hash probe and a
+bounded replication of ``side``.
 """
 
 from __future__ import annotations
@@ -23,6 +31,30 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = config.HOT_KEY_ROWS) -> Da
               .where(F.col("_n") >= hot_rows).select(key))
 
 
+def salt_buckets(df: DataFrame) -> int:
+    """Salts per hot key: the shuffle width, within [2, 1024]."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(2, min(parts, 1024))
+
+
+def salted_join(df: DataFrame, side: DataFrame, key: str, how: str, hot: DataFrame,
+                buckets: int | None = None) -> DataFrame:
+    """``df.join(side, key, how)`` (inner / left / left_semi) with the rows
+    of the ``hot`` keys (a bounded key table) spread over ``buckets``
+    partitions."""
+    s = buckets or salt_buckets(df)
+    flag = F.broadcast(hot.select(key).distinct().withColumn("_hot", F.lit(True)))
+    salted = (df.join(flag, on=key, how="left")
+                .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*df.columns), F.lit(s)))
+                                      .otherwise(F.lit(0)))
+                .drop("_hot"))
+    side_salted = (side.join(flag, on=key, how="left")
+                       .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(s - 1)))
+                                                       .otherwise(F.array(F.lit(0)))))
+                       .drop("_hot"))
+    return salted.join(side_salted, on=[key, "_salt"], how=how).drop("_salt")
+
+
 def split_hot_join(df: DataFrame, side: DataFrame, key: str, how: str = "inner",
                    side_rows: int | None = None,
                    hot_rows: int = config.HOT_KEY_ROWS) -> DataFrame:
@@ -33,8 +65,4 @@ def split_hot_join(df: DataFrame, side: DataFrame, key: str, how: str = "inner",
     """
     if side_rows is not None and side_rows <= config.BROADCAST_MAX_ROWS:
         return df.join(F.broadcast(side), on=key, how=how)
-    hot = F.broadcast(hot_keys(df, key, hot_rows))
-    hot_side = F.broadcast(side.join(hot, on=key, how="left_semi"))
-    hot_part = df.join(hot, on=key, how="left_semi").join(hot_side, on=key, how=how)
-    rest = df.join(hot, on=key, how="left_anti").join(side, on=key, how=how)
-    return hot_part.unionByName(rest)
+    return salted_join(df, side, key, how, hot_keys(df, key, hot_rows))

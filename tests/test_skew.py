@@ -32,16 +32,24 @@ def test_hot_keys_bounded(spark, skewed):
     assert [r.key for r in hot_keys(df, "key", 1000).collect()] == ["k0"]
 
 
-def test_hot_rows_take_the_broadcast_path(spark, skewed):
+def test_hot_rows_are_salted(spark, skewed):
     df, side = skewed
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         out = split_hot_join(df, side, "key", hot_rows=1000)
         plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
-        assert "BroadcastHashJoin LeftSemi" in plan and "BroadcastHashJoin LeftAnti" in plan
-        assert "SortMergeJoin Inner" in plan  # only the non-hot rest is shuffled
+        assert "BroadcastHashJoin LeftOuter" in plan        # hot flag, map side
+        assert "SortMergeJoin Inner" in plan and "_salt" in plan
+        # the hot key's rows are spread over many salts, in many partitions
+        from ratewise.operators.skew import salted_join, hot_keys
+        spread = (salted_join(df.withColumn("pid", F.spark_partition_id()), side, "key", "inner",
+                              hot_keys(df, "key", 1000), buckets=8)
+                  .where("key = 'k0'").select(F.spark_partition_id().alias("p")).distinct().count())
+        assert spread > 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
 def test_small_side_is_broadcast_whole(spark, skewed):
