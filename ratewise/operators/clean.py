@@ -3,9 +3,10 @@
 Shuffle plan of the chain (dedup -> user filter -> product filter):
 every aggregate is partial + final (map-side combine), so one hot user or
 product never ships its raw rows to a single task before being reduced;
-the semi joins keep Spark's sort-merge / broadcast choice and AQE's skew
-splitting.  The data is deliberately *not* pre-partitioned by user alone:
-that would put a hot user's whole raw history in one task.
+the semi joins salt their hot keys (``skew.salted_join``) so a key with a
+third of the rows is spread over many tasks.  The data is deliberately
+*not* pre-partitioned by user alone: that would put a hot user's whole raw
+history in one task.
 """
 
 from __future__ import annotations
