@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratewise import config
 
@@ -44,8 +45,10 @@ def salted_join(df: DataFrame, side: DataFrame, key: str, how: str, hot: DataFra
     partitions."""
     s = buckets or salt_buckets(df)
     flag = F.broadcast(hot.select(key).distinct().withColumn("_hot", F.lit(True)))
+    # the salt hashes the row's content (map columns cannot be hashed)
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
     salted = (df.join(flag, on=key, how="left")
-                .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*df.columns), F.lit(s)))
+                .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*hashable), F.lit(s)))
                                       .otherwise(F.lit(0)))
                 .drop("_hot"))
     side_salted = (side.join(flag, on=key, how="left")

@@ -57,3 +57,13 @@ def test_small_side_is_broadcast_whole(spark, skewed):
     out = split_hot_join(df, side, "key", side_rows=400)
     plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
     assert "LeftAnti" not in plan and "BroadcastHashJoin Inner" in plan
+
+
+def test_salt_ignores_map_columns(spark):
+    from ratewise.operators.skew import salted_join
+    df = spark.range(2000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("k0")).otherwise(F.lit("k1")).alias("key"),
+        F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    side = spark.createDataFrame([("k0", 1), ("k1", 2)], "key string, w int")
+    hot = spark.createDataFrame([("k0",)], "key string")
+    assert salted_join(df, side, "key", "inner", hot, buckets=4).count() == 2000
