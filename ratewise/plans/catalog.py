@@ -24,6 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def q_reviews_scan(spark: SparkSession, d: str) -> DataFrame:
+    """S-2 / S-3 / P-1 / F-4: the review fixture, four typed columns."""
     return fixtures.reviews(spark, d)
 
 
@@ -32,42 +33,52 @@ def _stages(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 
 
 def q_dedup_latest(spark: SparkSession, d: str) -> DataFrame:
+    """A-5: one row per (user, product), latest Time then higher Score."""
     return _stages(spark, d)["dedup"].select("UserId", "ProductId", "Score", "Time")
 
 
 def q_user_counts(spark: SparkSession, d: str) -> DataFrame:
+    """A-2: reviews per user after dedup."""
     return clean.counts_by(_stages(spark, d)["dedup"], "UserId")
 
 
 def q_product_counts(spark: SparkSession, d: str) -> DataFrame:
+    """A-3: reviews per product after the user filter."""
     return clean.counts_by(_stages(spark, d)["active_users"], "ProductId")
 
 
 def q_active_users(spark: SparkSession, d: str) -> DataFrame:
+    """P-8 / J-1: rows of users with at least 5 reviews."""
     return _stages(spark, d)["active_users"].select("UserId", "ProductId", "Score", "Time")
 
 
 def q_active_products(spark: SparkSession, d: str) -> DataFrame:
+    """J-2: then rows of products with at least 5 reviews."""
     return _stages(spark, d)["active_products"].select("UserId", "ProductId", "Score", "Time")
 
 
 def q_user_index(spark: SparkSession, d: str) -> DataFrame:
+    """R-1 / A-4 / K-2: the user dictionary (dense ids by frequency)."""
     return run_cleaning(fixtures.reviews(spark, d)).users.table
 
 
 def q_product_index(spark: SparkSession, d: str) -> DataFrame:
+    """R-2: the product dictionary."""
     return run_cleaning(fixtures.reviews(spark, d)).products.table
 
 
 def q_cleaned_ratings(spark: SparkSession, d: str) -> DataFrame:
+    """The flagship: the whole cleaning chain -> (user_idx, product_idx, Score)."""
     return run_cleaning(fixtures.reviews(spark, d)).ratings
 
 
 def q_cleaning_funnel(spark: SparkSession, d: str) -> DataFrame:
+    """A-1: row counts of every cleaning stage."""
     return run_cleaning(fixtures.reviews(spark, d)).funnel()
 
 
 def q_drop_nulls(spark: SparkSession, d: str) -> DataFrame:
+    """P-5 / P-6 / P-7: rows with a null or NaN in a rating column removed."""
     gaps = fixtures.reviews_with_gaps(spark, d)
     kept = clean.drop_nulls(gaps, ["UserId", "ProductId", "Score"])
     return clean.require_not_null(kept, ["UserId", "ProductId", "Score"])
@@ -95,10 +106,12 @@ def _ratings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_hash_split(spark: SparkSession, d: str) -> DataFrame:
+    """M-1: every cleaned rating with its split."""
     return split.assign_split(_ratings(spark, d))
 
 
 def q_split_counts(spark: SparkSession, d: str) -> DataFrame:
+    """M-1: rows per split."""
     return split.split_counts(_ratings(spark, d))
 
 
@@ -124,6 +137,7 @@ CANDIDATE_DAMPINGS = (0, 5, 20)
 
 
 def q_candidate_rmse(spark: SparkSession, d: str) -> DataFrame:
+    """A-6 / A-7 inputs: validation RMSE of the damped-mean candidates."""
     parts = split.split_frames(_ratings(spark, d))
     return evaluate.candidate_metrics(parts["train"], parts["validation"], CANDIDATE_DAMPINGS)
 
@@ -143,6 +157,7 @@ def q_best_candidate(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_events_json(spark: SparkSession, d: str) -> DataFrame:
+    """F-1: JSON text -> struct field over events.props."""
     ev = spark.read.parquet(f"{d}/events.parquet").select("event_id", "props")
     return ev.select("event_id", S.parse_json("props", "k int")["k"].alias("k"))
 
@@ -162,6 +177,7 @@ def q_known_event_users(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_topk_all(spark: SparkSession, d: str) -> DataFrame:
+    """R-3 / J-6 / F-15: top-5 items of every factor user."""
     users, items = fixtures.factor_fixture(spark, d)
     top = topk.top_k_by_dot(users, items, config.TOP_K, user_out="user_id", item_out="item_id")
     return top.select("user_id", "rank", "item_id", F.round("score", 4).alias("score"))
@@ -201,6 +217,7 @@ def _latest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_latest_lists(spark: SparkSession, d: str) -> DataFrame:
+    """A-12 / A-11: latest list per user, its batch and size."""
     lists = _latest(spark, d)
     return serve.list_sizes(lists.select("user_idx", "batch_id", "recommendations"),
                             keep=("batch_id",))
@@ -216,42 +233,51 @@ def _requests(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_serve_user(spark: SparkSession, d: str) -> DataFrame:
+    """V-2 / P-9 / R-5 / R-6 / F-5 / F-6 / F-8 / F-9 / F-14: lookups, one row per item."""
     return serve.lookup_items(_requests(spark, d), _latest(spark, d))
 
 
 def q_serve_unknown(spark: SparkSession, d: str) -> DataFrame:
+    """R-12: unknown requested users with the hint and the user total."""
     return serve.unknown_users(_requests(spark, d), _latest(spark, d))
 
 
 def q_serve_overview(spark: SparkSession, d: str) -> DataFrame:
+    """V-3 / R-9: the first 20 users with their first 5 labels."""
     ov = serve.overview(_latest(spark, d))
     return ov.select("user_idx", F.posexplode("top5").alias("pos", "product_id")).select(
         "user_idx", (F.col("pos") + 1).cast("int").alias("pos"), "product_id")
 
 
 def q_serve_users(spark: SparkSession, d: str) -> DataFrame:
+    """V-4 / R-8: user ids ascending, first 200."""
     return serve.user_directory(_latest(spark, d))
 
 
 def q_serve_random(spark: SparkSession, d: str) -> DataFrame:
+    """V-6 / R-11: one seeded random user."""
     return serve.random_user(_latest(spark, d))
 
 
 def q_display_table(spark: SparkSession, d: str) -> DataFrame:
+    """V-7 / R-6 / R-7: rank, label, score and bar percent."""
     return serve.display_rows(_latest(spark, d))
 
 
 def q_user_total(spark: SparkSession, d: str) -> DataFrame:
+    """A-9: users with a list."""
     return serve.user_total(_latest(spark, d))
 
 
 def q_status_row(spark: SparkSession, d: str) -> DataFrame:
+    """F-10: files (batches) produced and the run status."""
     store = factor_store(spark, d)
     n = store.agg(F.countDistinct("batch_id").alias("fichiers_generes"))
     return n.select("fichiers_generes", S.run_status(F.col("fichiers_generes")).alias("statut"))
 
 
 def q_list_sizes_sample(spark: SparkSession, d: str) -> DataFrame:
+    """R-10: the report's sample of users with list sizes."""
     return serve.sample_sizes(_latest(spark, d))
 
 
@@ -334,15 +360,18 @@ def _records(spark: SparkSession, d: str) -> dict[str, str]:
 
 
 def q_health(spark: SparkSession, d: str) -> DataFrame:
+    """V-1: health row over a written store."""
     return report.health(spark, _records(spark, d)["lists"])
 
 
 def q_stats(spark: SparkSession, d: str) -> DataFrame:
+    """V-5: stats row (users, metrics text, report, model, status)."""
     r = _records(spark, d)
     return report.stats(spark, r["lists"], r["metrics"], r["report"])
 
 
 def q_run_report(spark: SparkSession, d: str) -> DataFrame:
+    """V-9 / F-12 / K-7: the run report, model part read from the metrics record."""
     r = _records(spark, d)
     return report.run_report(spark, records.read_metrics(spark, r["metrics"]), r["lists"])
 
