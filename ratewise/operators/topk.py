@@ -89,6 +89,17 @@ def _blocks(n: int, block_rows: int) -> int:
     return max(1, math.ceil(n / block_rows))
 
 
+_MIN_USER_BLOCK = 256
+
+
+def _user_blocks(n_users: int, block_rows: int, parallelism: int) -> int:
+    """At most ``block_rows`` users per block, and at least one block per
+    core while blocks keep ``_MIN_USER_BLOCK`` users (so a mid-size input
+    is not scored by a single task)."""
+    return max(_blocks(n_users, block_rows),
+               min(parallelism, max(1, n_users // _MIN_USER_BLOCK)))
+
+
 def top_k_by_dot(users: DataFrame, items: DataFrame, k: int = config.TOP_K, *,
                  user_col: str = "id", item_col: str = "id", vec_col: str = "features",
                  user_out: str = "user", item_out: str = "item",
@@ -100,7 +111,7 @@ def top_k_by_dot(users: DataFrame, items: DataFrame, k: int = config.TOP_K, *,
         n_users = users.count()
     if n_items is None:
         n_items = items.count()
-    nb_u = _blocks(n_users, block_rows)
+    nb_u = _user_blocks(n_users, block_rows, users.sparkSession.sparkContext.defaultParallelism)
     nb_i = _blocks(n_items, block_rows)
     u = (users.select(F.col(user_col).cast("long").alias("_u"), F.col(vec_col).alias("_v"))
               .withColumn("_ub", F.pmod(F.xxhash64("_u"), F.lit(nb_u)).cast("int"))
