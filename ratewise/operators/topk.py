@@ -144,8 +144,10 @@ def prepare_items(items: DataFrame, *, item_col: str = "id", vec_col: str = "fea
                   block_rows: int = config.TOPK_BLOCK_ROWS,
                   partitions: int | None = None) -> PreparedItems:
     n_items = items.count()
-    nb_i = _blocks(n_items, block_rows)
     parts = partitions or items.sparkSession.sparkContext.defaultParallelism
+    # at least one item block per core: a micro-batch's few users are sent
+    # to every block, so its scoring runs on all cores
+    nb_i = max(_blocks(n_items, block_rows), min(parts, max(1, n_items // _MIN_USER_BLOCK)))
     i = F.col("_i")
     table = (items.select(F.col(item_col).cast("long").alias("_i"), F.col(vec_col).alias("_v"))
                   .withColumn("_ib", F.pmod(F.xxhash64(i), F.lit(nb_i)).cast("int"))
