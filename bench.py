@@ -91,8 +91,7 @@ def main() -> None:
     n_raw = raw.count()
     stages = C.clean_reviews(raw)
     active = timed("clean_filter", lambda: cut_lineage(stages["active_products"]))
-    dicts = timed("dictionaries", lambda: (encode.frequency_index(active, "UserId", "user_idx"),
-                                           encode.frequency_index(active, "ProductId", "product_idx")))
+    dicts = timed("dictionaries", lambda: encode.build_dictionaries(active))
 
     def encode_write():
         users, products = dicts

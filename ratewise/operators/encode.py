@@ -14,6 +14,7 @@ give each partition its starting offset -> id = offset + position.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -80,13 +81,22 @@ def frequency_index(df: DataFrame, label_col: str, index_col: str,
     return Dictionary(table=table, size=total, label_col=label_col, index_col=index_col, hot=hot)
 
 
+def build_dictionaries(df: DataFrame, hot_rows: int = config.HOT_KEY_ROWS
+                       ) -> tuple[Dictionary, Dictionary]:
+    """R-1 and R-2: the user and product dictionaries, built as two
+    concurrent jobs over the same (checkpointed) input."""
+    with ThreadPoolExecutor(2) as pool:
+        fu = pool.submit(frequency_index, df, "UserId", "user_idx", hot_rows)
+        fp = pool.submit(frequency_index, df, "ProductId", "product_idx", hot_rows)
+        return fu.result(), fp.result()
+
+
 def encode_ratings(df: DataFrame, hot_rows: int = config.HOT_KEY_ROWS
                    ) -> tuple[DataFrame, Dictionary, Dictionary]:
     """R-1 + R-2 + casts: ``(user_idx int, product_idx int, Score float)``
     plus both dictionaries (the product one is saved too, unlike the
     reference, so ids can be mapped back)."""
-    users = frequency_index(df, "UserId", "user_idx", hot_rows)
-    products = frequency_index(df, "ProductId", "product_idx", hot_rows)
+    users, products = build_dictionaries(df, hot_rows)
     out = products.attach(users.attach(df))
     out = out.select("user_idx", "product_idx", F.col("Score").cast("float").alias("Score"))
     return out, users, products
