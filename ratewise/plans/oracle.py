@@ -249,6 +249,13 @@ SELECT fichiers_generes, CASE WHEN fichiers_generes = 0 THEN 'AVERTISSEMENT' ELS
 FROM (SELECT count(DISTINCT batch_id) AS fichiers_generes FROM store) f"""
     q["list_sizes_sample"] = store + """
 SELECT user_idx, n_items FROM sized ORDER BY user_idx LIMIT 5"""
+    q["stream_batches"] = CLEAN_CHAIN.rstrip() + "," + _MESSAGES + """,
+sliced AS (
+  SELECT m.*, (m.event_id * 4) // (SELECT max(event_id) + 1 FROM events) AS batch_id
+  FROM messages m)
+SELECT CAST(batch_id AS BIGINT) AS batch_id, count(*) AS received, CAST(0 AS BIGINT) AS malformed,
+       count(DISTINCT u.user_idx) AS known_users
+FROM sliced LEFT JOIN uidx u USING (UserId) GROUP BY batch_id"""
     q["csv_scan"] = \
         _with(_REVIEWS) + "SELECT UserId, ProductId, Score, Time FROM reviews"
     q["ratings_roundtrip"] = CLEAN_CHAIN + "SELECT user_idx, product_idx, Score FROM ratings"
