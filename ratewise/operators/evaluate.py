@@ -73,27 +73,47 @@ def predict_with(table: DataFrame, df: DataFrame, item: str = "product_idx") ->
     return split_hot_join(df, table, item, how="left")
 
 
-def candidate_metrics(train: DataFrame, validation: DataFrame,
-                      dampings: Sequence[float], item: str = "product_idx",
-                      label: str = "Score", digits: int = 6) -> DataFrame:
-    """Validation RMSE of each damped-mean candidate, one row each.
-
-    One pass for all candidates: the per-item (sum, count) table is built
-    once, joined to the validation rows once, and every candidate's squared
-    error is a column of the same aggregate.
+def candidate_table(train: DataFrame, held: DataFrame, dampings: Sequence[float],
+                    item: str = "product_idx", label: str = "Score",
+                    digits: int = 6) -> DataFrame:
+    """RMSE of every damped-mean candidate on every split of ``held``
+    (a ``split`` column): rows ``(split, candidate, damping, rmse)``.
+
+    One pass for all candidates and splits: the per-item (sum, count)
+    table is built once, joined once (popular items salted), and every
+    candidate's squared error is a column of one aggregate by split.
     """
     mu = train.agg(F.avg(F.col(label).cast("double")).alias("mu")).first()["mu"]
     stats = train.groupBy(item).agg(F.sum(F.col(label).cast("double")).alias("_s"),
                                      F.count(F.lit(1)).alias("_n"))
-    j = split_hot_join(validation, stats, item, how="left")
+    j = split_hot_join(held, stats, item, how="left")
     y = F.col(label).cast("double")
     aggs = []
     for i, d in enumerate(dampings):
         pred = (F.col("_s") + F.lit(d * mu)) / (F.col("_n") + F.lit(d))
         aggs.append(F.round(F.sqrt(F.avg(F.pow(y - pred, 2))), digits).alias(f"_r{i}"))
-    one = j.agg(*aggs)
+    per_split = j.groupBy("split").agg(*aggs)
     rows = F.array(*[F.struct(F.lit(i).cast("int").alias("candidate"),
                               F.lit(int(d)).cast("int").alias("damping"),
-                              F.col(f"_r{i}").alias("rmse_validation"))
+                              F.col(f"_r{i}").alias("rmse"))
                      for i, d in enumerate(dampings)])
-    return one.select(F.inline(rows))
+    return per_split.select("split", F.inline(rows))
+
+
+def candidate_metrics(train: DataFrame, validation: DataFrame,
+                      dampings: Sequence[float], item: str = "product_idx",
+                      label: str = "Score", digits: int = 6) -> DataFrame:
+    """Validation RMSE of each damped-mean candidate, one row each."""
+    held = validation.withColumn("split", F.lit("validation"))
+    return (candidate_table(train, held, dampings, item, label, digits)
+            .select("candidate", "damping", F.col("rmse").alias("rmse_validation")))
+
+
+def best_with_test(table: DataFrame) -> DataFrame:
+    """A-7 then M-6 from a ``candidate_table`` over validation and test:
+    the least validation RMSE wins (first on a tie), reported with its
+    test RMSE."""
+    wide = table.groupBy("candidate", "damping").agg(
+        F.max(F.when(F.col("split") == "validation", F.col("rmse"))).alias("rmse_validation"),
+        F.max(F.when(F.col("split") == "test", F.col("rmse"))).alias("rmse_test"))
+    return pick_best(wide)

@@ -143,17 +143,14 @@ def q_candidate_rmse(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_best_candidate(spark: SparkSession, d: str) -> DataFrame:
-    """A-7 then one test evaluation of the chosen candidate (M-6 form)."""
-    parts = split.split_frames(_ratings(spark, d))
-    metrics = evaluate.candidate_metrics(parts["train"], parts["validation"], CANDIDATE_DAMPINGS)
-    best = evaluate.pick_best(metrics).first()
-    table = evaluate.item_mean_predictor(parts["train"], float(best["damping"]))
-    test = evaluate.rmse_frame(evaluate.predict_with(table, parts["test"]))
-    return test.select(
-        F.lit(best["candidate"]).cast("int").alias("candidate"),
-        F.lit(best["damping"]).cast("int").alias("damping"),
-        F.lit(best["rmse_validation"]).cast("double").alias("rmse_validation"),
-        F.col("rmse").alias("rmse_test"))
+    """A-7 then one test evaluation of the chosen candidate (M-6 form);
+    every candidate is scored on validation and test in one pass."""
+    labelled = split.assign_split(_ratings(spark, d))
+    train = labelled.where(F.col("split") == "train")
+    held = labelled.where(F.col("split") != "train")
+    table = evaluate.candidate_table(train, held, CANDIDATE_DAMPINGS)
+    return evaluate.best_with_test(table).select(
+        "candidate", "damping", "rmse_validation", "rmse_test")
 
 
 def q_events_json(spark: SparkSession, d: str) -> DataFrame:
