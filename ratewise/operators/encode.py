@@ -26,6 +26,7 @@ from ratewise.operators.skew import salted_join
 from ratewise.session import cut_lineage
 
 _POS_BITS = 33  # monotonically_increasing_id = partition id << 33 | position
+_LITERAL_OFFSETS_MAX = 1024  # beyond this many partitions, offsets are a broadcast table
 
 
 @dataclass
@@ -71,11 +72,17 @@ def frequency_index(df: DataFrame, label_col: str, index_col: str,
     n_parts = max(sizes) + 1 if sizes else 0
     starts = [0] + list(accumulate(sizes.get(p, 0) for p in range(n_parts)))[:-1]
     total = sum(sizes.values())
-    # partition start offsets as a literal array: a JVM expression, no join
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in starts] or [F.lit(0).cast("long")]),
-                          F.col("_pid") + 1)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    ided = tagged.select(label_col, "_n", (offset + pos).cast("int").alias(index_col))
+    if n_parts <= _LITERAL_OFFSETS_MAX:
+        # partition start offsets as a literal array: a JVM expression, no join
+        offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in starts]
+                                      or [F.lit(0).cast("long")]), F.col("_pid") + 1)
+        ided = tagged.select(label_col, "_n", (offset + pos).cast("int").alias(index_col))
+    else:
+        # many partitions: a broadcast table with one row per partition
+        offsets = df.sparkSession.createDataFrame(list(enumerate(starts)), "_pid int, _off long")
+        ided = (tagged.join(F.broadcast(offsets), "_pid")
+                      .select(label_col, "_n", (F.col("_off") + pos).cast("int").alias(index_col)))
     table = ided.select(label_col, index_col)
     hot = ided.where(F.col("_n") >= hot_rows).select(label_col, index_col)
     return Dictionary(table=table, size=total, label_col=label_col, index_col=index_col, hot=hot)

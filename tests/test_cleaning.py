@@ -62,8 +62,11 @@ def test_index_equals_string_indexer(spark):
         assert mine.count() == ref.count()
 
 
-def test_index_dense_across_partitions(spark):
-    # many partitions in the sort: ids must still be 0..n-1 without gaps
+@pytest.mark.parametrize("literal_max", [1024, 2])
+def test_index_dense_across_partitions(spark, monkeypatch, literal_max):
+    # many partitions in the sort: ids must still be 0..n-1 without gaps,
+    # with the offsets as a literal array or as a broadcast table
+    monkeypatch.setattr(encode, "_LITERAL_OFFSETS_MAX", literal_max)
     spark.conf.set("spark.sql.shuffle.partitions", "13")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
