@@ -41,6 +41,8 @@ REPORT_PIPELINE_LABEL = "Kafka -> Spark ALS -> Recommandations"
 REPORT_ALGORITHM = "ALS (Alternating Least Squares)"
 REPORT_TRAIN_LABEL = "80% du dataset"
 REPORT_TEST_LABEL = "10% donnees non vues"
+UNKNOWN_USER_ERROR = "Utilisateur {user_id} non trouvé dans les recommandations."
+UNKNOWN_USER_HINT = "Essayez un de ces user_idx disponibles : {ids}"
 HEALTH_STATUS = "ok"
 HEALTH_MESSAGE = "API de recommandation opérationnelle"
 METRICS_MISSING_TEXT = "Fichier resultats_rmse.txt non trouvé"

@@ -98,16 +98,22 @@ def lookup_items(requests: DataFrame, lists: DataFrame) -> DataFrame:
 
 def unknown_users(requests: DataFrame, lists: DataFrame) -> DataFrame:
     """R-12: requests with no list, each with the hint of available ids and
-    the number of users with lists."""
+    the number of users with lists, plus the error and hint texts of the
+    lookup response (the ids listed as quoted strings, as the reference
+    printed them)."""
     hint = hint_ids(lists)
     total = lists.count()  # one number; the store itself stays distributed
     known = _lists_for(requests, lists)[0].select("user_id")
     unknown = requests.select("user_id").distinct().join(known, "user_id", "left_anti")
+    quoted = "[" + ", ".join(f"'{h}'" for h in hint) + "]"
+    err_head, err_tail = config.UNKNOWN_USER_ERROR.split("{user_id}")
     return unknown.select(
         "user_id",
         F.lit("unknown").alias("status"),
         F.lit(", ".join(str(h) for h in hint)).alias("hint"),
-        F.lit(total).cast("long").alias("total_users"))
+        F.lit(total).cast("long").alias("total_users"),
+        F.concat(F.lit(err_head), F.col("user_id").cast("string"), F.lit(err_tail)).alias("error"),
+        F.lit(config.UNKNOWN_USER_HINT.format(ids=quoted)).alias("hint_text"))
 
 
 def overview(lists: DataFrame, limit: int | None = config.OVERVIEW_DEFAULT_LIMIT) -> DataFrame:

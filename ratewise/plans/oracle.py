@@ -227,7 +227,11 @@ JOIN sized s ON s.user_idx = u.user_id""".replace("store +", "")
 SELECT r.user_id, 'unknown' AS status,
        (SELECT string_agg(CAST(user_idx AS VARCHAR), ', ' ORDER BY user_idx)
         FROM (SELECT user_idx FROM sized ORDER BY user_idx LIMIT 10) h) AS hint,
-       (SELECT count(*) FROM sized) AS total_users
+       (SELECT count(*) FROM sized) AS total_users,
+       'Utilisateur ' || CAST(r.user_id AS VARCHAR) || ' non trouvé dans les recommandations.' AS error,
+       'Essayez un de ces user_idx disponibles : [' ||
+         (SELECT string_agg(chr(39) || CAST(user_idx AS VARCHAR) || chr(39), ', ' ORDER BY user_idx)
+          FROM (SELECT user_idx FROM sized ORDER BY user_idx LIMIT 10) h) || ']' AS hint_text
 FROM requests r WHERE r.user_id NOT IN (SELECT user_idx FROM sized)"""
     q["serve_overview"] = store + """
 SELECT l.user_idx, l.rk AS pos, 'Product_' || CAST(l.product_idx AS VARCHAR) AS product_id
