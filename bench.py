@@ -130,7 +130,7 @@ def main() -> None:
     clean_sec = times["clean_filter"] + times["dictionaries"] + times["encode_write"]
     print(json.dumps({"metric": "end_to_end_sec", "value": total, "unit": "sec",
                       "queries": times, "sf": _sf(sf_dir),
-                      "cpus": int(cpus),
+                      "cpus": int(cpus), "spark": spark.version, "warm_up": os.path.isdir(warm),
                       "rows": {"raw_reviews": n_raw, "cleaned": n_ratings, "messages": n_msgs},
                       "throughput": {
                           "clean_rows_per_sec": round(n_raw / clean_sec, 1),
