@@ -8,11 +8,13 @@ share a key are candidates, and the bits decide.  More parts give longer
 keys; the number of parts follows the number of distinct fingerprints
 (any choice finds the same links).
 
-A key that very many distinct fingerprints share (a large group of near
-copies) isn't joined with itself.  Its fingerprints are linked through
-their balls instead: two values at distance 4 or less have a common value
-within 2 bits of both, so every such fingerprint points at the 2081 values
-around it, and fingerprints that meet in a value are candidates for the
+Each fingerprint is first linked to a few near members of its keys; only keys
+whose members these links leave in different components are joined with
+themselves, the members outside the largest component with all.  Where there
+are very many such members, they aren't joined either: the key's fingerprints
+are linked through their balls.  Two values at distance 4 or less have a
+common value within 2 bits of both, so every such fingerprint points at the
+2081 values around it, and fingerprints that meet in a value are linked to the
 smallest one there.  That is linear in the group and finds the same
 components.
 
@@ -40,7 +42,7 @@ from ratewise.llm.common import cut, join_spread, slices
 SHINGLE_WORDS = 4
 MAX_BITS = 4
 HASH_SEED = 42
-CROWDED = 64  # distinct fingerprints of one key beyond which balls are used
+CROWDED = 256  # members of one key outside its largest component, beyond which balls are used
 SLICE_BYTES = 1 << 20
 
 
@@ -80,9 +82,9 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
 def block_plan(n: int, max_bits: int = MAX_BITS) -> list[list[tuple[int, int]]]:
     """Keys as lists of (shift, width): every choice of ``blocks - max_bits``
     of the parts.  The least number of parts whose keys spread ``n``
-    fingerprints over more values than there are fingerprints."""
+    fingerprints over at least twice as many values as there are fingerprints."""
     blocks = max_bits + 1
-    while blocks < max_bits + 4 and (64 // blocks) * (blocks - max_bits) < max(n, 1).bit_length() + 1:
+    while blocks < max_bits + 4 and (64 // blocks) * (blocks - max_bits) < max(n, 1).bit_length() + 2:
         blocks += 1
     edges = [64 * k // blocks for k in range(blocks + 1)]
     parts = [(edges[k], edges[k + 1] - edges[k]) for k in range(blocks)]
@@ -132,31 +134,51 @@ def _ball_links(crowd: DataFrame, max_bits: int) -> DataFrame:
 
 def links(prints: DataFrame, max_bits: int = MAX_BITS, crowded: int = CROWDED) -> DataFrame:
     """Links (a, b) between distinct fingerprints ``prints`` (fp) whose
-    components are those of all pairs within ``max_bits``."""
-    keyed = cut(_keys(prints, block_plan(prints.count(), max_bits)), "keys")
-    sizes = cut(keyed.groupBy("slot", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
-    few = keyed.join(sizes.where(F.col("n") <= crowded), ["slot", "key"]).select("slot", "key", "fp")
-    few = cut(few, "few")
-    other = few.select("slot", "key", F.col("fp").alias("b"))
+    components are those of all pairs within ``max_bits``.
+
+    First every fingerprint is linked to near anchors of its keys: for each of
+    four kinds of anchor (smallest, largest, and so by hash) one link at most.
+    What these links connect needs no more of them, so pairs are only sought in
+    keys whose members are still in different components, and only between
+    those."""
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    pairs = few.withColumnRenamed("fp", "a").join(other, ["slot", "key"]).where((F.col("a") < F.col("b")) & near)
-    found = pairs.select("a", "b").distinct()
-    crowd = cut(sizes.where(F.col("n") > crowded).select("slot", "key"), "crowds")
-    if not crowd.isEmpty():
-        inside = cut(keyed.join(crowd, ["slot", "key"], "left_semi").select("fp").distinct(), "crowd")
-        found = found.unionByName(_ball_links(inside, max_bits)).distinct()
+    keyed = cut(_keys(prints, block_plan(prints.count(), max_bits)), "keys")
+    other = F.struct(F.xxhash64("fp").alias("h"), F.col("fp").alias("fp"))
+    anchors = F.array(F.min("fp"), F.max("fp"), F.min(other)["fp"], F.max(other)["fp"])
+    shared = cut(keyed.groupBy("slot", "key").agg(F.count(F.lit(1)).alias("n"), anchors.alias("anchors"))
+                 .where("n > 1").drop("n"), "shared")
+    members = cut(keyed.join(shared.hint("merge"), ["slot", "key"]).withColumnRenamed("fp", "b"), "members")
+    found = F.transform("anchors", lambda a, i: F.struct(i.alias("which"), a.alias("a")))
+    found = F.filter(found, lambda x: (x["a"] != F.col("b")) & (F.bit_count(x["a"].bitwiseXOR(F.col("b"))) <= max_bits))
+    star = (members.select("b", F.explode(found).alias("x")).groupBy("b", "x.which").agg(F.min("x.a").alias("a")))
+    star = cut(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "star")
+    group = spread_labels(star).select(F.col("fp").alias("b"), "label")
+    placed = cut(members.join(group, "b", "left").select("slot", "key", "b", F.coalesce("label", "b").alias("group")), "placed")
+    sizes = placed.groupBy("slot", "key", "group").agg(F.count(F.lit(1)).alias("n"))
+    mixed = cut(sizes.groupBy("slot", "key").agg(F.max(F.struct("n", "group")).alias("top"), F.sum("n").alias("n"),
+                                                 F.count(F.lit(1)).alias("groups")).where("groups > 1")
+                .select("slot", "key", F.col("top.group").alias("main"), (F.col("n") - F.col("top.n")).alias("others")), "mixed")
+    still = cut(placed.join(mixed.hint("merge"), ["slot", "key"]), "still")
+    # of two members in different components one isn't in the key's largest
+    few = still.where(F.col("others") <= crowded)
+    left = few.where(F.col("group") != F.col("main")).select("slot", "key", F.col("b").alias("a"), F.col("group").alias("own"))
+    pairs = (left.join(few.select("slot", "key", "b", "group").hint("merge"), ["slot", "key"])
+             .where((F.col("own") != F.col("group")) & near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    found = star.unionByName(pairs.distinct())
+    inside = cut(still.where(F.col("others") > crowded).select(F.col("b").alias("fp")).distinct(), "crowd")
+    if not inside.isEmpty():
+        found = found.unionByName(_ball_links(inside, max_bits))
     return cut(found, "links")
 
 
-def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(fp, label): the smallest ``doc`` reachable from each linked node.
+def spread_labels(edges: DataFrame) -> DataFrame:
+    """(fp, label): the smallest node reachable from each linked node.
 
-    ``nodes``: (fp, doc), a cut table; ``edges``: (a, b), a cut table.  Each
-    round takes the least label among the neighbours' and then the label of
-    the label's own node, until no label changes."""
+    ``edges``: (a, b), a cut table.  Each round takes the least label among the
+    neighbours' and then the label of the label's own node, until no label
+    changes."""
     both = cut(edges.select(F.col("a").alias("fp"), F.col("b").alias("to"))
                .unionByName(edges.select(F.col("b").alias("fp"), F.col("a").alias("to"))).distinct(), "edges")
-    # labels are fingerprints (unique per node); docs are looked up at the end
     label = cut(both.groupBy("fp").agg(F.min("to").alias("m")).select("fp", F.least("fp", "m").alias("label")), "label")
     while True:
         seen = both.join(label.withColumnRenamed("fp", "to"), "to").groupBy("fp").agg(F.min("label").alias("m"))
@@ -166,7 +188,13 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         changed = not after.where("m < label").isEmpty()
         label = after.select("fp", F.col("m").alias("label"))
         if not changed:
-            break
+            return label
+
+
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(fp, label): the smallest ``doc`` reachable from each linked node of
+    ``nodes`` (fp, doc), a cut table."""
+    label = spread_labels(edges)
     docs = label.join(nodes, "fp").groupBy("label").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("n"))
     return join_spread(label, cut(docs, "docs"), ["label"], "n").select("fp", F.col("doc").alias("label"))
 

@@ -41,13 +41,13 @@ def brute(rows, max_bits=4):
                   key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("crowded", [1, 64])
+@pytest.mark.parametrize("crowded", [0, 256])
 def test_groups_equal_brute_force(odd_docs, rows_of, crowded):
     got = rows_of(simhash.near_groups(odd_docs, crowded=crowded), "doc_id", "fingerprint", "component_id")
     assert got == brute([(r.doc_id, r.text) for r in odd_docs.collect()])
 
 
-@pytest.mark.parametrize("crowded", [2, 1000])
+@pytest.mark.parametrize("crowded", [1, 1000])
 def test_chains_and_crowds(spark, crowded):
     """Random values, chains 4 bits apart, pairs 5 bits apart, dense balls."""
     rnd = random.Random(7)
