@@ -43,13 +43,14 @@ from pyspark.sql import functions as F
 
 from ratewise.llm.common import crc_mod, cut, slices
 
-HOT_SHARE = 50_000
+HOT_SHARE = 400_000
 CLASSES = 15
 EM_STEPS = 2
 SMOOTHING = 0.01
 SLICE_BYTES = 1 << 20
-HELD_WORDS = 300_000  # distinct words a task holds before it passes their counts on
+HELD_WORDS = 500_000  # distinct words a task holds before it passes their counts on
 END = b""  # the end token; no word is empty
+PART = 40  # characters
 SPACE = "▁"  # stands before each word in the vocabulary
 LOG10 = math.log(10)
 
@@ -158,12 +159,6 @@ class PieceWeights:
             return PieceWeights(np.log(np.vstack([p / p.sum(axis=0), np.zeros((1, p.shape[1]))])))
 
 
-def _spelled(weights: np.ndarray, width: np.ndarray, classes) -> np.ndarray:
-    """Log probability of a character as free bytes: words x characters [x classes]."""
-    return weights[-3][classes] - width[..., None] * math.log(256) if classes is Ellipsis else (
-        weights[-3][classes][:, None] - width * math.log(256))
-
-
 def lattice_scores(words: list[str], vocabulary: Vocabulary, weights: PieceWeights) -> np.ndarray:
     """Natural-log probability of each word, per class: the forward recursion
     over all segmentations of the word with its leading space."""
@@ -171,7 +166,7 @@ def lattice_scores(words: list[str], vocabulary: Vocabulary, weights: PieceWeigh
     log = weights.log
     for at, codes, width in _by_length([SPACE + w for w in words], vocabulary.longest):
         n, arcs = codes.shape[1], vocabulary.arcs(codes)
-        spelled = _spelled(log, width, ...)
+        spelled = log[-3] - width[..., None] * math.log(256)  # characters as free bytes
         forward = np.full((n + 1, *out[at].shape), -np.inf)
         forward[0] = 0
         for j in range(1, n + 1):
@@ -185,30 +180,38 @@ def lattice_scores(words: list[str], vocabulary: Vocabulary, weights: PieceWeigh
 
 def expected_uses(words: list[str], classes: np.ndarray, vocabulary: Vocabulary, weights: PieceWeights) -> np.ndarray:
     """Expected number of uses of each event in the lattices of the words,
-    each word under the class beside it: (pieces + 2, classes)."""
-    log, k_all = weights.log, weights.log.shape[1]
+    each word under the class beside it: (pieces + 2, classes).  Longer words
+    are counted in parts of ``PART`` characters, whose probabilities need no
+    logarithms."""
+    p, k_all = np.exp(weights.log), weights.log.shape[1]
     events = len(vocabulary.pieces) + 2
     total = np.zeros(events * k_all)
-    for at, codes, width in _by_length([SPACE + w for w in words], vocabulary.longest):
+    parts = [(SPACE + w, k) for w, k in zip(words, classes.tolist())]
+    parts = [(w[a:a + PART], k) for w, k in parts for a in range(0, len(w), PART)]
+    classes = np.array([k for _, k in parts])
+    for at, codes, width in _by_length([w for w, _ in parts], vocabulary.longest):
         n, arcs, own = codes.shape[1], vocabulary.arcs(codes), classes[at]
-        cost = [log[a, own[:, None]] for a in arcs]  # words x starts
-        spelled = _spelled(log, width, own)
-        forward = np.full((n + 1, len(at)), -np.inf)
-        forward[0] = 0
+        use = [p[a, own[:, None]] for a in arcs]  # words x starts
+        spelled = p[-3][own][:, None] * np.exp(-width * math.log(256))
+        forward = np.zeros((n + 1, len(at)))
+        forward[0] = 1
         for j in range(1, n + 1):
-            terms = [forward[j - k] + cost[k - 1][:, j - k] for k in range(1, min(j, len(arcs)) + 1)]
-            forward[j] = _log_sum(np.stack([*terms, forward[j - 1] + spelled[:, j - 1]]))
-        backward = np.full((n + 1, len(at)), -np.inf)
-        backward[n] = 0
+            forward[j] = forward[j - 1] * spelled[:, j - 1]
+            for k in range(1, min(j, len(arcs)) + 1):
+                forward[j] += forward[j - k] * use[k - 1][:, j - k]
+        backward = np.zeros((n + 1, len(at)))
+        backward[n] = 1
         for i in range(n - 1, -1, -1):
-            terms = [backward[i + k] + cost[k - 1][:, i] for k in range(1, min(n - i, len(arcs)) + 1)]
-            backward[i] = _log_sum(np.stack([*terms, backward[i + 1] + spelled[:, i]]))
-        whole = forward[n][:, None]
-        for k, (arc, c) in enumerate(zip(arcs, cost), start=1):
-            share = np.exp(forward[:n + 1 - k].T + c + backward[k:].T - whole)
+            backward[i] = backward[i + 1] * spelled[:, i]
+            for k in range(1, min(n - i, len(arcs)) + 1):
+                backward[i] += backward[i + k] * use[k - 1][:, i]
+        sound = forward[n] > 0  # else too small a number: the part counts as free bytes
+        whole = np.where(sound, forward[n], np.inf)[:, None]
+        for k, (arc, u) in enumerate(zip(arcs, use), start=1):
             used = arc >= 0
+            share = forward[:n + 1 - k].T * u * backward[k:].T / whole
             total += np.bincount((arc * k_all + own[:, None])[used], weights=share[used], minlength=len(total))
-        share = np.exp(forward[:n].T + spelled + backward[1:].T - whole).sum(axis=1)
+        share = (forward[:n].T * spelled * backward[1:].T / whole).sum(axis=1) + np.where(sound, 0, n)
         total += np.bincount((events - 2) * k_all + own, weights=share, minlength=len(total))
         total += np.bincount((events - 1) * k_all + own, minlength=len(total))
     return total.reshape(events, k_all)
@@ -306,12 +309,13 @@ def _word_table(counts: DataFrame, vocabulary_path: str, weights: PieceWeights,
     return table.mapInArrow(run, "word binary, n_all bigint, c bigint, score array<float>")
 
 
-def _hot_and_rare(docs: DataFrame, hot: list, k_all: int) -> DataFrame:
+def _hot_and_rare(docs: DataFrame, hot: pa.Table, k_all: int) -> DataFrame:
     """Per document a row with its hot words summed up (word null), and a row
-    per distinct rarer word.  ``docs``: doc_id, held_out, text (UTF-8)."""
-    index = {bytes(r["word"]): i for i, r in enumerate(hot)}
-    c = np.array([r["c"] for r in hot] + [0], dtype=np.int64)
-    score = np.array([r["score"] for r in hot] + [[0.0] * k_all])
+    per distinct rarer word.  ``docs``: doc_id, held_out, text (UTF-8);
+    ``hot``: word, c, score."""
+    index = {w: i for i, w in enumerate(hot["word"].to_pylist())}
+    c = np.append(hot["c"].to_numpy(), 0)
+    score = np.append(np.array(hot["score"].to_pylist()).reshape(-1, k_all), np.zeros((1, k_all)), axis=0)
     shared = docs.sparkSession.sparkContext.broadcast((index, c, score))
     kinds = [("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("word", pa.binary()), ("n", pa.int64()),
              ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.list_(pa.float64()))]
@@ -351,11 +355,12 @@ def lattice_lm(docs: DataFrame, vocabulary_path: str, folds: int = 7, held_out:
                        F.coalesce(fold != held_out, F.lit(False)).alias("train"))
     # the most frequent languages; one class for the others, if any
     share = rows.where("train").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    top = share.orderBy(F.desc("n"), "lang").limit(max_classes).collect()
+    top = share.orderBy(F.desc("n"), "lang").limit(max_classes + 1).collect()
+    more, top = len(top) > max_classes or not top, top[:max_classes]
     of = F.lit(len(top))
     for k, r in enumerate(top):
         of = F.when(F.col("lang").eqNullSafe(F.lit(r["lang"]).cast("string")), F.lit(k)).otherwise(of)
-    k_all = len(top) + 1
+    k_all = len(top) + more
     counts = cut(_word_counts(rows.select("text", F.when(F.col("train"), of).otherwise(-1).cast("int").alias("class"))), "counts")
 
     sums = counts.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("types"),
@@ -369,7 +374,7 @@ def lattice_lm(docs: DataFrame, vocabulary_path: str, folds: int = 7, held_out:
     words = cut(_word_table(counts, vocabulary_path, weights, totals, types), "words")
     n_train, v_train = int(totals.sum()), words.where("c > 0").count()
 
-    hot = words.where(F.col("n_all") * hot_share > n_all).select("word", "c", "score").collect()  # hot_share words at most
+    hot = words.where(F.col("n_all") * hot_share > n_all).select("word", "c", "score").toArrow()  # hot_share words at most
     parts = cut(_hot_and_rare(rows.select("doc_id", "held_out", "text"), hot, k_all), "parts")
     per_class = [F.sum(F.col("n") * F.col("score")[k]).alias(f"s{k}") for k in range(k_all)]
     rare = (parts.where(F.col("word").isNotNull()).select("row", "word", "n")

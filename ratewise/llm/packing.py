@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.llm.common import cut, fresh, global_rank, slices
-from ratewise.llm.tokens import PieceEncoder
+from ratewise.llm.tokens import shared_encoder
 
 CAPACITY = 2048
 END_ID = 0
@@ -130,7 +130,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, cap
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = None, np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            encoder = encoder or PieceEncoder(tokenizer_path)
+            encoder = encoder or shared_encoder(tokenizer_path)
             for a, b in slices(batch, "text", SLICE_BYTES):
                 rows, out = batch.slice(a, b - a), []
                 for doc_id, ids in zip(rows.column("doc_id").to_pylist(), encoder.encode(rows.column("text").to_pylist())):

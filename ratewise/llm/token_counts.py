@@ -19,6 +19,7 @@ rows keep one row each; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -95,12 +96,18 @@ class CountTransducer(PieceEncoder):
         return total[last, OPENING].tolist()
 
 
+@lru_cache(2)
+def shared_transducer(path: str) -> CountTransducer:
+    """One machine per Python worker, with the transitions compiled so far."""
+    return CountTransducer(path)
+
+
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = LIMIT_TOKENS) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit: one row per document row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = None
         for batch in batches:
-            machine = machine or CountTransducer(tokenizer_path)
+            machine = machine or shared_transducer(tokenizer_path)
             for a, b in slices(batch, "text", SLICE_BYTES):
                 rows = batch.slice(a, b - a)
                 yield pa.record_batch([rows.column("doc_id"), rows.column("n_bytes"),

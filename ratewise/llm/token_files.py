@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ratewise.llm.common import cut, posix_uri, scratch_path, slices
-from ratewise.llm.tokens import PieceEncoder
+from ratewise.llm.tokens import shared_encoder
 
 END_ID = 2
 SLICE_BYTES = 1 << 20
@@ -72,7 +72,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
             for a, b in slices(batch, "text", SLICE_BYTES):
                 rows = batch.slice(a, b - a)
                 if out is None:
-                    encoder, out = PieceEncoder(tokenizer_path, kind), fs.open_output_stream(f"{part}.bin")
+                    encoder, out = shared_encoder(tokenizer_path, kind), fs.open_output_stream(f"{part}.bin")
                 coded = encoder.encode(rows.column("text").to_pylist())
                 out.write(b"".join(x + end for x in coded))
                 lengths += [(len(x) + len(end)) // len(end) for x in coded]

@@ -13,13 +13,14 @@ from __future__ import annotations
 import json
 import os
 import re
-
-import numpy as np
+import struct
+from functools import lru_cache
 
 # Python's \s holds every space of the split pattern (and a few more, which
 # only makes longer pieces)
 _TWO_SPACES = re.compile(r"\s\s")
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+_AFTER_LATIN = "\u0250"
 
 
 def split_pieces(text: str) -> list[str]:
@@ -49,7 +50,7 @@ class PieceEncoder:
     generation is kept to be asked once more and the one before is dropped.
     """
 
-    def __init__(self, path: str, dtype: str = "<u4", limit: int = 200_000):
+    def __init__(self, path: str, dtype: str = "<u4", limit: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are the parallelism
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
@@ -59,10 +60,13 @@ class PieceEncoder:
         self._split, self._model = self._tokenizer.pre_tokenizer, self._tokenizer.model
         added = [re.escape(a.content) for a in self._tokenizer.get_added_tokens_decoder().values()]
         self._special = re.compile("|".join(added) or r"(?!)")
-        self._dtype, self._limit = np.dtype(dtype), limit
+        self._code, self._limit = {"<u2": "H", "<u4": "I"}[dtype], limit
         # no added token made of letters, full stops and commas alone
-        self._plain = not any(re.fullmatch(r"[A-Za-z.,]*", a.content)
-                              for a in self._tokenizer.get_added_tokens_decoder().values())
+        self._plain = self._piecewise and not any(all(c.isalpha() or c in ".," for c in a.content)
+                                                  for a in self._tokenizer.get_added_tokens_decoder().values())
+        # Latin letters in the library's byte alphabet
+        self._letters = {c: "".join(w for w, _ in self._split.pre_tokenize_str(chr(c)))
+                         for c in range(ord(_AFTER_LATIN)) if chr(c).isalpha()} if self._plain else {}
         self._marks = {c: self._pack(self.ids(c)) for c in ".,"} if self._piecewise else {}
         self._memo: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
@@ -77,19 +81,22 @@ class PieceEncoder:
         return out
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=self._dtype).tobytes()
+        return struct.pack(f"<{len(ids)}{self._code}", *ids)
 
     def _piece(self, piece: str) -> bytes:
-        """Bytes of " " + piece.  ASCII letters are one word of the split
-        pattern and stand for themselves in the byte alphabet (the space is
-        U+0120), so these go to the model without the splitter; a full stop or
-        comma after them is a word of its own."""
-        if self._plain and piece.isascii():
+        """Bytes of " " + piece.  Latin letters are one word of the split
+        pattern, so these go to the model without the splitter (the space is
+        U+0120 there); a full stop or comma after them is a word of its own."""
+        if self._plain and (piece.isascii() or max(piece) < _AFTER_LATIN):
             if piece.isalpha():
-                return self._pack([t.id for t in self._model.tokenize("\u0120" + piece)])
-            if piece[-1:] in (".", ",") and piece[:-1].isalpha():
-                word = self._memo.get(piece[:-1])
-                return (self._piece(piece[:-1]) if word is None else word) + self._marks[piece[-1]]
+                plain = piece if piece.isascii() else piece.translate(self._letters)
+                return self._pack([t.id for t in self._model.tokenize("\u0120" + plain)])
+            word, mark = piece[:-1], self._marks.get(piece[-1:])
+            if mark is not None and word.isalpha():
+                known = self._memo.get(word)
+                if known is None:
+                    known = self._memo[word] = self._piece(word)
+                return known + mark
         return self._pack(self.ids(" " + piece))
 
     def remember(self, pieces: set[str]) -> dict[str, bytes]:
@@ -99,8 +106,9 @@ class PieceEncoder:
             self._older, self._memo, new = self._memo, {}, pieces
         older, memo = self._older, self._memo
         for p in new:
-            known = older.get(p)
-            memo[p] = self._piece(p) if known is None else known
+            if p not in memo:
+                known = older.get(p)
+                memo[p] = self._piece(p) if known is None else known
         return memo
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -111,3 +119,9 @@ class PieceEncoder:
         heads = [p.pop(0) for p in rest]
         find = self.remember(set().union(*rest)).__getitem__
         return [(self._pack(self.ids(h)) if h else b"") + b"".join(map(find, p)) for h, p in zip(heads, rest)]
+
+
+@lru_cache(2)
+def shared_encoder(path: str, dtype: str = "<u4") -> PieceEncoder:
+    """One encoder per Python worker: its memo serves all the worker's tasks."""
+    return PieceEncoder(path, dtype)
