@@ -141,7 +141,8 @@ def _reader(fs, path: str):
 
 def jump_inside(starts: np.ndarray, after: np.ndarray, end: int) -> np.ndarray:
     """Where each chain leaves the block: its first offset at or beyond
-    ``end``, or -1 if it hits a place that is no candidate.  Pointer jumping."""
+    ``end``, or -1 if it breaks off at a place that is no candidate.  Pointer
+    jumping."""
     if not len(starts):
         return after
     after = after.copy()
@@ -191,7 +192,7 @@ def verified_entries(manifest: DataFrame, folder: str, block_bytes: int = BLOCK_
         "last", F.least(F.col("first") + block_bytes, F.col("n_bytes")))
     sizes = manifest.select("file", "n_bytes")
     # the chain's start is a candidate like any other: a file that begins otherwise has no records
-    found = cut(candidates(blocks.repartition("file", "first"), folder).where("leaves >= 0"), "candidates")
+    found = cut(candidates(blocks.repartition("file", "first"), folder), "candidates")
     most = manifest.agg(F.max("n_bytes")).first()[0] or 0
     reached = found.where("start = 0").select("file", "start")
     hops = -(-most // block_bytes)  # blocks of the largest file
@@ -234,7 +235,8 @@ def read_records(manifest: DataFrame, folder: str, block_bytes: int = BLOCK_BYTE
 
                 def near(where, n, data=data, low=low, read=read):
                     return data[where - low:where - low + n] if where - low + n <= len(data) else read(where, n)
-                while at < end:
+                # the chain may break off: at what is no record, or at one cut short
+                while at < end and near(at, len(MAGIC)) == MAGIC and _successor(near, at, size) is not None:
                     fields, block = _header(near, at, size)
                     n = int(fields["content-length"])
                     head, _, payload = near(block, n).partition(BLANK)
@@ -246,9 +248,11 @@ def read_records(manifest: DataFrame, folder: str, block_bytes: int = BLOCK_BYTE
                     out.append((b["file"], at, number(fields["warc-record-id"]), fields["warc-type"], length, digest,
                                 number(fields.get("warc-refers-to", "")), fields["warc-target-uri"], payload)[:len(kinds)])
                     at, held = block + n + len(BLANK), held + (n if with_payload else 500)
-                    if held > 4 << 20 or at >= end:
+                    if held > 4 << 20:
                         yield pa.record_batch([pa.array(c, t) for c, (_, t) in zip(zip(*out), kinds)], names=[k for k, _ in kinds])
                         out, held = [], 0
+                if out:
+                    yield pa.record_batch([pa.array(c, t) for c, (_, t) in zip(zip(*out), kinds)], names=[k for k, _ in kinds])
     names = {"string": "string", "int64": "bigint", "binary": "binary"}
     entries = verified_entries(manifest, folder, block_bytes).repartition("file", "start")
     return entries.mapInArrow(run, ", ".join(f"{k} {names[str(t)]}" for k, t in kinds))
