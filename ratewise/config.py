@@ -67,13 +67,15 @@ TOPK_BLOCK_ROWS = 16384
 # set therefore has at most (total rows / HOT_KEY_ROWS) entries.
 HOT_KEY_ROWS = 1_000_000
 
-# ALS blocks per side = min(default parallelism, ratings / this)
-RATINGS_PER_ALS_BLOCK = 10_000
+# ALS blocks per side = ratings / this, rounded up.  MLlib seeds the start
+# factors per block, so the number must come from the data alone.
+RATINGS_PER_ALS_BLOCK = 100_000
 
 
 @dataclass(frozen=True)
 class AlsSettings:
-    """MLlib ALS knobs that do not change the model's meaning."""
+    """MLlib ALS knobs.  The block counts change the start factors (MLlib
+    seeds them per block) and so the model."""
 
     num_user_blocks: int | None = None  # None -> sized from the data
     num_item_blocks: int | None = None

@@ -41,8 +41,9 @@ def rmse_frame(df: DataFrame, label: str = "Score", prediction: str = "predictio
 
 
 def rmse(df: DataFrame, label: str = "Score", prediction: str = "prediction") -> float:
-    """Scalar RMSE (one aggregate job)."""
-    return rmse_frame(df, label, prediction, digits=None).first()["rmse"]
+    """Scalar RMSE (one aggregate job); NaN when no row was scored."""
+    found = rmse_frame(df, label, prediction, digits=None).first()["rmse"]
+    return float("nan") if found is None else found
 
 
 def pick_best(metrics: DataFrame, score: str = "rmse_validation",
@@ -61,7 +62,7 @@ def item_mean_predictor(train: DataFrame, damping: float = 0.0, item: str = "pro
 
     ``mu`` is one scalar (collected); the per-item table is an aggregate.
     """
-    mu = train.agg(F.avg(F.col(label).cast("double")).alias("mu")).first()["mu"]
+    mu = train.agg(F.avg(F.col(label).cast("double")).alias("mu")).first()["mu"] or 0.0
     return (train.groupBy(item)
                  .agg(((F.sum(F.col(label).cast("double")) + F.lit(damping * mu))
                        / (F.count(F.lit(1)) + F.lit(damping))).alias("prediction")))
@@ -74,16 +75,15 @@ def predict_with(table: DataFrame, df: DataFrame, item: str = "product_idx") ->
 
 
 def candidate_table(train: DataFrame, held: DataFrame, dampings: Sequence[float],
-                    item: str = "product_idx", label: str = "Score",
-                    digits: int = 6) -> DataFrame:
-    """RMSE of every damped-mean candidate on every split of ``held``
-    (a ``split`` column): rows ``(split, candidate, damping, rmse)``.
+                    item: str = "product_idx", label: str = "Score") -> DataFrame:
+    """RMSE (not rounded) of every damped-mean candidate on every split of
+    ``held`` (a ``split`` column): rows ``(split, candidate, damping, rmse)``.
 
     One pass for all candidates and splits: the per-item (sum, count)
     table is built once, joined once (popular items salted), and every
     candidate's squared error is a column of one aggregate by split.
     """
-    mu = train.agg(F.avg(F.col(label).cast("double")).alias("mu")).first()["mu"]
+    mu = train.agg(F.avg(F.col(label).cast("double")).alias("mu")).first()["mu"] or 0.0
     stats = train.groupBy(item).agg(F.sum(F.col(label).cast("double")).alias("_s"),
                                      F.count(F.lit(1)).alias("_n"))
     j = split_hot_join(held, stats, item, how="left")
@@ -91,7 +91,7 @@ def candidate_table(train: DataFrame, held: DataFrame, dampings: Sequence[float]
     aggs = []
     for i, d in enumerate(dampings):
         pred = (F.col("_s") + F.lit(d * mu)) / (F.col("_n") + F.lit(d))
-        aggs.append(F.round(F.sqrt(F.avg(F.pow(y - pred, 2))), digits).alias(f"_r{i}"))
+        aggs.append(F.sqrt(F.avg(F.pow(y - pred, 2))).alias(f"_r{i}"))
     per_split = j.groupBy("split").agg(*aggs)
     rows = F.array(*[F.struct(F.lit(i).cast("int").alias("candidate"),
                               F.lit(int(d)).cast("int").alias("damping"),
@@ -105,15 +105,15 @@ def candidate_metrics(train: DataFrame, validation: DataFrame,
                       label: str = "Score", digits: int = 6) -> DataFrame:
     """Validation RMSE of each damped-mean candidate, one row each."""
     held = validation.withColumn("split", F.lit("validation"))
-    return (candidate_table(train, held, dampings, item, label, digits)
-            .select("candidate", "damping", F.col("rmse").alias("rmse_validation")))
+    return (candidate_table(train, held, dampings, item, label)
+            .select("candidate", "damping", F.round("rmse", digits).alias("rmse_validation")))
 
 
 def best_with_test(table: DataFrame) -> DataFrame:
     """A-7 then M-6 from a ``candidate_table`` over validation and test:
-    the least validation RMSE wins (first on a tie), reported with its
-    test RMSE."""
+    the least exact validation RMSE wins (first on a tie), reported with its
+    test RMSE, both rounded for output."""
     wide = table.groupBy("candidate", "damping").agg(
         F.max(F.when(F.col("split") == "validation", F.col("rmse"))).alias("rmse_validation"),
         F.max(F.when(F.col("split") == "test", F.col("rmse"))).alias("rmse_test"))
-    return pick_best(wide)
+    return pick_best(wide).withColumns({c: F.round(c, 6) for c in ("rmse_validation", "rmse_test")})

@@ -19,13 +19,13 @@ from ratewise.operators.skew import split_hot_join
 
 
 def latest_lists(store: DataFrame, order_cols: tuple[str, ...] = ("batch_id",)) -> DataFrame:
-    """A-12: per user, the list of the highest ``batch_id`` (then the other
-    order columns) - "last one wins", made deterministic."""
+    """A-12: per user, the list that is last by the order columns (for a
+    store: run start, then ``batch_id``) - "last one wins", made deterministic."""
     order = F.struct(*[F.col(c) for c in order_cols])
     return (store.where(F.col("user_idx").isNotNull())
                  .groupBy("user_idx")
                  .agg(F.max_by("recommendations", order).alias("recommendations"),
-                      F.max(order_cols[0]).alias(order_cols[0])))
+                      F.max_by("batch_id", order).alias("batch_id")))
 
 
 def list_sizes(lists: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

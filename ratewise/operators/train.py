@@ -44,14 +44,10 @@ def make_als(rank: int, reg: float, max_iter: int,
     return als
 
 
-def als_blocks(spark, n_ratings: int | None) -> int:
-    """Blocks per side: one per core on a big input, fewer when the input
-    is small (each block then holds about ``RATINGS_PER_ALS_BLOCK`` ratings;
-    below that, task overhead outweighs the parallelism)."""
-    par = spark.sparkContext.defaultParallelism
-    if n_ratings is None:
-        return par
-    return max(1, min(par, math.ceil(n_ratings / config.RATINGS_PER_ALS_BLOCK)))
+def als_blocks(n_ratings: int) -> int:
+    """Blocks per side, from the data alone: the same ratings give the same
+    model on any cluster, and a block's ratings stay bounded."""
+    return max(1, math.ceil(n_ratings / config.RATINGS_PER_ALS_BLOCK))
 
 
 def grid_workers(spark, n_ratings: int, n_configs: int, settings: AlsSettings) -> int:
@@ -61,7 +57,7 @@ def grid_workers(spark, n_ratings: int, n_configs: int, settings: AlsSettings) -
     if settings.concurrency:
         return max(1, min(n_configs, settings.concurrency))
     par = spark.sparkContext.defaultParallelism
-    blocks = settings.num_user_blocks or als_blocks(spark, n_ratings)
+    blocks = settings.num_user_blocks or als_blocks(n_ratings)
     return max(1, min(n_configs, math.ceil(2 * par / blocks)))
 
 
@@ -70,7 +66,7 @@ def fit(train: DataFrame, rank: int, reg: float, max_iter: int,
     spark = train.sparkSession
     checkpoint_dir(spark)  # ALS checkpoints factor RDDs there
     als = make_als(rank, reg, max_iter, settings)
-    blocks = als_blocks(spark, n_ratings)
+    blocks = als_blocks(train.count() if n_ratings is None else n_ratings)
     if not settings.num_user_blocks:
         als.setNumUserBlocks(blocks)
     if not settings.num_item_blocks:

@@ -201,7 +201,7 @@ def factor_store(spark: SparkSession, d: str) -> DataFrame:
     ev = spark.read.parquet(f"{d}/events.parquet").select("user_id", "props")
     seen_users = ev.select(F.col("user_id").cast("int").alias("user_idx"))
     seen_items = ev.select((S.parse_json("props", "k int")["k"]
-                            + F.lit(fixtures.FACTOR_USER_LIMIT)).alias("user_idx"))
+                            + F.lit(fixtures.FACTOR_ITEM_SHIFT)).alias("user_idx"))
     b1 = topk.as_lists(topk.top_k_by_dot(topk.subset_factors(users, seen_users),
                                          topk.subset_factors(items, seen_items), config.TOP_K,
                                          user_out="user_idx", item_out="product_idx"))
@@ -428,7 +428,7 @@ def q_pair_scores(spark: SparkSession, d: str) -> DataFrame:
     k = S.parse_json("props", "k int")["k"]
     pairs = spark.read.parquet(f"{d}/events.parquet").select(
         "event_id", F.col("user_id").cast("int").alias("user_idx"),
-        (k + F.lit(fixtures.FACTOR_USER_LIMIT)).alias("product_idx"))
+        (k + F.lit(fixtures.FACTOR_ITEM_SHIFT)).alias("product_idx"))
     scored = topk.score_pairs(pairs, users, items)
     return scored.select("event_id", F.col("user_idx").alias("user_id"),
                          F.col("product_idx").alias("item_id"),

@@ -7,17 +7,14 @@ Column names equal those of the Spark query.
 
 from __future__ import annotations
 
-from ratewise import config
-
 # ---------------------------------------------------------------- fragments
 _REVIEWS = """
 reviews AS (
-  SELECT 'U' || CAST(o.o_custkey AS VARCHAR) AS UserId,
-         'P' || CAST(l.l_partkey AS VARCHAR) AS ProductId,
-         CAST(CAST(l.l_quantity AS INTEGER) % 5 + 1 AS FLOAT) AS Score,
+  SELECT 'U' || CAST(o.o_custkey AS VARCHAR) || '-' || l.l_returnflag || l.l_linestatus AS UserId,
+         'P' || CAST(l.l_partkey AS VARCHAR) || '-' || l.l_returnflag || l.l_linestatus AS ProductId,
+         CAST(least(5, 1 + (o.o_custkey % 3) * (l.l_partkey % 3) + CASE WHEN CAST(l.l_quantity AS INTEGER) % 5 = 0 THEN 1 ELSE 0 END) AS FLOAT) AS Score,
          CAST(epoch(l.l_shipdate) AS BIGINT) AS Time
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  WHERE l.l_returnflag = 'R' AND l.l_linestatus = 'O')"""
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
 
 _NON_NULL = """
 non_null AS (
@@ -33,14 +30,14 @@ dedup AS (
     FROM non_null) d
   WHERE rn = 1)"""
 
-_ACTIVE = f"""
+_ACTIVE = """
 active_u AS (
   SELECT * FROM dedup WHERE UserId IN (
-    SELECT UserId FROM dedup GROUP BY UserId HAVING count(*) >= {config.MIN_REVIEWS_PER_USER})),
+    SELECT UserId FROM dedup GROUP BY UserId HAVING count(*) >= 5)),
 active_p AS (
   SELECT * FROM active_u WHERE ProductId IN (
     SELECT ProductId FROM active_u GROUP BY ProductId
-    HAVING count(*) >= {config.MIN_REVIEWS_PER_PRODUCT}))"""
+    HAVING count(*) >= 5))"""
 
 _INDEX = """
 uidx AS (
@@ -90,14 +87,13 @@ UNION ALL SELECT 5, 'final', count(*) FROM ratings"""
 
 _GAPS = """
 gaps AS (
-  SELECT CASE WHEN l.l_linenumber <> 1 THEN 'U' || CAST(o.o_custkey AS VARCHAR) END AS UserId,
-         CASE WHEN l.l_linenumber <> 3 THEN 'P' || CAST(l.l_partkey AS VARCHAR) END AS ProductId,
+  SELECT CASE WHEN l.l_linenumber <> 1 THEN 'U' || CAST(o.o_custkey AS VARCHAR) || '-' || l.l_returnflag || l.l_linestatus END AS UserId,
+         CASE WHEN l.l_linenumber <> 3 THEN 'P' || CAST(l.l_partkey AS VARCHAR) || '-' || l.l_returnflag || l.l_linestatus END AS ProductId,
          CASE WHEN l.l_linenumber = 2 THEN CAST('NaN' AS FLOAT)
               WHEN l.l_linenumber = 4 THEN CAST(NULL AS FLOAT)
-              ELSE CAST(CAST(l.l_quantity AS INTEGER) % 5 + 1 AS FLOAT) END AS Score,
+              ELSE CAST(least(5, 1 + (o.o_custkey % 3) * (l.l_partkey % 3) + CASE WHEN CAST(l.l_quantity AS INTEGER) % 5 = 0 THEN 1 ELSE 0 END) AS FLOAT) END AS Score,
          CAST(epoch(l.l_shipdate) AS BIGINT) AS Time
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  WHERE l.l_returnflag = 'R' AND l.l_linestatus = 'O')"""
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
 
 _SPLIT = """
 labelled AS (
@@ -119,13 +115,13 @@ def _damped(d: int, name: str) -> str:
 
 
 def _rmse_of(split_name: str, table: str) -> str:
-    return f"""SELECT round(sqrt(avg(power(CAST(Score AS DOUBLE) - prediction, 2))), 6)
+    return f"""SELECT sqrt(avg(power(CAST(Score AS DOUBLE) - prediction, 2)))
   FROM labelled LEFT JOIN {table} USING (product_idx) WHERE split = '{split_name}'"""
 
 
 _FACTORS = """
-fu AS (SELECT vec_id AS uid, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id < 50),
-fi AS (SELECT vec_id AS iid, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id >= 50)"""
+fu AS (SELECT vec_id // 20 AS uid, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id % 20 = 0),
+fi AS (SELECT vec_id AS iid, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id % 20 <> 0)"""
 
 
 def _topk(name: str, users: str, items: str) -> str:
@@ -136,7 +132,7 @@ def _topk(name: str, users: str, items: str) -> str:
            row_number() OVER (PARTITION BY uid ORDER BY score DESC, iid) AS rk
     FROM (SELECT uid, iid, list_dot_product(fu.v, fi.v) AS score
           FROM (SELECT * FROM fu WHERE {users}) fu, (SELECT * FROM fi WHERE {items}) fi) s) r
-  WHERE rk <= {config.TOP_K})"""
+  WHERE rk <= 5)"""
 
 
 _STORE = _FACTORS + "," + _topk("b0", "true", "true") + "," + \
@@ -160,11 +156,11 @@ sized AS (
 _MESSAGES = """
 messages AS (
   SELECT event_id,
-         'U' || CAST(user_id AS VARCHAR) AS UserId,
-         'P' || CAST(CAST(json_extract(props, '$.k') AS INTEGER) AS VARCHAR) AS ProductId,
+         'U' || CAST(user_id AS VARCHAR) || '-' || flags AS UserId,
+         'P' || CAST(CAST(json_extract(props, '$.k') AS INTEGER) AS VARCHAR) || '-' || flags AS ProductId,
          CAST(event_id % 5 + 1 AS FLOAT) AS Score,
          CAST(floor(epoch(ts)) AS BIGINT) AS Time
-  FROM events)"""
+  FROM (SELECT *, (['AF', 'AO', 'NF', 'NO', 'RF', 'RO'])[event_id % 6 + 1] AS flags FROM events))"""
 
 
 def oracle_sql_more() -> dict[str, str]:
@@ -199,9 +195,9 @@ tests AS (
   UNION ALL SELECT 2, ({_rmse_of('test', 'c2')}))
 """
     q["candidate_rmse"] = chain_split.rstrip() + "," + cands + metrics + \
-        "SELECT candidate, damping, rmse_validation FROM metrics"
+        "SELECT candidate, damping, round(rmse_validation, 6) AS rmse_validation FROM metrics"
     q["best_candidate"] = chain_split.rstrip() + "," + cands + metrics + """
-SELECT m.candidate, m.damping, m.rmse_validation, t.rmse_test
+SELECT m.candidate, m.damping, round(m.rmse_validation, 6) AS rmse_validation, round(t.rmse_test, 6) AS rmse_test
 FROM (SELECT * FROM metrics ORDER BY rmse_validation, candidate LIMIT 1) m
 JOIN tests t USING (candidate)"""
     q["events_json"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events"

@@ -3,46 +3,60 @@
 The reference reads a review CSV that is not shipped; the driver tables
 stand in for it with a fixed mapping (see FIXTURES.md):
 
-* reviews: ``lineitem`` of returned, open lines joined to ``orders``;
-  ``UserId = 'U' || o_custkey``, ``ProductId = 'P' || l_partkey``,
-  ``Score = int(l_quantity) % 5 + 1``, ``Time`` = epoch of ``l_shipdate``.
-* stream messages: ``events`` with ``UserId = 'U' || user_id``,
-  ``ProductId = 'P' || props.k``, ``Score = event_id % 5 + 1``,
-  ``Time`` = epoch of ``ts``.
+* reviews: every row of ``lineitem`` joined to ``orders``, with the line's
+  flags in both keys: ``UserId = 'U' || o_custkey || '-' || flags``,
+  ``ProductId = 'P' || l_partkey || '-' || flags`` (flags = l_returnflag ||
+  l_linestatus), ``Score`` from a low-rank rule on the customer and part keys
+  plus a small residue of the quantity, ``Time`` = epoch of ``l_shipdate``.
+* stream messages: every row of ``events`` with ``UserId = 'U' || user_id ||
+  '-' || flags`` (flags chosen by event_id), ``ProductId = 'P' || props.k ||
+  '-' || flags``, ``Score = event_id % 5 + 1``, ``Time`` = epoch of ``ts``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewise.functions.scalars import parse_json, to_json_text
 from ratewise.sources.tables import read_table
 
-# --- fixed values: the fixture's line-item filter --------------------------
-FIXTURE_RETURNFLAG = "R"
-FIXTURE_LINESTATUS = "O"
+# --- fixed values: the flag pairs of the line items -------------------------
+FLAGS = ("AF", "AO", "NF", "NO", "RF", "RO")
 # --- end of fixed values ---------------------------------------------------
 
 
+def _key(prefix: str, number: Column, flags: Column) -> Column:
+    return F.concat(F.lit(prefix), number.cast("string"), F.lit("-"), flags)
+
+
+def _line_flags() -> Column:
+    return F.concat("l_returnflag", "l_linestatus")
+
+
+def _score() -> Column:
+    """1 + (customer group) * (part group), plus 1 on each fifth quantity, 5 at
+    most: a rank-2 signal that a factor model can learn."""
+    signal = (F.col("o_custkey") % 3) * (F.col("l_partkey") % 3)
+    residue = F.when(F.col("l_quantity").cast("int") % 5 == 0, F.lit(1)).otherwise(F.lit(0))
+    return F.least(F.lit(5), F.lit(1) + signal + residue).cast("float")
+
+
 def reviews(spark: SparkSession, base_dir: str) -> DataFrame:
     """``(UserId, ProductId, Score float, Time long)`` from lineitem ⋈ orders.
 
-    The flag filter reaches the lineitem scan as a pushed filter; only four
-    lineitem columns and two orders columns are read.  Orders is the
+    Every line item is a review; only the columns of the mapping are read.  Orders is the
     smaller side but still grows with the data, so the join strategy is
     left to the planner (AQE turns it into a broadcast when it is small).
     """
-    li = (read_table(spark, base_dir, "lineitem", "l_orderkey", "l_partkey",
-                     "l_quantity", "l_shipdate", "l_returnflag", "l_linestatus")
-          .where((F.col("l_returnflag") == FIXTURE_RETURNFLAG)
-                 & (F.col("l_linestatus") == FIXTURE_LINESTATUS)))
+    li = read_table(spark, base_dir, "lineitem", "l_orderkey", "l_partkey",
+                    "l_quantity", "l_shipdate", "l_returnflag", "l_linestatus")
     orders = read_table(spark, base_dir, "orders", "o_orderkey", "o_custkey")
     joined = li.join(orders, li["l_orderkey"] == orders["o_orderkey"], "inner")
     return joined.select(
-        F.concat(F.lit("U"), F.col("o_custkey").cast("string")).alias("UserId"),
-        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("ProductId"),
-        ((F.col("l_quantity").cast("int") % 5) + 1).cast("float").alias("Score"),
+        _key("U", F.col("o_custkey"), _line_flags()).alias("UserId"),
+        _key("P", F.col("l_partkey"), _line_flags()).alias("ProductId"),
+        _score().alias("Score"),
         F.unix_timestamp(F.col("l_shipdate")).alias("Time"),
     )
 
@@ -54,9 +68,10 @@ def event_messages(spark: SparkSession, base_dir: str) -> DataFrame:
     """
     ev = read_table(spark, base_dir, "events", "event_id", "ts", "user_id", "props")
     k = parse_json("props", "k int").getField("k")
+    flags = F.element_at(F.array(*[F.lit(x) for x in FLAGS]), (F.col("event_id") % len(FLAGS) + 1).cast("int"))
     msg = to_json_text(
-        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("UserId"),
-        F.concat(F.lit("P"), k.cast("string")).alias("ProductId"),
+        _key("U", F.col("user_id"), flags).alias("UserId"),
+        _key("P", k, flags).alias("ProductId"),
         ((F.col("event_id") % 5) + 1).cast("float").alias("Score"),
         F.unix_timestamp(F.col("ts")).alias("Time"),
     )
@@ -64,18 +79,21 @@ def event_messages(spark: SparkSession, base_dir: str) -> DataFrame:
 
 
 # --- fixed values: factor fixture -------------------------------------------
-# embeddings with vec_id below this act as user factors, the rest as items
-FACTOR_USER_LIMIT = 50
+# each so many-th embedding is a user's factors (user id = vec_id / this), the
+# others are items'; item ids named by the events are shifted by the second number
+FACTOR_USER_EVERY = 20
+FACTOR_ITEM_SHIFT = 50
 # --- end of fixed values ---------------------------------------------------
 
 
 def factor_fixture(spark: SparkSession, base_dir: str) -> tuple[DataFrame, DataFrame]:
     """``embeddings`` as given factors: ``(id int, features array<float>)``
-    for users (``vec_id < 50``) and items (the rest)."""
+    for users (each 20th row) and items (the rest)."""
     emb = read_table(spark, base_dir, "embeddings", "vec_id", "embedding")
-    cols = [F.col("vec_id").cast("int").alias("id"), F.col("embedding").alias("features")]
-    users = emb.where(F.col("vec_id") < FACTOR_USER_LIMIT).select(*cols)
-    items = emb.where(F.col("vec_id") >= FACTOR_USER_LIMIT).select(*cols)
+    user = F.col("vec_id") % FACTOR_USER_EVERY == 0
+    users = emb.where(user).select(F.expr(f"vec_id div {FACTOR_USER_EVERY}").cast("int").alias("id"),
+                                   F.col("embedding").alias("features"))
+    items = emb.where(~user).select(F.col("vec_id").cast("int").alias("id"), F.col("embedding").alias("features"))
     return users, items
 
 
@@ -83,19 +101,16 @@ def reviews_with_gaps(spark: SparkSession, base_dir: str) -> DataFrame:
     """The review fixture with missing values planted by line number:
     ``UserId`` null on line 1, ``Score`` NaN on 2, ``ProductId`` null on 3,
     ``Score`` null on 4 (for the null-removal operators)."""
-    li = (read_table(spark, base_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber",
-                     "l_quantity", "l_shipdate", "l_returnflag", "l_linestatus")
-          .where((F.col("l_returnflag") == FIXTURE_RETURNFLAG)
-                 & (F.col("l_linestatus") == FIXTURE_LINESTATUS)))
+    li = read_table(spark, base_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber",
+                    "l_quantity", "l_shipdate", "l_returnflag", "l_linestatus")
     orders = read_table(spark, base_dir, "orders", "o_orderkey", "o_custkey")
     j = li.join(orders, li["l_orderkey"] == orders["o_orderkey"], "inner")
     ln = F.col("l_linenumber")
-    score = ((F.col("l_quantity").cast("int") % 5) + 1).cast("float")
     return j.select(
-        F.when(ln != 1, F.concat(F.lit("U"), F.col("o_custkey").cast("string"))).alias("UserId"),
-        F.when(ln != 3, F.concat(F.lit("P"), F.col("l_partkey").cast("string"))).alias("ProductId"),
+        F.when(ln != 1, _key("U", F.col("o_custkey"), _line_flags())).alias("UserId"),
+        F.when(ln != 3, _key("P", F.col("l_partkey"), _line_flags())).alias("ProductId"),
         F.when(ln == 2, F.lit(float("nan")).cast("float"))
-         .when(ln == 4, F.lit(None).cast("float")).otherwise(score).alias("Score"),
+         .when(ln == 4, F.lit(None).cast("float")).otherwise(_score()).alias("Score"),
         F.unix_timestamp(F.col("l_shipdate")).alias("Time"),
     )
 

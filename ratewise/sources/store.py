@@ -20,7 +20,7 @@ _LINE = "user_idx int, recommendations array<string>, batch_id long"
 
 
 def read_store(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
-    """``(user_idx, recommendations, batch_id, file_time, file_path)``."""
+    """``(user_idx, recommendations, batch_id, run_id, file_time, file_path)``."""
     raw = (spark.read.option("recursiveFileLookup", True)
            .option("pathGlobFilter", glob)
            .text(path)
@@ -30,6 +30,7 @@ def read_store(spark: SparkSession, path: str, glob: str = "*.json") -> DataFram
     lines = raw.where(S.non_blank("value"))
     parsed = lines.select(S.parse_json(F.trim("value"), _LINE).alias("j"), "file_path", "file_time")
     from_dir = F.regexp_extract("file_path", r"batch_id=(\d+)", 1)
+    run_id = F.regexp_extract("file_path", r"run_id=([^/]+)/", 1)
     return (parsed.where(F.col("j.user_idx").isNotNull())
                   .select(F.col("j.user_idx").alias("user_idx"),
                           S.normalise_recommendations(
@@ -37,10 +38,11 @@ def read_store(spark: SparkSession, path: str, glob: str = "*.json") -> DataFram
                            .alias("recommendations"),
                           F.coalesce(F.col("j.batch_id"),
                                      F.when(from_dir != "", from_dir.cast("long"))).alias("batch_id"),
-                          "file_time", "file_path"))
+                          run_id.alias("run_id"), "file_time", "file_path"))
 
 
-STORE_ORDER = ("batch_id", "file_time", "file_path")
+# run ids begin with the run's start time; files without one are older
+STORE_ORDER = ("run_id", "batch_id", "file_time", "file_path")
 
 
 def count_files(spark: SparkSession, path: str, glob: str = "*.json") -> int:

@@ -45,9 +45,9 @@ def test_filter_order_users_then_products(spark):
 def test_funnel_matches_fixture_counts(spark):
     res = run_cleaning(fixtures.reviews(spark, SF001))
     f = {r.stage: r.n_rows for r in res.funnel().collect()}
-    assert f == {"raw": 1001, "non_null": 1001, "dedup": 983, "active_users": 866,
-                 "active_products": 540, "final": 540}
-    assert res.users.size == 107 and res.products.size == 87
+    assert f == {"raw": 6000, "non_null": 6000, "dedup": 5889, "active_users": 5146,
+                 "active_products": 3169, "final": 3169}
+    assert res.users.size == 635 and res.products.size == 508
 
 
 def test_index_equals_string_indexer(spark):
@@ -89,11 +89,11 @@ def test_write_and_read_back(spark, tmp):
     paths = write_cleaning(res, tmp)
     back = reviews.read_ratings(spark, paths["ratings"])
     assert back.schema.simpleString() == "struct<user_idx:int,product_idx:int,Score:float>"
-    assert back.exceptAll(res.ratings).count() == 0 and back.count() == 540
+    assert back.exceptAll(res.ratings).count() == 0 and back.count() == 3169
     users = reviews.read_user_dictionary(spark, paths["users"])
-    assert users.count() == 107
+    assert users.count() == 635
     prods = reviews.read_product_dictionary(spark, paths["products"])
-    assert prods.count() == 87
+    assert prods.count() == 508
 
 
 @pytest.mark.parametrize("hot_rows,broadcast_max", [(10**6, 10**6), (100, 10**6), (100, 10)])

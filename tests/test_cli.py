@@ -13,9 +13,9 @@ def test_jobs_end_to_end(spark, tmp):
         .option("header", True).option("escape", '"').csv(csv))
     data = os.path.join(tmp, "data")
     main(["clean", "--csv", csv, "--out", data], spark)
-    assert spark.read.parquet(os.path.join(data, "cleaned_reviews.parquet")).count() == 540
+    assert spark.read.parquet(os.path.join(data, "cleaned_reviews.parquet")).count() == 3169
     funnel = {r.stage: r.n_rows for r in spark.read.json(os.path.join(data, "funnel")).collect()}
-    assert funnel["raw"] == 1001 and funnel["final"] == 540
+    assert funnel["raw"] == 6000 and funnel["final"] == 3169
 
     model_dir = os.path.join(tmp, "model")
     main(["train", "--ratings", os.path.join(data, "cleaned_reviews.parquet"), "--out", model_dir], spark)

@@ -15,7 +15,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["user_idx", "product_idx", "Score"]
-    assert df.count() == 540
+    assert df.count() == 3169
 
 
 def test_every_oracle_has_a_query():

@@ -13,9 +13,10 @@ def _plan(df) -> str:
     return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
 
 
-def test_fixture_scan_pushes_filters_and_prunes(spark):
+def test_fixture_scan_reads_every_line_and_prunes(spark):
     plan = _plan(fixtures.reviews(spark, SF001))
-    assert "EqualTo(l_returnflag,R)" in plan and "EqualTo(l_linestatus,O)" in plan
+    assert "EqualTo(" not in plan
+    assert fixtures.reviews(spark, SF001).count() == spark.read.parquet(f"{SF001}/lineitem.parquet").count()
     assert ("ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double,"
             "l_returnflag:string,l_linestatus:string,l_shipdate:timestamp_ntz>") in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan

@@ -122,3 +122,18 @@ def test_publish_skips_incomplete_reviews(spark, tmp):
     publish_messages(df, fmt="text", path=tmp + "/inbox")
     back = parse_messages(spark.read.text(tmp + "/inbox")).collect()
     assert [(r.UserId, r.ProductId, r.Score, r.Time) for r in back] == [("U1", "P1", 5.0, 10)]
+
+
+def test_records_in_the_forms_met_in_practice(spark, tmp):
+    """Three-line text, indented JSON and JSON lines read to the same record."""
+    import json
+    record = {"config": {"rank": 15, "regParam": 0.1, "maxIter": 12}, "rmse_validation": 0.9, "rmse_test": 1.25}
+    texts = {"a.txt": "Meilleure config : {'rank': 15, 'regParam': 0.1, 'maxIter': 12}\nRMSE validation  : 0.9\nRMSE test final  : 1.25\n",
+             "b.json": json.dumps(record, indent=2), "c.json": json.dumps(record) + "\n"}
+    for name, text in texts.items():
+        _write(os.path.join(tmp, name), text)
+        rows = records.read_metrics(spark, os.path.join(tmp, name)).collect()
+        assert [r.asDict(recursive=True) for r in rows] == [record]
+    _write(os.path.join(tmp, "report.json"), json.dumps({"statut": "SUCCES"}, indent=4))
+    report = records.read_report(spark, os.path.join(tmp, "report.json")).collect()
+    assert len(report) == 1

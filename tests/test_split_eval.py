@@ -28,7 +28,7 @@ def test_split_is_layout_independent(spark):
 def test_split_fixture_counts(spark):
     ratings = run_cleaning(fixtures.reviews(spark, SF01)).ratings
     counts = {r.split: r.n_rows for r in split.split_counts(ratings).collect()}
-    assert sum(counts.values()) == 5758
+    assert sum(counts.values()) == 33585
     assert set(counts) == {"train", "validation", "test"}
 
 
@@ -69,3 +69,23 @@ def test_scale_settings():
     assert scale_settings(1 << 30, cores=8)["spark.sql.shuffle.partitions"] == "16"
     assert scale_settings(64 << 30, cores=8)["spark.sql.shuffle.partitions"] == "256"
     assert s["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_choice_uses_exact_scores(spark):
+    table = spark.createDataFrame([("validation", 0, 0, 1.00000049), ("validation", 1, 5, 1.00000010), ("test", 0, 0, 2.0),
+                                   ("test", 1, 5, 3.0)], "split string, candidate int, damping int, rmse double")
+    from ratewise.operators import evaluate
+    assert evaluate.best_with_test(table).first().candidate == 1
+
+
+def test_no_scored_row(spark):
+    import math
+
+    from ratewise.operators import evaluate
+    none = spark.createDataFrame([], "Score float, prediction double")
+    assert math.isnan(evaluate.rmse(none))
+
+
+def test_als_blocks_follow_the_data_alone():
+    from ratewise.operators import train
+    assert [train.als_blocks(n) for n in (0, 1, 100_000, 100_001, 10**9)] == [1, 1, 1, 2, 10_000]

@@ -83,6 +83,27 @@ def test_restart_and_replay_are_idempotent(spark, setup, tmp):
     scorer.close()
 
 
+def test_second_run_keeps_and_outranks_the_first(spark, setup, tmp):
+    """A new checkpoint starts at batch 0 again; nothing stored before is lost."""
+    res, model = setup
+    users = [r.UserId for r in res.users.table.orderBy("user_idx").limit(3).collect()]
+    out = os.path.join(tmp, "out")
+    for run, batches in enumerate(([users[0], users[1]], [users[2]])):
+        inbox, ck = os.path.join(tmp, f"inbox{run}"), os.path.join(tmp, f"ck{run}")
+        for b, user in enumerate(batches):
+            _drop(inbox, f"{b}.json", ['{"UserId": "%s", "ProductId": "P1", "Score": 5.0, "Time": 1}' % user])
+        scorer = BatchScorer(model, res.users.table, out)
+        q = start_scoring(spark, SourceConfig(format="text", path=inbox, options={"maxFilesPerTrigger": 1}), scorer, ck,
+                          trigger={"availableNow": True}, query_name=f"run{run}")
+        q.awaitTermination()
+        assert q.exception() is None
+        scorer.close()
+    lists = store.read_store(spark, os.path.join(out, "lists"))
+    assert sorted(r.user_idx for r in lists.collect()) == [0, 1, 2]
+    runs = {r.user_idx: r.run_id for r in lists.collect()}
+    assert runs[0] == runs[1] < runs[2]  # the newer run outranks an older one's higher batch
+
+
 def test_processing_time_trigger_bounded_run(spark, setup, tmp):
     """T-3 / T-6: a processing-time trigger, stopped after a bounded wait."""
     from ratewise.streaming.scoring import run_bounded
