@@ -43,6 +43,7 @@ REPORT_TRAIN_LABEL = "80% du dataset"
 REPORT_TEST_LABEL = "10% donnees non vues"
 UNKNOWN_USER_ERROR = "Utilisateur {user_id} non trouvé dans les recommandations."
 UNKNOWN_USER_HINT = "Essayez un de ces user_idx disponibles : {ids}"
+EMPTY_STORE_ERROR = "Aucune recommandation disponible. Lancez d'abord le pipeline Kafka → Spark."
 HEALTH_STATUS = "ok"
 HEALTH_MESSAGE = "API de recommandation opérationnelle"
 METRICS_MISSING_TEXT = "Fichier resultats_rmse.txt non trouvé"
@@ -51,11 +52,19 @@ STREAM_TOPIC = "reviews_stream"
 STREAM_TRIGGER = "10 seconds"
 # --- end of fixed values ----------------------------------------------
 
+# Items per stored list: as many as a lookup may ask for (its first 5 are the
+# reference's list).
+STORE_K = SERVE_MAX_N
+
 # Dictionaries / request sets with at most this many rows are joined with a
 # broadcast hint (about 50 MB of hashed relation for string ids); beyond it
 # the join is left to the planner (sort-merge + AQE skew splitting).  The
 # row count is always known exactly before the join.
 BROADCAST_MAX_ROWS = 1_000_000
+# Wider rows (factor vectors, whole lists) are also held to this many bytes,
+# rows times the width of a row; an id row counts as the second number.
+BROADCAST_MAX_BYTES = 64 << 20
+ID_ROW_BYTES = 64
 
 # Rows per factor block in the blocked top-k scorer.  Bounds one cogroup
 # task (block_rows x rank floats per side, scored 1024 users at a time);

@@ -10,7 +10,7 @@ constants only: the user total and the 10-id hint list.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewise import config
@@ -53,7 +53,9 @@ def _lists_for(requests: DataFrame, lists: DataFrame) -> tuple[DataFrame, int]:
     shuffles every user's list; otherwise the planner joins normally.
     """
     ids = requests.select("user_id").distinct()
-    side = lists.select(F.col("user_idx").alias("user_id"), "recommendations")
+    # no answer is longer than the bound of n, so a row's width is bounded
+    side = lists.select(F.col("user_idx").alias("user_id"),
+                        F.slice("recommendations", 1, config.SERVE_MAX_N).alias("recommendations"))
     n_ids = ids.count()
     if n_ids <= config.BROADCAST_MAX_ROWS:
         return side.join(F.broadcast(ids), "user_id", "left_semi"), n_ids
@@ -73,7 +75,8 @@ def lookup(requests: DataFrame, lists: DataFrame) -> DataFrame:
     side, n_ids = _lists_for(requests, lists)
     # many requests for one user are joined in place, not shuffled together
     joined = split_hot_join(requests, side, "user_id", how="left",
-                            side_rows=n_ids if n_ids <= config.BROADCAST_MAX_ROWS else None)
+                            side_rows=n_ids if n_ids <= config.BROADCAST_MAX_ROWS else None,
+                            row_bytes=config.ID_ROW_BYTES + 32 * config.SERVE_MAX_N)
     recs = F.slice(F.col("recommendations"), 1, n_used)
     return joined.select(
         "user_id",
@@ -102,6 +105,10 @@ def unknown_users(requests: DataFrame, lists: DataFrame) -> DataFrame:
     lookup response (the ids listed as quoted strings, as the reference
     printed them)."""
     hint = hint_ids(lists)
+    if not hint:  # an empty store has an answer of its own, without hints
+        return requests.select("user_id").distinct().select(
+            "user_id", F.lit("unknown").alias("status"), F.lit("").alias("hint"), F.lit(0).cast("long").alias("total_users"),
+            F.lit(config.EMPTY_STORE_ERROR).alias("error"), F.lit(None).cast("string").alias("hint_text"))
     total = lists.count()  # one number; the store itself stays distributed
     known = _lists_for(requests, lists)[0].select("user_id")
     unknown = requests.select("user_id").distinct().join(known, "user_id", "left_anti")
@@ -118,16 +125,18 @@ def unknown_users(requests: DataFrame, lists: DataFrame) -> DataFrame:
 
 def overview(lists: DataFrame, limit: int | None = config.OVERVIEW_DEFAULT_LIMIT) -> DataFrame:
     """V-3 / R-9: the first ``limit`` users (by id; negative -> 0) with the
-    labels of their first 5 items."""
+    labels of their first 5 items and the number of all users with lists."""
     lim = max(config.OVERVIEW_DEFAULT_LIMIT if limit is None else limit, 0)
     first = lists.orderBy("user_idx").limit(lim)
     return first.select("user_idx", S.item_labels(
-        F.slice("recommendations", 1, config.OVERVIEW_ITEMS)).alias("top5"))
+        F.slice("recommendations", 1, config.OVERVIEW_ITEMS)).alias("top5"),
+        F.lit(lists.count()).cast("long").alias("total_users"))
 
 
 def user_directory(lists: DataFrame, cap: int = config.USER_LIST_CAP) -> DataFrame:
-    """V-4 / R-8: ids ascending, first ``cap``."""
-    return lists.select("user_idx").orderBy("user_idx").limit(cap)
+    """V-4 / R-8: ids ascending, first ``cap``, and the number of all ids."""
+    return (lists.select("user_idx").orderBy("user_idx").limit(cap)
+                 .withColumn("total", F.lit(lists.count()).cast("long")))
 
 
 def random_user(lists: DataFrame, seed: int = config.SEED) -> DataFrame:
@@ -142,9 +151,10 @@ def display_rows(lists: DataFrame) -> DataFrame:
 
     bar = round_half_up(score / (best score of the user * 1.2) * 100).
     """
-    items = lists.select("user_idx", F.posexplode("recommendations").alias("pos", "r"))
-    best = F.max(F.col("r.rating").cast("double")).over(Window.partitionBy("user_idx"))
-    ratio = F.try_divide(F.col("r.rating").cast("double"), best * F.lit(config.DISPLAY_BAR_SCALE))
+    # the best score is taken within the list: no shuffle of its items
+    best = F.array_max(F.transform("recommendations", lambda r: r["rating"].cast("double")))
+    items = lists.select("user_idx", best.alias("best"), F.posexplode("recommendations").alias("pos", "r"))
+    ratio = F.try_divide(F.col("r.rating").cast("double"), F.col("best") * F.lit(config.DISPLAY_BAR_SCALE))
     return items.select(
         "user_idx",
         (F.col("pos") + 1).cast("int").alias("rank"),

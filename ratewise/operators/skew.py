@@ -7,8 +7,9 @@ keys only:
 * hot keys - keys with at least ``hot_rows`` rows in ``df``, found by a
   partial + final count, so at most rows / ``hot_rows`` of them - are
   broadcast as a flag table;
-* each row of a hot key gets a salt ``xxhash64(row) mod S`` (deterministic,
-  so a recomputed task produces the same salt); other rows get salt 0;
+* each row of a hot key gets a salt ``xxhash64(row, input partition) mod S``
+  (deterministic, so a recomputed task produces the same salt); other rows
+  get salt 0;
 * the ``side`` rows of hot keys are replicated once per salt, the rest once;
 * the join runs on ``(key, salt)``: a hot key's rows spread over ``S``
   partitions, everything else joins exactly as before.
@@ -45,10 +46,12 @@ def salted_join(df: DataFrame, side: DataFrame, key: str, how: str, hot: DataFra
     partitions."""
     s = buckets or salt_buckets(df)
     flag = F.broadcast(hot.select(key).distinct().withColumn("_hot", F.lit(True)))
-    # the salt hashes the row's content (map columns cannot be hashed)
+    # the salt hashes the row's content (map columns cannot be hashed) and its
+    # input partition, so equal rows spread too; both are the same in a rerun
     hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    row = F.xxhash64(*hashable, F.spark_partition_id())
     salted = (df.join(flag, on=key, how="left")
-                .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*hashable), F.lit(s)))
+                .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row, F.lit(s)))
                                       .otherwise(F.lit(0)))
                 .drop("_hot"))
     side_salted = (side.join(flag, on=key, how="left")
@@ -58,14 +61,19 @@ def salted_join(df: DataFrame, side: DataFrame, key: str, how: str, hot: DataFra
     return salted.join(side_salted, on=[key, "_salt"], how=how).drop("_salt")
 
 
+def fits_broadcast(rows: int, row_bytes: int = config.ID_ROW_BYTES) -> bool:
+    """Whether ``rows`` rows of at most ``row_bytes`` are under both limits."""
+    return rows <= config.BROADCAST_MAX_ROWS and rows * row_bytes <= config.BROADCAST_MAX_BYTES
+
+
 def split_hot_join(df: DataFrame, side: DataFrame, key: str, how: str = "inner",
-                   side_rows: int | None = None,
+                   side_rows: int | None = None, row_bytes: int = config.ID_ROW_BYTES,
                    hot_rows: int = config.HOT_KEY_ROWS) -> DataFrame:
     """``df.join(side, key, how)`` for ``how`` in inner / left, skew-safe.
 
-    ``side_rows`` (the exact size of ``side``, when known) below the
-    broadcast limit gives a plain broadcast join.
+    ``side_rows`` (the exact size of ``side``, when known) of ``row_bytes``
+    each, below the broadcast limits, give a plain broadcast join.
     """
-    if side_rows is not None and side_rows <= config.BROADCAST_MAX_ROWS:
+    if side_rows is not None and fits_broadcast(side_rows, row_bytes):
         return df.join(F.broadcast(side), on=key, how=how)
     return salted_join(df, side, key, how, hot_keys(df, key, hot_rows))

@@ -211,6 +211,13 @@ def subset_factors(factors: DataFrame, requested: DataFrame, key: str = "id",
     return factors.join(req, on=key, how="left_semi")
 
 
+def _measured(factors: DataFrame, vec: str, rows: int | None) -> tuple[int, int]:
+    """Rows of a factor table (counted unless known) and bytes of its widest row."""
+    got = factors.agg(*([F.count(F.lit(1)).alias("n")] if rows is None else []),
+                      F.coalesce(F.max(F.size(vec)), F.lit(0)).alias("width")).first()
+    return (got["n"] if rows is None else rows), config.ID_ROW_BYTES + 8 * max(got["width"], 0)
+
+
 def score_pairs(pairs: DataFrame, users: DataFrame, items: DataFrame, *,
                 user_col: str = "user_idx", item_col: str = "product_idx",
                 vec_col: str = "features", out: str = "prediction",
@@ -219,14 +226,14 @@ def score_pairs(pairs: DataFrame, users: DataFrame, items: DataFrame, *,
     their factors (two equi-joins + a JVM ``aggregate(zip_with)``); pairs
     whose user or item has no factor are dropped (cold start ``drop``).
 
-    Each factor table is broadcast when its (counted) size allows;
-    otherwise the join splits off hot users / popular items so their pairs
-    are joined in place and never shuffled into one task.  The pairs are
-    never replicated."""
+    Each factor table is broadcast when its rows, measured with their
+    vectors, allow; otherwise the join salts hot users / popular items so
+    their pairs are never shuffled into one task.  The pairs are never
+    replicated."""
     u = users.select(F.col("id").alias(user_col), F.col(vec_col).alias("_uv"))
     i = items.select(F.col("id").alias(item_col), F.col(vec_col).alias("_iv"))
-    n_users = u.count() if n_users is None else n_users
-    n_items = i.count() if n_items is None else n_items
-    scored = split_hot_join(split_hot_join(pairs, u, user_col, side_rows=n_users),
-                            i, item_col, side_rows=n_items)
+    n_users, u_bytes = _measured(u, "_uv", n_users)
+    n_items, i_bytes = _measured(i, "_iv", n_items)
+    scored = split_hot_join(split_hot_join(pairs, u, user_col, side_rows=n_users, row_bytes=u_bytes),
+                            i, item_col, side_rows=n_items, row_bytes=i_bytes)
     return scored.withColumn(out, dot("_uv", "_iv")).drop("_uv", "_iv")

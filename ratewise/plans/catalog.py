@@ -196,14 +196,14 @@ def factor_store(spark: SparkSession, d: str) -> DataFrame:
     scores every user over every item; batch 1 re-scores the users seen in
     the events over the products the events name (``50 + props.k``)."""
     users, items = fixtures.factor_fixture(spark, d)
-    b0 = topk.as_lists(topk.top_k_by_dot(users, items, config.TOP_K,
+    b0 = topk.as_lists(topk.top_k_by_dot(users, items, config.STORE_K,
                                          user_out="user_idx", item_out="product_idx"))
     ev = spark.read.parquet(f"{d}/events.parquet").select("user_id", "props")
     seen_users = ev.select(F.col("user_id").cast("int").alias("user_idx"))
     seen_items = ev.select((S.parse_json("props", "k int")["k"]
                             + F.lit(fixtures.FACTOR_ITEM_SHIFT)).alias("user_idx"))
     b1 = topk.as_lists(topk.top_k_by_dot(topk.subset_factors(users, seen_users),
-                                         topk.subset_factors(items, seen_items), config.TOP_K,
+                                         topk.subset_factors(items, seen_items), config.STORE_K,
                                          user_out="user_idx", item_out="product_idx"))
     return (b0.withColumn("batch_id", F.lit(0).cast("long"))
               .unionByName(b1.withColumn("batch_id", F.lit(1).cast("long"))))
@@ -242,8 +242,8 @@ def q_serve_unknown(spark: SparkSession, d: str) -> DataFrame:
 def q_serve_overview(spark: SparkSession, d: str) -> DataFrame:
     """V-3 / R-9: the first 20 users with their first 5 labels."""
     ov = serve.overview(_latest(spark, d))
-    return ov.select("user_idx", F.posexplode("top5").alias("pos", "product_id")).select(
-        "user_idx", (F.col("pos") + 1).cast("int").alias("pos"), "product_id")
+    return ov.select("user_idx", "total_users", F.posexplode("top5").alias("pos", "product_id")).select(
+        "user_idx", (F.col("pos") + 1).cast("int").alias("pos"), "product_id", "total_users")
 
 
 def q_serve_users(spark: SparkSession, d: str) -> DataFrame:
@@ -311,6 +311,23 @@ def q_als_topk(spark: SparkSession, d: str) -> DataFrame:
     return train.flat_lists(train.recommend_all(_grid(spark, d).model))
 
 
+def q_als_scored_keys(spark: SparkSession, d: str) -> DataFrame:
+    """M-3 / M-4: the validation ratings that get a prediction, those whose
+    user and product are both in train (cold start ``drop``)."""
+    return q_als_predictions(spark, d).select("user_idx", "product_idx", "Score")
+
+
+def q_als_list_shape(spark: SparkSession, d: str) -> DataFrame:
+    """R-3 / J-6 on the fitted factors: per train user the size of the list,
+    its distinct products and whether the scores descend."""
+    lists = train.recommend_all(_grid(spark, d).model)
+    scores = F.transform("recommendations", lambda r: r["rating"])
+    return lists.select(
+        "user_idx", F.size("recommendations").cast("int").alias("n_items"),
+        F.size(F.array_distinct(F.transform("recommendations", lambda r: r["product_idx"]))).cast("int").alias("n_distinct"),
+        (scores == F.sort_array(scores, asc=False)).alias("ordered"))
+
+
 def _stream_out(spark: SparkSession, d: str) -> str:
     key = (spark.sparkContext.applicationId, d, "stream")
     if key not in _MEMO:
@@ -328,6 +345,13 @@ def q_stream_recommendations(spark: SparkSession, d: str) -> DataFrame:
     return train.flat_lists(lists)
 
 
+def q_stream_list_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """T-2 / A-11 / A-12 over the stream's store: each scored user's latest
+    micro-batch and the size of that list."""
+    lists = serve.latest_lists(scoring.read_stream_lists(spark, _stream_out(spark, d)), store.STORE_ORDER)
+    return serve.list_sizes(lists, keep=("batch_id",))
+
+
 def q_stream_batches(spark: SparkSession, d: str) -> DataFrame:
     """Per micro-batch: messages received, malformed, known users."""
     return scoring.read_stream_stats(spark, _stream_out(spark, d))
@@ -470,9 +494,12 @@ def queries() -> dict[str, Query]:
         "status_row": q_status_row,
         "list_sizes_sample": q_list_sizes_sample,
         "als_predictions": q_als_predictions,
+        "als_scored_keys": q_als_scored_keys,
+        "als_list_shape": q_als_list_shape,
         "als_grid": q_als_grid,
         "als_topk": q_als_topk,
         "stream_recommendations": q_stream_recommendations,
+        "stream_list_sizes": q_stream_list_sizes,
         "stream_batches": q_stream_batches,
         "health": q_health,
         "stats": q_stats,

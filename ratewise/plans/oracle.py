@@ -124,7 +124,7 @@ fu AS (SELECT vec_id // 20 AS uid, CAST(embedding AS DOUBLE[]) AS v FROM embeddi
 fi AS (SELECT vec_id AS iid, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id % 20 <> 0)"""
 
 
-def _topk(name: str, users: str, items: str) -> str:
+def _topk(name: str, users: str, items: str, k: int = 5) -> str:
     return f"""
 {name} AS (
   SELECT uid, iid, score, CAST(rk AS INTEGER) AS rk FROM (
@@ -132,12 +132,12 @@ def _topk(name: str, users: str, items: str) -> str:
            row_number() OVER (PARTITION BY uid ORDER BY score DESC, iid) AS rk
     FROM (SELECT uid, iid, list_dot_product(fu.v, fi.v) AS score
           FROM (SELECT * FROM fu WHERE {users}) fu, (SELECT * FROM fi WHERE {items}) fi) s) r
-  WHERE rk <= 5)"""
+  WHERE rk <= {k})"""
 
 
-_STORE = _FACTORS + "," + _topk("b0", "true", "true") + "," + \
+_STORE = _FACTORS + "," + _topk("b0", "true", "true", 20) + "," + \
     _topk("b1", "uid IN (SELECT user_id FROM events)",
-          "iid IN (SELECT CAST(json_extract(props, '$.k') AS INTEGER) + 50 FROM events)") + """,
+          "iid IN (SELECT CAST(json_extract(props, '$.k') AS INTEGER) + 50 FROM events)", 20) + """,
 store AS (
   SELECT CAST(uid AS INTEGER) AS user_idx, rk, CAST(iid AS INTEGER) AS product_idx,
          CAST(score AS FLOAT) AS rating, CAST(0 AS BIGINT) AS batch_id FROM b0
@@ -230,10 +230,11 @@ SELECT r.user_id, 'unknown' AS status,
           FROM (SELECT user_idx FROM sized ORDER BY user_idx LIMIT 10) h) || ']' AS hint_text
 FROM requests r WHERE r.user_id NOT IN (SELECT user_idx FROM sized)"""
     q["serve_overview"] = store + """
-SELECT l.user_idx, l.rk AS pos, 'Product_' || CAST(l.product_idx AS VARCHAR) AS product_id
+SELECT l.user_idx, l.rk AS pos, 'Product_' || CAST(l.product_idx AS VARCHAR) AS product_id,
+       (SELECT count(*) FROM sized) AS total_users
 FROM latest l JOIN (SELECT user_idx FROM sized ORDER BY user_idx LIMIT 20) f USING (user_idx)
 WHERE l.rk <= 5"""
-    q["serve_users"] = store + "SELECT user_idx FROM sized ORDER BY user_idx LIMIT 200"
+    q["serve_users"] = store + "SELECT user_idx, (SELECT count(*) FROM sized) AS total FROM sized ORDER BY user_idx LIMIT 200"
     q["serve_random"] = store + """
 SELECT user_idx FROM sized ORDER BY md5(CAST(user_idx AS VARCHAR) || '|42'), user_idx LIMIT 1"""
     q["display_table"] = store + """
@@ -256,6 +257,21 @@ sliced AS (
 SELECT CAST(batch_id AS BIGINT) AS batch_id, count(*) AS received, CAST(0 AS BIGINT) AS malformed,
        count(DISTINCT u.user_idx) AS known_users
 FROM sliced LEFT JOIN uidx u USING (UserId) GROUP BY batch_id"""
+    q["als_scored_keys"] = chain_split + """
+SELECT user_idx, product_idx, Score FROM labelled
+WHERE split = 'validation' AND user_idx IN (SELECT user_idx FROM train)
+  AND product_idx IN (SELECT product_idx FROM train)"""
+    q["als_list_shape"] = chain_split + """
+SELECT user_idx, CAST(least(5, n) AS INTEGER) AS n_items, CAST(least(5, n) AS INTEGER) AS n_distinct, true AS ordered
+FROM (SELECT DISTINCT user_idx FROM train) u, (SELECT count(DISTINCT product_idx) AS n FROM train) i"""
+    q["stream_list_sizes"] = chain_split.rstrip() + "," + _MESSAGES + """,
+sliced AS (
+  SELECT m.*, (m.event_id * 4) // (SELECT max(event_id) + 1 FROM events) AS batch_id
+  FROM messages m)
+SELECT user_idx, CAST(max(batch_id) AS BIGINT) AS batch_id,
+       CAST(least(20, (SELECT count(DISTINCT product_idx) FROM train)) AS INTEGER) AS n_items
+FROM sliced JOIN uidx USING (UserId)
+WHERE user_idx IN (SELECT user_idx FROM train) GROUP BY user_idx"""
     q["csv_scan"] = \
         _with(_REVIEWS) + "SELECT UserId, ProductId, Score, Time FROM reviews"
     q["ratings_roundtrip"] = CLEAN_CHAIN + "SELECT user_idx, product_idx, Score FROM ratings"

@@ -38,6 +38,14 @@ def test_unknown_user_hint(spark, lists):
     assert r.status == "unknown" and r.hint == "1, 2, 3" and r.total_users == 3
 
 
+def test_empty_store_answer_and_totals(spark, lists):
+    req = spark.createDataFrame([(1, None), (1, 3)], "user_id int, n int")
+    got = serve.unknown_users(req, spark.createDataFrame([], SCHEMA)).collect()
+    assert [(r.error, r.hint_text, r.total_users) for r in got] == [(config.EMPTY_STORE_ERROR, None, 0)]
+    assert {r.total_users for r in serve.overview(lists, 2).collect()} == {3}
+    assert {r.total for r in serve.user_directory(lists, 1).collect()} == {3}
+
+
 @pytest.mark.parametrize("limit,expect", [(-1, 0), (0, 0), (2, 2), (20, 3), (None, 3)])
 def test_overview_limit(spark, lists, limit, expect):
     ov = serve.overview(lists, limit).collect()

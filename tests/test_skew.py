@@ -52,6 +52,34 @@ def test_hot_rows_are_salted(spark, skewed):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def test_equal_hot_rows_are_spread(spark):
+    # a third of all lookups is one identical request
+    from ratewise.operators.skew import salted_join
+    req = spark.range(0, 30_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id").cast("int")).alias("user_id"), F.lit(5).alias("n"))
+    side = spark.range(30_000).select(F.col("id").cast("int").alias("user_id"), F.lit("x").alias("w"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = salted_join(req, side, "user_id", "left", hot_keys(req, "user_id", 5000), buckets=8)
+        tasks = out.where("user_id = 1").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(tasks) > 1 and sum(t["count"] for t in tasks) == req.where("user_id = 1").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_wide_rows_are_not_broadcast(spark, skewed):
+    df, side = skewed
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = split_hot_join(df, side, "key", side_rows=400, row_bytes=1 << 20)
+        plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+        assert "BroadcastHashJoin Inner" not in plan and "SortMergeJoin Inner" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_small_side_is_broadcast_whole(spark, skewed):
     df, side = skewed
     out = split_hot_join(df, side, "key", side_rows=400)
