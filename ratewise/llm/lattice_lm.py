@@ -33,6 +33,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -51,6 +52,8 @@ SLICE_BYTES = 1 << 20
 HELD_WORDS = 500_000  # distinct words a task holds before it passes their counts on
 END = b""  # the end token; no word is empty
 PART = 40  # characters
+SMALLEST = 1e-290  # a probability below is left to logarithms
+HELD_USES = 1 << 22  # expected uses held before they are added up
 SPACE = "▁"  # stands before each word in the vocabulary
 LOG10 = math.log(10)
 
@@ -63,6 +66,7 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 _RADIX = np.uint64(0x9E3779B97F4A7C15)
 _MIXES = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB))
+_FLAG_MIX = np.uint64(0x8EBC6AF09C88C6E3)
 
 
 class Vocabulary:
@@ -83,9 +87,12 @@ class Vocabulary:
         self._fill()
 
     def _fill(self) -> None:
-        """Three-choice hash tables; a lookup reads one slot of each."""
+        """Three-choice hash tables, and a table of flags that most other
+        substrings don't pass."""
         hashes = np.array([self._hash(p) for p in self.pieces], dtype=np.uint64)
         self._hashes = np.append(hashes, np.uint64(0))  # index -1: no piece
+        self._flags = np.zeros(1 << 21, dtype=bool)
+        self._flags[(hashes * _FLAG_MIX >> np.uint64(43)).astype(np.int64)] = True
         self._tables = [np.full(1 << 18, -1, dtype=np.int32) for _ in _MIXES]
         for k, h in enumerate(hashes):
             for table, mix in zip(self._tables, _MIXES):
@@ -104,26 +111,37 @@ class Vocabulary:
         return np.uint64(h)
 
     def arcs(self, codes: np.ndarray) -> list[np.ndarray]:
-        """``codes``: words x length code points.  Item l - 1 holds, for words x
-        starts, the piece of length l from there, or -1."""
-        n, out = codes.shape[1], []
-        prefix = np.zeros((len(codes), n + 1), dtype=np.uint64)
+        """``codes``: length x words code points.  Item l - 1 holds, for starts x
+        words, the piece of length l from there, or -1."""
+        n, out = len(codes), []
+        prefix = np.zeros((n + 1, codes.shape[1]), dtype=np.uint64)
         for j in range(n):
-            prefix[:, j + 1] = prefix[:, j] * _RADIX + codes[:, j]
+            prefix[j + 1] = prefix[j] * _RADIX + codes[j]
         power = np.ones(1, dtype=np.uint64)
         for length in range(1, min(n, self.longest) + 1):
             power = np.multiply(power, _RADIX)
-            h = prefix[:, length:] - prefix[:, :-length] * power
+            h = prefix[length:] - prefix[:-length] * power
             piece = np.full(h.shape, -1, dtype=np.int32)
+            open_ = np.flatnonzero(self._flags[(h * _FLAG_MIX >> np.uint64(43)).astype(np.int64)])
+            left = h.ravel()[open_]
             for table, mix in zip(self._tables, _MIXES):
-                found = table[(h * mix >> np.uint64(46)).astype(np.int64)]
-                piece = np.where((found >= 0) & (self._hashes[found] == h), found, piece)
+                found = table[(left * mix >> np.uint64(46)).astype(np.int64)]
+                hit = (found >= 0) & (self._hashes[found] == left)
+                piece.ravel()[open_[hit]] = found[hit]
+                open_, left = open_[~hit], left[~hit]
             out.append(piece)
         return out
 
 
+@lru_cache(2)
+def shared_vocabulary(path: str) -> Vocabulary:
+    """One vocabulary per Python worker, for all its tasks."""
+    return Vocabulary(path)
+
+
 def _by_length(words: list[str], longest: int, cells: int = 400_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Blocks of words of one length: positions, code points, UTF-8 bytes per character."""
+    """Blocks of words of one length: positions, and, as length x words, code
+    points and UTF-8 bytes per character."""
     lengths = np.array([len(w) for w in words])
     order = np.argsort(lengths, kind="stable")
     for n in np.unique(lengths):
@@ -132,9 +150,9 @@ def _by_length(words: list[str], longest: int, cells: int = 400_000) -> Iterator
         for a in range(0, len(same), step):
             at = same[a:a + step]
             text = "".join(words[i] for i in at)
-            codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(len(at), int(n))
+            codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").reshape(len(at), int(n)).T
             width = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
-            yield at, codes.astype(np.uint64), width
+            yield at, np.ascontiguousarray(codes, dtype=np.uint64), np.ascontiguousarray(width)
 
 
 def _log_sum(terms: np.ndarray) -> np.ndarray:
@@ -161,20 +179,36 @@ class PieceWeights:
 
 def lattice_scores(words: list[str], vocabulary: Vocabulary, weights: PieceWeights) -> np.ndarray:
     """Natural-log probability of each word, per class: the forward recursion
-    over all segmentations of the word with its leading space."""
+    over all segmentations of the word with its leading space.  Words of up to
+    ``PART`` characters are summed without logarithms, unless their
+    probability gets too small for that."""
     out = np.empty((len(words), weights.log.shape[1]))
-    log = weights.log
+    log, p = weights.log, np.exp(weights.log)
     for at, codes, width in _by_length([SPACE + w for w in words], vocabulary.longest):
-        n, arcs = codes.shape[1], vocabulary.arcs(codes)
-        spelled = log[-3] - width[..., None] * math.log(256)  # characters as free bytes
-        forward = np.full((n + 1, *out[at].shape), -np.inf)
-        forward[0] = 0
-        for j in range(1, n + 1):
-            # forward[j] = log sum over the arcs that end at j
-            terms = [forward[j - k] + log[arcs[k - 1][:, j - k]] for k in range(1, min(j, len(arcs)) + 1)]
-            terms.append(forward[j - 1] + spelled[:, j - 1])
-            forward[j] = _log_sum(np.stack(terms))
-        out[at] = forward[n] + log[-2]
+        n, arcs = len(codes), vocabulary.arcs(codes)
+        if n <= PART:
+            spelled = p[-3] * np.exp(-width * math.log(256))[..., None]
+            forward = np.zeros((n + 1, *out[at].shape))
+            forward[0] = 1
+            for j in range(1, n + 1):
+                forward[j] = forward[j - 1] * spelled[j - 1]
+                for k in range(1, min(j, len(arcs)) + 1):
+                    arc = arcs[k - 1][j - k]
+                    some = np.flatnonzero(arc >= 0)
+                    forward[j, some] += forward[j - k, some] * p[arc[some]]
+            tiny = (forward[n] < SMALLEST).any(axis=1)
+            out[at[~tiny]] = np.log(forward[n][~tiny]) + log[-2]
+            at, width, arcs = at[tiny], width[:, tiny], [a[:, tiny] for a in arcs]
+        if len(at):
+            spelled = log[-3] - width[..., None] * math.log(256)  # characters as free bytes
+            forward = np.full((n + 1, *out[at].shape), -np.inf)
+            forward[0] = 0
+            for j in range(1, n + 1):
+                # forward[j] = log sum over the arcs that end at j
+                terms = [forward[j - k] + log[arcs[k - 1][j - k]] for k in range(1, min(j, len(arcs)) + 1)]
+                terms.append(forward[j - 1] + spelled[j - 1])
+                forward[j] = _log_sum(np.stack(terms))
+            out[at] = forward[n] + log[-2]
     return out
 
 
@@ -185,35 +219,42 @@ def expected_uses(words: list[str], classes: np.ndarray, vocabulary: Vocabulary,
     logarithms."""
     p, k_all = np.exp(weights.log), weights.log.shape[1]
     events = len(vocabulary.pieces) + 2
-    total = np.zeros(events * k_all)
+    total, held = np.zeros(events * k_all), []
+
+    def add(at: np.ndarray, share: np.ndarray, last: bool = False) -> None:
+        held.append((at, share))
+        if last or sum(len(x) for x, _ in held) > HELD_USES:
+            total[:] += np.bincount(np.concatenate([x for x, _ in held]), weights=np.concatenate([x for _, x in held]),
+                                    minlength=len(total))
+            held.clear()
     parts = [(SPACE + w, k) for w, k in zip(words, classes.tolist())]
     parts = [(w[a:a + PART], k) for w, k in parts for a in range(0, len(w), PART)]
-    classes = np.array([k for _, k in parts])
+    classes = np.array([k for _, k in parts], dtype=np.int64)
     for at, codes, width in _by_length([w for w, _ in parts], vocabulary.longest):
-        n, arcs, own = codes.shape[1], vocabulary.arcs(codes), classes[at]
-        use = [p[a, own[:, None]] for a in arcs]  # words x starts
-        spelled = p[-3][own][:, None] * np.exp(-width * math.log(256))
+        n, arcs, own = len(codes), vocabulary.arcs(codes), classes[at]
+        use = [p[a, own] for a in arcs]  # starts x words
+        spelled = p[-3][own] * np.exp(-width * math.log(256))
         forward = np.zeros((n + 1, len(at)))
         forward[0] = 1
         for j in range(1, n + 1):
-            forward[j] = forward[j - 1] * spelled[:, j - 1]
+            forward[j] = forward[j - 1] * spelled[j - 1]
             for k in range(1, min(j, len(arcs)) + 1):
-                forward[j] += forward[j - k] * use[k - 1][:, j - k]
+                forward[j] += forward[j - k] * use[k - 1][j - k]
         backward = np.zeros((n + 1, len(at)))
         backward[n] = 1
         for i in range(n - 1, -1, -1):
-            backward[i] = backward[i + 1] * spelled[:, i]
+            backward[i] = backward[i + 1] * spelled[i]
             for k in range(1, min(n - i, len(arcs)) + 1):
-                backward[i] += backward[i + k] * use[k - 1][:, i]
-        sound = forward[n] > 0  # else too small a number: the part counts as free bytes
-        whole = np.where(sound, forward[n], np.inf)[:, None]
+                backward[i] += backward[i + k] * use[k - 1][i]
+        sound = forward[n] > SMALLEST  # else too small a number: the part counts as free bytes
+        whole = np.where(sound, forward[n], np.inf)
+        backward /= whole
         for k, (arc, u) in enumerate(zip(arcs, use), start=1):
-            used = arc >= 0
-            share = forward[:n + 1 - k].T * u * backward[k:].T / whole
-            total += np.bincount((arc * k_all + own[:, None])[used], weights=share[used], minlength=len(total))
-        share = (forward[:n].T * spelled * backward[1:].T / whole).sum(axis=1) + np.where(sound, 0, n)
-        total += np.bincount((events - 2) * k_all + own, weights=share, minlength=len(total))
-        total += np.bincount((events - 1) * k_all + own, minlength=len(total))
+            start, word = np.nonzero(arc >= 0)
+            add(arc[start, word] * k_all + own[word], forward[start, word] * u[start, word] * backward[start + k, word])
+        add((events - 2) * k_all + own, (forward[:n] * spelled * backward[1:]).sum(axis=0) + np.where(sound, 0, n))
+        add((events - 1) * k_all + own, np.ones(len(own)))
+    add(np.zeros(0, dtype=np.int64), np.zeros(0), last=True)
     return total.reshape(events, k_all)
 
 
@@ -250,7 +291,7 @@ def _decoded(words: list[bytes]) -> list[str]:
 def fit_pieces(counts: DataFrame, vocabulary_path: str, classes: int, steps: int = EM_STEPS) -> PieceWeights:
     """Piece weights after ``steps`` expectation steps over the distinct
     training words of each class.  ``counts``: word, class."""
-    vocabulary = Vocabulary(vocabulary_path)
+    vocabulary = shared_vocabulary(vocabulary_path)
     start = np.append(vocabulary.start, [1e-4, 0.3]) * 1000
     weights = PieceWeights.of(np.repeat(start[:, None], classes, axis=1))
     words = counts.where((F.col("class") >= 0) & (F.octet_length("word") > 0)).select("word", "class")
@@ -258,7 +299,7 @@ def fit_pieces(counts: DataFrame, vocabulary_path: str, classes: int, steps: int
         shared = counts.sparkSession.sparkContext.broadcast(weights)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            known, total = Vocabulary(vocabulary_path), None
+            known, total = shared_vocabulary(vocabulary_path), None
             for batch in batches:
                 if batch.num_rows:
                     uses = expected_uses(_decoded(batch.column("word").to_pylist()), batch.column("class").to_numpy(),
@@ -289,7 +330,7 @@ def _word_table(counts: DataFrame, vocabulary_path: str, weights: PieceWeights,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = None
         for batch in batches:
-            known = known or Vocabulary(vocabulary_path)
+            known = known or shared_vocabulary(vocabulary_path)
             for a in range(0, batch.num_rows, 8192):
                 rows = batch.slice(a, 8192)
                 words = rows.column("word").to_pylist()
