@@ -3,9 +3,18 @@
 Two hashed n-gram models (words and word pairs in ``BUCKETS`` buckets) are
 counted: one of target text (documents labelled good), one of the raw text
 (every document).  A document's log importance weight is the sum of
-log(target / raw) over its n-grams.  Gumbel noise added to the log weights
-and a global top-k sample documents without replacement in proportion to
-their weights; documents outside the sample are rejected.
+log(target / raw) over its n-grams; beyond ``LONG`` n-grams their mean counts
+``LONG`` times, so small steady differences don't add up without bound.
+Gumbel noise added to the log weights and a global top-k sample documents
+without replacement in proportion to their weights; documents outside the
+sample are rejected.
+
+How the labels are spread over languages isn't evidence.  The raw counts of
+each language (column ``lang``) are scaled to its n-grams in the target
+text before the two are compared, so a language with few labels isn't held
+against its documents.  With fewer than ``LEAST_DOCS`` target documents a
+language isn't judged at all: it adds nothing to the models and its documents
+have weight 1.  A source's share of the good labels does count.
 
 Without a given ``k``, as many documents are sampled as have a log weight of
 ``-MARGIN`` or more: those that the target model doesn't clearly speak against.
@@ -13,13 +22,14 @@ Ratios are shrunk towards 1 by ``PRIOR`` pseudo-counts, so a rare n-gram is no
 evidence.
 
 The target model is fitted on at most ``TARGET_DOCS`` labelled documents
-(the first by hash of their id); everything else covers all rows.  Model
-ratios are fixed-point integers, so a document's weight doesn't depend on
-how rows are batched, and scoring again gives the same decision.
+(the first by hash of their id); everything else covers all rows of the
+languages judged.  Model ratios are fixed-point integers, so a document's weight
+doesn't depend on how rows are batched, and scoring again gives the same decision.
 
 Defined results: null, empty and blank texts have weight 1 (log 0); repeated
 rows share weight and noise; equal sampling keys are all in or all out; null
-labels are ignored; without a labelled good document every ratio is 1; extra
+labels are ignored; without a labelled good document every ratio is 1; rows
+without a language, or a table without that column, are one language; extra
 columns are ignored (or passed through by ``accepted_documents``).
 """
 
@@ -38,6 +48,9 @@ BUCKETS = 1 << 16
 TARGET_DOCS = 20_000
 PRIOR = 100.0
 MARGIN = 4.0
+LONG = 500  # n-grams that count in full
+LEAST_DOCS = 10  # target documents of a language
+AT_ONCE = 32  # languages counted in one pass; bounds the tables of a task and of the driver
 SEED = 17
 UNIT = 1 << 16  # fixed-point units of one nat
 SLICE_BYTES = 1 << 20
@@ -104,60 +117,83 @@ def features(texts: list[bytes | None], buckets: int = BUCKETS) -> tuple[np.ndar
     return both[used], np.maximum(2 * words - 1, 0)
 
 
-def _counts(docs: DataFrame, chosen: Column, buckets: int) -> DataFrame:
-    """(target, bucket, n): n-gram counts of all documents and of the chosen ones."""
+def language_of(docs: DataFrame) -> Column:
+    """The language as text; empty where there is none."""
+    if "lang" not in (c.lower() for c in docs.columns):
+        return F.lit("")
+    return F.coalesce(F.col("lang").cast("string"), F.lit(""))
+
+
+def _counts(docs: DataFrame, langs: list[str], buckets: int) -> DataFrame:
+    """(lang, target, bucket, n): n-gram counts of all documents and of the
+    ``good`` ones; lang is the position in ``langs``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, buckets), dtype=np.int64)
+        total = np.zeros((len(langs), 2, buckets), dtype=np.int64)
         for batch in batches:
             for a, b in slices(batch, "text", SLICE_BYTES):
                 rows = batch.slice(a, b - a)
                 found, n = features(rows.column("text").to_pylist(), buckets)
-                good = np.asarray(rows.column("chosen").to_numpy(zero_copy_only=False), dtype=bool)
-                total[0] += np.bincount(found, minlength=buckets)
-                total[1] += np.bincount(found[np.repeat(good, n)], minlength=buckets)
-        kind, bucket = np.nonzero(total)
-        yield pa.record_batch([pa.array(kind.astype(np.int32)), pa.array(bucket.astype(np.int32)),
-                               pa.array(total[kind, bucket])], names=["target", "bucket", "n"])
-    source = docs.select(F.col("text").cast("binary").alias("text"), chosen.alias("chosen"))
-    return source.mapInArrow(run, "target int, bucket int, n bigint").groupBy("target", "bucket").agg(F.sum("n").alias("n"))
+                good = np.repeat(np.asarray(rows.column("good").to_numpy(zero_copy_only=False), dtype=bool), n)
+                lang = rows.column("lang").to_numpy()
+                owner = np.repeat(lang, n)
+                for k in np.unique(lang):
+                    own = owner == k
+                    total[k, 0] += np.bincount(found[own], minlength=buckets)
+                    total[k, 1] += np.bincount(found[own & good], minlength=buckets)
+        lang, kind, bucket = np.nonzero(total)
+        yield pa.record_batch([*(pa.array(x.astype(np.int32)) for x in (lang, kind, bucket)),
+                               pa.array(total[lang, kind, bucket])], names=["lang", "target", "bucket", "n"])
+    at = (F.array_position(F.array(*map(F.lit, langs)), F.col("lang")) - 1).cast("int")
+    source = docs.where(F.col("lang").isin(langs)).select(
+        F.col("text").cast("binary").alias("text"), F.coalesce("good", F.lit(False)).alias("good"), at.alias("lang"))
+    return (source.mapInArrow(run, "lang int, target int, bucket int, n bigint")
+            .groupBy("lang", "target", "bucket").agg(F.sum("n").alias("n")))
 
 
 def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, target_docs: int = TARGET_DOCS,
-        prior: float = PRIOR) -> np.ndarray:
-    """log(target / raw) per bucket in units of 1 / UNIT.
+        prior: float = PRIOR, least_docs: int = LEAST_DOCS) -> tuple[np.ndarray, list[str]]:
+    """log(target / raw) per bucket in units of 1 / UNIT, and the languages
+    judged (target_docs / least_docs at most).
 
     ``labels``: doc_id, quality (1 is target text)."""
     chosen = (labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_docs))  # bounds the broadcast
-    flagged = (docs.select("doc_id", "text")
+    flagged = (docs.select("doc_id", "text", language_of(docs).alias("lang"))
                .join(F.broadcast(chosen.withColumn("good", F.lit(True))), "doc_id", "left"))
-    counts = np.zeros((2, buckets))
-    table = _counts(flagged, F.coalesce("good", F.lit(False)), buckets).toPandas()  # 2 x buckets numbers at most
-    counts[table["target"], table["bucket"]] = table["n"]
-    if not counts[1].any():
-        return np.zeros(buckets, dtype=np.int64)
-    usual = counts[0] * (counts[1].sum() / counts[0].sum())  # the target's counts, if it were like the raw text
-    return np.rint(np.log((counts[1] + prior) / (usual + prior)) * UNIT).astype(np.int64)
-
-
-def with_weight(docs: DataFrame, ratios: np.ndarray, name: str) -> DataFrame:
+    enough = flagged.where("good").groupBy("lang").agg(F.countDistinct("doc_id").alias("n")).where(F.col("n") >= least_docs)
+    judged = sorted(r.lang for r in enough.collect())
+    target, usual = np.zeros(buckets), np.zeros(buckets)
+    for start in range(0, len(judged), AT_ONCE):
+        langs = judged[start:start + AT_ONCE]
+        table = _counts(flagged, langs, buckets).toArrow()  # languages x 2 x buckets numbers at most
+        counts = np.zeros((len(langs), 2, buckets))
+        counts[tuple(table[c].to_numpy() for c in ("lang", "target", "bucket"))] = table["n"].to_numpy()
+        raw, good = counts.sum(axis=2).T
+        target += counts[:, 1].sum(axis=0)
+        # the target's counts, if in each language it were like the raw text
+        usual += (counts[:, 0] * (good / np.maximum(raw, 1))[:, None]).sum(axis=0)
+    return np.rint(np.log((target + prior) / (usual + prior)) * UNIT).astype(np.int64), judged
+
+
+def with_weight(docs: DataFrame, model: tuple[np.ndarray, list[str]], name: str) -> DataFrame:
     """``docs``, all columns, plus the log importance weight."""
-    model = docs.sparkSession.sparkContext.broadcast(ratios)
+    ratios, judged = docs.sparkSession.sparkContext.broadcast(model[0]), model[1]
     (raw,) = fresh(docs, "_utf8")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = model.value
+        table = ratios.value
         for batch in batches:
             for a, b in slices(batch, raw, SLICE_BYTES):
                 rows = batch.slice(a, b - a)
                 found, n = features(rows.column(raw).to_pylist(), len(table))
                 total = np.concatenate([[0], np.cumsum(table[found])])
                 ends = np.cumsum(n)
-                weight = (total[ends] - total[ends - n]) / UNIT
+                weight = (total[ends] - total[ends - n]) / UNIT * (LONG / np.maximum(n, LONG))
                 yield rows.drop_columns([raw]).append_column(name, pa.array(weight))
     schema = docs.withColumn(name, F.lit(0.0)).schema
     schema[name].nullable = True
-    return docs.withColumn(raw, F.col("text").cast("binary")).mapInArrow(run, schema)
+    known = language_of(docs).isin(judged) if judged else F.lit(False)
+    return docs.withColumn(raw, F.when(known, F.col("text").cast("binary"))).mapInArrow(run, schema)
 
 
 def sampling_key(weight: str, seed: int = SEED) -> Column:
@@ -177,7 +213,7 @@ def kth_key(keys: DataFrame, k: int) -> float | None:
 
 def quality(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = SEED) -> DataFrame:
     """doc_id, log_weight, sampling_key, kept: one row per document row."""
-    scored = with_weight(docs.select("doc_id", "text"), fit(docs, labels), "log_weight")
+    scored = with_weight(docs.select("doc_id", "text", language_of(docs).alias("lang")), fit(docs, labels), "log_weight")
     scored = cut(scored.select("doc_id", "log_weight", sampling_key("log_weight", seed).alias("key")), "weights")
     least = kth_key(scored, scored.where(F.col("log_weight") >= -MARGIN).count() if k is None else k)
     kept = F.lit(False) if least is None else F.col("key") >= F.lit(least)

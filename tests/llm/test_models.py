@@ -81,6 +81,32 @@ def test_bad_text_is_rejected_and_good_text_kept(spark):
     assert got.where("quality = 1 and kept").count() >= 0.8 * got.where("quality = 1").count()
 
 
+def test_uneven_labels_keep_held_out_good_text_of_every_language(spark):
+    """German has a third of its labels, Spanish none, the others half."""
+    docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(12))
+    share = F.when(F.col("lang") == "de", 4).when(F.col("lang") == "es", 0).otherwise(6)
+    known = labels.join(docs.select("doc_id", "lang"), "doc_id").where(part < share).select(labels.columns).cache()
+    got = quality.quality(docs, known).join(docs.select("doc_id", "lang"), "doc_id").cache()
+    held = got.join(labels, "doc_id").join(known, "doc_id", "left_anti").where("quality = 1")
+    kept = {r.lang: r.share for r in held.groupBy("lang").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
+    assert len(kept) == 4 and min(kept.values()) > 0.95
+    assert got.where("lang = 'es' and log_weight != 0").count() == 0
+    assert got.where("lang != 'es' and log_weight != 0").count() > 500
+    bad = got.join(labels.where("quality = 0"), "doc_id").where("lang = 'en'")
+    assert bad.where("kept").count() <= 0.1 * bad.count()
+
+
+def test_languages_are_counted_in_several_passes(spark, monkeypatch):
+    docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+    whole, judged = quality.fit(docs, labels)
+    monkeypatch.setattr(quality, "AT_ONCE", 3)
+    parts, again = quality.fit(docs, labels)
+    assert judged == again == ["de", "en", "es", "fr"] and np.abs(whole - parts).max() <= 1
+    alone, one = quality.fit(docs.drop("lang"), labels)
+    assert one == [""] and np.abs(whole - alone).max() > quality.UNIT // 10
+
+
 def test_top_k_and_stage_agree(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(7, 1, 0), (9, 1, None), (8, None, 0), (None, 1, 0), (200, 0, 1)],
                                    "doc_id long, quality int, toxic int")
