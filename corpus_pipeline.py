@@ -45,10 +45,14 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the smallest doc_id."""
-    groups = simhash.near_groups(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    chosen = cut(groups.select("doc_id").distinct(), "kept").withColumn("one", F.lit(1))
-    return _only(docs, chosen, "one", F.lit(1))
+    """One document of each group of near copies stays: the smallest doc_id,
+    a null one only if there is no other.  Rows are told apart by doc_id and
+    text, so rows without an id or with the same one aren't taken together."""
+    content = F.sha2(F.coalesce("text", F.lit("")), 256)
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", content.alias("content"))
+    groups = simhash.near_groups(docs.select(row.alias("doc_id"), "text"))
+    chosen = groups.select("component_id").distinct().select("component_id.doc_id", "component_id.content")
+    return _only(docs, cut(chosen, "kept"), "content", content)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

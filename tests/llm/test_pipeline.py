@@ -1,4 +1,6 @@
 """Every stage of the pipeline against a brute-force version on a fixture."""
+import random
+
 import pytest
 
 import corpus_pipeline as P
@@ -43,6 +45,20 @@ def test_stages(spark, odd_docs, folder):
     assert _ids(got) == sorted(str(r[0]) for r in rows if not r[5])
 
 
+def test_near_copies_with_null_and_repeated_ids(spark, tmp):
+    """One row of each group, also where rows of several groups share an id."""
+    rnd = random.Random(3)
+    texts = [" ".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=200)) for _ in range(12)]
+    rows = [(None, t) for t in texts[:4]] + [(1, texts[4]), (1, texts[5]), (2, texts[5]), (2, texts[6]), (2, texts[6])]
+    rows += [(None, texts[7]), (3, texts[7].upper()), (None, texts[8]), (None, texts[8]), (0, texts[9]), (1, texts[9])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.text) for r in P.simhash_stage(spark, docs, tmp).collect()]
+    want = [(None, t) for t in texts[:4]] + [(1, texts[4]), (1, texts[5]), (2, texts[6]), (3, texts[7].upper()),
+                                             (None, texts[8]), (0, texts[9])]
+    key = lambda r: (r[1], str(r[0]))
+    assert sorted(got, key=key) == sorted(want, key=key)
+
+
 def test_run(spark, folder):
     out = P.run(spark, folder).cache()
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
