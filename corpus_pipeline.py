@@ -24,13 +24,13 @@ from ratewise.llm.queries import BPE
 
 def _only(docs: DataFrame, chosen: DataFrame, key: str, value) -> DataFrame:
     """The rows of ``docs`` whose (doc_id, ``value``) is in ``chosen``
-    (doc_id, key); of rows that are equal in both, one."""
+    (doc_id, key); of rows that are equal in both, one with the most code points."""
     own, other, turn = fresh(docs, "_content", "_doc_id", "_turn")
     keyed = docs.withColumn(own, value)
     picked = chosen.select(F.col("doc_id").alias(other), F.col(key).alias(turn))
     same = F.col("doc_id").eqNullSafe(F.col(other)) & (F.col(own) == F.col(turn))
     kept = keyed.join(picked, same, "left_semi")
-    first = Window.partitionBy("doc_id", own).orderBy("doc_id")
+    first = Window.partitionBy("doc_id", own).orderBy(F.length(F.coalesce("text", F.lit(""))).desc(), "text")
     return kept.withColumn(turn, F.row_number().over(first)).where(F.col(turn) == 1).select(*docs.columns)
 
 

@@ -59,6 +59,15 @@ def test_near_copies_with_null_and_repeated_ids(spark, tmp):
     assert sorted(got, key=key) == sorted(want, key=key)
 
 
+def test_the_longest_of_a_repeated_id_stays(spark, tmp):
+    """Texts of one doc_id that differ in white space only, in every order."""
+    for order in (1, -1):
+        rows = [(i, "a b" + " " * k + "c") for i in (7, None) for k in range(5)][::order] + [(8, "d e"), (8, "d  e")][::order]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        got = {(r.doc_id, r.text) for r in P.exact_dedup_stage(spark, docs, tmp).collect()}
+        assert got == {(7, "a b    c"), (8, "d  e")}
+
+
 def test_run(spark, folder):
     out = P.run(spark, folder).cache()
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
