@@ -15,9 +15,10 @@ are merged per document row, so nothing is left out.
 
 Defined results: null, empty and wordless texts have no words and no hits;
 a wordless item has no window; items with equal text are all counted; an
-item_id that repeats is one item; null item_ids are ignored; repeated document rows each keep their row;
-extra columns of either table are ignored (or passed through by
-``clean_documents``).
+item_id that repeats is one item; items with a null item_id are left out of
+``contamination`` and ``hit_spans``, as in the SQL, but ``clean_documents`` removes
+what holds their passages; repeated document rows each keep their row; extra
+columns of either table are ignored (or passed through by ``clean_documents``).
 """
 
 from __future__ import annotations
@@ -194,11 +195,12 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW_WORDS,
 
 def clean_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW_WORDS,
                     block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The rows of ``docs``, all columns, in which no window occurs."""
+    """The rows of ``docs``, all columns, in which no window of any item
+    occurs, whether the item has an id or not."""
     (raw,) = fresh(docs, "_utf8")
     schema = docs.schema
     for block in item_blocks(items, block_words):
-        scanner = docs.sparkSession.sparkContext.broadcast(Scanner(block, window))
+        scanner = docs.sparkSession.sparkContext.broadcast(Scanner([(0, text) for _, text in block], window))
 
         def run(batches: Iterator[pa.RecordBatch], scanner=scanner) -> Iterator[pa.RecordBatch]:
             scan = scanner.value.scan

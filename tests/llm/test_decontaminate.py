@@ -63,6 +63,13 @@ def test_offsets_are_in_the_original_text(spark, items):
     assert all(text[a:b] == p for a, b, p in got)
 
 
+def test_items_without_id_are_removed_too(spark):
+    items = spark.createDataFrame([(None, "largo al factotum"), (1, "rain in Spain"), (None, "Rain in Spain")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "Largo al factotum!"), (2, "the rain in Spain"), (3, "al factotum largo"), (4, None)], "doc_id long, text string")
+    for block_words in (3, 10_000):
+        assert sorted(r.doc_id for r in D.clean_documents(docs, items, block_words=block_words).collect()) == [3, 4]
+
+
 def test_clean_documents_keep_all_columns(odd_docs, items, no_docs, spark):
     clean = D.clean_documents(odd_docs, items, block_words=5)
     assert clean.schema == odd_docs.schema
