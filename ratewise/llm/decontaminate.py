@@ -9,9 +9,11 @@ can hide or make a match.  Word numbers map back to code-point offsets of
 the original text.
 
 The automaton is broadcast, so its size is checked: benchmark items are taken
-in blocks of at most ``BLOCK_WORDS`` words.  One block is one scan.  A larger
-benchmark takes one scan of the documents per block, cut in between; matches
-are merged per document row, so nothing is left out.
+in blocks of at most ``BLOCK_WORDS`` words and ``LETTERS`` distinct ones.  A
+longer item is cut into parts that share ``window - 1`` words, so each of its
+windows is in one part.  One block is one scan.  A larger benchmark takes one
+scan of the documents per block, cut in between; matches are merged per document
+row, so nothing is left out.
 
 Defined results: null, empty and wordless texts have no words and no hits;
 a wordless item has no window; items with equal text are all counted; an
@@ -27,7 +29,7 @@ import hashlib
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,7 @@ from ratewise.llm.common import cut, fresh, slices
 
 WINDOW_WORDS = 10
 BLOCK_WORDS = 2_000_000
+LETTERS = 0x10FFFF - 0x800 - 1  # characters but NUL and the surrogates, less one
 SLICE_BYTES = 1 << 20
 
 # fixed values: the separators are [\x00-\x2F\x3A-\x60\x7B-\x7F] after lower-casing A-Z
@@ -76,8 +79,6 @@ class Scanner:
         if known is None:
             n = len(self._letter) + 1  # 0 stands for words of no item
             known = self._letter[word] = chr(n if n < 0xD800 else n + 0x800)
-            if n + 0x800 >= 0x10FFFF:
-                raise ValueError("more distinct words in one block than characters; lower BLOCK_WORDS")
         return known
 
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
@@ -102,17 +103,31 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def item_blocks(items: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[list[tuple[int, bytes]]]:
-    """The benchmark in blocks of at most ``block_words`` words (an item alone
-    may be more), read block by block."""
-    block, words = [], 0
+def _parts(text: bytes | None, size: int, window: int) -> Iterator[list[bytes]]:
+    """The words in parts of at most ``size``; every window is in one of them."""
+    words = (m.group() for m in _WORD.finditer((text or b"").translate(_TO_WORDS)))
+    part = list(islice(words, size))
+    while part:
+        yield part
+        more = list(islice(words, size - window + 1))
+        part = part[len(part) - window + 1:] + more if more else []
+
+
+def item_blocks(items: DataFrame, block_words: int = BLOCK_WORDS,
+                window: int = WINDOW_WORDS) -> Iterator[list[tuple[int, bytes]]]:
+    """The benchmark in blocks of at most ``block_words`` words (two windows, if
+    that is more) and ``LETTERS`` distinct words, read block by block."""
+    block, words, distinct = [], 0, set()
+    size = max(2 * window, min(block_words, LETTERS))
     for r in items.select("item_id", F.col("text").cast("binary").alias("text")).toLocalIterator():
-        n = len(words_of(r.text))
-        if block and words + n > block_words:
-            yield block
-            block, words = [], 0
-        block.append((r.item_id, r.text))
-        words += n
+        for part in _parts(r.text, size, window):
+            own = set(part)
+            if block and (words + len(part) > block_words or len(distinct) + len(own - distinct) > LETTERS):
+                yield block
+                block, words, distinct = [], 0, set()
+            block.append((r.item_id, b" ".join(part)))
+            words += len(part)
+            distinct |= own
     if block:
         yield block
 
@@ -157,7 +172,7 @@ def word_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW_WORDS,
     words (starts, ends) and the items found."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     spark, done = docs.sparkSession, 0
-    for block in item_blocks(items, block_words):
+    for block in item_blocks(items, block_words, window):
         rows = _add_block(cut(rows, "block") if done else rows,
                           spark.sparkContext.broadcast(Scanner(block, window)), done == 0)
         done += 1
@@ -199,7 +214,7 @@ def clean_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW_WORD
     occurs, whether the item has an id or not."""
     (raw,) = fresh(docs, "_utf8")
     schema = docs.schema
-    for block in item_blocks(items, block_words):
+    for block in item_blocks(items, block_words, window):
         scanner = docs.sparkSession.sparkContext.broadcast(Scanner([(0, text) for _, text in block], window))
 
         def run(batches: Iterator[pa.RecordBatch], scanner=scanner) -> Iterator[pa.RecordBatch]:

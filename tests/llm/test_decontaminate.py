@@ -55,6 +55,32 @@ def test_equals_brute_force(docs, items, rows_of, block_words):
     assert got == brute([(r.doc_id, r.text) for r in docs.collect()], ITEMS)
 
 
+def test_a_long_item_is_cut_into_overlapping_parts(spark, rows_of):
+    rows = [(1, " ".join(f"v{i}" for i in range(100))), (2, "!"), (3, "v95 v96"), (1, "v1 v2")]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    docs = [(s, " ".join(f"V{i}" for i in range(s, s + n))) for s in range(0, 100, 7) for n in (9, 10, 30)] + [(200, rows[0][1])]
+    blocks = list(D.item_blocks(items, block_words=25))
+    assert len(blocks) > 3 and max(sum(len(D.words_of(t)) for _, t in b) for b in blocks) <= 25
+    got = D.contamination(spark.createDataFrame(docs, "doc_id long, text string"), items, block_words=25)
+    assert rows_of(got, *COLUMNS) == brute(docs, rows)
+
+
+def test_blocks_have_a_letter_for_every_word(spark):
+    """More distinct words than characters, in one item and in two."""
+    texts = [" ".join(f"{i:x}" for i in range(a, b)) for a, b in ((0, 1_200_000), (1_200_000, 1_900_000))]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    found, first = set(), True
+    for block in D.item_blocks(items):
+        words = [w for _, t in block for w in D.words_of(t)]
+        assert len(set(words)) <= 0x10FFFF - 0x800
+        if first:  # the letters themselves, without the automaton
+            scanner, first = D.Scanner([], 10), False
+            letters = set(map(scanner._code, words))
+            assert len(letters) == len(set(words)) and D._OTHER not in letters
+        found.update(words)
+    assert len(found) == 1_900_000
+
+
 def test_offsets_are_in_the_original_text(spark, items):
     text = "Ünder, GRÖSSE — größe\n FAÇADE größe façade; and Rain, in Spain."
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
