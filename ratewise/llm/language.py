@@ -44,18 +44,18 @@ SCRIPT_RANGES = (
     (0x0590, 0x05FF, HEBREW), (0x0600, 0x077F, ARABIC), (0x0900, 0x0DFF, INDIC), (0x0E00, 0x0E7F, THAI),
     (0x1100, 0x11FF, HANGUL), (0x1E00, 0x1EFF, LATIN), (0x1F00, 0x1FFF, GREEK), (0x3040, 0x30FF, KANA),
     (0x3400, 0x4DBF, HAN), (0x4E00, 0x9FFF, HAN), (0xAC00, 0xD7AF, HANGUL), (0xF900, 0xFAFF, HAN),
-    (0x20000, 0x2FFFF, HAN),
+    (0x20000, 0x3FFFF, HAN),
 )
-_END = 0x30000
+_END = 0x110000
 
 
 @lru_cache(1)
 def _characters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per code point: is a letter, is part of a word (letters, marks), script."""
     kinds = [unicodedata.category(chr(c))[0] for c in range(_END)]
-    letter = np.array([k == "L" for k in kinds] + [False])
-    word = np.array([k in "LM" for k in kinds] + [False])
-    script = np.full(_END + 1, OTHER, dtype=np.uint8)
+    letter = np.array([k == "L" for k in kinds])
+    word = np.array([k in "LM" for k in kinds])
+    script = np.full(_END, OTHER, dtype=np.uint8)
     for a, b, s in SCRIPT_RANGES:
         script[a:b + 1] = s
     return letter, word, script
@@ -66,7 +66,7 @@ def _code_points(text: str) -> np.ndarray:
     low = text.replace("İ", "i").lower()
     if len(low) != len(text):
         low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-    return np.minimum(np.frombuffer(low.encode("utf-32-le", "surrogatepass"), dtype="<u4"), _END)
+    return np.frombuffer(low.encode("utf-32-le", "surrogatepass"), dtype="<u4")
 
 
 def _trigrams(codes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:

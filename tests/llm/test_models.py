@@ -51,6 +51,16 @@ def test_mixed_text_and_scripts(spark):
     assert [a.tolist() for a in whole[:3]] == [a.tolist() for a in parts[:3]]
 
 
+def test_letters_beyond_the_second_plane(spark):
+    han = "".join(map(chr, (0x30000, 0x30FFF, 0x31350, 0x323AF)))
+    rows = [(2 * i, "дождь идет над полем", "ru") for i in range(20)] + [(2 * i + 1, f"北京 {han} 上海", "zh") for i in range(20)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sum(model.words(f"{han} 1 {han}")[2].tolist()) == 8
+    docs = spark.createDataFrame([(1, han), (2, "\U0001F600 12 \U000E0001 \U0010FFFD")], "doc_id long, text string")
+    pred = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(docs, model).collect()}
+    assert pred == {1: ("zh", 1.0), 2: ("und", 0.0)}
+
+
 def test_language_of_odd_rows(odd_docs, no_docs):
     got = language.language_id(odd_docs)
     assert got.count() == odd_docs.count()
