@@ -11,8 +11,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratewise.llm import (decontaminate, exact_dedup, language, lattice_lm, packing, quality, simhash, token_counts,
-                          token_files, warc)
+from ratewise.llm import (clusters, decontaminate, exact_dedup, language, lattice_lm, packing, quality, secrets, simhash,
+                          token_counts, token_files, vector_codes, vector_sql, warc)
 from ratewise.llm.common import table
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -59,9 +59,22 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(table(spark, sf_dir, "documents"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (op1_decontamination, op2_packing, op3_token_files, op4_language, op5_quality, op6_lattice_lm, op7_warc,
-             op8_exact_dedup, op9_token_counts, op10_simhash)
+             op8_exact_dedup, op9_token_counts, op10_simhash, op11_secret_scan, op12_centroid_clusters,
+             op13_vector_codes)
     return {f.__name__: f for f in every}
 
 
@@ -115,4 +128,5 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM w
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1_SQL, "op7_warc": OP7_SQL, "op8_exact_dedup": OP8_SQL}
+    return {"op1_decontamination": OP1_SQL, "op7_warc": OP7_SQL, "op8_exact_dedup": OP8_SQL,
+            "op12_centroid_clusters": vector_sql.clusters_sql(), "op13_vector_codes": vector_sql.codes_sql()}

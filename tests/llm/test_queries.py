@@ -9,9 +9,9 @@ from ratewise.llm import queries
 SF001 = "/root/testdata/sf0.001"
 
 
-def test_eleven_queries_are_registered():
+def test_all_queries_are_registered():
     names = set(__spark_entry__.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert any(x.startswith(f"op{n}_") for x in names)
     assert "pipeline" in names
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "simhash", "decontamination", "packing"]
@@ -21,7 +21,7 @@ def test_eleven_queries_are_registered():
 def test_query_equals_sql(spark, name):
     got = queries.queries()[name](spark, SF001)
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     want = con.execute(queries.oracle_sql()[name])
     columns = [c[0] for c in want.description]
