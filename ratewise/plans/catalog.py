@@ -413,12 +413,17 @@ def q_readiness(spark: SparkSession, d: str) -> DataFrame:
 
 # --- sources and sinks exercised on data derived from the tables ---------
 
+CSV_ROWS_PER_FILE = 200_000  # about 25 MB: several blocks a file
+
 
 def q_csv_scan(spark: SparkSession, d: str) -> DataFrame:
     """S-1 / S-2: the reviews written as the review CSV (quoted text with
-    commas, doubled quotes, line breaks), read back by header name."""
+    commas, doubled quotes, line breaks) in few large files, read back by
+    header name, each file by several tasks."""
     path = os.path.join(scoring.scratch_dir(spark, "csv"), "reviews_csv")
-    (fixtures.review_csv_rows(spark, d).write.mode("overwrite")
+    rows = fixtures.review_csv_rows(spark, d)
+    files = 1 + spark.read.parquet(f"{d}/lineitem.parquet").count() // CSV_ROWS_PER_FILE
+    (rows.repartition(files).write.mode("overwrite")
         .option("header", True).option("escape", '"').csv(path))
     return read_review_csv(spark, path)
 

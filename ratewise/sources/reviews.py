@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewise import schemas
+from ratewise.sources.csv_blocks import read_csv_blocks
 
 
 def typed_reviews(raw: DataFrame) -> DataFrame:
@@ -24,14 +25,15 @@ def read_review_csv(spark: SparkSession, path: str, multiline: bool = True) -> D
     """CSV with a header; quoted fields may hold doubled quotes and newlines.
 
     All columns are read as strings (no inference pass over the data), then
-    the four used columns are selected by header name so the reader prunes
-    the rest.  ``multiLine`` makes each file one split: on a large input keep
-    many files (or convert once to Parquet) to keep the scan parallel; set
-    ``multiline=False`` when the text is known to hold no embedded newline.
+    the four used columns are selected by header name so the others are not
+    parsed.  Large files are read by many tasks (``csv_blocks``); set
+    ``multiline=False`` when the text is known to hold no embedded newline:
+    one pass over the lines instead of two.
     """
+    if multiline:
+        return typed_reviews(read_csv_blocks(spark, path))
     raw = (spark.read
            .option("header", True)
-           .option("multiLine", multiline)
            .option("quote", '"')
            .option("escape", '"')
            .option("mode", "PERMISSIVE")
