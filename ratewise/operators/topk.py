@@ -1,38 +1,41 @@
 """Top-k items per user by dot product of factor vectors (J-5, J-6, R-3, R-4).
 
-Blocked scoring, never materialising user x item pairs as rows:
-
-* users and items are hashed into ``nb_u`` / ``nb_i`` blocks sized from
-  their exact counts (at most ``block_rows`` rows each, so one task's
-  memory is bounded whatever the data size);
-* every user row is sent to each item block and every item row to each
-  user block, so block pair ``(ub, ib)`` meets in one cogroup;
-* inside the task a NumPy matrix product scores the pair and keeps only the
-  k best items per user (ties: lower item id first);
-* across item blocks a per-user window keeps the overall k best out of
-  ``k * nb_i`` candidates (bounded per user, Spark's window group limit).
-
-This is the same blocking MLlib uses for ``recommendForAllUsers``, but
-the tie rule is deterministic and the block size is chosen from the data.
+User x item pairs are never rows.  Items in order of falling norm are
+searched until a bound ends the search of a user (``pruned``).
+
+* Items up to ``BROADCAST_MAX_BYTES`` (their rows and width are counted first)
+  go to every task once; users stay where they are, so there is no shuffle.
+* More items: users and items are hashed into ``nb_u`` / ``nb_i`` blocks sized
+  from their exact counts (at most ``block_rows`` rows each, so one task's
+  memory is bounded whatever the data size); every user row is sent to each
+  item block and every item row to each user block, so block pair
+  ``(ub, ib)`` meets in one cogroup and is searched there; across item blocks a
+  per-user window keeps the overall k best out of ``k * nb_i`` candidates
+  (bounded per user, Spark's window group limit).
+
+The tie rule (lower item id first) holds on both ways.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+import pyarrow as pa
+from pyspark import Broadcast, StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise import config
 from ratewise.functions.scalars import dot
+from ratewise.operators.pruned import ItemIndex
 from ratewise.operators.skew import split_hot_join
 
 _CAND_SCHEMA = "_u long, _i long, _s double, _r int"
-_USER_CHUNK = 1024
+_LIST = pa.list_(pa.struct([("item", pa.int32()), ("rating", pa.float32())]))
 
 
 def _block_topk(k: int):
@@ -42,39 +45,54 @@ def _block_topk(k: int):
                                  "_i": pd.Series([], dtype="int64"),
                                  "_s": pd.Series([], dtype="float64"),
                                  "_r": pd.Series([], dtype="int32")})
-        item_ids = right["_i"].to_numpy(dtype=np.int64)
-        order = np.argsort(item_ids, kind="stable")  # position order == id order
-        item_ids = item_ids[order]
-        items = np.vstack(right["_v"].to_numpy())[order].astype(np.float64)
-        user_ids = left["_u"].to_numpy(dtype=np.int64)
-        users = np.vstack(left["_v"].to_numpy()).astype(np.float64)
-        kk = min(k, len(item_ids))
-        out_u, out_i, out_s, out_r = [], [], [], []
-        for start in range(0, len(user_ids), _USER_CHUNK):
-            s = users[start:start + _USER_CHUNK] @ items.T
-            if kk < s.shape[1]:
-                part = np.argpartition(-s, kk - 1, axis=1)[:, :kk]
-                thr = np.take_along_axis(s, part, axis=1).min(axis=1)
-                ties = (s >= thr[:, None]).sum(axis=1) > kk
-                if ties.any():  # boundary ties: exact rule by id for those rows
-                    full = np.argsort(-s[ties], axis=1, kind="stable")[:, :kk]
-                    part[ties] = full
-            else:
-                part = np.tile(np.arange(kk), (s.shape[0], 1))
-            top_s = np.take_along_axis(s, part, axis=1)
-            rank_order = np.lexsort((part, -top_s), axis=1)
-            part = np.take_along_axis(part, rank_order, axis=1)
-            top_s = np.take_along_axis(top_s, rank_order, axis=1)
-            n = part.shape[0]
-            out_u.append(np.repeat(user_ids[start:start + n], kk))
-            out_i.append(item_ids[part].ravel())
-            out_s.append(top_s.ravel())
-            out_r.append(np.tile(np.arange(1, kk + 1, dtype=np.int32), n))
-        return pd.DataFrame({"_u": np.concatenate(out_u), "_i": np.concatenate(out_i),
-                             "_s": np.concatenate(out_s), "_r": np.concatenate(out_r)})
+        index = ItemIndex(right["_i"].to_numpy(dtype=np.int64), np.vstack(right["_v"].to_numpy()).astype(np.float64))
+        ids, scores = index.search(np.vstack(left["_v"].to_numpy()).astype(np.float64), k)
+        n, kk = ids.shape
+        return pd.DataFrame({"_u": np.repeat(left["_u"].to_numpy(dtype=np.int64), kk), "_i": ids.ravel(),
+                             "_s": scores.ravel(), "_r": np.tile(np.arange(1, kk + 1, dtype=np.int32), n)})
     return score
 
 
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+
+
+def broadcast_items(items: DataFrame, *, item_col: str = "id", vec_col: str = "features", n_items: int | None = None,
+                    max_bytes: int | None = None) -> Broadcast | None:
+    """The item index for every task, or None if the items, counted with their
+    vectors, exceed ``max_bytes`` (``BROADCAST_MAX_BYTES``)."""
+    rows, width = _measured(items, vec_col, n_items)
+    if rows * width > (config.BROADCAST_MAX_BYTES if max_bytes is None else max_bytes):
+        return None
+    table = items.select(F.col(item_col).cast("long").alias("i"), F.col(vec_col).alias("v")).toArrow().combine_chunks()
+    ids = table.column("i").to_numpy()
+    vectors = _matrix(table.column("v").combine_chunks()) if len(ids) else np.zeros((0, 0))
+    return items.sparkSession.sparkContext.broadcast(ItemIndex(ids, vectors))
+
+
+def _searched(users: DataFrame, index: Broadcast, k: int, user_col: str, vec_col: str, lists: bool) -> DataFrame:
+    """Candidate rows (``_CAND_SCHEMA``), or one list per user; no shuffle."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, scores = index.value.search(_matrix(batch.column("_v")), k)
+            n, kk = ids.shape
+            if lists:
+                if not kk:
+                    continue
+                items = pa.StructArray.from_arrays([pa.array(ids.ravel().astype(np.int32)),
+                                                    pa.array(scores.ravel().astype(np.float32))], fields=list(_LIST.value_type))
+                offsets = pa.array(np.arange(0, n * kk + 1, kk, dtype=np.int32))
+                yield pa.record_batch([batch.column("_u"), pa.ListArray.from_arrays(offsets, items)], names=["_u", "_l"])
+            else:
+                yield pa.record_batch([pa.array(np.repeat(batch.column("_u").to_numpy(), kk)), pa.array(ids.ravel()),
+                                       pa.array(scores.ravel()), pa.array(np.tile(np.arange(1, kk + 1, dtype=np.int32), n))],
+                                      names=["_u", "_i", "_s", "_r"])
+    source = users.select(F.col(user_col).cast("long").alias("_u"), F.col(vec_col).alias("_v"))
+    return source.mapInArrow(run, "_u long, _l array<struct<item: int, rating: float>>" if lists else _CAND_SCHEMA)
+
+
 def _merge(cand: DataFrame, k: int, nb_i: int, user_out: str, item_out: str) -> DataFrame:
     """Overall k best per user from the per-block candidates."""
     if nb_i > 1:
@@ -104,9 +122,13 @@ def top_k_by_dot(users: DataFrame, items: DataFrame, k: int = config.TOP_K, *,
                  user_col: str = "id", item_col: str = "id", vec_col: str = "features",
                  user_out: str = "user", item_out: str = "item",
                  block_rows: int = config.TOPK_BLOCK_ROWS,
-                 n_users: int | None = None, n_items: int | None = None) -> DataFrame:
+                 n_users: int | None = None, n_items: int | None = None,
+                 broadcast_bytes: int | None = None) -> DataFrame:
     """``(user_out long, rank int, item_out long, score double)``: the k best
     items of every user, rank 1 = highest score, ties by lower item id."""
+    index = broadcast_items(items, item_col=item_col, vec_col=vec_col, n_items=n_items, max_bytes=broadcast_bytes)
+    if index is not None:
+        return _merge(_searched(users, index, k, user_col, vec_col, False), k, 1, user_out, item_out)
     if n_users is None:
         n_users = users.count()
     if n_items is None:
@@ -125,25 +147,51 @@ def top_k_by_dot(users: DataFrame, items: DataFrame, k: int = config.TOP_K, *,
     return _merge(cand, k, nb_i, user_out, item_out)
 
 
+def top_lists_by_dot(users: DataFrame, items: DataFrame, k: int = config.TOP_K, *,
+                     user_out: str = "user_idx", item_out: str = "product_idx", user_col: str = "id",
+                     vec_col: str = "features", n_users: int | None = None, n_items: int | None = None,
+                     broadcast_bytes: int | None = None) -> DataFrame:
+    """``as_lists(top_k_by_dot(...))`` for distinct users; with broadcast
+    items each list is made where its user is, without a shuffle."""
+    index = broadcast_items(items, vec_col=vec_col, n_items=n_items, max_bytes=broadcast_bytes)
+    if index is None:
+        return as_lists(top_k_by_dot(users, items, k, user_col=user_col, vec_col=vec_col, user_out=user_out,
+                                     item_out=item_out, n_users=n_users, n_items=n_items, broadcast_bytes=-1), user_out, item_out)
+    return _lists(_searched(users, index, k, user_col, vec_col, True), user_out, item_out)
+
+
+def _lists(found: DataFrame, user_out: str, item_out: str) -> DataFrame:
+    return found.select(F.col("_u").cast("int").alias(user_out),
+                        F.col("_l").cast(f"array<struct<{item_out}: int, rating: float>>").alias("recommendations"))
+
+
 @dataclass
 class PreparedItems:
-    """Item factors cut into blocks once, hash-partitioned by block and
-    sorted, kept cached: a scorer that runs again and again (one call per
-    micro-batch) then shuffles only its users, never the catalogue."""
+    """Items made ready once for a scorer that runs again and again (one call
+    per micro-batch): the broadcast index, or beyond the byte limit item
+    blocks, hash-partitioned by block, sorted and kept cached, so that a
+    call then shuffles only its users, never the catalogue."""
 
-    table: DataFrame  # (_i, _v, _ib, _ub), partitioned + sorted by (_ub, _ib)
+    table: DataFrame | None  # (_i, _v, _ib, _ub), partitioned + sorted by (_ub, _ib)
     n_items: int
     nb_i: int
     block_rows: int
+    index: Broadcast | None = None
 
     def release(self) -> None:
-        self.table.unpersist()
+        if self.table is not None:
+            self.table.unpersist()
+        if self.index is not None:
+            self.index.unpersist()
 
 
 def prepare_items(items: DataFrame, *, item_col: str = "id", vec_col: str = "features",
                   block_rows: int = config.TOPK_BLOCK_ROWS,
-                  partitions: int | None = None) -> PreparedItems:
+                  partitions: int | None = None, broadcast_bytes: int | None = None) -> PreparedItems:
     n_items = items.count()
+    index = broadcast_items(items, item_col=item_col, vec_col=vec_col, n_items=n_items, max_bytes=broadcast_bytes)
+    if index is not None:
+        return PreparedItems(table=None, n_items=n_items, nb_i=1, block_rows=block_rows, index=index)
     parts = partitions or items.sparkSession.sparkContext.defaultParallelism
     # at least one item block per core: a micro-batch's few users are sent
     # to every block, so its scoring runs on all cores
@@ -165,16 +213,18 @@ def top_k_prepared(users: DataFrame, prepared: PreparedItems, k: int = config.TO
                    user_col: str = "id", vec_col: str = "features",
                    user_out: str = "user", item_out: str = "item",
                    n_users: int | None = None) -> DataFrame:
-    """As ``top_k_by_dot`` against prepared item blocks.  Up to one block of
-    users: the users are sent to every item block and the cached items are
-    read in place.  More users than one block: the general blocked path."""
+    """As ``top_k_by_dot`` against prepared items.  Without a broadcast index
+    and up to one block of users, the users are sent to every item block and
+    the cached items are read in place; more users: the general blocked path."""
+    if prepared.index is not None:
+        return _merge(_searched(users, prepared.index, k, user_col, vec_col, False), k, 1, user_out, item_out)
     if n_users is None:
         n_users = users.count()
     if n_users > prepared.block_rows:
         items = prepared.table.select(F.col("_i").alias("id"), F.col("_v").alias("features"))
         return top_k_by_dot(users, items, k, user_col=user_col, vec_col=vec_col,
                             user_out=user_out, item_out=item_out, block_rows=prepared.block_rows,
-                            n_users=n_users, n_items=prepared.n_items)
+                            n_users=n_users, n_items=prepared.n_items, broadcast_bytes=-1)
     u = F.col("_u")
     us = (users.select(F.col(user_col).cast("long").alias("_u"), F.col(vec_col).alias("_v"))
                .withColumn("_ub", F.pmod(F.xxhash64(u), F.lit(1)).cast("int"))
@@ -185,6 +235,15 @@ def top_k_prepared(users: DataFrame, prepared: PreparedItems, k: int = config.TO
     return _merge(cand, k, prepared.nb_i, user_out, item_out)
 
 
+def lists_prepared(users: DataFrame, prepared: PreparedItems, k: int = config.TOP_K, *, user_out: str = "user_idx",
+                   item_out: str = "product_idx", n_users: int | None = None) -> DataFrame:
+    """``top_lists_by_dot`` against prepared items."""
+    if prepared.index is not None:
+        return _lists(_searched(users, prepared.index, k, "id", "features", True), user_out, item_out)
+    return as_lists(top_k_prepared(users, prepared, k, user_out=user_out, item_out=item_out, n_users=n_users),
+                    user_out, item_out)
+
+
 def as_lists(top: DataFrame, user: str = "user_idx", item: str = "product_idx") -> DataFrame:
     """Flat top-k rows -> ``(user, recommendations array<struct<item, rating
     float>>)`` ordered by rank (k elements per user, bounded)."""

@@ -159,9 +159,7 @@ def recommend_all(model: ALSModel, k: int = config.TOP_K, method: str = "blocked
     """
     if method == "mllib":
         return model.recommendForAllUsers(k)
-    top = topk.top_k_by_dot(model.userFactors, model.itemFactors, k,
-                            user_out="user_idx", item_out="product_idx")
-    return topk.as_lists(top)
+    return topk.top_lists_by_dot(model.userFactors, model.itemFactors, k)
 
 
 def recommend_subset(model: ALSModel, users: DataFrame, k: int = config.TOP_K,
@@ -171,9 +169,7 @@ def recommend_subset(model: ALSModel, users: DataFrame, k: int = config.TOP_K,
     if method == "mllib":
         return model.recommendForUserSubset(users.select("user_idx").distinct(), k)
     sub = topk.subset_factors(model.userFactors, users, requested_rows=n_users)
-    top = topk.top_k_by_dot(sub, model.itemFactors, k, user_out="user_idx",
-                            item_out="product_idx", n_users=n_users, n_items=n_items)
-    return topk.as_lists(top)
+    return topk.top_lists_by_dot(sub, model.itemFactors, k, n_users=n_users, n_items=n_items)
 
 
 def flat_lists(lists: DataFrame) -> DataFrame:

@@ -196,15 +196,13 @@ def factor_store(spark: SparkSession, d: str) -> DataFrame:
     scores every user over every item; batch 1 re-scores the users seen in
     the events over the products the events name (``50 + props.k``)."""
     users, items = fixtures.factor_fixture(spark, d)
-    b0 = topk.as_lists(topk.top_k_by_dot(users, items, config.STORE_K,
-                                         user_out="user_idx", item_out="product_idx"))
+    b0 = topk.top_lists_by_dot(users, items, config.STORE_K)
     ev = spark.read.parquet(f"{d}/events.parquet").select("user_id", "props")
     seen_users = ev.select(F.col("user_id").cast("int").alias("user_idx"))
     seen_items = ev.select((S.parse_json("props", "k int")["k"]
                             + F.lit(fixtures.FACTOR_ITEM_SHIFT)).alias("user_idx"))
-    b1 = topk.as_lists(topk.top_k_by_dot(topk.subset_factors(users, seen_users),
-                                         topk.subset_factors(items, seen_items), config.STORE_K,
-                                         user_out="user_idx", item_out="product_idx"))
+    b1 = topk.top_lists_by_dot(topk.subset_factors(users, seen_users), topk.subset_factors(items, seen_items),
+                               config.STORE_K)
     return (b0.withColumn("batch_id", F.lit(0).cast("long"))
               .unionByName(b1.withColumn("batch_id", F.lit(1).cast("long"))))
 

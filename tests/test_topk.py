@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from ratewise.operators import topk
+from ratewise.operators import pruned, topk
 from ratewise.sources import fixtures
 
 
@@ -35,19 +35,61 @@ def _check(spark, users_df, items_df, k, **kw):
 def test_single_block_matches_brute_force(spark):
     users, items = fixtures.factor_fixture(spark, SF001)
     _check(spark, users, items, 5)
+    _check(spark, users, items, 5, broadcast_bytes=-1)
 
 
 def test_many_blocks_match_brute_force(spark):
     users, items = fixtures.factor_fixture(spark, SF001)
     # 7-row blocks: 8 user blocks x 65 item blocks, merged per user
-    _check(spark, users, items, 5, block_rows=7)
+    _check(spark, users, items, 5, block_rows=7, broadcast_bytes=-1)
+
+
+def _exact(users, ids, vectors, k):
+    s = users @ vectors.T
+    order = np.lexsort((np.broadcast_to(ids, s.shape), -s), axis=1)[:, :k]
+    return ids[order], np.take_along_axis(s, order, axis=1)
+
+
+def test_search_skips_blocks_and_stays_exact():
+    """Long-tailed norms: most blocks are never scored, no list changes."""
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(5000, 12)) * (1 / (1 + np.arange(5000)))[:, None] ** 0.7
+    ids, users = rng.permutation(5000), rng.normal(size=(300, 12))
+    work = {}
+    got_ids, got = pruned.ItemIndex(ids, vectors, block=64).search(users, 7, work)
+    want_ids, want = _exact(users, ids, vectors, 7)
+    assert got_ids.tolist() == want_ids.tolist() and np.allclose(got, want, rtol=1e-12)
+    assert work["scored"] + work["skipped"] == 300 * 79 and work["skipped"] > 0.8 * 300 * 79
+
+
+def test_search_with_ties_zeros_and_negative_scores():
+    """Integers make scores exact: ties across blocks go to the lower id."""
+    rng = np.random.default_rng(7)
+    for k in (1, 3, 20, 200):
+        vectors = rng.integers(-2, 3, (150, 3)).astype(float)
+        users = np.vstack([rng.integers(-2, 3, (40, 3)), np.zeros((1, 3))]).astype(float)
+        ids = rng.permutation(1000)[:150]
+        got_ids, got = pruned.ItemIndex(ids, vectors, block=8).search(users, k)
+        want_ids, want = _exact(users, ids, vectors, k)
+        assert got_ids.tolist() == want_ids.tolist() and got.tolist() == want.tolist()
+
+
+def test_no_shuffle_while_items_fit(spark):
+    users, items = fixtures.factor_fixture(spark, SF001)
+    for df in (topk.top_k_by_dot(users, items, 5), topk.top_lists_by_dot(users, items, 5)):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    blocked = topk.top_lists_by_dot(users, items, 5, broadcast_bytes=-1)
+    assert "Exchange" in blocked._jdf.queryExecution().executedPlan().toString()
+    direct = topk.top_lists_by_dot(users, items, 5)
+    assert direct.schema.simpleString() == blocked.schema.simpleString()
+    assert sorted(map(str, direct.collect())) == sorted(map(str, blocked.collect()))
 
 
 def test_ties_go_to_lower_item_id(spark):
     users = spark.createDataFrame([(1, [1.0, 0.0])], "id int, features array<float>")
     items = spark.createDataFrame(
         [(i, [1.0, float(i % 2)]) for i in range(10, 0, -1)], "id int, features array<float>")
-    got = topk.top_k_by_dot(users, items, 3, block_rows=4).orderBy("rank").collect()
+    got = topk.top_k_by_dot(users, items, 3, block_rows=4, broadcast_bytes=-1).orderBy("rank").collect()
     assert [r.item for r in got] == [1, 2, 3]
     got = topk.top_k_by_dot(users, items, 3).orderBy("rank").collect()
     assert [r.item for r in got] == [1, 2, 3]
@@ -85,13 +127,17 @@ def test_list_schema(spark):
 
 def test_prepared_items_match_general_path(spark):
     users, items = fixtures.factor_fixture(spark, SF001)
-    prep = topk.prepare_items(items, block_rows=100, partitions=5)
+    small = topk.prepare_items(items)
+    prep = topk.prepare_items(items, block_rows=100, partitions=5, broadcast_bytes=-1)
     try:
         a = {(r.user, r.rank): (r.item, round(r.score, 9))
              for r in topk.top_k_prepared(users, prep, 5).collect()}
         b = {(r.user, r.rank): (r.item, round(r.score, 9))
-             for r in topk.top_k_by_dot(users, items, 5, block_rows=100).collect()}
+             for r in topk.top_k_by_dot(users, items, 5, block_rows=100, broadcast_bytes=-1).collect()}
         assert a == b
+        assert b == {(r.user, r.rank): (r.item, round(r.score, 9)) for r in topk.top_k_prepared(users, small, 5).collect()}
+        assert sorted(map(str, topk.lists_prepared(users, small, 5).collect())) == sorted(
+            map(str, topk.lists_prepared(users, prep, 5).collect()))
         # more users than one block: falls back to the general path
         c = {(r.user, r.rank): (r.item, round(r.score, 9))
              for r in topk.top_k_prepared(users, topk.PreparedItems(
@@ -99,3 +145,4 @@ def test_prepared_items_match_general_path(spark):
         assert c == b
     finally:
         prep.release()
+        small.release()
