@@ -3,7 +3,7 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Steps (each forced to completion with a real write or the ``noop`` sink):
-clean_filter (reviews -> dedup -> user / product filters, checkpointed),
+clean_filter (reviews -> dedup -> user / product filters, written),
 dictionaries (both dense indexes), encode_write (ids joined, ratings and
 dictionaries written),
 funnel, split_eval (hash split + fixed-predictor candidates + choice),
@@ -83,22 +83,20 @@ def main() -> None:
     else:
         _noop(spark.read.parquet(f"{sf_dir}/region.parquet"))
 
-    from ratewise.operators import clean as C
     from ratewise.operators import encode
-    from ratewise.session import cut_lineage
+    from ratewise.plans.cleaning import filtered_reviews
 
     raw = fixtures.reviews(spark, sf_dir)
     n_raw = raw.count()
-    stages = C.clean_reviews(raw)
-    active = timed("clean_filter", lambda: cut_lineage(stages["active_products"]))
+    stages = timed("clean_filter", lambda: filtered_reviews(raw))
+    active = stages["active_products"]
     dicts = timed("dictionaries", lambda: encode.build_dictionaries(active))
 
     def encode_write():
         users, products = dicts
         ratings = products.attach(users.attach(active)).select(
             "user_idx", "product_idx", F.col("Score").cast("float").alias("Score"))
-        return write_cleaning(CleaningResult({**stages, "active_products": active},
-                                             ratings, users, products), base)
+        return write_cleaning(CleaningResult(stages, ratings, users, products), base)
     paths = timed("encode_write", encode_write)
 
     timed("funnel", lambda: run_cleaning(fixtures.reviews(spark, sf_dir)).funnel().collect())

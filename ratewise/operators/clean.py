@@ -51,6 +51,34 @@ def dedup_latest(df: DataFrame, keys: Sequence[str] = KEYS, time_col: str = "Tim
                    F.max(time_col).alias(time_col)))
 
 
+def _non_null():
+    """The row test of ``drop_nulls`` on the three rating columns."""
+    return (F.col("UserId").isNotNull() & F.col("ProductId").isNotNull()
+            & F.col("Score").isNotNull() & ~F.isnan(F.col("Score")))
+
+
+def dedup_counted(reviews: DataFrame) -> DataFrame:
+    """A-5 with the counts of A-1: ``dedup_latest`` of the complete rows plus
+    ``n_rows``, the reviews each row stands for, and one more row (null keys)
+    for the incomplete ones, so one pass over the reviews gives the raw, the
+    complete and the deduplicated rows.
+
+    The counts are data, reduced with the rows before the shuffle.  Observed
+    metrics would be accumulators: a map task run again after an executor
+    loss adds to them twice.
+    """
+    whole = _non_null()
+    kept = reviews.select(*(F.when(whole, F.col(c)).alias(c) for c in (*KEYS, "Score", "Time")))
+    return (kept.groupBy(*KEYS)
+                .agg(F.max_by("Score", F.struct("Time", "Score")).alias("Score"),
+                     F.max("Time").alias("Time"), F.count(F.lit(1)).alias("n_rows")))
+
+
+def deduplicated(counted: DataFrame) -> DataFrame:
+    """The reviews of ``dedup_counted``."""
+    return counted.where(F.col("UserId").isNotNull()).select(*KEYS, "Score", "Time")
+
+
 def counts_by(df: DataFrame, key: str, name: str = "nb_avis") -> DataFrame:
     """A-2 / A-3: reviews per key."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
@@ -91,20 +119,21 @@ def clean_reviews(reviews: DataFrame,
     """
     non_null = drop_nulls(reviews, ["UserId", "ProductId", "Score"])
     dedup = dedup_latest(non_null)
-    users = keep_active(dedup, "UserId", min_user, hot_rows)
-    products = keep_active(users, "ProductId", min_product, hot_rows)
     return {"raw": reviews, "non_null": non_null, "dedup": dedup,
-            "active_users": users, "active_products": products}
+            **active_reviews(dedup, min_user, min_product, hot_rows)}
 
 
-STAGES = ("raw", "non_null", "dedup", "active_users", "active_products", "final")
+def active_reviews(dedup: DataFrame, min_user: int = config.MIN_REVIEWS_PER_USER,
+                   min_product: int = config.MIN_REVIEWS_PER_PRODUCT,
+                   hot_rows: int = config.HOT_KEY_ROWS) -> dict[str, DataFrame]:
+    """The two activity filters over deduplicated reviews."""
+    users = keep_active(dedup, "UserId", min_user, hot_rows)
+    products = keep_active(users, "ProductId", min_product, hot_rows)
+    return {"active_users": users, "active_products": products}
 
 
+STAGES = ("raw", "non_null", "dedup", "active_users", "active_products", "final")
 
-def _non_null():
-    """The row test of ``drop_nulls`` on the three rating columns."""
-    return (F.col("UserId").isNotNull() & F.col("ProductId").isNotNull()
-            & F.col("Score").isNotNull() & ~F.isnan(F.col("Score")))
 
 
 def _rows(agg: DataFrame, names: tuple[str, ...]) -> DataFrame:
@@ -118,14 +147,19 @@ def _rows(agg: DataFrame, names: tuple[str, ...]) -> DataFrame:
 def funnel(stages: dict[str, DataFrame], min_user: int = config.MIN_REVIEWS_PER_USER) -> DataFrame:
     """A-1: ``(stage_no, stage, n_rows)`` for the cleaning stages.
 
-    Counted in as few passes as the stages allow: raw and non-null rows in
-    one aggregate over the raw input; deduplicated rows and rows of active
+    Counted in as few passes as the stages allow: raw and non-null rows from
+    the counts kept by ``dedup_counted`` (stage ``counted``), else in one
+    aggregate over the raw input; deduplicated rows and rows of active
     users in one aggregate over the per-user review counts (the table the
     user filter is built from); the later stages from their own (usually
-    checkpointed) frames.
+    written) frames.
     """
-    raw = stages["raw"].agg(F.count(F.lit(1)).alias("raw"),
-                            F.count_if(_non_null()).alias("non_null"))
+    if "counted" in stages:
+        raw = stages["counted"].agg(F.sum("n_rows").alias("raw"),
+                                    F.sum(F.when(F.col("UserId").isNotNull(), F.col("n_rows"))).alias("non_null"))
+    else:
+        raw = stages["raw"].agg(F.count(F.lit(1)).alias("raw"),
+                                F.count_if(_non_null()).alias("non_null"))
     per_user = counts_by(stages["dedup"], "UserId")
     users = per_user.agg(
         F.sum("nb_avis").alias("dedup"),

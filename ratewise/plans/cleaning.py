@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from ratewise import config
 from ratewise.operators import clean, encode
-from ratewise.session import cut_lineage
+from ratewise.session import materialise
 
 
 @dataclass
@@ -23,13 +23,21 @@ class CleaningResult:
         return clean.funnel({**self.stages, "final": self.ratings})
 
 
+def filtered_reviews(reviews: DataFrame, hot_rows: int = config.HOT_KEY_ROWS) -> dict[str, DataFrame]:
+    """The cleaning stages, with the raw reviews read once: deduplicated
+    reviews (with the row counts of the funnel) and the active ones are
+    written as Parquet in the shared scratch folder, and everything later
+    reads these (a lost executor sends nothing back to the raw reviews)."""
+    counted = materialise(clean.dedup_counted(reviews), "dedup")
+    stages = {"raw": reviews, "counted": counted, "dedup": clean.deduplicated(counted)}
+    stages |= clean.active_reviews(stages["dedup"], hot_rows=hot_rows)
+    stages["active_products"] = materialise(stages["active_products"], "active")
+    return stages
+
+
 def run_cleaning(reviews: DataFrame, hot_rows: int = config.HOT_KEY_ROWS) -> CleaningResult:
-    """Runs the dedup + activity filters once and checkpoints the result
-    into the shared checkpoint folder: both dictionary builds and the final
-    id join read it instead of re-running two full shuffles of the raw
-    reviews each (and a lost executor does not send them back there)."""
-    stages = clean.clean_reviews(reviews, hot_rows=hot_rows)
-    stages["active_products"] = cut_lineage(stages["active_products"])
+    """The whole chain: filters, both dictionaries, ratings with dense ids."""
+    stages = filtered_reviews(reviews, hot_rows)
     ratings, users, products = encode.encode_ratings(stages["active_products"], hot_rows)
     return CleaningResult(stages, ratings, users, products)
 

@@ -7,8 +7,10 @@ only when the master is local and nothing is configured (tests).
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,6 +74,41 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_scratch: list[tuple[SparkSession, str]] = []
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared checkpoint location (never a local tmp
+    on a cluster); what is in it is removed when the process ends."""
+    path = os.path.join(checkpoint_dir(spark), f"ratewise-{name}-{uuid.uuid4().hex[:12]}")
+    _scratch.append((spark, path))
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@atexit.register
+def _remove_scratch() -> None:
+    for spark, path in _scratch:
+        try:
+            if spark.sparkContext._jsc is not None:
+                remove_path(spark, path)
+        except Exception:  # the session may be gone; these are only scratch
+            continue
+
+
+def materialise(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Write ``df`` once as Parquet in a scratch folder and read it back:
+    columns are pruned and filters pushed in every later use, and a lost
+    executor does not send work back to the inputs."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 MB = 1 << 20
 
 

@@ -50,6 +50,31 @@ def test_funnel_matches_fixture_counts(spark):
     assert res.users.size == 635 and res.products.size == 508
 
 
+def test_funnel_reads_the_raw_reviews_once(spark, tmp):
+    """The input is gone after the chain ran; every count is still there."""
+    from ratewise.session import remove_path
+    rows = [(None, "p", 1.0, 1)] * 7 + [("u", None, 1.0, 1), ("u", "p", float("nan"), 1), ("u", "p", None, 1)]
+    rows += [(f"u{i % 4}", f"p{i % 8}", 1.0 + i % 5, i) for i in range(60)] + [("lone", "p0", 2.0, None)] * 3
+    path = tmp + "/raw"
+    spark.createDataFrame(rows, "UserId string, ProductId string, Score float, Time long").repartition(4).write.parquet(path)
+    plain = clean.clean_reviews(spark.read.parquet(path))
+    want = {r.stage: r.n_rows for r in clean.funnel(plain).collect()}
+    same = sorted(map(tuple, plain["dedup"].select("UserId", "ProductId", "Score", "Time").collect()), key=str)
+    res = run_cleaning(spark.read.parquet(path))
+    remove_path(spark, path)
+    got = {r.stage: r.n_rows for r in res.funnel().collect()}
+    assert got.pop("final") == got["active_products"]
+    assert got == want and got["raw"] == len(rows) and got["non_null"] == len(rows) - 10
+    assert sorted(map(tuple, res.stages["dedup"].collect()), key=str) == same
+
+
+def test_dedup_plan_scans_and_shuffles_once(spark):
+    counted = clean.dedup_counted(fixtures.reviews(spark, SF001))
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 1
+    assert plan.count("Exchange hashpartitioning(UserId") <= 1
+
+
 def test_index_equals_string_indexer(spark):
     res = run_cleaning(fixtures.reviews(spark, SF001))
     active = res.stages["active_products"]
