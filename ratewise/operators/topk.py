@@ -61,7 +61,7 @@ def broadcast_items(items: DataFrame, *, item_col: str = "id", vec_col: str = "f
                     max_bytes: int | None = None) -> Broadcast | None:
     """The item index for every task, or None if the items, counted with their
     vectors, exceed ``max_bytes`` (``BROADCAST_MAX_BYTES``)."""
-    rows, width = _measured(items, vec_col, n_items)
+    rows, width = factor_bytes(items, vec_col, n_items)
     if rows * width > (config.BROADCAST_MAX_BYTES if max_bytes is None else max_bytes):
         return None
     table = items.select(F.col(item_col).cast("long").alias("i"), F.col(vec_col).alias("v")).toArrow().combine_chunks()
@@ -270,7 +270,7 @@ def subset_factors(factors: DataFrame, requested: DataFrame, key: str = "id",
     return factors.join(req, on=key, how="left_semi")
 
 
-def _measured(factors: DataFrame, vec: str, rows: int | None) -> tuple[int, int]:
+def factor_bytes(factors: DataFrame, vec: str, rows: int | None = None) -> tuple[int, int]:
     """Rows of a factor table (counted unless known) and bytes of its widest row."""
     got = factors.agg(*([F.count(F.lit(1)).alias("n")] if rows is None else []),
                       F.coalesce(F.max(F.size(vec)), F.lit(0)).alias("width")).first()
@@ -291,8 +291,8 @@ def score_pairs(pairs: DataFrame, users: DataFrame, items: DataFrame, *,
     replicated."""
     u = users.select(F.col("id").alias(user_col), F.col(vec_col).alias("_uv"))
     i = items.select(F.col("id").alias(item_col), F.col(vec_col).alias("_iv"))
-    n_users, u_bytes = _measured(u, "_uv", n_users)
-    n_items, i_bytes = _measured(i, "_iv", n_items)
+    n_users, u_bytes = factor_bytes(u, "_uv", n_users)
+    n_items, i_bytes = factor_bytes(i, "_iv", n_items)
     scored = split_hot_join(split_hot_join(pairs, u, user_col, side_rows=n_users, row_bytes=u_bytes),
                             i, item_col, side_rows=n_items, row_bytes=i_bytes)
     return scored.withColumn(out, dot("_uv", "_iv")).drop("_uv", "_iv")

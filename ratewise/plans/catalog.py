@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ratewise import config
 from ratewise.functions import scalars as S
-from ratewise.operators import clean, evaluate, report, serve, split, topk, train
+from ratewise.operators import clean, evaluate, report, residuals, serve, split, topk, train
 from ratewise.plans import scoring
 from ratewise.plans.cleaning import run_cleaning, write_cleaning
 from ratewise.sinks.writers import publish_messages, write_batch_lists, write_record
@@ -326,6 +326,14 @@ def q_als_list_shape(spark: SparkSession, d: str) -> DataFrame:
         (scores == F.sort_array(scores, asc=False)).alias("ordered"))
 
 
+def q_als_residuals(spark: SparkSession, d: str) -> DataFrame:
+    """M-2 / M-5: per train user, whether its fitted factors solve the normal
+    equations of its ratings."""
+    parts = split.split_frames(_ratings(spark, d))
+    rows = residuals.normal_residuals(_grid(spark, d).model, parts["train"], BASE_CONFIG[0][1])
+    return rows.select("user_idx", "n_ratings", (F.col("residual") <= residuals.TOLERANCE).alias("solved"))
+
+
 def _stream_out(spark: SparkSession, d: str) -> str:
     key = (spark.sparkContext.applicationId, d, "stream")
     if key not in _MEMO:
@@ -499,6 +507,7 @@ def queries() -> dict[str, Query]:
         "als_predictions": q_als_predictions,
         "als_scored_keys": q_als_scored_keys,
         "als_list_shape": q_als_list_shape,
+        "als_residuals": q_als_residuals,
         "als_grid": q_als_grid,
         "als_topk": q_als_topk,
         "stream_recommendations": q_stream_recommendations,

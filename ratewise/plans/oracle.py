@@ -264,6 +264,8 @@ WHERE split = 'validation' AND user_idx IN (SELECT user_idx FROM train)
     q["als_list_shape"] = chain_split + """
 SELECT user_idx, CAST(least(5, n) AS INTEGER) AS n_items, CAST(least(5, n) AS INTEGER) AS n_distinct, true AS ordered
 FROM (SELECT DISTINCT user_idx FROM train) u, (SELECT count(DISTINCT product_idx) AS n FROM train) i"""
+    q["als_residuals"] = chain_split + """
+SELECT user_idx, count(*) AS n_ratings, true AS solved FROM train GROUP BY user_idx"""
     q["stream_list_sizes"] = chain_split.rstrip() + "," + _MESSAGES + """,
 sliced AS (
   SELECT m.*, (m.event_id * 4) // (SELECT max(event_id) + 1 FROM events) AS batch_id

@@ -43,6 +43,33 @@ def test_prediction_is_factor_dot(spark, grid, cleaned):
     assert all(not np.isnan(r.prediction) for r in pred)
 
 
+def test_residuals_equal_the_matrix_form(spark, grid, cleaned):
+    """Gram matrices in NumPy, per user and per product."""
+    from ratewise.operators import residuals
+    train_rows = split.split_frames(cleaned.ratings)["train"]
+    m, reg = grid.model, 0.1
+    vectors = {"user_idx": {r.id: np.array(r.features, np.float64) for r in m.userFactors.collect()},
+               "product_idx": {r.id: np.array(r.features, np.float64) for r in m.itemFactors.collect()}}
+    ratings = [(r.user_idx, r.product_idx, r.Score) for r in train_rows.collect()]
+    for side, own, other in (("user", 0, 1), ("product", 1, 0)):
+        keys = ("user_idx", "product_idx")
+        by = {}
+        for row in ratings:
+            by.setdefault(row[own], []).append((vectors[keys[other]][row[other]], row[2]))
+        got = {r[0]: r for r in residuals.normal_residuals(m, train_rows, reg, side).collect()}
+        assert got.keys() == by.keys()
+        for key, rows in by.items():
+            v, r = np.array([x for x, _ in rows]), np.array([x for _, x in rows])
+            u = vectors[keys[own]][key]
+            left = (v.T @ v + reg * len(r) * np.eye(len(u))) @ u
+            want = np.linalg.norm(left - v.T @ r) / np.linalg.norm(v.T @ r)
+            assert got[key].n_ratings == len(r) and abs(got[key].residual - want) < 1e-9
+    report = residuals.fit_report(m, train_rows, reg).first()
+    assert report.n_users == len(vectors["user_idx"]) and report.n_beyond == 0 and report.largest < 1e-4
+    # factors of another regularisation solve other equations
+    assert residuals.fit_report(m, train_rows, 0.5).first().n_beyond > 0.9 * report.n_users
+
+
 def test_seeded_fit_is_reproducible(spark, cleaned, grid):
     parts = split.split_frames(cleaned.ratings)
     a = train.fit(parts["train"], 5, 0.1, 5, SMALL)
