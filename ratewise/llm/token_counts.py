@@ -27,11 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.llm.common import slices
-from ratewise.llm.tokens import PieceEncoder, split_pieces
+from ratewise.llm.tokens import PieceEncoder, _Memo, split_pieces
 
 LIMIT_TOKENS = 512
 CHUNK_PIECES = 1024
 SLICE_BYTES = 1 << 20
+OPENING_BYTES = 8 << 20  # remembered first pieces of texts and chunks
 OPENING, FOLLOWING = 0, 1
 
 
@@ -61,28 +62,24 @@ class CountTransducer(PieceEncoder):
 
     def __init__(self, path: str, chunk: int = CHUNK_PIECES):
         super().__init__(path)
-        self._chunk, self._opening = chunk, {}
+        self._chunk = chunk
+        self._openings = _Memo(lambda piece: self._text(piece) if piece else 0, OPENING_BYTES)
 
     def _pack(self, ids: list[int]) -> int:
         return len(ids)  # what a transition emits
 
-    def _emitted_opening(self, piece: str) -> int:
-        known = self._opening.get(piece)
-        if known is None:
-            if len(self._opening) >= self._limit:
-                self._opening.clear()
-            known = self._opening[piece] = self._pack(self.ids(piece)) if piece else 0
-        return known
+    def _join(self, coded) -> int:
+        return sum(coded)
 
     def counts(self, texts: list[str | None]) -> list[int]:
         """Tokens of each text, without added special tokens."""
         pieces = [split_pieces(t or "") if self._piecewise else [t or ""] for t in texts]
-        emitted = self.remember(set().union(*pieces)).__getitem__ if self._piecewise else None
+        emitted = self._pieces.__getitem__ if self._piecewise else None
         maps, heads = [], []
         for p in pieces:
             for start in range(0, len(p), self._chunk):
                 part = p[start:start + self._chunk]
-                opening = self._emitted_opening(part[0])
+                opening = self._openings[part[0]]
                 if emitted is None:
                     maps.append((opening, opening))
                 else:

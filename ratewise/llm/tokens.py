@@ -1,11 +1,11 @@
-"""Encoding with the tokenizers library, one call per distinct piece.
+"""Encoding with the tokenizers library, one model call per distinct word.
 
 A byte-level BPE file with the usual split pattern and no normaliser never
 joins text across a single space that stands between two other non-space
 characters: the pattern ends before such a space and starts anew at it.  So
 a text is cut there, and each distinct piece (a word with its space) is
-encoded by the library once per task and remembered.  The ids are those of
-the whole text.  Files with another pre-tokeniser are encoded whole.
+encoded once per Python worker and remembered.  The ids are those of the
+whole text.  Files with another pre-tokeniser are encoded whole.
 """
 
 from __future__ import annotations
@@ -43,14 +43,44 @@ def cuts_at_spaces(tokenizer) -> bool:
                         for a in added))
 
 
+class _Memo(dict):
+    """What ``make`` gives for a text, remembered up to ``limit`` bytes.
+
+    When a generation is full, the next one begins; the full one is still
+    asked once for each text and then dropped.  Texts beyond ``LONGEST``
+    characters are made anew each time."""
+
+    LONGEST = 128
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self._make, self._limit, self._older, self._bytes = make, limit // 2, {}, 0
+
+    def __missing__(self, text: str):
+        found = self._older.get(text)
+        if found is None:
+            found = self._make(text)
+            if len(text) > self.LONGEST:
+                return found
+        self[text] = found
+        # two objects with their headers, their contents, and a place in the table
+        self._bytes += 200 + 2 * len(text) + (len(found) if isinstance(found, bytes) else 0)
+        if self._bytes > self._limit:
+            self._older, self._bytes = dict(self), 0
+            self.clear()
+        return found
+
+
 class PieceEncoder:
     """Token ids of texts as bytes (unsigned integers, little endian).
 
-    ``limit`` bounds the remembered pieces: when it is reached, the last
-    generation is kept to be asked once more and the one before is dropped.
+    A piece is made of words of the library's split pattern; where all its
+    characters are Latin (``_AFTER_LATIN``), whose classes are asked of the
+    library once, the split is done here and only words reach the library's
+    model.  Pieces and words are remembered, ``limit`` bytes of each.
     """
 
-    def __init__(self, path: str, dtype: str = "<u4", limit: int = 400_000):
+    def __init__(self, path: str, dtype: str = "<u4", limit: int = 256 << 20):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are the parallelism
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
@@ -59,21 +89,39 @@ class PieceEncoder:
         self._piecewise = cuts_at_spaces(self._tokenizer)
         self._split, self._model = self._tokenizer.pre_tokenizer, self._tokenizer.model
         added = [re.escape(a.content) for a in self._tokenizer.get_added_tokens_decoder().values()]
-        self._special = re.compile("|".join(added) or r"(?!)")
-        self._code, self._limit = {"<u2": "H", "<u4": "I"}[dtype], limit
-        # no added token made of letters, full stops and commas alone
-        self._plain = self._piecewise and not any(all(c.isalpha() or c in ".," for c in a.content)
-                                                  for a in self._tokenizer.get_added_tokens_decoder().values())
-        # Latin letters in the library's byte alphabet
-        self._letters = {c: "".join(w for w, _ in self._split.pre_tokenize_str(chr(c)))
-                         for c in range(ord(_AFTER_LATIN)) if chr(c).isalpha()} if self._plain else {}
-        self._marks = {c: self._pack(self.ids(c)) for c in ".,"} if self._piecewise else {}
-        self._memo: dict[str, bytes] = {}
-        self._older: dict[str, bytes] = {}
+        self._special = re.compile("|".join(added)) if added else None
+        # without one of these characters there is no added token
+        self._mark = {a.content[0] for a in self._tokenizer.get_added_tokens_decoder().values()}
+        self._code = {"<u2": "H", "<u4": "I"}[dtype]
+        self._words = _Memo(self._word, limit)
+        self._pieces = _Memo(self._piece, limit)
+        self._plain = False
+        if self._piecewise:
+            self._learn_latin()
+
+    def _learn_latin(self) -> None:
+        """The library's byte alphabet and classes of the Latin characters."""
+        split = self._split.pre_tokenize_str
+        latin = [chr(c) for c in range(ord(_AFTER_LATIN))]
+        self._alphabet = {ord(c): "".join(w for w, _ in split(c)) for c in latin}
+        kinds: dict[str, set[str]] = {"letter": set(), "number": set(), "space": set(), "other": set()}
+        for c in latin:
+            if len(split(f"a{c}")) == 1:
+                kind = "letter"
+            elif len(split(f"1{c}")) == 1:
+                kind = "number"
+            else:  # only another space takes the space before it away from the word behind
+                kind = "other" if len(split(f"!{c}")) == 1 else "space"
+            kinds[kind].add(c)
+        letter, number, space = ("".join(map(re.escape, sorted(kinds[k]))) for k in ("letter", "number", "space"))
+        self._plain = all(c.isalpha() == (c in kinds["letter"]) for c in latin)
+        self._marks = {c: self._pack(self.ids(c)) for c in ".,"}
+        self._pattern = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+"
+                                   f"|[{space}]+(?![^{space}])|[{space}]+")
 
     def ids(self, text: str) -> list[int]:
         """Ids of one piece, by the library's own splitter and model."""
-        if not self._piecewise or self._special.search(text):
+        if not self._piecewise or self._special is not None and self._special.search(text):
             return self._tokenizer.encode(text, add_special_tokens=False).ids
         out: list[int] = []
         for word, _ in self._split.pre_tokenize_str(text):
@@ -83,42 +131,41 @@ class PieceEncoder:
     def _pack(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{self._code}", *ids)
 
+    def _word(self, word: str) -> bytes:
+        """Bytes of one Latin word of the split pattern."""
+        return self._pack([t.id for t in self._model.tokenize(word.translate(self._alphabet))])
+
+    def _text(self, text: str) -> bytes:
+        """Bytes of a text with all its spaces."""
+        if self._piecewise and (text.isascii() or max(text) < _AFTER_LATIN) and self._mark.isdisjoint(text):
+            return self._join(map(self._words.__getitem__, self._pattern.findall(text)))
+        return self._pack(self.ids(text))
+
     def _piece(self, piece: str) -> bytes:
-        """Bytes of " " + piece.  Latin letters are one word of the split
-        pattern, so these go to the model without the splitter (the space is
-        U+0120 there); a full stop or comma after them is a word of its own."""
-        if self._plain and (piece.isascii() or max(piece) < _AFTER_LATIN):
-            if piece.isalpha():
-                plain = piece if piece.isascii() else piece.translate(self._letters)
-                return self._pack([t.id for t in self._model.tokenize("\u0120" + plain)])
-            word, mark = piece[:-1], self._marks.get(piece[-1:])
-            if mark is not None and word.isalpha():
-                known = self._memo.get(word)
-                if known is None:
-                    known = self._memo[word] = self._piece(word)
-                return known + mark
-        return self._pack(self.ids(" " + piece))
-
-    def remember(self, pieces: set[str]) -> dict[str, bytes]:
-        """The memo, holding every piece (encoded with a space before it)."""
-        new = pieces.difference(self._memo)
-        if len(self._memo) + len(new) > self._limit:
-            self._older, self._memo, new = self._memo, {}, pieces
-        older, memo = self._older, self._memo
-        for p in new:
-            if p not in memo:
-                known = older.get(p)
-                memo[p] = self._piece(p) if known is None else known
-        return memo
+        """Bytes of " " + piece.  Letters are one word, and a full stop or
+        comma behind them another: most pieces need no split."""
+        if self._plain:
+            mark = self._marks.get(piece[-1:])
+            letters = piece if mark is None else piece[:-1]
+            if letters.isalpha() and self._mark.isdisjoint(piece) and (piece.isascii() or max(piece) < _AFTER_LATIN):
+                if mark is not None:
+                    return self._pieces[letters] + mark
+                plain = piece if piece.isascii() else piece.translate(self._alphabet)
+                return self._pack([t.id for t in self._model.tokenize(self._alphabet[32] + plain)])
+        return self._text(" " + piece)
+
+    def _join(self, coded) -> bytes:
+        return b"".join(coded)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, without added special tokens; null counts as empty."""
         if not self._piecewise:
             return [self._pack(self.ids(t or "")) for t in texts]
-        rest = [split_pieces(t or "") for t in texts]
-        heads = [p.pop(0) for p in rest]
-        find = self.remember(set().union(*rest)).__getitem__
-        return [(self._pack(self.ids(h)) if h else b"") + b"".join(map(find, p)) for h, p in zip(heads, rest)]
+        find, out = self._pieces.__getitem__, []
+        for text in texts:
+            head, *rest = split_pieces(text or "")
+            out.append((self._text(head) if head else b"") + b"".join(map(find, rest)))
+        return out
 
 
 @lru_cache(2)

@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 
 from ratewise.llm import packing, token_counts, token_files
 from ratewise.llm.queries import BPE
-from ratewise.llm.tokens import PieceEncoder
+from ratewise.llm.tokens import PieceEncoder, _Memo
 
 
 @pytest.fixture(scope="module")
@@ -23,11 +23,32 @@ def strange():
 
 
 def test_pieces_equal_the_library(library, strange):
-    got = PieceEncoder(BPE, limit=500).encode(strange)
+    got = PieceEncoder(BPE, limit=100_000).encode(strange)
     want = library.encode_batch(strange, add_special_tokens=False)
     assert all(np.frombuffer(a, "<u4").tolist() == b.ids for a, b in zip(got, want))
 
 
+@pytest.mark.parametrize("unit", ["ab1", "é", "word!", "北京", "x" * 40 + "."])
+def test_unbroken_texts_equal_the_library_and_are_not_remembered(library, unit):
+    """A text without spaces is one piece; memory stays within the limit."""
+    encoder = PieceEncoder(BPE)
+    for n in (200, 20_000):
+        text = unit * n
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert all(len(k) <= 128 for memo in (encoder._pieces, encoder._words) for k in memo)
+
+
+def test_memo_is_bounded_by_bytes():
+    made = []
+    memo = _Memo(lambda t: made.append(t) or t.encode(), 40_000)
+    for k in range(1000):
+        memo[f"piece {k}"]
+        assert memo._bytes <= 20_000
+    assert len(made) == 1000 and len(memo) + len(memo._older) < 200
+    memo["piece 999"]
+    assert len(made) == 1000  # remembered
+
+
 def test_transducer_equals_the_library(library, strange):
     texts = [*strange[:3000], " ".join(strange), None]
     got = token_counts.CountTransducer(BPE, chunk=7).counts(texts)
