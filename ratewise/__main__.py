@@ -4,9 +4,12 @@
     train   --ratings DIR/cleaned_reviews.parquet --out DIR
                                                  grid-selected model, metrics, lists
     stream  --model DIR --users DIR/user_mapping.parquet --out DIR --checkpoint DIR
-            (--path INBOX | --kafka HOST:PORT [--topic T] [--starting earliest])
+            (--path INBOX [--files-per-batch N] [--bytes-per-batch N]
+             | --kafka HOST:PORT [--topic T] [--starting earliest]
+               [--offsets-per-batch N] [--least-offsets N [--longest-delay 5m]])
             [--available-now | --seconds N]      scoring stream
     compact --store DIR --out DIR                latest list per user, sorted by user
+    fold    --store DIR --out DIR                folds new batches into an indexed table of these
     report  --store DIR --metrics DIR --out DIR [--broker B]
                                                  run report record
     check   NAME=PATH:KIND ...                   readiness table; fails on a missing input
@@ -22,6 +25,8 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from ratewise import config
+
 
 def _session() -> SparkSession:
     spark = SparkSession.builder.appName("ratewise").getOrCreate()
@@ -52,9 +57,10 @@ def cmd_stream(spark: SparkSession, a) -> None:
     from ratewise.streaming.scoring import (BatchScorer, SourceConfig, kafka_source,
                                             run_bounded, start_scoring)
     if a.kafka:
-        src = kafka_source(a.kafka, a.topic, a.starting)
+        src = kafka_source(a.kafka, a.topic, a.starting).limited(
+            offsets=a.offsets_per_batch, least_offsets=a.least_offsets, longest_delay=a.longest_delay)
     else:
-        src = SourceConfig(format="text", path=a.path, options={"maxFilesPerTrigger": a.files_per_batch})
+        src = SourceConfig(format="text", path=a.path).limited(files=a.files_per_batch, size=a.bytes_per_batch)
     scorer = BatchScorer(load_model(a.model), read_user_dictionary(spark, a.users), a.out)
     trigger = {"availableNow": True} if a.available_now else None
     q = start_scoring(spark, src, scorer, a.checkpoint, trigger=trigger)
@@ -73,6 +79,11 @@ def cmd_compact(spark: SparkSession, a) -> None:
     compact_latest(store.read_store(spark, a.store), a.out, store.STORE_ORDER)
 
 
+def cmd_fold(spark: SparkSession, a) -> None:
+    from ratewise.operators.compact import fold_new
+    print(fold_new(spark, a.store, a.out))
+
+
 def cmd_report(spark: SparkSession, a) -> None:
     from ratewise.operators.report import run_report
     from ratewise.sinks.writers import write_record
@@ -110,12 +121,19 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--kafka")
     s.add_argument("--topic", default="reviews_stream")
     s.add_argument("--starting", default="latest")
-    s.add_argument("--files-per-batch", type=int, default=1)
+    s.add_argument("--files-per-batch", type=int)
+    s.add_argument("--bytes-per-batch")
+    s.add_argument("--offsets-per-batch", type=int, default=config.STREAM_OFFSETS_PER_BATCH)
+    s.add_argument("--least-offsets", type=int)
+    s.add_argument("--longest-delay")
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--seconds", type=float, default=None)
     k = sub.add_parser("compact")
     k.add_argument("--store", required=True)
     k.add_argument("--out", required=True)
+    fo = sub.add_parser("fold")
+    fo.add_argument("--store", required=True)
+    fo.add_argument("--out", required=True)
     r = sub.add_parser("report")
     r.add_argument("--store", required=True)
     r.add_argument("--metrics", required=True)
@@ -127,7 +145,7 @@ def parser() -> argparse.ArgumentParser:
 
 
 COMMANDS = {"clean": cmd_clean, "train": cmd_train, "stream": cmd_stream,
-            "compact": cmd_compact, "report": cmd_report, "check": cmd_check}
+            "compact": cmd_compact, "fold": cmd_fold, "report": cmd_report, "check": cmd_check}
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:

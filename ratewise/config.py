@@ -66,6 +66,10 @@ BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 64 << 20
 ID_ROW_BYTES = 64
 
+# Messages a micro-batch takes at most from a topic (all partitions together):
+# a backlog arrives in batches of this size, not at once.
+STREAM_OFFSETS_PER_BATCH = 1_000_000
+
 # Rows per factor block in the blocked top-k scorer.  Bounds one cogroup
 # task (block_rows x rank floats per side, scored 1024 users at a time);
 # larger blocks mean less replication of the other side in the shuffle.

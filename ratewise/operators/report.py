@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ratewise import config, schemas
 from ratewise.functions import scalars as S
-from ratewise.operators import serve
+from ratewise.operators import compact, serve
 from ratewise.sources import records, store
 
 # --- fixed values: text form of the metrics record ------------------------
@@ -70,28 +70,35 @@ def run_report(spark: SparkSession, metrics: DataFrame, store_dir: str,
         "fichiers_generes", S.run_status(F.col("fichiers_generes")).alias("statut"))
 
 
-def health(spark: SparkSession, store_dir: str) -> DataFrame:
+def _users(spark: SparkSession, store_dir: str, compacted: str | None) -> int:
+    """Users with a list: rows of the compacted table (from its footers, if
+    all files are folded), else the reduced store."""
+    if compacted is not None:
+        return compact.current_lists(spark, store_dir, compacted).count()
+    if not store.path_exists(spark, store_dir):
+        return 0
+    return serve.latest_lists(store.read_store(spark, store_dir), store.STORE_ORDER).count()
+
+
+def health(spark: SparkSession, store_dir: str, compacted: str | None = None) -> DataFrame:
     """V-1: ``(status, message, utilisateurs_en_cache, dossier_recommandations,
-    fichiers_trouves)``."""
+    fichiers_trouves)``; ``compacted`` names the folder of ``compact``."""
+    users = _users(spark, store_dir, compacted)
     if store.path_exists(spark, store_dir):
-        lists = serve.latest_lists(store.read_store(spark, store_dir), store.STORE_ORDER)
-        users = lists.count()
         files = store.count_files(spark, store_dir)
     else:
-        users, files = 0, 0
+        files = 0
     return spark.createDataFrame(
         [(config.HEALTH_STATUS, config.HEALTH_MESSAGE, users, store_dir, files)],
         "status string, message string, utilisateurs_en_cache long, "
         "dossier_recommandations string, fichiers_trouves long")
 
 
-def stats(spark: SparkSession, store_dir: str, metrics_path: str, report_path: str) -> DataFrame:
+def stats(spark: SparkSession, store_dir: str, metrics_path: str, report_path: str,
+          compacted: str | None = None) -> DataFrame:
     """V-5: user count, metrics text, report, model part and status
     (``INCONNU`` when the report has none)."""
-    if store.path_exists(spark, store_dir):
-        users = serve.latest_lists(store.read_store(spark, store_dir), store.STORE_ORDER).count()
-    else:
-        users = 0
+    users = _users(spark, store_dir, compacted)
     text_rows = metrics_text(records.read_metrics(spark, metrics_path)).collect()
     text = text_rows[0]["rmse_info"] if text_rows else config.METRICS_MISSING_TEXT
     rep = records.read_report(spark, report_path).limit(1).collect()

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ratewise import config
 from ratewise.functions import scalars as S
-from ratewise.operators import clean, evaluate, report, residuals, serve, split, topk, train
+from ratewise.operators import clean, compact, evaluate, report, residuals, serve, split, topk, train
 from ratewise.plans import scoring
 from ratewise.plans.cleaning import run_cleaning, write_cleaning
 from ratewise.sinks.writers import publish_messages, write_batch_lists, write_record
@@ -218,6 +218,45 @@ def q_latest_lists(spark: SparkSession, d: str) -> DataFrame:
                             keep=("batch_id",))
 
 
+def _compacted(spark: SparkSession, d: str) -> tuple[str, str]:
+    """The factor store in files, folded twice: batch 0, then the re-scored
+    users with an even id; those with an odd id come after that as batch 2."""
+    base = scoring.scratch_dir(spark, "compact")
+    lists, root = os.path.join(base, "lists"), os.path.join(base, "compacted")
+    st = factor_store(spark, d)
+    second, odd = F.col("batch_id") == 1, F.col("user_idx") % 2 == 1
+    for batch_id, rows in enumerate((st.where(~second), st.where(second & ~odd), st.where(second & odd))):
+        write_batch_lists(rows.drop("batch_id"), lists, batch_id)
+        if batch_id < 2:
+            compact.fold_new(spark, lists, root)
+    return lists, root
+
+
+def q_compacted_lists(spark: SparkSession, d: str) -> DataFrame:
+    """K-3 / U-1 / A-12: latest list per user from a store compacted twice
+    and one batch that isn't folded yet."""
+    lists = compact.current_lists(spark, *_compacted(spark, d))
+    return serve.list_sizes(lists.select("user_idx", "batch_id", "recommendations"), keep=("batch_id",))
+
+
+def q_indexed_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """P-9 / V-2: the lookups of ``serve_user`` against a compacted
+    generation; only folders of requested users are opened."""
+    lists, root = _compacted(spark, d)
+    gen = compact.fold_new(spark, lists, root)
+    requests = _requests(spark, d)
+    return serve.lookup_items(requests, compact.lookup_lists(spark, gen, requests))
+
+
+def q_point_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """P-9: the list of one user, the one with the greatest id."""
+    lists, root = _compacted(spark, d)
+    gen = compact.fold_new(spark, lists, root)
+    last = compact.lists_table(spark, gen).agg(F.max("user_idx").alias("u")).first()["u"]
+    row = compact.point_lookup(spark, gen, -1 if last is None else last)
+    return train.flat_lists(row).select("user_idx", "rank", "product_idx", F.round(F.col("rating").cast("double"), 4).alias("score"))
+
+
 def _requests(spark: SparkSession, d: str) -> DataFrame:
     """Lookup requests: every distinct event user, ``n`` varied to cover
     the default (null), values below 1 and above 20."""
@@ -495,6 +534,9 @@ def queries() -> dict[str, Query]:
         "topk_all": q_topk_all,
         "topk_subset": q_topk_subset,
         "latest_lists": q_latest_lists,
+        "compacted_lists": q_compacted_lists,
+        "indexed_lookup": q_indexed_lookup,
+        "point_lookup": q_point_lookup,
         "serve_user": q_serve_user,
         "serve_unknown": q_serve_unknown,
         "serve_overview": q_serve_overview,

@@ -219,6 +219,13 @@ SELECT u.user_id, l.rk AS pos, 'Product_' || CAST(l.product_idx AS VARCHAR) AS p
        CAST(least(u.n_used, s.n_items) AS INTEGER) AS total
 FROM used u JOIN latest l ON l.user_idx = u.user_id AND l.rk <= u.n_used
 JOIN sized s ON s.user_idx = u.user_id""".replace("store +", "")
+    q["compacted_lists"] = store + """
+SELECT user_idx, CAST(CASE WHEN batch_id = 1 AND user_idx % 2 = 1 THEN 2 ELSE batch_id END AS BIGINT) AS batch_id, n_items
+FROM sized"""
+    q["indexed_lookup"] = q["serve_user"]
+    q["point_lookup"] = store + """
+SELECT user_idx, rk AS rank, product_idx, round(CAST(rating AS DOUBLE), 4) AS score
+FROM latest WHERE user_idx = (SELECT max(user_idx) FROM sized)"""
     q["serve_unknown"] = store + """
 SELECT r.user_id, 'unknown' AS status,
        (SELECT string_agg(CAST(user_idx AS VARCHAR), ', ' ORDER BY user_idx)

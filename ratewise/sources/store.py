@@ -19,8 +19,8 @@ from ratewise.functions import scalars as S
 _LINE = "user_idx int, recommendations array<string>, batch_id long"
 
 
-def read_store(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
-    """``(user_idx, recommendations, batch_id, run_id, file_time, file_path)``."""
+def read_store(spark: SparkSession, path: str | list[str], glob: str = "*.json") -> DataFrame:
+    """A folder, or a list of files: ``(user_idx, recommendations, batch_id, run_id, file_time, file_path)``."""
     raw = (spark.read.option("recursiveFileLookup", True)
            .option("pathGlobFilter", glob)
            .text(path)
