@@ -8,19 +8,20 @@ node per window word, and a match position is a word number: no separator
 can hide or make a match.  Word numbers map back to code-point offsets of
 the original text.
 
-The automaton is broadcast, so its size is checked: benchmark items are taken
-in blocks of at most ``BLOCK_WORDS`` words and ``LETTERS`` distinct ones.  A
-longer item is cut into parts that share ``window - 1`` words, so each of its
+The automaton is broadcast, so its size is bounded: benchmark items are taken
+in blocks of at most ``BLOCK_WORDS`` words, ``BLOCK_BYTES`` of text and ``LETTERS``
+distinct words (200 000 random words: 181 MB in the driver while it is built,
+68 MB sent).  A longer item is cut into parts that share ``window - 1`` words, so each of its
 windows is in one part.  One block is one scan.  A larger benchmark takes one
 scan of the documents per block, cut in between; matches are merged per document
 row, so nothing is left out.
 
 Defined results: null, empty and wordless texts have no words and no hits;
 a wordless item has no window; items with equal text are all counted; an
-item_id that repeats is one item; items with a null item_id are left out of
-``contamination`` and ``hit_spans``, as in the SQL, but ``clean_documents`` removes
-what holds their passages; repeated document rows each keep their row; extra
-columns of either table are ignored (or passed through by ``clean_documents``).
+item_id that repeats is one item; windows of items with a null item_id hit like
+any other, but the item isn't counted or listed, having no name; repeated
+document rows each keep their row; extra columns of either table are ignored
+(or passed through by ``clean_documents``).
 """
 
 from __future__ import annotations
@@ -39,7 +40,8 @@ from pyspark.sql import functions as F
 from ratewise.llm.common import cut, fresh, slices
 
 WINDOW_WORDS = 10
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 200_000
+BLOCK_BYTES = 16 << 20
 LETTERS = 0x10FFFF - 0x800 - 1  # characters but NUL and the surrogates, less one
 SLICE_BYTES = 1 << 20
 
@@ -57,16 +59,16 @@ def words_of(text: bytes | None) -> list[bytes]:
 class Scanner:
     """The automaton over the windows of a block of items."""
 
-    def __init__(self, items: list[tuple[int, bytes | None]], window: int):
+    def __init__(self, items: list[tuple[int | None, bytes | None]], window: int):
         import ahocorasick
         self._letter: dict[bytes, str] = {}
         windows: dict[str, set[int]] = defaultdict(set)
         for item, text in items:
-            if item is None:
-                continue
             coded = "".join(map(self._code, words_of(text)))
             for start in range(max(1, len(coded) - window + 1) if coded else 0):
-                windows[coded[start:start + window]].add(item)
+                named = windows[coded[start:start + window]]
+                if item is not None:
+                    named.add(item)
         self._automaton = ahocorasick.Automaton()
         for coded, ids in windows.items():
             self._automaton.add_word(coded, (len(coded), tuple(sorted(ids))))
@@ -116,17 +118,19 @@ def _parts(text: bytes | None, size: int, window: int) -> Iterator[list[bytes]]:
 def item_blocks(items: DataFrame, block_words: int = BLOCK_WORDS,
                 window: int = WINDOW_WORDS) -> Iterator[list[tuple[int, bytes]]]:
     """The benchmark in blocks of at most ``block_words`` words (two windows, if
-    that is more) and ``LETTERS`` distinct words, read block by block."""
-    block, words, distinct = [], 0, set()
+    that is more), ``BLOCK_BYTES`` (one part, if that is more) and ``LETTERS``
+    distinct words, read block by block."""
+    block, words, size_bytes, distinct = [], 0, 0, set()
     size = max(2 * window, min(block_words, LETTERS))
     for r in items.select("item_id", F.col("text").cast("binary").alias("text")).toLocalIterator():
         for part in _parts(r.text, size, window):
-            own = set(part)
-            if block and (words + len(part) > block_words or len(distinct) + len(own - distinct) > LETTERS):
+            own, text = set(part), b" ".join(part)
+            if block and (words + len(part) > block_words or size_bytes + len(text) > BLOCK_BYTES
+                          or len(distinct) + len(own - distinct) > LETTERS):
                 yield block
-                block, words, distinct = [], 0, set()
-            block.append((r.item_id, b" ".join(part)))
-            words += len(part)
+                block, words, size_bytes, distinct = [], 0, 0, set()
+            block.append((r.item_id, text))
+            words, size_bytes = words + len(part), size_bytes + len(text)
             distinct |= own
     if block:
         yield block
@@ -215,14 +219,14 @@ def clean_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW_WORD
     (raw,) = fresh(docs, "_utf8")
     schema = docs.schema
     for block in item_blocks(items, block_words, window):
-        scanner = docs.sparkSession.sparkContext.broadcast(Scanner([(0, text) for _, text in block], window))
+        scanner = docs.sparkSession.sparkContext.broadcast(Scanner(block, window))
 
         def run(batches: Iterator[pa.RecordBatch], scanner=scanner) -> Iterator[pa.RecordBatch]:
             scan = scanner.value.scan
             for batch in batches:
                 for a, b in slices(batch, raw, SLICE_BYTES):
                     part = batch.slice(a, b - a)
-                    keep = [not scan(words_of(t))[1] for t in part.column(raw).to_pylist()]
+                    keep = [not scan(words_of(t))[0] for t in part.column(raw).to_pylist()]
                     yield part.drop_columns([raw]).filter(pa.array(keep, pa.bool_()))
         docs = docs.withColumn(raw, F.col("text").cast("binary")).mapInArrow(run, schema)
     return docs

@@ -83,11 +83,11 @@ _WORDS = """regexp_extract_all(
     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
 
 OP1_SQL = f"""
-WITH item_words AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+WITH item_words AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 item_windows AS (
     SELECT DISTINCT item_id, w[s : s + 9] AS win
     FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM item_words WHERE len(w) > 0)),
-windows AS (SELECT win, len(win) AS n, list(DISTINCT item_id) AS ids FROM item_windows GROUP BY win),
+windows AS (SELECT win, len(win) AS n, list(DISTINCT item_id) FILTER (WHERE item_id IS NOT NULL) AS ids FROM item_windows GROUP BY win),
 lengths AS (SELECT DISTINCT n FROM windows),
 docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
 places AS (

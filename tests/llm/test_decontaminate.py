@@ -26,7 +26,7 @@ def brute(docs, items, n=10):
             for s in range(len(w) - len(win) + 1):
                 if tuple(w[s:s + len(win)]) == win:
                     hit.update(range(s, s + len(win)))
-                    found |= ids
+                    found |= ids - {None}
         digest = hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
         out.append((doc, len(w), len(hit), len(found), digest, bool(hit)))
     return sorted(out, key=lambda r: tuple((v is None, str(v)) for v in r))
@@ -34,7 +34,8 @@ def brute(docs, items, n=10):
 
 COLUMNS = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
 ITEMS = [(1, "Rain in SPAIN"), (2, "rain-in, spain!"), (10, "größe façade"), (3, " ".join(f"w{i}" for i in range(14))),
-         (4, None), (5, "!!!"), (6, "again and again and again and again and again and again"), (7, "x86 the of and"), (3, "one two")]
+         (4, None), (5, "!!!"), (6, "again and again and again and again and again and again"), (7, "x86 the of and"), (3, "one two"),
+         (None, "42 x86"), (None, "Rain in Spain"), (None, None)]
 
 
 @pytest.fixture(scope="module")
@@ -65,12 +66,13 @@ def test_a_long_item_is_cut_into_overlapping_parts(spark, rows_of):
     assert rows_of(got, *COLUMNS) == brute(docs, rows)
 
 
-def test_blocks_have_a_letter_for_every_word(spark):
+def test_blocks_have_a_letter_for_every_word(spark, monkeypatch):
     """More distinct words than characters, in one item and in two."""
     texts = [" ".join(f"{i:x}" for i in range(a, b)) for a, b in ((0, 1_200_000), (1_200_000, 1_900_000))]
     items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    monkeypatch.setattr(D, "BLOCK_BYTES", 1 << 30)
     found, first = set(), True
-    for block in D.item_blocks(items):
+    for block in D.item_blocks(items, block_words=2_000_000):
         words = [w for _, t in block for w in D.words_of(t)]
         assert len(set(words)) <= 0x10FFFF - 0x800
         if first:  # the letters themselves, without the automaton
@@ -81,6 +83,40 @@ def test_blocks_have_a_letter_for_every_word(spark):
     assert len(found) == 1_900_000
 
 
+def test_a_large_benchmark_in_several_blocks(spark, rows_of):
+    """450 000 words, null ids among them, against a set of all windows."""
+    import random
+    rnd = random.Random(12)
+    rows = [(None if k % 9 == 0 else k, " ".join(f"w{rnd.randrange(60_000)}" for _ in range(9000))) for k in range(50)]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    assert len(list(D.item_blocks(items))) == 3
+    windows = {}
+    for item, text in rows:
+        w = text.split()
+        for s in range(len(w) - 9):
+            windows.setdefault(tuple(w[s:s + 10]), set()).add(item)
+    docs = []
+    for k in range(120):
+        w = [f"w{rnd.randrange(60_000)}" for _ in range(rnd.randint(0, 80))]
+        for _ in range(k % 4):
+            text, at = rows[rnd.randrange(50)][1].split(), rnd.randrange(8000)
+            w += text[at:at + rnd.randint(7, 25)]
+        docs.append((k, " ".join(w)))
+    want = []
+    for k, text in docs:
+        w, hit, found = text.split(), set(), set()
+        for s in range(len(w) - 9):
+            ids = windows.get(tuple(w[s:s + 10]))
+            if ids is not None:
+                hit.update(range(s, s + 10))
+                found |= ids - {None}
+        digest = hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
+        want.append((k, len(w), len(hit), len(found), digest, bool(hit)))
+    got = rows_of(D.contamination(spark.createDataFrame(docs, "doc_id long, text string"), items), *COLUMNS)
+    assert got == sorted(want, key=lambda r: tuple((v is None, str(v)) for v in r))
+    assert any(r[2] and not r[3] for r in want)  # hit by an item without an id alone
+
+
 def test_offsets_are_in_the_original_text(spark, items):
     text = "Ünder, GRÖSSE — größe\n FAÇADE größe façade; and Rain, in Spain."
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
