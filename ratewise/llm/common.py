@@ -90,6 +90,16 @@ def global_rank(df: DataFrame, order: list[str], rank: str) -> DataFrame:
                   .withColumn(rank, (F.col(base) + position).cast("long")).drop(pid, mid, base))
 
 
+def spread(df: DataFrame, rows: int, n_bytes: int, *order: str, task_bytes: int = 32 << 20) -> DataFrame:
+    """Few small rows that each stand for much work (files, blocks), dealt to
+    as many tasks as ``n_bytes`` of work need, at least one a core while there
+    are rows.  An explicit range partitioning: the rows are too small for
+    adaptive execution to see the work, and hashes would put several into one
+    task."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartitionByRange(max(1, min(rows, max(cores, -(-n_bytes // task_bytes)))), *order)
+
+
 def join_spread(rows: DataFrame, keyed: DataFrame, on: list[str], n: str) -> DataFrame:
     """Inner join of ``rows`` (a cut table) with ``keyed`` (a cut table, one
     row per key, ``n`` = the key's rows).

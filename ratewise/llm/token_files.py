@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ratewise.llm.common import cut, posix_uri, scratch_path, slices
+from ratewise.llm.common import cut, posix_uri, scratch_path, slices, spread
 from ratewise.llm.tokens import shared_encoder
 
 END_ID = 2
@@ -127,7 +127,8 @@ def read_token_files(manifest: DataFrame, folder: str, with_ids: bool = False) -
                         columns.append(pa.array([np.frombuffer(x, "<u4").astype(np.int64) for x in coded], pa.list_(pa.int64())))
                     yield pa.record_batch(columns, names=names + ["ids"] * with_ids)
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + (", ids array<bigint>" if with_ids else "")
-    return manifest.repartition("shard").mapInArrow(run, schema)
+    shards, n_bytes = manifest.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("n_tokens") * F.col("width")), F.lit(0))).first()
+    return spread(manifest, shards, n_bytes, "shard").mapInArrow(run, schema)
 
 
 def token_files(docs: DataFrame, tokenizer_path: str, folder: str | None = None, end_id: int = END_ID) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import cut, join_spread, posix_uri, scratch_path
+from ratewise.llm.common import cut, join_spread, posix_uri, scratch_path, spread
 
 REVISIT_BYTES = 1000
 BLOCK_BYTES = 8 << 20
@@ -184,6 +184,13 @@ def candidates(blocks: DataFrame, folder: str) -> DataFrame:
     return blocks.mapInArrow(run, "file string, start bigint, leaves bigint")
 
 
+def _sizes(manifest: DataFrame, block_bytes: int) -> tuple[int, int, int]:
+    """Bytes of the largest file, bytes of all, number of blocks."""
+    n = F.col("n_bytes")
+    got = manifest.agg(F.max(n), F.sum(n), F.sum(F.ceil(n / F.lit(block_bytes)))).first()
+    return tuple(int(x or 0) for x in got)
+
+
 def verified_entries(manifest: DataFrame, folder: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(file, n_bytes, start): for each block that a record begins in, the
     first record reachable from the start of the file."""
@@ -192,8 +199,8 @@ def verified_entries(manifest: DataFrame, folder: str, block_bytes: int = BLOCK_
         "last", F.least(F.col("first") + block_bytes, F.col("n_bytes")))
     sizes = manifest.select("file", "n_bytes")
     # the chain's start is a candidate like any other: a file that begins otherwise has no records
-    found = cut(candidates(blocks.repartition("file", "first"), folder), "candidates")
-    most = manifest.agg(F.max("n_bytes")).first()[0] or 0
+    most, total, n_blocks = _sizes(manifest, block_bytes)
+    found = cut(candidates(spread(blocks, n_blocks, total, "file", "first"), folder), "candidates")
     reached = found.where("start = 0").select("file", "start")
     hops = -(-most // block_bytes)  # blocks of the largest file
     if hops > 1:
@@ -254,7 +261,8 @@ def read_records(manifest: DataFrame, folder: str, block_bytes: int = BLOCK_BYTE
                 if out:
                     yield pa.record_batch([pa.array(c, t) for c, (_, t) in zip(zip(*out), kinds)], names=[k for k, _ in kinds])
     names = {"string": "string", "int64": "bigint", "binary": "binary"}
-    entries = verified_entries(manifest, folder, block_bytes).repartition("file", "start")
+    _, total, n_blocks = _sizes(manifest, block_bytes)
+    entries = spread(verified_entries(manifest, folder, block_bytes), n_blocks, total, "file", "start")
     return entries.mapInArrow(run, ", ".join(f"{k} {names[str(t)]}" for k, t in kinds))
 
 

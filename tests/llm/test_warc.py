@@ -4,9 +4,11 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from ratewise.llm import warc
-from ratewise.llm.common import scratch_path
+from ratewise.llm import token_files, warc
+from ratewise.llm.common import scratch_path, spread
+from ratewise.llm.queries import BPE
 
 COLUMNS = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
 
@@ -73,3 +75,16 @@ def test_truncated_file_and_empty_table(spark, tmp):
     manifest = spark.createDataFrame(sizes, "file string, n_bytes long, n_records long")
     assert [r.page_id for r in warc.read_records(manifest, tmp).collect()] == [1]
     assert warc.warc_round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_read_back_uses_a_task_for_each_shard_or_block(spark, odd_docs):
+    """Rows too small for adaptive execution to spread are spread all the same."""
+    small = spark.range(40).select(F.col("id").alias("shard"))
+    parts = [n for n in spread(small, 40, 0, "shard").rdd.glom().map(len).collect() if n]
+    assert len(parts) >= min(8, spark.sparkContext.defaultParallelism) - 1 and max(parts) <= 12
+    assert len([n for n in spread(small, 40, 40 << 30, "shard").rdd.glom().map(len).collect() if n]) == 40
+    folder = scratch_path(spark, "spread")
+    manifest = token_files.write_token_files(odd_docs, folder, BPE)
+    back = token_files.read_token_files(manifest, folder)
+    used = back.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert used == min(manifest.count(), spark.sparkContext.defaultParallelism)
