@@ -67,12 +67,14 @@ def iso_now() -> Column:
     return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
 
-# element schemas for F-13: a dict with named or positional keys
-_REC_DICT = "product_idx int, rating double, `0` int, `1` double"
+def variant_field(v: Column, path: str, kind: str) -> Column:
+    """A field of a parsed VARIANT as ``kind``; null where it is missing or of
+    another kind."""
+    return F.try_variant_get(v, path, kind)
 
 
-def normalise_recommendations(raw_list: Column) -> Column:
-    """F-13: ``array<string>`` of raw JSON elements -> ``array<struct<
+def normalise_recommendations(elements: Column) -> Column:
+    """F-13: ``array<variant>`` of list elements -> ``array<struct<
     product_idx int, rating float>>``.
 
     Accepted elements: ``{"product_idx": i, "rating": s}``,
@@ -81,18 +83,16 @@ def normalise_recommendations(raw_list: Column) -> Column:
     elements of any other shape are dropped.
     """
     def one(e: Column) -> Column:
-        t = F.ltrim(e)
-        d = F.from_json(e, _REC_DICT)
-        a = F.from_json(e, "array<double>")
+        kind = F.schema_of_variant(e)
         as_dict = F.struct(
-            F.coalesce(d["product_idx"], d["0"]).alias("product_idx"),
-            F.coalesce(d["rating"], d["1"], F.lit(0.0)).cast("float").alias("rating"))
-        as_list = F.struct(
-            a.getItem(0).try_cast("int").alias("product_idx"),
-            a.getItem(1).cast("float").alias("rating"))
-        return (F.when(t.startswith("{") & d.isNotNull(), as_dict)
-                 .when(t.startswith("[") & (F.size(a) >= 2), as_list))
-    return F.filter(F.transform(raw_list, one), lambda x: x.isNotNull())
+            F.coalesce(variant_field(e, "$.product_idx", "int"), variant_field(e, '$["0"]', "int")).alias("product_idx"),
+            F.coalesce(variant_field(e, "$.rating", "float"), variant_field(e, '$["1"]', "float"),
+                       F.lit(0.0).cast("float")).alias("rating"))
+        as_list = F.struct(variant_field(e, "$[0]", "int").alias("product_idx"),
+                           variant_field(e, "$[1]", "float").alias("rating"))
+        pair = F.size(variant_field(e, "$", "array<variant>")) >= 2
+        return F.when(kind.startswith("OBJECT"), as_dict).when(kind.startswith("ARRAY") & pair, as_list)
+    return F.filter(F.transform(elements, one), lambda x: x.isNotNull())
 
 
 def item_labels(recs: Column) -> Column:

@@ -7,6 +7,8 @@ reads data rows to the driver.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,14 +30,15 @@ def readiness(spark: SparkSession, inputs: dict[str, tuple[str, str]],
     name to ``(path, kind)`` with kind ``parquet`` (rows counted from the
     footers), ``csv``, ``model`` or ``json``.  Raises when a required input
     is missing (all are required by default)."""
-    rows = []
+    rows, counts = [], []
     for name, (path, kind) in inputs.items():
         present = store.path_exists(spark, path)
-        n = None
+        rows.append((name, path, present))
         if present and kind == "parquet":
-            n = spark.read.parquet(path).count()
-        rows.append((name, path, present, n))
-    df = spark.createDataFrame(rows, "name string, path string, present boolean, n_rows long")
+            # no column is read: the scan takes the row counts of the footers
+            counts.append(spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("name", F.lit(name)))
+    n_rows = {r["name"]: r["n_rows"] for r in reduce(DataFrame.unionByName, counts).collect()} if counts else {}  # one job
+    df = spark.createDataFrame([(*r, n_rows.get(r[0])) for r in rows], "name string, path string, present boolean, n_rows long")
     missing = [r[0] for r in rows if not r[2] and (required is None or r[0] in required)]
     if strict and missing:
         raise FileNotFoundError(f"missing inputs: {', '.join(missing)}")
@@ -52,10 +55,14 @@ def metrics_text(metrics: DataFrame) -> DataFrame:
 
 
 def run_report(spark: SparkSession, metrics: DataFrame, store_dir: str,
-               broker: str = "") -> DataFrame:
+               broker: str = "", compacted: str | None = None) -> DataFrame:
     """V-9: the report row; the model part is read from the metrics record
-    (not hard-coded), status is derived from the files found (F-10)."""
-    n_files = store.count_files(spark, store_dir) if store.path_exists(spark, store_dir) else 0
+    (not hard-coded), status is derived from the files found (F-10), and the
+    sample (R-10) shows the first users with the sizes of their lists."""
+    n_files, sample = 0, []
+    if store.path_exists(spark, store_dir):
+        n_files = store.count_files(spark, store_dir)
+        sample = [tuple(r) for r in serve.sample_sizes(_latest(spark, store_dir, compacted)).collect()]
     m = metrics.limit(1).collect()
     model = None
     if m:
@@ -64,20 +71,24 @@ def run_report(spark: SparkSession, metrics: DataFrame, store_dir: str,
                  tuple(r["config"]) if r["config"] is not None else None,
                  config.REPORT_TRAIN_LABEL, config.REPORT_TEST_LABEL)
     base = spark.createDataFrame(
-        [(None, config.REPORT_PIPELINE_LABEL, broker, model, n_files, None)], schemas.REPORT)
+        [(None, config.REPORT_PIPELINE_LABEL, broker, model, n_files, None, sample)], schemas.REPORT)
     return base.select(
         S.iso_now().alias("date_execution"), "pipeline", "kafka_broker_docker", "modele",
-        "fichiers_generes", S.run_status(F.col("fichiers_generes")).alias("statut"))
+        "fichiers_generes", S.run_status(F.col("fichiers_generes")).alias("statut"), "echantillon")
+
+
+def _latest(spark: SparkSession, store_dir: str, compacted: str | None) -> DataFrame:
+    if compacted is not None:
+        return compact.current_lists(spark, store_dir, compacted)
+    return serve.latest_lists(store.read_store(spark, store_dir), store.STORE_ORDER)
 
 
 def _users(spark: SparkSession, store_dir: str, compacted: str | None) -> int:
     """Users with a list: rows of the compacted table (from its footers, if
     all files are folded), else the reduced store."""
-    if compacted is not None:
-        return compact.current_lists(spark, store_dir, compacted).count()
-    if not store.path_exists(spark, store_dir):
+    if compacted is None and not store.path_exists(spark, store_dir):
         return 0
-    return serve.latest_lists(store.read_store(spark, store_dir), store.STORE_ORDER).count()
+    return _latest(spark, store_dir, compacted).count()
 
 
 def health(spark: SparkSession, store_dir: str, compacted: str | None = None) -> DataFrame:

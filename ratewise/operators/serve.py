@@ -99,6 +99,15 @@ def lookup_items(requests: DataFrame, lists: DataFrame) -> DataFrame:
         F.col("d.score").alias("score"), "total")
 
 
+def with_product_ids(items: DataFrame, products: DataFrame, n_products: int | None = None) -> DataFrame:
+    """F-6 from the saved dictionary ``(ProductId, product_idx)``: adds the
+    ``ProductId`` of each row's ``product_idx``, the label where the
+    dictionary has none.  Popular products don't gather in one task."""
+    named = products.select("product_idx", "ProductId")
+    joined = split_hot_join(items, named, "product_idx", how="left", side_rows=n_products)
+    return joined.withColumn("ProductId", F.coalesce("ProductId", S.product_label(F.col("product_idx"))))
+
+
 def unknown_users(requests: DataFrame, lists: DataFrame) -> DataFrame:
     """R-12: requests with no list, each with the hint of available ids and
     the number of users with lists, plus the error and hint texts of the

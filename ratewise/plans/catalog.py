@@ -5,9 +5,10 @@ operator family of the inventory.  Every query reads the driver's tables
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewise import config
@@ -17,7 +18,7 @@ from ratewise.plans import scoring
 from ratewise.plans.cleaning import run_cleaning, write_cleaning
 from ratewise.sinks.writers import publish_messages, write_batch_lists, write_record
 from ratewise.sources import fixtures, records, store
-from ratewise.sources.reviews import read_ratings, read_review_csv, read_user_dictionary
+from ratewise.sources.reviews import read_product_dictionary, read_ratings, read_review_csv, read_user_dictionary
 from ratewise.streaming.parse import parse_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -271,6 +272,60 @@ def q_serve_user(spark: SparkSession, d: str) -> DataFrame:
     return serve.lookup_items(_requests(spark, d), _latest(spark, d))
 
 
+def q_serve_products(spark: SparkSession, d: str) -> DataFrame:
+    """F-6: the lookups with product ids from the saved dictionary."""
+    path = write_cleaning(run_cleaning(fixtures.reviews(spark, d)), scoring.scratch_dir(spark, "products"))["products"]
+    products = read_product_dictionary(spark, path)
+    items = serve.lookup_items(_requests(spark, d), _latest(spark, d))
+    return serve.with_product_ids(items, products, products.count()).select("user_id", "pos", "product_idx", "ProductId", "score")
+
+
+# --- fixed values: which event becomes which kind of store line --------------
+LINE_KINDS = ("named", "positional", "pair", "mixed", "blank", "broken", "no user")
+# --- end of fixed values ---------------------------------------------------
+
+
+def _store_line() -> Column:
+    """A store line per event, in the encodings and with the faults that the
+    store is read with: names, positions, pairs, all mixed, blank, cut short,
+    without a user."""
+    u, k, v = (F.col(c).cast("string") for c in ("user_id", "k", "score"))
+
+    def text(template: str):
+        parts = []
+        for piece in re.split(r"(<[ukv]>)", template):
+            parts.append({"<u>": u, "<k>": k, "<v>": v}.get(piece, F.lit(piece)))
+        return F.concat(*parts)
+    lines = {
+        "named": '{"user_idx": <u>, "recommendations": [{"product_idx": <k>, "rating": <v>}, {"rating": <v>, "product_idx": 7}]}',
+        "positional": '{"user_idx": <u>, "recommendations": [{"0": <k>, "1": <v>}]}',
+        "pair": '{"user_idx": <u>, "recommendations": [[<k>, <v>], [8, 1.5, "more"]]}',
+        "mixed": '{"user_idx": <u>, "recommendations": [{"x": 1}, [<k>, <v>], "odd", [9], null, {"0": <k>}]}',
+        "blank": "   ",
+        "broken": '{"user_idx": <u>, "recommendations": [{"product_idx": <k>',
+        "no user": '{"recommendations": [[<k>, <v>]]}'}
+    out = F.lit(None).cast("string")
+    for n, kind in enumerate(LINE_KINDS):
+        out = F.when(F.col("event_id") % len(LINE_KINDS) == n, text(lines[kind])).otherwise(out)
+    return out
+
+
+def q_store_encodings(spark: SparkSession, d: str) -> DataFrame:
+    """S-6 / F-7 / F-11 / F-13: store files in three encodings, with blank,
+    broken and userless lines, one folder per batch; every item read."""
+    path = os.path.join(scoring.scratch_dir(spark, "encodings"), "store")
+    ev = spark.read.parquet(f"{d}/events.parquet").select("event_id", "user_id", "props").select(
+        "event_id", "user_id", S.parse_json("props", "k int")["k"].alias("k"), ((F.col("event_id") % 50) / 10).alias("score"))
+    # the text writer names files .txt; the store is read by this ending here
+    ev.select(_store_line().alias("value"), F.floor(F.col("event_id") / 1000).cast("long").alias("batch_id")).write.partitionBy(
+        "batch_id").text(path)
+    rows = store.read_store(spark, path, "*.txt")
+    return (rows.select("user_idx", "batch_id", F.posexplode("recommendations").alias("pos", "r"))
+                .groupBy("user_idx", "batch_id", F.col("pos").cast("int").alias("pos"), F.col("r.product_idx").alias("product_idx"),
+                         F.round(F.col("r.rating").cast("double"), 4).alias("score"))
+                .agg(F.count(F.lit(1)).alias("n")))
+
+
 def q_serve_unknown(spark: SparkSession, d: str) -> DataFrame:
     """R-12: unknown requested users with the hint and the user total."""
     return serve.unknown_users(_requests(spark, d), _latest(spark, d))
@@ -461,6 +516,41 @@ def q_readiness(spark: SparkSession, d: str) -> DataFrame:
 CSV_ROWS_PER_FILE = 200_000  # about 25 MB: several blocks a file
 
 
+def q_record_rows(spark: SparkSession, d: str) -> DataFrame:
+    """V-1 / V-5 / V-9 / F-10 / F-12 / K-6 / K-7 / S-8 / S-9 without paths,
+    times and fitted numbers: the records over the written store, its
+    compacted table, and no store at all."""
+    r = _records(spark, d)
+    root = os.path.join(scoring.scratch_dir(spark, "records"), "compacted")
+    compact.fold_new(spark, r["lists"], root)
+    nothing = os.path.join(root, "nothing")
+    out = None
+    for name, lists, folded, metrics in (("store", r["lists"], None, r["metrics"]), ("compacted", r["lists"], root, r["metrics"]),
+                                         ("none", nothing, None, nothing)):
+        made = report.run_report(spark, records.read_metrics(spark, metrics), lists, compacted=folded)
+        kept = os.path.join(scoring.scratch_dir(spark, "report"), "report")
+        write_record(made, kept)
+        st = report.stats(spark, lists, metrics, kept, folded)
+        h = report.health(spark, lists, folded).first()  # one row of three values
+        row = st.select(
+            F.lit(name).alias("source"), F.col("total_utilisateurs_avec_recommandations").alias("total"),
+            F.col("rmse_info").startswith("Meilleure config").alias("has_metrics"), F.col("statut_pipeline").alias("statut"),
+            F.col("rapport_pipeline.pipeline").alias("pipeline"), F.col("modele.algorithme").alias("algorithme"),
+            F.col("modele.config.rank").alias("rank"), F.col("modele.config.maxIter").alias("max_iter"),
+            F.col("rapport_pipeline.date_execution").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d").alias("dated"),
+            F.coalesce(F.concat_ws(",", F.transform("rapport_pipeline.echantillon", lambda x: F.concat_ws(
+                ":", x["user_idx"].cast("string"), x["n_items"].cast("string")))), F.lit("")).alias("echantillon"))
+        row = row.withColumns({"status": F.lit(h["status"]), "users": F.lit(h["utilisateurs_en_cache"]).cast("long"),
+                               "has_files": F.lit(h["fichiers_trouves"] > 0)})
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def q_readiness_rows(spark: SparkSession, d: str) -> DataFrame:
+    """V-8 without paths: inputs present, and the rows of the Parquet ones."""
+    return q_readiness(spark, d).select("name", "present", "n_rows")
+
+
 def q_csv_scan(spark: SparkSession, d: str) -> DataFrame:
     """S-1 / S-2: the reviews written as the review CSV (quoted text with
     commas, doubled quotes, line breaks) in few large files, read back by
@@ -538,6 +628,8 @@ def queries() -> dict[str, Query]:
         "indexed_lookup": q_indexed_lookup,
         "point_lookup": q_point_lookup,
         "serve_user": q_serve_user,
+        "serve_products": q_serve_products,
+        "store_encodings": q_store_encodings,
         "serve_unknown": q_serve_unknown,
         "serve_overview": q_serve_overview,
         "serve_users": q_serve_users,
@@ -559,6 +651,8 @@ def queries() -> dict[str, Query]:
         "stats": q_stats,
         "run_report": q_run_report,
         "readiness": q_readiness,
+        "readiness_rows": q_readiness_rows,
+        "record_rows": q_record_rows,
         "csv_scan": q_csv_scan,
         "ratings_roundtrip": q_ratings_roundtrip,
         "dictionary_roundtrip": q_dictionary_roundtrip,

@@ -223,6 +223,45 @@ JOIN sized s ON s.user_idx = u.user_id""".replace("store +", "")
 SELECT user_idx, CAST(CASE WHEN batch_id = 1 AND user_idx % 2 = 1 THEN 2 ELSE batch_id END AS BIGINT) AS batch_id, n_items
 FROM sized"""
     q["indexed_lookup"] = q["serve_user"]
+    q["serve_products"] = CLEAN_CHAIN.rstrip() + "," + q["serve_user"].strip().removeprefix("WITH").replace(
+        "SELECT u.user_id, l.rk AS pos,", "served AS (\nSELECT u.user_id, l.rk AS pos,", 1).replace(
+        "served AS", ",\nserved AS", 1) + """)
+SELECT user_id, pos, s.product_idx, coalesce(p.ProductId, s.product_id) AS ProductId, score
+FROM served s LEFT JOIN pidx p ON p.product_idx = s.product_idx"""
+    q["store_encodings"] = """
+WITH e AS (
+  SELECT event_id, user_id, event_id % 7 AS kind, event_id // 1000 AS batch_id,
+         CAST(json_extract(props, '$.k') AS INTEGER) AS k, (event_id % 50) / 10 AS score
+  FROM events),
+items AS (
+  SELECT user_id, batch_id, 0 AS pos, k AS product_idx, score FROM e WHERE kind IN (0, 1, 2)
+  UNION ALL SELECT user_id, batch_id, 1, 7, score FROM e WHERE kind = 0
+  UNION ALL SELECT user_id, batch_id, 1, 8, 1.5 FROM e WHERE kind = 2
+  UNION ALL SELECT user_id, batch_id, 0, NULL, 0.0 FROM e WHERE kind = 3
+  UNION ALL SELECT user_id, batch_id, 1, k, score FROM e WHERE kind = 3
+  UNION ALL SELECT user_id, batch_id, 2, k, 0.0 FROM e WHERE kind = 3)
+SELECT CAST(user_id AS INTEGER) AS user_idx, CAST(batch_id AS BIGINT) AS batch_id, CAST(pos AS INTEGER) AS pos,
+       CAST(product_idx AS INTEGER) AS product_idx, round(CAST(CAST(score AS FLOAT) AS DOUBLE), 4) AS score, count(*) AS n
+FROM items GROUP BY ALL"""
+    q["readiness_rows"] = CLEAN_CHAIN + """
+SELECT 'lineitem' AS name, true AS present, (SELECT count(*) FROM lineitem) AS n_rows
+UNION ALL SELECT 'orders', true, (SELECT count(*) FROM orders)
+UNION ALL SELECT 'events', true, (SELECT count(*) FROM events)
+UNION ALL SELECT 'model', true, NULL
+UNION ALL SELECT 'cleaned_ratings', true, (SELECT count(*) FROM ratings)
+UNION ALL SELECT 'user_mapping', true, (SELECT count(*) FROM uidx)
+UNION ALL SELECT 'metrics', true, NULL"""
+    q["record_rows"] = store + """,
+whole AS (
+  SELECT (SELECT count(*) FROM sized) AS total,
+         (SELECT string_agg(CAST(user_idx AS VARCHAR) || ':' || CAST(n_items AS VARCHAR), ',' ORDER BY user_idx)
+          FROM (SELECT user_idx, n_items FROM sized ORDER BY user_idx LIMIT 5) f) AS sample)
+SELECT source, total, true AS has_metrics, 'SUCCES' AS statut, 'Kafka -> Spark ALS -> Recommandations' AS pipeline,
+       'ALS (Alternating Least Squares)' AS algorithme, CAST(10 AS INTEGER) AS rank, CAST(10 AS INTEGER) AS max_iter,
+       true AS dated, sample AS echantillon, 'ok' AS status, total AS users, true AS has_files
+FROM whole, (VALUES ('store'), ('compacted')) AS s(source)
+UNION ALL
+SELECT 'none', 0, false, 'AVERTISSEMENT', 'Kafka -> Spark ALS -> Recommandations', NULL, NULL, NULL, true, '', 'ok', 0, false"""
     q["point_lookup"] = store + """
 SELECT user_idx, rk AS rank, product_idx, round(CAST(rating AS DOUBLE), 4) AS score
 FROM latest WHERE user_idx = (SELECT max(user_idx) FROM sized)"""

@@ -70,6 +70,10 @@ REPORT = T.StructType([
     T.StructField("modele", REPORT_MODEL, True),
     T.StructField("fichiers_generes", T.LongType(), True),
     T.StructField("statut", T.StringType(), True),
+    T.StructField("echantillon", T.ArrayType(T.StructType([
+        T.StructField("user_idx", T.IntegerType(), True),
+        T.StructField("n_items", T.IntegerType(), True),
+    ])), True),
 ])
 
 FACTORS = T.StructType([

@@ -1,11 +1,11 @@
 """Recommendation store scan (S-6, F-11, F-13, A-10).
 
 Reads every ``*.json`` file below a folder, at any depth, once (the
-reference globbed the top level twice).  Each line is parsed on its own:
-blank lines are skipped, a malformed line or one without ``user_idx`` is
-dropped without losing the rest of its file.  The list may use any of the
-three element encodings; it is normalised to ``array<struct<product_idx
-int, rating float>>``.  The batch id comes from the ``batch_id=<n>``
+reference globbed the top level twice).  Each line is parsed on its own, once,
+into a VARIANT: blank lines are skipped, a malformed line or one without
+``user_idx`` is dropped without losing the rest of its file.  The list may use
+any of the three element encodings, mixed too; it is normalised to
+``array<struct<product_idx int, rating float>>``.  The batch id comes from the ``batch_id=<n>``
 folder when present; file time and path order the rest.
 """
 
@@ -16,7 +16,15 @@ from pyspark.sql import functions as F
 
 from ratewise.functions import scalars as S
 
-_LINE = "user_idx int, recommendations array<string>, batch_id long"
+# numbers that the JSON writers of some languages leave bare
+_BARE = r"(?<=[:,\[] ?)(NaN|-?Infinity)(?= ?[,\]}])"
+
+
+def _parsed(line):
+    """The line as VARIANT; one that isn't JSON only for bare NaN or Infinity
+    is read with these as text (a cast gives the number back)."""
+    strict = F.try_parse_json(line)
+    return F.coalesce(strict, F.when(line.rlike("NaN|Infinity"), F.try_parse_json(F.regexp_replace(line, _BARE, '"$1"'))))
 
 
 def read_store(spark: SparkSession, path: str | list[str], glob: str = "*.json") -> DataFrame:
@@ -28,15 +36,16 @@ def read_store(spark: SparkSession, path: str | list[str], glob: str = "*.json")
                    F.col("_metadata.file_path").alias("file_path"),
                    F.col("_metadata.file_modification_time").alias("file_time")))
     lines = raw.where(S.non_blank("value"))
-    parsed = lines.select(S.parse_json(F.trim("value"), _LINE).alias("j"), "file_path", "file_time")
+    parsed = (lines.select(_parsed(F.trim("value")).alias("j"), "file_path", "file_time")
+              .withColumn("user_idx", S.variant_field(F.col("j"), "$.user_idx", "int")))
     from_dir = F.regexp_extract("file_path", r"batch_id=(\d+)", 1)
     run_id = F.regexp_extract("file_path", r"run_id=([^/]+)/", 1)
-    return (parsed.where(F.col("j.user_idx").isNotNull())
-                  .select(F.col("j.user_idx").alias("user_idx"),
-                          S.normalise_recommendations(
-                              F.coalesce(F.col("j.recommendations"), F.array().cast("array<string>")))
-                           .alias("recommendations"),
-                          F.coalesce(F.col("j.batch_id"),
+    elements = S.variant_field(F.col("j"), "$.recommendations", "array<variant>")
+    return (parsed.where(F.col("user_idx").isNotNull())
+                  .select("user_idx",
+                          F.coalesce(S.normalise_recommendations(elements),
+                                     F.array().cast("array<struct<product_idx: int, rating: float>>")).alias("recommendations"),
+                          F.coalesce(S.variant_field(F.col("j"), "$.batch_id", "long"),
                                      F.when(from_dir != "", from_dir.cast("long"))).alias("batch_id"),
                           run_id.alias("run_id"), "file_time", "file_path"))
 

@@ -137,3 +137,39 @@ def test_records_in_the_forms_met_in_practice(spark, tmp):
     _write(os.path.join(tmp, "report.json"), json.dumps({"statut": "SUCCES"}, indent=4))
     report = records.read_report(spark, os.path.join(tmp, "report.json")).collect()
     assert len(report) == 1
+
+
+def test_bare_numbers_and_odd_types_in_the_store(spark, tmp):
+    """Bare NaN and Infinity, numbers as text, lists that are none."""
+    _write(os.path.join(tmp, "a.json"),
+           '{"user_idx": 1, "recommendations": [[1, NaN], {"product_idx": 2, "rating": -Infinity}, [3, 1.0]]}\n'
+           '{"user_idx": "2", "recommendations": [{"product_idx": "5", "rating": "2.5"}]}\n'
+           '{"user_idx": 3, "recommendations": {"product_idx": 1}}\n'
+           '{"user_idx": 4}\n'
+           '{"user_idx": 99999999999, "recommendations": []}\n'
+           '{"user_idx": 5, "recommendations": [[4, 1.0]]} trailing\n'
+           'NaN\n[1, 2]\n')
+    got = {r.user_idx: [(e.product_idx, str(e.rating)) for e in r.recommendations] for r in store.read_store(spark, tmp).collect()}
+    assert got == {1: [(1, "nan"), (2, "-inf"), (3, "1.0")], 2: [(5, "2.5")], 3: [], 4: [], 5: [(4, "1.0")]}  # what follows an object is ignored
+
+
+def test_readiness_counts_read_no_column(spark, tmp):
+    from conftest import SF001
+    from ratewise.operators import report
+    inputs = {"orders": (f"{SF001}/orders.parquet", "parquet"), "none": (tmp + "/none", "parquet")}
+    rows = {r.name: r.n_rows for r in report.readiness(spark, inputs, strict=False).collect()}
+    assert rows == {"orders": spark.read.parquet(inputs["orders"][0]).count(), "none": None}
+    plan = spark.read.parquet(inputs["orders"][0]).groupBy().count()._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+
+
+def test_report_sample_and_product_ids(spark, tmp):
+    from ratewise.operators import report
+    _store_fixture(tmp)
+    rep = report.run_report(spark, spark.createDataFrame([], schemas.METRICS), tmp).first()
+    assert [(x.user_idx, x.n_items) for x in rep.echantillon] == [(1, 2), (2, 3), (3, 1)] and rep.modele is None
+    lists = serve.latest_lists(store.read_store(spark, tmp), store.STORE_ORDER)
+    items = serve.lookup_items(spark.createDataFrame([(2, 20), (3, 1)], "user_id int, n int"), lists)
+    names = spark.createDataFrame([("P-twenty", 20), ("P-30", 30)], "ProductId string, product_idx int")
+    got = sorted((r.user_id, r.pos, r.ProductId) for r in serve.with_product_ids(items, names).collect())
+    assert got == [(2, 1, "P-twenty"), (2, 2, "Product_21"), (2, 3, "Product_?"), (3, 1, "P-30")]
