@@ -1,8 +1,13 @@
 """Subword-lattice language model: marginal log probability of a document.
 
 A word unseen in training is spelled by the pieces of an existing subword
-vocabulary.  All its segmentations count: a forward recursion in log space
-sums them, each weighted by the product of its pieces' probabilities.  The
+vocabulary.  All its segmentations count: a forward recursion sums them, each
+weighted by the product of its pieces' probabilities.  It runs in log space
+wherever a probability could get too small for a float (words beyond ``PLAIN``
+characters, and shorter ones that turn out so); for the others the same sums
+are taken without logarithms, which is faster and exact to rounding.  Words
+are never cut: beyond ``SPARSE`` characters the recursion goes over the arcs
+that exist, position by position, so work and memory are linear in the word.  The
 vocabulary's own scores are the starting weights; one or more expectation
 steps over all distinct training words (the expected uses of each piece in
 the lattices) re-weight them for the corpus.  A word seen in training is
@@ -51,8 +56,10 @@ SMOOTHING = 0.01
 SLICE_BYTES = 1 << 20
 HELD_WORDS = 500_000  # distinct words a task holds before it passes their counts on
 END = b""  # the end token; no word is empty
-PART = 40  # characters
+PLAIN = 40  # characters of a word summed without logarithms
+SPARSE = 1000  # characters of a word whose arcs are gone through one by one
 SMALLEST = 1e-290  # a probability below is left to logarithms
+SPARSE_CLASSES = 4  # classes at a time there; bounds the recursion's table
 HELD_USES = 1 << 22  # expected uses held before they are added up
 SPACE = "▁"  # stands before each word in the vocabulary
 LOG10 = math.log(10)
@@ -177,16 +184,52 @@ class PieceWeights:
             return PieceWeights(np.log(np.vstack([p / p.sum(axis=0), np.zeros((1, p.shape[1]))])))
 
 
+def _forward_logs(use: list[np.ndarray], spelled: np.ndarray) -> np.ndarray:
+    """Log forward sums of words of one length, positions x words [x classes];
+    ``use[k - 1]`` holds the log weight of the arc of length k from each start."""
+    n = len(spelled)
+    forward = np.full((n + 1, *spelled.shape[1:]), -np.inf)
+    forward[0] = 0
+    for j in range(1, n + 1):
+        terms = [forward[j - k] + use[k - 1][j - k] for k in range(1, min(j, len(use)) + 1)]
+        terms.append(forward[j - 1] + spelled[j - 1])
+        forward[j] = _log_sum(np.stack(terms))
+    return forward
+
+
+def _arc_list(arcs: list[np.ndarray], word: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and pieces of the arcs of one word of a block, by end."""
+    starts = [np.flatnonzero(a[:, word] >= 0) for a in arcs]
+    pieces = np.concatenate([a[s, word] for a, s in zip(arcs, starts)])
+    ends = np.concatenate([s + k for k, s in enumerate(starts, start=1)])
+    order = np.argsort(ends, kind="stable")
+    return np.concatenate(starts)[order], ends[order], pieces[order]
+
+
+def _sparse_logs(starts: np.ndarray, ends: np.ndarray, pieces: np.ndarray, log: np.ndarray, spelled: np.ndarray) -> np.ndarray:
+    """As ``_forward_logs`` for one long word: positions x classes, over a
+    list of arcs in order of their ends."""
+    n = len(spelled)
+    forward = np.empty((n + 1, log.shape[1]))
+    forward[0] = 0
+    bounds = np.searchsorted(ends, np.arange(n + 2)).tolist()
+    for j in range(1, n + 1):
+        a, b = bounds[j], bounds[j + 1]
+        at = forward[j - 1] + spelled[j - 1]
+        if b > a:
+            at = np.logaddexp(at, np.logaddexp.reduce(forward[starts[a:b]] + log[pieces[a:b]], axis=0))
+        forward[j] = at
+    return forward
+
+
 def lattice_scores(words: list[str], vocabulary: Vocabulary, weights: PieceWeights) -> np.ndarray:
     """Natural-log probability of each word, per class: the forward recursion
-    over all segmentations of the word with its leading space.  Words of up to
-    ``PART`` characters are summed without logarithms, unless their
-    probability gets too small for that."""
+    over all segmentations of the word with its leading space."""
     out = np.empty((len(words), weights.log.shape[1]))
     log, p = weights.log, np.exp(weights.log)
     for at, codes, width in _by_length([SPACE + w for w in words], vocabulary.longest):
         n, arcs = len(codes), vocabulary.arcs(codes)
-        if n <= PART:
+        if n <= PLAIN:
             spelled = p[-3] * np.exp(-width * math.log(256))[..., None]
             forward = np.zeros((n + 1, *out[at].shape))
             forward[0] = 1
@@ -199,26 +242,24 @@ def lattice_scores(words: list[str], vocabulary: Vocabulary, weights: PieceWeigh
             tiny = (forward[n] < SMALLEST).any(axis=1)
             out[at[~tiny]] = np.log(forward[n][~tiny]) + log[-2]
             at, width, arcs = at[tiny], width[:, tiny], [a[:, tiny] for a in arcs]
-        if len(at):
+        if n > SPARSE:
+            for w, place in enumerate(at.tolist()):
+                found = _arc_list(arcs, w)
+                for k in range(0, log.shape[1], SPARSE_CLASSES):
+                    own = log[:, k:k + SPARSE_CLASSES]
+                    spelled = own[-3] - width[:, w, None] * math.log(256)
+                    out[place, k:k + SPARSE_CLASSES] = _sparse_logs(*found, own, spelled)[n] + own[-2]
+        elif len(at):
             spelled = log[-3] - width[..., None] * math.log(256)  # characters as free bytes
-            forward = np.full((n + 1, *out[at].shape), -np.inf)
-            forward[0] = 0
-            for j in range(1, n + 1):
-                # forward[j] = log sum over the arcs that end at j
-                terms = [forward[j - k] + log[arcs[k - 1][j - k]] for k in range(1, min(j, len(arcs)) + 1)]
-                terms.append(forward[j - 1] + spelled[j - 1])
-                forward[j] = _log_sum(np.stack(terms))
-            out[at] = forward[n] + log[-2]
+            out[at] = _forward_logs([log[a] for a in arcs], spelled)[n] + log[-2]
     return out
 
 
 def expected_uses(words: list[str], classes: np.ndarray, vocabulary: Vocabulary, weights: PieceWeights) -> np.ndarray:
     """Expected number of uses of each event in the lattices of the words,
-    each word under the class beside it: (pieces + 2, classes).  Longer words
-    are counted in parts of ``PART`` characters, whose probabilities need no
-    logarithms."""
-    p, k_all = np.exp(weights.log), weights.log.shape[1]
-    events = len(vocabulary.pieces) + 2
+    each word under the class beside it: (pieces + 2, classes)."""
+    log, k_all = weights.log, weights.log.shape[1]
+    p, events = np.exp(log), len(vocabulary.pieces) + 2
     total, held = np.zeros(events * k_all), []
 
     def add(at: np.ndarray, share: np.ndarray, last: bool = False) -> None:
@@ -227,33 +268,52 @@ def expected_uses(words: list[str], classes: np.ndarray, vocabulary: Vocabulary,
             total[:] += np.bincount(np.concatenate([x for x, _ in held]), weights=np.concatenate([x for _, x in held]),
                                     minlength=len(total))
             held.clear()
-    parts = [(SPACE + w, k) for w, k in zip(words, classes.tolist())]
-    parts = [(w[a:a + PART], k) for w, k in parts for a in range(0, len(w), PART)]
-    classes = np.array([k for _, k in parts], dtype=np.int64)
-    for at, codes, width in _by_length([w for w, _ in parts], vocabulary.longest):
+    for at, codes, width in _by_length([SPACE + w for w in words], vocabulary.longest):
         n, arcs, own = len(codes), vocabulary.arcs(codes), classes[at]
-        use = [p[a, own] for a in arcs]  # starts x words
-        spelled = p[-3][own] * np.exp(-width * math.log(256))
-        forward = np.zeros((n + 1, len(at)))
-        forward[0] = 1
-        for j in range(1, n + 1):
-            forward[j] = forward[j - 1] * spelled[j - 1]
-            for k in range(1, min(j, len(arcs)) + 1):
-                forward[j] += forward[j - k] * use[k - 1][j - k]
-        backward = np.zeros((n + 1, len(at)))
-        backward[n] = 1
-        for i in range(n - 1, -1, -1):
-            backward[i] = backward[i + 1] * spelled[i]
-            for k in range(1, min(n - i, len(arcs)) + 1):
-                backward[i] += backward[i + k] * use[k - 1][i]
-        sound = forward[n] > SMALLEST  # else too small a number: the part counts as free bytes
-        whole = np.where(sound, forward[n], np.inf)
-        backward /= whole
-        for k, (arc, u) in enumerate(zip(arcs, use), start=1):
-            start, word = np.nonzero(arc >= 0)
-            add(arc[start, word] * k_all + own[word], forward[start, word] * u[start, word] * backward[start + k, word])
-        add((events - 2) * k_all + own, (forward[:n] * spelled * backward[1:]).sum(axis=0) + np.where(sound, 0, n))
-        add((events - 1) * k_all + own, np.ones(len(own)))
+        add((events - 1) * k_all + own, np.ones(len(own)))  # one stop a word
+        if n <= PLAIN:
+            use = [p[a, own] for a in arcs]  # starts x words
+            spelled = p[-3][own] * np.exp(-width * math.log(256))
+            forward = np.zeros((n + 1, len(at)))
+            forward[0] = 1
+            for j in range(1, n + 1):
+                forward[j] = forward[j - 1] * spelled[j - 1]
+                for k in range(1, min(j, len(arcs)) + 1):
+                    forward[j] += forward[j - k] * use[k - 1][j - k]
+            backward = np.zeros((n + 1, len(at)))
+            backward[n] = 1
+            for i in range(n - 1, -1, -1):
+                backward[i] = backward[i + 1] * spelled[i]
+                for k in range(1, min(n - i, len(arcs)) + 1):
+                    backward[i] += backward[i + k] * use[k - 1][i]
+            tiny = forward[n] < SMALLEST  # left to logarithms
+            backward /= np.where(tiny, np.inf, forward[n])
+            for k, (arc, u) in enumerate(zip(arcs, use), start=1):
+                start, word = np.nonzero(arc >= 0)
+                add(arc[start, word] * k_all + own[word], forward[start, word] * u[start, word] * backward[start + k, word])
+            add((events - 2) * k_all + own, (forward[:n] * spelled * backward[1:]).sum(axis=0))
+            at, own, width, arcs = at[tiny], own[tiny], width[:, tiny], [a[:, tiny] for a in arcs]
+        if n > SPARSE:
+            for w, k in enumerate(own.tolist()):
+                starts, ends, pieces = _arc_list(arcs, w)
+                mine = log[:, k:k + 1]
+                spelled = mine[-3] - width[:, w, None] * math.log(256)
+                forward = _sparse_logs(starts, ends, pieces, mine, spelled)[:, 0]
+                turn = np.argsort(n - starts, kind="stable")  # the same word from its end
+                backward = _sparse_logs((n - ends)[turn], (n - starts)[turn], pieces[turn], mine, spelled[::-1])[::-1, 0]
+                add(pieces * k_all + k, np.exp(forward[starts] + mine[pieces, 0] + backward[ends] - forward[n]))
+                add(np.array([(events - 2) * k_all + k]),
+                    np.exp(forward[:n] + spelled[:, 0] + backward[1:] - forward[n]).sum(keepdims=True))
+        elif len(at):
+            use, spelled = [log[a, own] for a in arcs], log[-3][own] - width * math.log(256)
+            forward = _forward_logs(use, spelled)
+            # from the end: the arc of length k that starts at i is one that ends at n - i
+            backward = _forward_logs([u[::-1] for u in use], spelled[::-1])[::-1]
+            for k, (arc, u) in enumerate(zip(arcs, use), start=1):
+                start, word = np.nonzero(arc >= 0)
+                add(arc[start, word] * k_all + own[word],
+                    np.exp(forward[start, word] + u[start, word] + backward[start + k, word] - forward[n, word]))
+            add((events - 2) * k_all + own, np.exp(forward[:n] + spelled + backward[1:] - forward[n]).sum(axis=0))
     add(np.zeros(0, dtype=np.int64), np.zeros(0), last=True)
     return total.reshape(events, k_all)
 

@@ -1,6 +1,7 @@
 """Language id, quality and the lattice model: brute force and held-out checks."""
 import itertools
 import math
+import time
 import zlib
 from collections import Counter
 
@@ -165,6 +166,51 @@ def test_lattice_sums_all_segmentations(vocabulary):
     assert np.isfinite(lattice_lm.lattice_scores(["x" * 3000], vocabulary, weights)).all()
 
 
+@pytest.mark.parametrize("plain,sparse", [(0, 1000), (0, 0), (10, 20)])
+def test_ways_to_sum_a_lattice_agree(vocabulary, monkeypatch, plain, sparse):
+    """Plain sums, sums of logarithms and the list of arcs: same scores, same uses."""
+    rng = np.random.default_rng(5)
+    counts = np.stack([np.append(vocabulary.start, [1e-4, 0.3]) * rng.uniform(0.5, 2, len(vocabulary.start) + 2)
+                       for _ in range(5)], axis=1) * 1000
+    weights = lattice_lm.PieceWeights.of(counts)
+    words = ["the", "unbelievable", "größe", "北京x", "a", "", "theandofthe" * 3, "x1y2" * 8, "🙂" * 6, "counting"]
+    classes = np.arange(len(words)) % 5
+    want = lattice_lm.lattice_scores(words, vocabulary, weights), lattice_lm.expected_uses(words, classes, vocabulary, weights)
+    monkeypatch.setattr(lattice_lm, "PLAIN", plain)
+    monkeypatch.setattr(lattice_lm, "SPARSE", sparse)
+    got = lattice_lm.lattice_scores(words, vocabulary, weights), lattice_lm.expected_uses(words, classes, vocabulary, weights)
+    assert np.allclose(got[0], want[0], rtol=1e-10) and np.allclose(got[1], want[1], rtol=1e-8, atol=1e-12)
+
+
+@pytest.mark.parametrize("n", [41, 300, 2500])
+def test_long_words_are_whole(vocabulary, n):
+    """No cut: one stop, and the expected pieces cover every character."""
+    weights = lattice_lm.PieceWeights.of(np.append(vocabulary.start, [1e-4, 0.3])[:, None] * 1000)
+    word = ("thecountingof北größe" * n)[:n]
+    uses = lattice_lm.expected_uses([word], np.zeros(1, dtype=int), vocabulary, weights)[:, 0]
+    lengths = np.array([len(p) for p in vocabulary.pieces])
+    assert uses[-1] == 1 and math.isclose((uses[:-2] * lengths).sum() + uses[-2], n + 1, rel_tol=1e-9)
+    # the score is the log of a sum over segmentations: a bound from one of them
+    score = lattice_lm.lattice_scores([word], vocabulary, weights)[0, 0]
+    free = (n + 1) * weights.log[-3, 0] - math.log(256) * len((lattice_lm.SPACE + word).encode()) + weights.log[-2, 0]
+    assert free < score < 0
+
+
+def test_a_hundred_thousand_unbroken_characters(vocabulary):
+    counts = np.stack([np.append(vocabulary.start, [1e-4, 0.3])] * 3, axis=1) * 1000
+    weights = lattice_lm.PieceWeights.of(counts)
+    word = "abcde" * 20_000
+    began = time.process_time()
+    scores = lattice_lm.lattice_scores([word], vocabulary, weights)[0]
+    uses = lattice_lm.expected_uses([word], np.array([1]), vocabulary, weights)
+    assert np.isfinite(scores).all() and scores[0] == scores[2] < 0
+    assert uses[:, 0].sum() == 0 and uses[-1, 1] == 1 and np.isfinite(uses).all()
+    assert time.process_time() - began < 60
+    # twice as long, about twice the cost of a character less the one start
+    half = lattice_lm.lattice_scores(["abcde" * 10_000], vocabulary, weights)[0, 0]
+    assert abs(scores[0] / half - 2) < 1e-3
+
+
 def test_expected_uses_add_up(vocabulary):
     weights = lattice_lm.PieceWeights.of(np.append(vocabulary.start, [1e-4, 0.3])[:, None] * 1000)
     words = ["the", "theounting", "größe", "x" * 100, "🙂" * 50]
