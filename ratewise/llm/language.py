@@ -6,7 +6,10 @@ edges, score each of them; Viterbi over the words with a penalty for every
 switch labels spans.  A document's language is the one with most letters.
 
 The model is counted by Spark over all training rows (a fixed number of
-buckets per language, whatever the corpus).  The Viterbi recursion runs in
+buckets per language, whatever the corpus; a task holds the counts of ``HELD``
+languages and passes them on).  It has the ``MAX_LANGUAGES`` values of lang with
+most training rows, which bounds the model that every task gets; a table with
+more values than that has junk in the column.  The Viterbi recursion runs in
 lock-step over all documents of a slice.
 
 Defined results: null texts and texts without letters are ``und`` with score
@@ -36,6 +39,8 @@ SWITCH_PENALTY = 6.0
 SCRIPT_SHARE = 0.01  # of a language's letters, for the script to be one of its own
 SLICE_BYTES = 1 << 21
 UNKNOWN = "und"
+MAX_LANGUAGES = 512
+HELD = 64  # languages whose counts a task holds before it passes them on
 
 # fixed values: script ranges of the Unicode blocks (first, last, script)
 LATIN, GREEK, CYRILLIC, HEBREW, ARABIC, INDIC, THAI, HANGUL, KANA, HAN, OTHER = range(1, 12)
@@ -159,9 +164,20 @@ def _training_counts(docs: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letter, _, script = _characters()
         total: dict[str, np.ndarray] = {}
+
+        def passed_on() -> Iterator[pa.RecordBatch]:
+            for lang, own in total.items():
+                at = np.flatnonzero(own)
+                yield pa.record_batch([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(own[at])],
+                                      names=["lang", "bucket", "n"])
+            total.clear()
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                own = total.setdefault(lang, np.zeros(buckets + OTHER + 1, dtype=np.int64))
+                if lang not in total:
+                    if len(total) == HELD:
+                        yield from passed_on()
+                    total[lang] = np.zeros(buckets + OTHER + 1, dtype=np.int64)
+                own = total[lang]
                 for part in _segments(text, SLICE_BYTES):
                     codes = _code_points(part)
                     _, found = _trigrams(codes, buckets)
@@ -169,16 +185,19 @@ def _training_counts(docs: DataFrame, buckets: int) -> DataFrame:
                     if 0 < len(found) <= buckets // 8:
                         np.add.at(own, found, 1)
                     own[buckets:] += np.bincount(script[codes[letter[codes]]], minlength=OTHER + 1)
-        for lang, own in total.items():
-            at = np.flatnonzero(own)
-            yield pa.record_batch([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(own[at])],
-                                  names=["lang", "bucket", "n"])
+        yield from passed_on()
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
     return rows.mapInArrow(run, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> LanguageModel:
-    """Learn from every row of ``docs`` (lang, text) that has both."""
+def fit(docs: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING,
+        max_languages: int = MAX_LANGUAGES) -> LanguageModel:
+    """Learn from every row of ``docs`` (lang, text) that has both, for the
+    ``max_languages`` with most rows (ties: the name that sorts first)."""
+    used = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    top = [r.lang for r in used.orderBy(F.desc("n"), "lang").limit(max_languages + 1).collect()]
+    if len(top) > max_languages:
+        docs = docs.where(F.col("lang").isin(top[:max_languages]))
     table = _training_counts(docs, buckets).toPandas()  # languages x buckets numbers
     languages = sorted(table["lang"].unique().tolist())
     counts = np.zeros((buckets + OTHER + 1, len(languages)))

@@ -134,6 +134,24 @@ def test_top_k_and_stage_agree(spark, odd_docs, no_docs):
     assert quality.quality(no_docs, labels).count() == 0
 
 
+# --- many languages ----------------------------------------------------------
+
+def test_many_languages_are_counted_in_bounded_memory(spark, monkeypatch):
+    """Junk in the column: counts are passed on, the model has a bound, and
+    the languages that are really there are still told apart."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("text", "lang").coalesce(2)
+    junk = docs.select("text", F.concat(F.lit("junk"), F.monotonically_increasing_id().cast("string")).alias("lang"))
+    every = docs.unionByName(junk.where("text IS NOT NULL"))
+    whole = language.fit(every)
+    monkeypatch.setattr(language, "HELD", 3)
+    again = language.fit(every)
+    assert whole.languages == again.languages and np.array_equal(whole.scores, again.scores)
+    assert len(whole.languages) > 100
+    few = language.fit(every, max_languages=4)
+    plain = language.fit(docs)
+    assert few.languages == plain.languages and np.array_equal(few.scores, plain.scores)
+
+
 # --- lattice -----------------------------------------------------------------
 
 @pytest.fixture(scope="module")
