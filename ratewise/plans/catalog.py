@@ -457,6 +457,54 @@ def q_stream_batches(spark: SparkSession, d: str) -> DataFrame:
     return scoring.read_stream_stats(spark, _stream_out(spark, d))
 
 
+# --- fixed values: which messages are broken, which slice has unknown users only
+BROKEN_EVERY = 9
+STREAM_SLICES = 4
+# --- end of fixed values ---------------------------------------------------
+
+
+def odd_messages(spark: SparkSession, d: str) -> DataFrame:
+    """The event messages with each ``BROKEN_EVERY``-th cut short and users
+    that nobody knows in the last slice."""
+    msgs = fixtures.event_messages(spark, d)
+    top = msgs.agg(F.max("event_id").alias("m")).first()["m"] or 0
+    last = F.floor(F.col("event_id") * STREAM_SLICES / F.lit(top + 1)) == STREAM_SLICES - 1
+    value = F.when(last, F.replace("value", F.lit('"UserId":"U'), F.lit('"UserId":"X'))).otherwise(F.col("value"))
+    cut_short = F.col("event_id") % BROKEN_EVERY == 0
+    return msgs.withColumn("value", F.when(cut_short, F.substring("value", 1, 12)).otherwise(value))
+
+
+def _odd_stream_out(spark: SparkSession, d: str) -> str:
+    key = (spark.sparkContext.applicationId, d, "odd stream")
+    if key not in _MEMO:
+        users = run_cleaning(fixtures.reviews(spark, d)).users.table
+        _MEMO[key] = scoring.run_stream(spark, _grid(spark, d).model, users, odd_messages(spark, d), slices=STREAM_SLICES)
+    return _MEMO[key]
+
+
+def q_stream_odd_batches(spark: SparkSession, d: str) -> DataFrame:
+    """A-8 / T-2 / P-10: per micro-batch the messages received, malformed and
+    of known users, and the lists stored: none for a batch without known users."""
+    out = _odd_stream_out(spark, d)
+    stats = scoring.read_stream_stats(spark, out)
+    stored = scoring.read_stream_lists(spark, out).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
+    return stats.join(stored, "batch_id", "left").select(
+        "batch_id", "received", "malformed", "known_users", F.col("n").isNotNull().alias("stored"))
+
+
+def q_model_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """K-5 then S-7: each train user's factors from the saved model are those
+    of the fitted one."""
+    model = _grid(spark, d).model
+    path = os.path.join(scoring.scratch_dir(spark, "model"), "als_model")
+    train.save_model(model, path)
+    back = train.load_model(path).userFactors.select("id", F.col("features").alias("saved"))
+    # both sides have one row per user
+    return model.userFactors.join(back, "id", "left").select(
+        F.col("id").alias("user_idx"), F.size("features").alias("rank"),
+        F.coalesce(F.col("features") == F.col("saved"), F.lit(False)).alias("same"))
+
+
 def _records(spark: SparkSession, d: str) -> dict[str, str]:
     """Factor-fixture store (two batches) and a metrics record, written
     under the shared checkpoint folder."""
@@ -647,6 +695,8 @@ def queries() -> dict[str, Query]:
         "stream_recommendations": q_stream_recommendations,
         "stream_list_sizes": q_stream_list_sizes,
         "stream_batches": q_stream_batches,
+        "stream_odd_batches": q_stream_odd_batches,
+        "model_roundtrip": q_model_roundtrip,
         "health": q_health,
         "stats": q_stats,
         "run_report": q_run_report,

@@ -303,6 +303,19 @@ sliced AS (
 SELECT CAST(batch_id AS BIGINT) AS batch_id, count(*) AS received, CAST(0 AS BIGINT) AS malformed,
        count(DISTINCT u.user_idx) AS known_users
 FROM sliced LEFT JOIN uidx u USING (UserId) GROUP BY batch_id"""
+    q["stream_odd_batches"] = chain_split.rstrip() + "," + _MESSAGES + """,
+sliced AS (
+  SELECT m.*, (m.event_id * 4) // (SELECT max(event_id) + 1 FROM events) AS batch_id
+  FROM messages m),
+known AS (
+  SELECT s.batch_id, s.event_id, u.user_idx
+  FROM sliced s JOIN uidx u USING (UserId) WHERE s.event_id % 9 <> 0 AND s.batch_id < 3)
+SELECT CAST(batch_id AS BIGINT) AS batch_id, count(*) AS received, count(*) FILTER (WHERE event_id % 9 = 0) AS malformed,
+       (SELECT count(DISTINCT user_idx) FROM known k WHERE k.batch_id = s.batch_id) AS known_users,
+       EXISTS (SELECT 1 FROM known k JOIN train t USING (user_idx) WHERE k.batch_id = s.batch_id) AS stored
+FROM sliced s GROUP BY batch_id"""
+    q["model_roundtrip"] = chain_split + """
+SELECT DISTINCT user_idx, CAST(10 AS INTEGER) AS rank, true AS same FROM train"""
     q["als_scored_keys"] = chain_split + """
 SELECT user_idx, product_idx, Score FROM labelled
 WHERE split = 'validation' AND user_idx IN (SELECT user_idx FROM train)
