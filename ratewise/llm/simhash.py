@@ -122,8 +122,6 @@ def _ball_links(crowd: DataFrame, max_bits: int) -> DataFrame:
                 yield pa.record_batch([pa.array(np.repeat(v, len(masks))),
                                        pa.array((v[:, None] ^ masks[None, :]).ravel())], names=["fp", "point"])
     points = crowd.mapInArrow(run, "fp bigint, point bigint")
-    if max_bits % 2:
-        raise ValueError("an odd distance has no common middle; use pairs")
     # min, max and the count are reduced before the shuffle; a point that
     # joins more than two values is opened again below
     meet = points.groupBy("point").agg(F.min("fp").alias("a"), F.max("fp").alias("z"))
@@ -141,6 +139,8 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, crowded: int = CROWDED) -
     What these links connect needs no more of them, so pairs are only sought in
     keys whose members are still in different components, and only between
     those."""
+    if max_bits % 2:  # whatever the data: a crowded key needs common points half that far from both
+        raise ValueError("max_bits must be even")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
     keyed = cut(_keys(prints, block_plan(prints.count(), max_bits)), "keys")
     other = F.struct(F.xxhash64("fp").alias("h"), F.col("fp").alias("fp"))

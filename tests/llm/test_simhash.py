@@ -91,3 +91,9 @@ def test_every_plan_is_exact(n):
 
 def test_empty_table(no_docs):
     assert simhash.near_groups(no_docs).count() == 0
+
+
+def test_odd_distances_are_refused_whatever_the_data(spark):
+    prints = spark.createDataFrame([(1,)], "fp long")
+    with pytest.raises(ValueError, match="even"):
+        simhash.links(prints, max_bits=3)
