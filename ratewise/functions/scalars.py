@@ -73,7 +73,12 @@ def variant_field(v: Column, path: str, kind: str) -> Column:
     return F.try_variant_get(v, path, kind)
 
 
-def normalise_recommendations(elements: Column) -> Column:
+def normalise_recommendations(raw_list: Column) -> Column:
+    """F-13 for ``array<string>`` of raw JSON elements."""
+    return normalise_elements(F.transform(raw_list, F.try_parse_json))
+
+
+def normalise_elements(elements: Column) -> Column:
     """F-13: ``array<variant>`` of list elements -> ``array<struct<
     product_idx int, rating float>>``.
 

@@ -43,7 +43,7 @@ def read_store(spark: SparkSession, path: str | list[str], glob: str = "*.json")
     elements = S.variant_field(F.col("j"), "$.recommendations", "array<variant>")
     return (parsed.where(F.col("user_idx").isNotNull())
                   .select("user_idx",
-                          F.coalesce(S.normalise_recommendations(elements),
+                          F.coalesce(S.normalise_elements(elements),
                                      F.array().cast("array<struct<product_idx: int, rating: float>>")).alias("recommendations"),
                           F.coalesce(S.variant_field(F.col("j"), "$.batch_id", "long"),
                                      F.when(from_dir != "", from_dir.cast("long"))).alias("batch_id"),
