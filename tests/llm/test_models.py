@@ -108,6 +108,63 @@ def test_uneven_labels_keep_held_out_good_text_of_every_language(spark):
     assert bad.where("kept").count() <= 0.1 * bad.count()
 
 
+def test_shapes():
+    assert quality.shape("Nd*** 12,5  größe\nA1b2 北京。".encode()) == b"a*** 0,0  a\na0a0 a"
+    assert quality.shape(b"") == quality.shape(None) == b"" and quality.shape(b"!!") == b"!!"
+
+
+def test_a_language_with_three_labels_rejects_bad_text(spark):
+    """Held out: every label of Spanish and German but three good ones each."""
+    docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+    lang = labels.join(docs.select("doc_id", "lang"), "doc_id").cache()
+    three = [r.doc_id for x in ("es", "de") for r in
+             lang.where((F.col("lang") == x) & (F.col("quality") == 1)).orderBy("doc_id").limit(3).collect()]
+    rare = F.col("lang").isin("es", "de")
+    got = quality.quality(docs, lang.where(~rare | F.col("doc_id").isin(three)).select(labels.columns)).join(lang, "doc_id")
+    held = got.where(rare & ~F.col("doc_id").isin(three)).groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("share"))
+    share = {r.quality: r.share for r in held.collect()}
+    assert share[1] > 0.95 and share[0] < 0.4
+
+
+def test_weights_equal_brute_force(spark):
+    """Every document's weight anew: two languages judged by words and shapes,
+    two by shapes together, one without labels, one document beyond LONG."""
+    rnd = np.random.default_rng(4)
+    stock = {x: [f"{x}{i}{'!' * (i % 3)}" for i in range(30)] for x in ("aa", "bb", "cc", "dd", "ee")}
+    rows = [(i, None if i % 37 == 0 else " ".join(rnd.choice(stock[x], size=900 if i == 40 else int(rnd.integers(0, 60)))), x)
+            for i, x in enumerate(("aa", "bb", "cc", "dd", "ee") * 24)]
+    good = {i for i, _, x in rows if (x in ("aa", "bb") and i % 3) or (x == "cc" and i < 25) or (x == "dd" and i < 10)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, 1) for i in good] + [(1000, 1), (2, 0)], "doc_id long, quality int")
+
+    def grams(text, kind):
+        raw = (text or "").encode()
+        bucket, _ = quality.features([quality.shape(raw) if kind else raw])
+        return Counter(bucket.tolist())
+    strata = ([{"aa"}, {"bb"}], [{"aa"}, {"bb"}, {"cc", "dd"}])
+    tables = []
+    for kind, prior in enumerate(quality.PRIORS):
+        target, usual = Counter(), Counter()
+        for members in strata[kind]:
+            raw, own = Counter(), Counter()
+            for i, text, x in rows:
+                if x in members:
+                    raw += grams(text, kind)
+                    own += grams(text, kind) if i in good else Counter()
+            target += own
+            for bucket, n in raw.items():
+                usual[bucket] += n * sum(own.values()) / sum(raw.values())
+        tables.append({b: math.log((target[b] + prior) / (usual[b] + prior)) for b in usual})
+    got = {r.doc_id: r.log_weight for r in quality.quality(docs, labels).collect()}
+    assert len(got) == len(rows)
+    for i, text, x in rows:
+        n = sum(grams(text, 0).values())
+        kinds = [k for k in (0, 1) if any(x in members for members in strata[k])]
+        weight = sum(m * tables[k][b] for k in kinds for b, m in grams(text, k).items()) * quality.LONG / max(n, quality.LONG)
+        assert got[i] == pytest.approx(weight, abs=(2 * n + 1) / quality.UNIT)
+    assert any(got[i] != 0 for i, _, x in rows if x in ("cc", "dd")) and not any(got[i] for i, _, x in rows if x == "ee")
+
+
 def test_languages_are_counted_in_several_passes(spark, monkeypatch):
     docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
     whole, judged = quality.fit(docs, labels)
