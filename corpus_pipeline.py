@@ -24,14 +24,19 @@ from ratewise.llm.queries import BPE
 
 def _only(docs: DataFrame, chosen: DataFrame, key: str, value) -> DataFrame:
     """The rows of ``docs`` whose (doc_id, ``value``) is in ``chosen``
-    (doc_id, key); of rows that are equal in both, one with the most code points."""
-    own, other, turn = fresh(docs, "_content", "_doc_id", "_turn")
-    keyed = docs.withColumn(own, value)
-    picked = chosen.select(F.col("doc_id").alias(other), F.col(key).alias(turn))
-    same = F.col("doc_id").eqNullSafe(F.col(other)) & (F.col(own) == F.col(turn))
-    kept = keyed.join(picked, same, "left_semi")
-    first = Window.partitionBy("doc_id", own).orderBy(F.length(F.coalesce("text", F.lit(""))).desc(), "text")
-    return kept.withColumn(turn, F.row_number().over(first)).where(F.col(turn) == 1).select(*docs.columns)
+    (doc_id, key); of rows that are equal in both, one with the most code points.
+
+    Rows equal in both are thinned first, partly before the shuffle, so a row
+    repeated without end never meets in one task; what is left of the texts is
+    shuffled once, by the key that the join needs too."""
+    content, name, none, turn = fresh(docs, "_content", "_name", "_none", "_turn")
+    own = {name: F.coalesce(F.col("doc_id").cast("string"), F.lit("")), none: F.col("doc_id").isNull()}
+    first = Window.partitionBy(name, none, content).orderBy(F.length(F.coalesce("text", F.lit(""))).desc(), "text")
+    thinned = (docs.withColumns({**own, content: F.coalesce(value, F.lit(""))})  # plainly not null: no filter hashes it again
+               .withColumn(turn, F.row_number().over(first)).where(F.col(turn) == 1))
+    # an inner join: a semi join would be moved below the window again
+    picked = chosen.select(*(c.alias(n) for n, c in own.items()), F.coalesce(key, F.lit("")).alias(content)).distinct()
+    return thinned.join(picked, [name, none, content]).select(*docs.columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
