@@ -71,15 +71,19 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def global_rank(df: DataFrame, order: list[str], rank: str) -> DataFrame:
+def global_rank(df: DataFrame, order: list[str], rank: str, ties: bool = False) -> DataFrame:
     """``df`` plus its 0-based position in the global order by ``order``.
 
     Range-partitioned sort, positions within each partition, and a prefix sum
     over one count per partition give each partition's base.  ``df`` should
-    be cheap to read twice (the range bounds are sampled from it).
+    be cheap to read twice (the range bounds are sampled from it).  ``ties``:
+    rows may be equal in ``order``, as many as there are; their place in ``df``,
+    then a cut table, is the last key, so they don't fall into one partition.
     """
-    pid, mid, base, n = fresh(df, "_pid", "_mid", "_base", "_n")
-    tagged = cut(df.repartitionByRange(*order).sortWithinPartitions(*order)
+    pid, mid, base, n, place = fresh(df, "_pid", "_mid", "_base", "_n", "_place")
+    if ties:
+        df, order = df.withColumn(place, F.monotonically_increasing_id()), [*order, place]
+    tagged = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).drop(place)
                    .withColumns({pid: F.spark_partition_id(), mid: F.monotonically_increasing_id()}), "rank")
     before = Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition

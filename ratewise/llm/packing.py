@@ -105,7 +105,7 @@ def pack(pieces: DataFrame, length: str = "length", order: tuple[str, ...] = ("d
     if any(k < 1 or k > capacity for k in counts):
         raise ValueError(f"piece lengths must be between 1 and {capacity}")
     (rank,) = fresh(pieces, "_rank")
-    ranked = global_rank(pieces, [length, *order], rank)
+    ranked = global_rank(pieces, [length, *order], rank, ties=True)
     if not counts:
         return ranked.drop(rank).withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
     slots = pieces.sparkSession.sparkContext.broadcast(_slots(plan_bins(counts, capacity), counts))

@@ -247,7 +247,7 @@ def kth_key(keys: DataFrame, k: int) -> float | None:
     """The k-th largest key (a cut table with column key); None if there are fewer than 1."""
     if k < 1:
         return None
-    ranked = global_rank(keys.select((-F.col("key")).alias("less")), ["less"], "rank")
+    ranked = global_rank(keys.select((-F.col("key")).alias("less")), ["less"], "rank", ties=True)
     row = ranked.where(F.col("rank") == k - 1).first()
     return float("-inf") if row is None else -row["less"]
 

@@ -3,9 +3,11 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ratewise.llm import packing, token_counts, token_files
+from ratewise.llm import common, packing, token_counts, token_files
+from ratewise.llm.common import cut, global_rank
 from ratewise.llm.queries import BPE
 from ratewise.llm.tokens import PieceEncoder, _Memo
 
@@ -142,3 +144,24 @@ def test_packing(library, odd_docs, no_docs):
     assert {r.sequence_id: r.length for r in joined} == {k: sum(n for _, n in v) for k, v in bins.items()}
     assert all(len(r.ids) == 4 * r.length for r in joined)
     assert packing.packed_documents(no_docs, BPE).count() == 0
+
+
+def test_equal_keys_are_ranked_in_many_partitions(spark, monkeypatch):
+    """A third of the rows equal in every key."""
+    sorted_rows = []
+    monkeypatch.setattr(common, "cut", lambda df, name: sorted_rows.append(cut(df, name)) or sorted_rows[-1])
+    rows = cut(spark.range(30_000).repartition(4).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("k"), F.lit(None).cast("long").alias("_place")))
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"  # the rows are too few for more than one
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        ranked = global_rank(rows, ["k"], "r", ties=True)
+    finally:
+        spark.conf.set(setting, before)
+    assert ranked.columns == ["k", "_place", "r"]
+    got = [(r.r, r.k) for r in ranked.collect()]
+    assert sorted(r for r, _ in got) == list(range(30_000))
+    assert [k for _, k in sorted(got)] == sorted(k for _, k in got)
+    sizes = sorted_rows[0].where("k = 7").groupBy("_pid").count().collect()
+    assert len(sizes) > 1 and max(r["count"] for r in sizes) < 8_000
