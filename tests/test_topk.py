@@ -44,6 +44,36 @@ def test_many_blocks_match_brute_force(spark):
     _check(spark, users, items, 5, block_rows=7, broadcast_bytes=-1)
 
 
+def test_items_beyond_the_limit_are_not_sent_to_every_user_block(spark):
+    """One shuffle, of the users; an item is in one file, files by falling norm."""
+    users, items = fixtures.factor_fixture(spark, SF001)
+    found = topk.top_k_by_dot(users, items, 5, block_rows=7, broadcast_bytes=-1)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Generate" not in plan and "CoGroup" not in plan
+    files = topk.write_items(items, items.count(), 50)
+    norms = {r._i: float(np.linalg.norm(np.array(r._v, np.float64))) for r in files.table(spark).collect()}
+    assert sorted(norms) == sorted(r.id for r in items.collect()) and files.n_items == len(norms)
+    tops = [top for _, top in files.files]
+    assert len(tops) > 3 and tops == sorted(tops, reverse=True) and np.isclose(tops[0], max(norms.values()))
+
+
+def test_running_search_equals_one_index():
+    """Ties, zeros and fewer items than k, whatever the cut into indexes."""
+    rng = np.random.default_rng(8)
+    vectors = rng.integers(-2, 3, (150, 3)).astype(float)
+    users = np.vstack([rng.integers(-2, 3, (40, 3)), np.zeros((1, 3))]).astype(float)
+    ids, norms = rng.permutation(1000)[:150], np.linalg.norm(vectors, axis=1)
+    order = np.argsort(-norms, kind="stable")
+    for k, size in ((1, 4), (7, 20), (150, 40)):
+        search = pruned.RunningSearch(users, k)
+        for part in np.array_split(order, len(order) // size):
+            if not search.going(norms[part].max()):
+                break
+            search.add(pruned.ItemIndex(ids[part], vectors[part], block=8))
+        want_ids, want = _exact(users, ids, vectors, k)
+        assert search.ids.tolist() == want_ids.tolist() and search.scores.tolist() == want.tolist()
+
+
 def _exact(users, ids, vectors, k):
     s = users @ vectors.T
     order = np.lexsort((np.broadcast_to(ids, s.shape), -s), axis=1)[:, :k]
