@@ -15,7 +15,7 @@ from ratewise import config
 from ratewise.functions import scalars as S
 from ratewise.operators import clean, compact, evaluate, report, residuals, serve, split, topk, train
 from ratewise.plans import scoring
-from ratewise.plans.cleaning import run_cleaning, write_cleaning
+from ratewise.plans.cleaning import CleaningResult, run_cleaning, with_kept_ratings, write_cleaning
 from ratewise.sinks.writers import publish_messages, write_batch_lists, write_record
 from ratewise.sources import fixtures, records, store
 from ratewise.sources.reviews import read_product_dictionary, read_ratings, read_review_csv, read_user_dictionary
@@ -106,6 +106,11 @@ def _ratings(spark: SparkSession, d: str) -> DataFrame:
     return run_cleaning(fixtures.reviews(spark, d)).ratings
 
 
+def _kept_ratings(spark: SparkSession, d: str) -> DataFrame:
+    """``_ratings`` written once, for queries that read them several times."""
+    return with_kept_ratings(run_cleaning(fixtures.reviews(spark, d))).ratings
+
+
 def q_hash_split(spark: SparkSession, d: str) -> DataFrame:
     """M-1: every cleaned rating with its split."""
     return split.assign_split(_ratings(spark, d))
@@ -119,7 +124,7 @@ def q_split_counts(spark: SparkSession, d: str) -> DataFrame:
 def q_rmse_item_mean(spark: SparkSession, d: str) -> DataFrame:
     """A-6 / A-13 with a fixed predictor: train item mean, scored on the
     validation and test splits; unseen items count as dropped."""
-    labelled = split.assign_split(_ratings(spark, d))
+    labelled = split.assign_split(_kept_ratings(spark, d))
     train = labelled.where(F.col("split") == "train")
     table = evaluate.item_mean_predictor(train, 0.0)
     held = labelled.where(F.col("split") != "train")
@@ -139,14 +144,14 @@ CANDIDATE_DAMPINGS = (0, 5, 20)
 
 def q_candidate_rmse(spark: SparkSession, d: str) -> DataFrame:
     """A-6 / A-7 inputs: validation RMSE of the damped-mean candidates."""
-    parts = split.split_frames(_ratings(spark, d))
+    parts = split.split_frames(_kept_ratings(spark, d))
     return evaluate.candidate_metrics(parts["train"], parts["validation"], CANDIDATE_DAMPINGS)
 
 
 def q_best_candidate(spark: SparkSession, d: str) -> DataFrame:
     """A-7 then one test evaluation of the chosen candidate (M-6 form);
     every candidate is scored on validation and test in one pass."""
-    labelled = split.assign_split(_ratings(spark, d))
+    labelled = split.assign_split(_kept_ratings(spark, d))
     train = labelled.where(F.col("split") == "train")
     held = labelled.where(F.col("split") != "train")
     table = evaluate.candidate_table(train, held, CANDIDATE_DAMPINGS)
@@ -377,17 +382,25 @@ BASE_CONFIG = ((10, 0.1, 10),)
 _MEMO: dict = {}
 
 
+def _cleaned(spark: SparkSession, d: str) -> CleaningResult:
+    """The cleaning behind the fits: model, stream and records share its ids."""
+    key = (spark.sparkContext.applicationId, d, "cleaned")
+    if key not in _MEMO:
+        _MEMO[key] = with_kept_ratings(run_cleaning(fixtures.reviews(spark, d)))
+    return _MEMO[key]
+
+
 def _grid(spark: SparkSession, d: str, grid=BASE_CONFIG) -> train.GridResult:
     key = (spark.sparkContext.applicationId, d, grid)
     if key not in _MEMO:
-        _MEMO[key] = train.train_from_ratings(_ratings(spark, d), grid)
+        _MEMO[key] = train.train_from_ratings(_cleaned(spark, d).ratings, grid)
     return _MEMO[key]
 
 
 def q_als_predictions(spark: SparkSession, d: str) -> DataFrame:
     """M-2 / M-3 / M-4: validation ratings with the model's prediction."""
     res = _grid(spark, d)
-    val = split.split_frames(_ratings(spark, d))["validation"]
+    val = split.split_frames(_cleaned(spark, d).ratings)["validation"]
     return train.predict(res.model, val).select(
         "user_idx", "product_idx", "Score", F.col("prediction").cast("double").alias("prediction"))
 
@@ -423,7 +436,7 @@ def q_als_list_shape(spark: SparkSession, d: str) -> DataFrame:
 def q_als_residuals(spark: SparkSession, d: str) -> DataFrame:
     """M-2 / M-5: per train user, whether its fitted factors solve the normal
     equations of its ratings."""
-    parts = split.split_frames(_ratings(spark, d))
+    parts = split.split_frames(_cleaned(spark, d).ratings)
     rows = residuals.normal_residuals(_grid(spark, d).model, parts["train"], BASE_CONFIG[0][1])
     return rows.select("user_idx", "n_ratings", (F.col("residual") <= residuals.TOLERANCE).alias("solved"))
 
@@ -431,7 +444,7 @@ def q_als_residuals(spark: SparkSession, d: str) -> DataFrame:
 def _stream_out(spark: SparkSession, d: str) -> str:
     key = (spark.sparkContext.applicationId, d, "stream")
     if key not in _MEMO:
-        users = run_cleaning(fixtures.reviews(spark, d)).users.table
+        users = _cleaned(spark, d).users.table
         msgs = fixtures.event_messages(spark, d)
         _MEMO[key] = scoring.run_stream(spark, _grid(spark, d).model, users, msgs)
     return _MEMO[key]
@@ -477,7 +490,7 @@ def odd_messages(spark: SparkSession, d: str) -> DataFrame:
 def _odd_stream_out(spark: SparkSession, d: str) -> str:
     key = (spark.sparkContext.applicationId, d, "odd stream")
     if key not in _MEMO:
-        users = run_cleaning(fixtures.reviews(spark, d)).users.table
+        users = _cleaned(spark, d).users.table
         _MEMO[key] = scoring.run_stream(spark, _grid(spark, d).model, users, odd_messages(spark, d), slices=STREAM_SLICES)
     return _MEMO[key]
 
@@ -517,7 +530,7 @@ def _records(spark: SparkSession, d: str) -> dict[str, str]:
             write_batch_lists(st.where(F.col("batch_id") == b).drop("batch_id"), lists_dir, b)
         metrics_dir = os.path.join(base, "metrics")
         write_record(train.metrics_record(_grid(spark, d)), metrics_dir)
-        cleaning_paths = write_cleaning(run_cleaning(fixtures.reviews(spark, d)), base)
+        cleaning_paths = write_cleaning(_cleaned(spark, d), base)
         model_dir = os.path.join(base, "als_model")
         train.save_model(_grid(spark, d).model, model_dir)
         report_dir = os.path.join(base, "report")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
@@ -42,6 +42,12 @@ def run_cleaning(reviews: DataFrame, hot_rows: int = config.HOT_KEY_ROWS) -> Cle
     return CleaningResult(stages, ratings, users, products)
 
 
+def with_kept_ratings(result: CleaningResult) -> CleaningResult:
+    """The ratings written once in the shared scratch folder, for readers that
+    use them more than once: the id joins and their shuffles run once."""
+    return replace(result, ratings=materialise(result.ratings, "ratings"))
+
+
 def write_cleaning(result: CleaningResult, out_dir: str) -> dict[str, str]:
     """K-1 / K-2: overwrite the ratings and both dictionaries as Parquet."""
     paths = {

@@ -89,3 +89,13 @@ def test_no_scored_row(spark):
 def test_als_blocks_follow_the_data_alone():
     from ratewise.operators import train
     assert [train.als_blocks(n) for n in (0, 1, 100_000, 100_001, 10**9)] == [1, 1, 1, 2, 10_000]
+
+
+def test_rating_queries_join_the_ids_once(spark):
+    """The ratings are read several times; the joins behind them run once."""
+    from conftest import SF001
+    from ratewise.plans import catalog
+    kept = catalog._kept_ratings(spark, SF001)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "Join" not in plan
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, catalog._ratings(spark, SF001).collect()))
