@@ -13,7 +13,9 @@ factor that was lost, mixed up or fitted on other ratings.
 The matrix is never built: (sum v_i v_i^T) u = sum (v_i . u) v_i, so a rating
 contributes its error times its item vector, ``rank`` sums per user that are
 reduced before the shuffle.  Factor tables are broadcast when measured small,
-else joined with hot keys salted.
+else joined with hot keys salted; the user's own factors come last, so that a
+user's ratings are in one task (a hot user's in a few) when they are summed, and
+the shuffle of the sums has about one row per user.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.operators.skew import split_hot_join
+from ratewise.operators.skew import hot_keys, split_hot_join
 from ratewise.operators.topk import factor_bytes
 
 TOLERANCE = 1e-3  # factors are 32-bit floats
@@ -35,10 +37,11 @@ def normal_residuals(model: ALSModel, ratings: DataFrame, reg: float, side: str
     factors = {"user_idx": model.userFactors, "product_idx": model.itemFactors}
     rank = model.rank
     joined = ratings.select("user_idx", "product_idx", F.col("Score").cast("double").alias("r"))
-    for key, name in ((own, "u"), (other, "v")):
+    for key, name in ((other, "v"), (own, "u")):
         table = factors[key].select(F.col("id").alias(key), F.col("features").alias(name))
         rows, width = factor_bytes(table, name)
-        joined = split_hot_join(joined, table, key, side_rows=rows, row_bytes=width)
+        # counted in the ratings, not in what the first join made of them
+        joined = split_hot_join(joined, table, key, side_rows=rows, row_bytes=width, hot=hot_keys(ratings, key))
     u, v = ([F.col(name)[j].cast("double") for j in range(rank)] for name in ("u", "v"))
     error = sum((a * b for a, b in zip(u, v)), F.lit(0.0)) - F.col("r")
     sums = joined.select(own, "r", error.alias("e"), *(x.alias(f"v{j}") for j, x in enumerate(v)),

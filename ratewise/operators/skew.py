@@ -68,12 +68,13 @@ def fits_broadcast(rows: int, row_bytes: int = config.ID_ROW_BYTES) -> bool:
 
 def split_hot_join(df: DataFrame, side: DataFrame, key: str, how: str = "inner",
                    side_rows: int | None = None, row_bytes: int = config.ID_ROW_BYTES,
-                   hot_rows: int = config.HOT_KEY_ROWS) -> DataFrame:
+                   hot_rows: int = config.HOT_KEY_ROWS, hot: DataFrame | None = None) -> DataFrame:
     """``df.join(side, key, how)`` for ``how`` in inner / left, skew-safe.
 
     ``side_rows`` (the exact size of ``side``, when known) of ``row_bytes``
-    each, below the broadcast limits, give a plain broadcast join.
+    each, below the broadcast limits, give a plain broadcast join.  ``hot``:
+    the hot keys, where they are known without counting ``df``.
     """
     if side_rows is not None and fits_broadcast(side_rows, row_bytes):
         return df.join(F.broadcast(side), on=key, how=how)
-    return salted_join(df, side, key, how, hot_keys(df, key, hot_rows))
+    return salted_join(df, side, key, how, hot_keys(df, key, hot_rows) if hot is None else hot)

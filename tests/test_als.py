@@ -70,6 +70,33 @@ def test_residuals_equal_the_matrix_form(spark, grid, cleaned):
     assert residuals.fit_report(m, train_rows, 0.5).first().n_beyond > 0.9 * report.n_users
 
 
+def test_residual_sums_are_shuffled_by_user_only(spark, grid, cleaned, monkeypatch):
+    """With factors joined by shuffle, the own side is joined last, and the sums
+    follow it without the ratings being shuffled again in between."""
+    from ratewise import config
+    from ratewise.operators import residuals
+    train_rows = split.split_frames(cleaned.ratings)["train"]
+    small = {r[0]: r for r in residuals.normal_residuals(grid.model, train_rows, 0.1).collect()}
+    monkeypatch.setattr(config, "BROADCAST_MAX_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = residuals.normal_residuals(grid.model, train_rows, 0.1)
+        rows = found.collect()
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {r[0]: r.n_ratings for r in rows} == {u: r.n_ratings for u, r in small.items()}
+    assert all(abs(r.residual - small[r[0]].residual) < 1e-9 for r in rows)
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert "user_idx" in joins[0] and "product_idx" in joins[1]  # the outermost first
+
+
+def test_grid_model_is_read_from_files(grid):
+    """A model that hangs on a fit's shuffles would keep these on disk."""
+    for factors in (grid.model.userFactors, grid.model.itemFactors):
+        assert "FileScan parquet" in factors._jdf.queryExecution().executedPlan().toString()
+
+
 def test_seeded_fit_is_reproducible(spark, cleaned, grid):
     parts = split.split_frames(cleaned.ratings)
     a = train.fit(parts["train"], 5, 0.1, 5, SMALL)
