@@ -183,3 +183,8 @@ def test_concurrent_grid_equals_sequential(spark, cleaned):
     assert all(abs(x[4] - y[4]) < 1e-12 for x, y in zip(a, b))
     assert seq.best["candidate"] == par.best["candidate"]
     assert abs(seq.rmse_test - par.rmse_test) < 1e-12
+
+
+def test_fit_keeps_one_iteration_of_shuffles():
+    """Each half iteration shuffles a factor per rating; a checkpoint lets them go."""
+    assert train.make_als(5, 0.1, 5).getCheckpointInterval() == 1

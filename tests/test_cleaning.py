@@ -1,5 +1,7 @@
 """Cleaning chain: dedup rule, filter order, dense index, funnel."""
 
+import os
+
 import pytest
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
@@ -158,3 +160,37 @@ def test_hot_user_third_of_rows(spark, monkeypatch, hot_rows, broadcast_max):
     got = sorted((r.user_idx, r.product_idx, r.Score) for r in res.ratings.collect())
     assert got == want
     assert uidx["HOT"] == 0
+
+
+def _shuffle_files(spark) -> set[str]:
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def test_shuffles_of_a_written_stage_go(spark):
+    """What made the written stages isn't on disk when the ratings are."""
+    import time
+
+    from ratewise.plans.cleaning import filtered_reviews, with_kept_ratings
+    before = _shuffle_files(spark)
+    stages = filtered_reviews(fixtures.reviews(spark, SF001))
+    made = _shuffle_files(spark) - before
+    kept = with_kept_ratings(run_cleaning(fixtures.reviews(spark, SF001)))
+    for _ in range(50):  # Spark's cleaner runs beside
+        if not _shuffle_files(spark) & made:
+            break
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) & made
+    assert stages["dedup"].count() >= kept.ratings.count() > 0
+
+
+def test_kept_ratings_need_no_written_stage(spark):
+    from ratewise.plans.cleaning import with_kept_ratings
+    res = run_cleaning(fixtures.reviews(spark, SF001))
+    folders = {os.path.dirname(f).removeprefix("file://") for s in ("counted", "active_products") for f in res.stages[s].inputFiles()}
+    rows = sorted(map(tuple, res.ratings.collect()))
+    kept = with_kept_ratings(res)
+    assert len(folders) == 2 and not any(os.path.exists(f) for f in folders)
+    assert sorted(map(tuple, kept.ratings.collect())) == rows
+    assert kept.users.table.count() == kept.users.size > 0 and kept.products.table.count() == kept.products.size > 0
