@@ -188,3 +188,25 @@ def test_concurrent_grid_equals_sequential(spark, cleaned):
 def test_fit_keeps_one_iteration_of_shuffles():
     """Each half iteration shuffles a factor per rating; a checkpoint lets them go."""
     assert train.make_als(5, 0.1, 5).getCheckpointInterval() == 1
+
+
+def test_held_rows_are_joined_with_the_factors_once_a_fit(spark, cleaned, monkeypatch):
+    """Both RMSEs of a fit come from one join, and are those of each split alone."""
+    from ratewise.operators import evaluate
+    calls = []
+    plain = train.predict
+    monkeypatch.setattr(train, "predict", lambda m, df: calls.append(df) or plain(m, df))
+    found = train.train_from_ratings(cleaned.ratings, ((5, 0.1, 3),), SMALL)
+    assert len(calls) == 1
+    parts = split.split_frames(cleaned.ratings)
+    assert abs(found.best["rmse_validation"] - evaluate.rmse(plain(found.model, parts["validation"]))) < 1e-9
+    assert abs(found.rmse_test - evaluate.rmse(plain(found.model, parts["test"]))) < 1e-9
+
+
+def test_grid_without_held_rows(spark, cleaned):
+    """No validation or test row that gets a prediction: NaN, as before."""
+    import math
+    parts = split.split_frames(cleaned.ratings)
+    none = parts["test"].where("user_idx < 0")
+    found = train.grid_search(parts["train"], none, none, ((4, 0.1, 2),), SMALL)
+    assert math.isnan(found.rmse_test) and math.isnan(found.best["rmse_validation"])
