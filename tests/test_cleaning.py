@@ -194,3 +194,47 @@ def test_kept_ratings_need_no_written_stage(spark):
     assert len(folders) == 2 and not any(os.path.exists(f) for f in folders)
     assert sorted(map(tuple, kept.ratings.collect())) == rows
     assert kept.users.table.count() == kept.users.size > 0 and kept.products.table.count() == kept.products.size > 0
+
+
+def test_dedup_buffer_holds_time_and_score_once(spark):
+    """One buffer per pair in the shuffle, with the rows of the plain dedup."""
+    rows = [("u", "p", 1.0, 10), ("u", "p", 4.0, 20), ("u", "p", 2.0, 20), ("u", "p", 5.0, None),
+            ("v", "p", 3.0, None), ("v", "p", 5.0, None), ("w", "q", 2.0, 5), ("w", "q", 2.0, 5), (None, "q", 1.0, 9)]
+    df = spark.createDataFrame(rows, "UserId string, ProductId string, Score float, Time long")
+    counted = clean.dedup_counted(df)
+    assert counted.schema.simpleString() == "struct<UserId:string,ProductId:string,Score:float,Time:bigint,n_rows:bigint>"
+    got = sorted(map(tuple, counted.collect()), key=str)
+    assert got == sorted([("u", "p", 4.0, 20, 4), ("v", "p", 5.0, None, 2), ("w", "q", 2.0, 5, 2), (None, None, None, None, 1)], key=str)
+    plain = clean.dedup_latest(df.where("UserId is not null")).select("UserId", "ProductId", "Score", "Time").collect()
+    assert sorted(map(tuple, plain), key=str) == sorted((r[:4] for r in got if r[0]), key=str)
+    plan = clean.dedup_counted(df)._jdf.queryExecution().executedPlan().toString()
+    assert "max_by" not in plan and plan.count("partial_max(") == 1
+
+
+def test_active_users_are_joined_once(spark):
+    """The product counts and the product filter read the written rows of active
+    users; no row carries the time, which nothing reads after the dedup."""
+    from ratewise.plans.cleaning import filtered_reviews
+    stages = filtered_reviews(fixtures.reviews(spark, SF001))
+    plain = clean.clean_reviews(fixtures.reviews(spark, SF001))
+    for name in ("active_users", "active_products"):
+        plan = stages[name]._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan parquet" in plan and "Join" not in plan and "Exchange" not in plan
+        assert sorted(stages[name].columns) == ["ProductId", "Score", "UserId"]
+        want = sorted(map(tuple, plain[name].select("UserId", "ProductId", "Score").collect()))
+        assert sorted(map(tuple, stages[name].select("UserId", "ProductId", "Score").collect())) == want and want
+
+
+def test_kept_ratings_leave_no_active_users(spark):
+    from ratewise.plans.cleaning import with_kept_ratings
+    res = run_cleaning(fixtures.reviews(spark, SF001))
+    folders = {os.path.dirname(f).removeprefix("file://") for f in res.stages["active_users"].inputFiles()}
+    assert with_kept_ratings(res).ratings.count() == 3169
+    assert len(folders) == 1 and not any(os.path.exists(f) for f in folders)
+
+
+def test_reviews_join_shuffles_what_a_line_gives(spark):
+    """Flags and residue are made on the line items' side, below the join."""
+    plan = fixtures.reviews(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Join Inner"):]
+    assert "AS flags" in below and "AS residue" in below
