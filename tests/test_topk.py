@@ -104,6 +104,32 @@ def test_search_with_ties_zeros_and_negative_scores():
         assert got_ids.tolist() == want_ids.tolist() and got.tolist() == want.tolist()
 
 
+def test_search_skips_blocks_that_point_elsewhere():
+    """Items of one norm: only their directions tell blocks apart."""
+    rng = np.random.default_rng(8)
+    vectors, users = rng.normal(size=(20000, 4)), rng.normal(size=(500, 4)).astype(np.float32).astype(float)
+    vectors = (vectors / np.linalg.norm(vectors, axis=1)[:, None]).astype(np.float32).astype(float)
+    ids = rng.permutation(20000)
+    want_ids, want = _exact(users, ids, vectors, 5)
+    work = {}
+    got_ids, got = pruned.ItemIndex(ids, vectors, block=64).search(users, 5, work)
+    assert got_ids.tolist() == want_ids.tolist() and np.allclose(got, want, rtol=1e-12)
+    assert work["scored"] + work["skipped"] == 500 * 313 and work["skipped"] > 0.7 * 500 * 313
+    whole = pruned.ItemIndex(ids, vectors, block=64, first_band=pruned.LARGEST_BAND, split=False)
+    assert whole.search(users, 5)[0].tolist() == want_ids.tolist()
+
+
+def test_search_tells_scores_apart_that_32_bits_do_not():
+    rng = np.random.default_rng(9)
+    users = np.abs(rng.normal(size=(50, 3)))
+    for scale in (1.0, 1e-30, 1e30):  # small and large numbers leave the range of 32 bits
+        vectors = scale * (1 + rng.permutation(3000)[:, None] * 1e-10) * np.ones((3000, 3))
+        ids = rng.permutation(3000)
+        want_ids, _ = _exact(users, ids, vectors, 6)
+        got_ids, _ = pruned.ItemIndex(ids, vectors, block=16).search(users, 6)
+        assert got_ids.tolist() == want_ids.tolist()
+
+
 def test_no_shuffle_while_items_fit(spark):
     users, items = fixtures.factor_fixture(spark, SF001)
     for df in (topk.top_k_by_dot(users, items, 5), topk.top_lists_by_dot(users, items, 5)):
