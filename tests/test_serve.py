@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF001
 from ratewise import config
 from ratewise.operators import serve
 from ratewise.sinks.writers import write_batch_lists
@@ -120,3 +121,13 @@ def test_unknown_total_is_zero_without_ansi(spark, lists):
         assert serve.lookup(req, lists).first().total == 0
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_factor_store_reads_the_events_once(spark):
+    """The subsets of the second batch come from the written pairs; each use
+    scanned and parsed the events before."""
+    from ratewise.plans import catalog
+    st = catalog.factor_store(spark, SF001)
+    files = st.inputFiles()
+    assert not any("events.parquet" in f for f in files) and any("ratewise-seen" in f for f in files)
+    assert st.where("batch_id = 1").count() > 0
