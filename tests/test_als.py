@@ -97,6 +97,15 @@ def test_grid_model_is_read_from_files(grid):
         assert "FileScan parquet" in factors._jdf.queryExecution().executedPlan().toString()
 
 
+def test_split_is_hashed_once(spark, cleaned):
+    """Readers of a written split don't compute it again, and get the rows of the hash."""
+    labelled = train.labelled_ratings(cleaned.ratings)
+    want = split.split_frames(cleaned.ratings)
+    for name, part in split.labelled_frames(labelled).items():
+        assert "md5" not in part._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(part.collect()) == sorted(want[name].collect())
+
+
 def test_seeded_fit_is_reproducible(spark, cleaned, grid):
     parts = split.split_frames(cleaned.ratings)
     a = train.fit(parts["train"], 5, 0.1, 5, SMALL)
